@@ -40,7 +40,8 @@ class TableJob:
     column); without it all source columns are taken under their own names.
     ``retained_from(spark)`` tells the oldest position the change table still
     covers; a target behind it is loaded anew. ``on_error`` is ``fail`` or
-    ``quarantine``.
+    ``quarantine``. In mode ``upsert``, replays wait next to the rows until
+    more than ``fold_after`` of them are there; 0 folds each one in at once.
     """
 
     table: str
@@ -53,6 +54,7 @@ class TableJob:
     order_by: Sequence[str] | None = None
     retained_from: Callable[[SparkSession], bytes | None] | None = None
     on_error: str = "fail"
+    fold_after: int = 16
 
     @property
     def spark(self) -> SparkSession:
@@ -178,10 +180,12 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
         good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), schema)
         position = max(base.position, bytes.fromhex(counts["high"] or ""))
         if job.mode == "upsert":
-            good = written(last_changes(good, base.keys, columns=schema.names, order_by=job.order_by), "last-changes")
-        version = job.store.replay(
-            job.table, good, position, mode=job.mode, order_by=job.order_by, one_per_key=job.mode == "upsert"
-        )
+            last = last_changes(good, base.keys, columns=schema.names, order_by=job.order_by)
+            version = job.store.replay_later(job.table, last, position)
+            if len(version.pending) > job.fold_after:
+                version = job.store.fold(job.table)
+        else:
+            version = job.store.replay(job.table, good, position, mode=job.mode, order_by=job.order_by)
         metrics.watermark = version.position
 
     return _timed(metrics, work, stop_on_error)

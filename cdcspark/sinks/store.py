@@ -3,6 +3,7 @@
 Layout of one table::
 
     <root>/<table>/data/__commit=<id>/__bucket=<n>/*.parquet
+    <root>/<table>/changes/__commit=<id>/__bucket=<n>/*.parquet
     <root>/<table>/commits/<version>.json
     <root>/<table>/quarantine/commit=<id>/*.parquet
 
@@ -12,21 +13,24 @@ last; readers follow the highest version, so they never see half a change, and
 a job that dies in between leaves the old version in force.
 
 Rows are spread over buckets by key hash. A replay rewrites the buckets that
-hold changed keys and refers to the others where they are.
+hold changed keys and refers to the others where they are. With few changes to
+every bucket that is still a lot of writing, so a replay may also leave the last
+change of each key next to the rows (``changes/``, same layout); reading merges
+them in, and ``fold`` rewrites the buckets once for many replays.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from cdcspark.functions.lsn import SYNC, ZERO_LSN, lsn_literal, pad_lsn
+from cdcspark.functions.lsn import OP, SYNC, ZERO_LSN, lsn_literal, pad_lsn
 from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied, merge_last
 from cdcspark.sinks import files
 
@@ -47,6 +51,7 @@ class Version:
     keys: list[str]
     buckets: int
     folders: dict[str, list[int]] = field(default_factory=dict)
+    pending: dict[str, list[int]] = field(default_factory=dict)
 
     @property
     def position(self) -> bytes:
@@ -75,6 +80,9 @@ class Store:
     def _data(self, table: str) -> str:
         return f"{self.path}/{table}/data"
 
+    def _changes(self, table: str) -> str:
+        return f"{self.path}/{table}/changes"
+
     def _numbers(self, table: str) -> list[int]:
         names = files.names_in(self.spark, self._commits(table))
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
@@ -103,23 +111,47 @@ class Store:
 
     # -- reading ----------------------------------------------------------
 
-    def read(
-        self, table: str, *, with_sync: bool = True, buckets: Iterable[int] | None = None, version: Version | None = None
-    ) -> DataFrame:
-        """The table at its current version, by default with the sync column."""
-        version = version or self.current(table)
+    def _open(
+        self, root: str, schema: StructType, held: Mapping[str, Sequence[int]], buckets: Iterable[int] | None
+    ) -> DataFrame | None:
+        """Rows of the given folders, all or some buckets; None if there are none."""
         wanted = None if buckets is None else set(buckets)
         folders = [
-            f"{self._data(table)}/{COMMIT}={commit}/{BUCKET}={b}"
-            for commit, held in version.folders.items()
-            for b in held
+            f"{root}/{COMMIT}={commit}/{BUCKET}={b}"
+            for commit, numbers in held.items()
+            for b in numbers
             if wanted is None or b in wanted
         ]
-        if folders:
-            reader = self.spark.read.schema(version.columns).option("basePath", self._data(table))
-            df = reader.parquet(*folders).drop(COMMIT, BUCKET)
-        else:
-            df = self.spark.createDataFrame([], version.columns)
+        if not folders:
+            return None
+        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders).drop(BUCKET)
+
+    def _pending(self, table: str, version: Version, buckets: Iterable[int] | None) -> DataFrame | None:
+        """Last change of each key among the replays not folded in yet."""
+        schema = StructType([StructField(OP, IntegerType()), *version.columns.fields])
+        found = self._open(self._changes(table), schema, version.pending, buckets)
+        if found is None or len(version.pending) == 1:
+            return found if found is None else found.drop(COMMIT)
+        # Commit ids sort in commit order; each commit holds a key at most once.
+        image = F.struct(*[_c(c) for c in (OP, *version.columns.names) if c not in version.keys])
+        newest = found.groupBy(*[_c(k) for k in version.keys]).agg(F.max_by(image, F.col(COMMIT)).alias("image"))
+        return newest.select(*[_c(k) for k in version.keys], "image.*")
+
+    def read(
+        self,
+        table: str,
+        *,
+        with_sync: bool = True,
+        buckets: Iterable[int] | None = None,
+        version: Version | None = None,
+    ) -> DataFrame:
+        """The table at its current version, by default with the sync column."""
+        version = version or self.current(table)
+        df = self._open(self._data(table), version.columns, version.folders, buckets)
+        df = self.spark.createDataFrame([], version.columns) if df is None else df.drop(COMMIT)
+        last = self._pending(table, version, buckets)
+        if last is not None:
+            df = merge_last(df, last, version.keys)
         return df.withColumn(SYNC, lsn_literal(version.position)) if with_sync else df
 
     # -- writing ----------------------------------------------------------
@@ -142,7 +174,7 @@ class Store:
         version = Version(
             number, pad_lsn(lsn).hex(), df.schema.json(), list(keys or df.columns[:1]), self.buckets
         )
-        commit, held = self._write(table, df, version)
+        commit, held = self._write(self._data(table), df, version)
         version.folders = {commit: held} if held else {}
         return self._publish(table, version)
 
@@ -155,12 +187,16 @@ class Store:
         has no rows for becomes empty.
         """
         gone = set(buckets)
+
+        def others(folders: Mapping[str, list[int]]) -> dict[str, list[int]]:
+            return {c: rest for c, held in folders.items() if (rest := [b for b in held if b not in gone])}
+
         version = Version(
             base.number + 1, pad_lsn(lsn).hex(), base.schema, base.keys, base.buckets,
-            {c: rest for c, held in base.folders.items() if (rest := [b for b in held if b not in gone])},
+            others(base.folders), others(base.pending),
         )
         if df is not None and gone:
-            commit, held = self._write(table, df, version)
+            commit, held = self._write(self._data(table), df, version)
             if held:
                 version.folders[commit] = held
         return self._publish(table, version)
@@ -174,11 +210,11 @@ class Store:
 
     def append(self, table: str, df: DataFrame) -> Version:
         """Add rows without looking at those already there; the log position stays."""
-        base = self.current(table)
+        base = self.fold(table)
         version = Version(
             base.number + 1, base.lsn, base.schema, base.keys, base.buckets, dict(base.folders)
         )
-        commit, held = self._write(table, df.select(*[_c(c) for c in base.columns.names]), version)
+        commit, held = self._write(self._data(table), df.select(*[_c(c) for c in base.columns.names]), version)
         if held:
             version.folders[commit] = held
         return self._publish(table, version)
@@ -191,12 +227,10 @@ class Store:
         *,
         mode: str = "upsert",
         order_by: Sequence[str] | None = None,
-        one_per_key: bool = False,
     ) -> Version:
         """Apply changes to the buckets they touch and commit them with their position.
 
         ``changes`` is read several times, so it should be a written table.
-        ``one_per_key`` says it already holds only the last change of each key.
         """
         base = self.current(table)
         bucket = bucket_of(base.keys, base.buckets)
@@ -205,20 +239,43 @@ class Store:
         if not touched:
             return self.commit(table, None, lsn, buckets=(), base=base)
         target = self.read(table, with_sync=False, buckets=touched, version=base)
-        if one_per_key and mode == "upsert":
-            result = merge_last(target, changes, base.keys)
-        else:
-            result = apply_changes(target, changes, keys=base.keys, order_by=order_by, mode=mode)
+        result = apply_changes(target, changes, keys=base.keys, order_by=order_by, mode=mode)
         return self.commit(table, result, lsn, buckets=touched, base=base)
 
-    def _write(self, table: str, df: DataFrame, version: Version) -> tuple[str, list[int]]:
+    def replay_later(self, table: str, last: DataFrame, lsn: bytes) -> Version:
+        """Commit the last change of each key without touching the rows.
+
+        ``last`` has one row per key (see ``last_changes``). The work grows with the
+        changes alone, however large the table is.
+        """
+        base = self.current(table)
+        version = Version(
+            base.number + 1, pad_lsn(lsn).hex(), base.schema, base.keys, base.buckets,
+            dict(base.folders), dict(base.pending),
+        )
+        columns = [_c(OP).cast("int").alias(OP), *[_c(c) for c in base.columns.names]]
+        commit, held = self._write(self._changes(table), last.select(*columns), version)
+        if held:
+            version.pending[commit] = held
+        return self._publish(table, version)
+
+    def fold(self, table: str) -> Version:
+        """Bring changes committed by ``replay_later`` into the rows of their buckets."""
+        base = self.current(table)
+        waiting = {b for held in base.pending.values() for b in held}
+        if not waiting:
+            return base
+        merged = self.read(table, with_sync=False, buckets=waiting, version=base)
+        return self.commit(table, merged, base.position, buckets=waiting, base=base)
+
+    def _write(self, root: str, df: DataFrame, version: Version) -> tuple[str, list[int]]:
         """Write rows by bucket; returns the commit id and the buckets that got rows.
 
         The rebalance hint brings a bucket's rows together and lets adaptive
         execution split one that is too large for a task.
         """
         commit = f"{version.number:010d}-{uuid.uuid4().hex}"
-        folder = f"{self._data(table)}/{COMMIT}={commit}"
+        folder = f"{root}/{COMMIT}={commit}"
         spread = df.withColumn(BUCKET, bucket_of(version.keys, version.buckets)).hint("rebalance", F.col(BUCKET))
         spread.write.partitionBy(BUCKET).parquet(folder)
         prefix = f"{BUCKET}="
@@ -244,13 +301,14 @@ class Store:
         if not numbers:
             return 0
         kept = [self._version(table, n) for n in numbers[-max(keep, 1):]]
-        live = {commit for v in kept for commit in v.folders}
+        live = {commit for v in kept for commit in (*v.folders, *v.pending)}
         removed = 0
-        for name in files.names_in(self.spark, self._data(table)):
-            commit = name.partition("=")[2]
-            if name.startswith(f"{COMMIT}=") and commit not in live and int(commit[:10]) <= numbers[-1]:
-                files.remove(self.spark, f"{self._data(table)}/{name}")
-                removed += 1
+        for root in (self._data(table), self._changes(table)):
+            for name in files.names_in(self.spark, root):
+                commit = name.partition("=")[2]
+                if name.startswith(f"{COMMIT}=") and commit not in live and int(commit[:10]) <= numbers[-1]:
+                    files.remove(self.spark, f"{root}/{name}")
+                    removed += 1
         for n in numbers[: -max(keep, 1)]:
             files.remove(self.spark, f"{self._commits(table)}/{n:010d}.json")
         return removed
