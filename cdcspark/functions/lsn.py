@@ -53,11 +53,11 @@ def lsn_literal(value: bytes | None) -> Column:
     return F.lit(pad_lsn(value))
 
 
-def row_hash(columns: list[str], seed: int = 0) -> Column:
+def row_hash(columns: list[str]) -> Column:
     """64-bit hash of a row that also tells nulls apart.
 
     ``xxhash64`` skips nulls, so ``(null, 'a')`` and ``('a', null)`` would meet;
     hashing the null flags as well separates them.
     """
     values = [F.col(f"`{c}`") for c in columns]
-    return F.xxhash64(F.lit(seed), *values, *[v.isNull() for v in values])
+    return F.xxhash64(*values, *[v.isNull() for v in values])

@@ -74,14 +74,15 @@ def net_changes(feed: DataFrame, keys: Sequence[str], *, order_by: Sequence[str]
 
 
 def _sides(source: DataFrame, target: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Both tables reduced to key, side and two row hashes."""
+    """Both tables reduced to key, side and row hash; the target's hash counts negative.
+
+    The hash is held in a decimal, so the sum over a group of any size fits.
+    """
 
     def side(df: DataFrame, mark: int) -> DataFrame:
+        weight = row_hash(list(columns)).cast("decimal(26,0)")
         return df.select(
-            *[_c(k) for k in keys],
-            F.lit(mark).alias("side"),
-            row_hash(list(columns), 1).cast("decimal(26,0)").alias("h1"),
-            row_hash(list(columns), 2).cast("decimal(26,0)").alias("h2"),
+            *[_c(k) for k in keys], F.lit(mark).alias("side"), (weight if mark > 0 else -weight).alias("weight")
         )
 
     types = dict(source.dtypes)
@@ -96,9 +97,10 @@ def reconcile(
 
     ``missing`` in the target, ``extra`` in the target, ``different`` or
     ``equal``. Repeated keys are compared as a group, without pairing their
-    rows. Only the key, a count and two 64-bit row hashes are shuffled, and they are
-    summed in the map tasks first, so the cost does not grow with row width or
-    with the size of a group. Without ``keys`` whole rows are compared.
+    rows. Only the key, two counts and the sum of 64-bit row hashes are
+    shuffled, summed in the map tasks first, so the cost does not grow with
+    row width or with the size of a group. Without ``keys`` whole rows are
+    compared.
     """
     columns = list(columns or data_columns(source))
     keys = list(keys) if keys else columns
@@ -108,10 +110,9 @@ def reconcile(
     sums = both.groupBy(*[_c(k) for k in keys]).agg(
         F.count_if(side == 1).alias("source_rows"),
         F.count_if(side == -1).alias("target_rows"),
-        F.sum(F.col("h1") * side).alias("d1"),
-        F.sum(F.col("h2") * side).alias("d2"),
+        F.sum("weight").alias("balance"),
     )
-    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("d1") == 0) & (F.col("d2") == 0)
+    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("balance") == 0)
     status = (
         F.when(F.col("target_rows") == 0, MISSING)
         .when(F.col("source_rows") == 0, EXTRA)
