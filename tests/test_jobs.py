@@ -1,0 +1,234 @@
+import pytest
+
+from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, ZERO_LSN
+from cdcspark.jobs import (
+    RejectedChanges,
+    TableJob,
+    incremental_sync,
+    initial_sync,
+    metrics_table,
+    run_cycle,
+    run_once,
+)
+from cdcspark.operators.feed import reconcile
+from cdcspark.sinks.store import Store
+from cdcspark.sources.changes import stream_changes
+from cdcspark.streaming.run import run_continuous, run_stream
+from helpers import FEED, TABLE, feed_of, position, random_log, random_target, replay, rows_of
+
+
+class Source:
+    """A table and its log that a test can move forward."""
+
+    def __init__(self, spark, rows, log=()):
+        self.spark, self.rows, self.log, self.scans = spark, list(rows), list(log), 0
+
+    def snapshot(self, spark):
+        self.scans += 1
+        return spark.createDataFrame(self.rows, TABLE)
+
+    def changes(self, spark, _position):
+        return feed_of(spark, self.log)
+
+    def do(self, *log):
+        self.log += log
+        self.rows = replay(self.rows, log, "strict")
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    return Store(spark, str(tmp_path / "store"), buckets=4)
+
+
+def job_for(store, source, **more):
+    more.setdefault("keys", ["k"])
+    return TableJob("t", store, source.snapshot, source.changes, **more)
+
+
+@pytest.mark.parametrize("mode,fold_after", [("upsert", 16), ("upsert", 0), ("strict", 0), ("bag", 0)])
+def test_first_load_then_replay(spark, store, mode, fold_after):
+    source = Source(spark, [(1, "a"), (2, "b")], [(1, 2, 1, "a"), (2, 2, 2, "b")])
+    job = job_for(store, source, mode=mode, fold_after=fold_after)
+    first = initial_sync(job)
+    assert (first.loaded, first.watermark) == (2, position(2))
+    source.do((3, 2, 3, "c"), (4, 4, 1, "aa"), (5, 1, 2, None))
+    done = incremental_sync(job)
+    assert (done.inserts, done.updates, done.deletes, done.watermark) == (1, 1, 1, position(5))
+    assert rows_of(store.read("t")) == sorted(source.rows)
+    both = reconcile(source.snapshot(spark), store.read("t"), ["k"])
+    assert both.where("status <> 'equal'").isEmpty()
+    assert bool(store.current("t").pending) == (mode == "upsert" and fold_after > 0)
+
+
+def test_nothing_new_touches_nothing(spark, store):
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+    job = job_for(store, source)
+    initial_sync(job)
+    version = store.current("t").number
+    done = incremental_sync(job)
+    assert (done.inserts, done.error, done.watermark) == (0, None, position(1))
+    assert store.current("t").number == version
+
+
+def test_restart_goes_on_where_it_was(spark, store):
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+    job = job_for(store, source)
+    initial_sync(job)
+    source.do((2, 4, 1, "b"))
+    again = initial_sync(job)
+    assert again.phase == "resumed" and source.scans == 1 and again.watermark == position(1)
+    incremental_sync(job)
+    assert rows_of(store.read("t")) == [(1, "b")]
+    assert initial_sync(job, full_refresh=True).loaded == 1 and source.scans == 2
+
+
+def test_created_but_never_loaded_is_loaded(spark, store):
+    source = Source(spark, [(1, "a")])
+    store.create_if_absent("t", spark.createDataFrame([], TABLE).schema)
+    assert initial_sync(job_for(store, source)).loaded == 1
+    assert store.watermark("t") == ZERO_LSN
+
+
+def test_changes_during_the_scan_are_not_lost(spark, store):
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+
+    class Moving(Source):
+        def snapshot(self, spark):
+            found = super().snapshot(spark)
+            self.do((2, 4, 1, "later"))
+            return found
+
+    source = Moving(spark, source.rows, source.log)
+    job = job_for(store, source)
+    initial_sync(job)
+    incremental_sync(job)
+    assert rows_of(store.read("t")) == [(1, "later")]
+
+
+def test_gap_in_the_feed_loads_anew(spark, store):
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+    job = job_for(store, source, retained_from=lambda _: position(50))
+    initial_sync(job)
+    source.rows, source.log = [(5, "e")], [(60, 2, 5, "e")]
+    done = incremental_sync(job)
+    assert (done.phase, done.loaded, done.watermark) == ("reloaded", 1, position(60))
+    assert rows_of(store.read("t")) == [(5, "e")]
+
+
+def test_mapping_and_sequence(spark, store):
+    rows = [(1, "a", 0.5)]
+    feed = [(2, position(1), 1, 2, "x", 1.0), (4, position(1), 2, 2, "y", 2.0), (3, position(2), 1, 2, "y", 9.0)]
+    job = TableJob(
+        "t", store,
+        lambda s: s.createDataFrame(rows, "ID int, NAME string, EXTRA double"),
+        lambda s, _: s.createDataFrame(feed, f"`{OP}` int, `{LSN}` binary, `{SEQ}` int, ID int, NAME string, EXTRA double"),
+        columns=[("name", "NAME"), ("id", "ID")], keys=["id"],
+    )
+    store.full_load("t", spark.createDataFrame([("a", 1)], "name string, id int"), None, keys=["id"])
+    done = incremental_sync(job)
+    assert (done.inserts, done.updates, done.ignored, done.watermark) == (1, 1, 1, position(2))
+    assert store.read("t").columns == ["name", "id", SYNC]
+    assert sorted(tuple(r)[:2] for r in store.read("t").collect()) == [("a", 1), ("y", 2)]
+
+
+def bad_job(spark, store, **more):
+    schema = f"`{OP}` int, `{LSN}` binary, k string, v string"
+    rows = [(4, position(1), "1", "b"), (4, position(2), "x", "c"), (4, position(3), None, "d")]
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), None, keys=["k"])
+    return TableJob("t", store, lambda s: None, lambda s, _: s.createDataFrame(rows, schema), keys=["k"], **more)
+
+
+def test_rejected_changes_fail_by_default(spark, store):
+    job = bad_job(spark, store)
+    with pytest.raises(RejectedChanges, match="k is not int, null key k"):
+        incremental_sync(job)
+    assert rows_of(store.read("t")) == [(1, "a")] and store.watermark("t") == ZERO_LSN
+
+
+def test_rejected_changes_can_be_set_aside(spark, store):
+    done = incremental_sync(bad_job(spark, store, on_error="quarantine"))
+    assert (done.updates, done.rejected, done.watermark) == (1, 2, position(1))
+    assert rows_of(store.read("t")) == [(1, "b")]
+    aside = store.quarantined("t")
+    assert sorted(r.reason for r in aside.collect()) == ["k is not int", "null key k"]
+    assert {r.k for r in aside.collect()} == {"x", None}
+
+
+def test_table_without_feed(spark, store):
+    source = Source(spark, [(1, "a")])
+    job = TableJob("t", store, source.snapshot, lambda s, p: None)
+    with pytest.raises(LookupError):
+        initial_sync(job)
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), None)
+    assert incremental_sync(job).phase == "not captured"
+
+
+def test_one_failing_table_does_not_stop_the_others(spark, store):
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+
+    def down(*_):
+        raise RuntimeError("source is down")
+
+    good = TableJob("good", store, source.snapshot, source.changes, keys=["k"])
+    broken = TableJob("broken", store, down, down, keys=["k"])
+    done = run_once([broken, good])
+    assert [(m.table, m.phase, bool(m.error)) for m in done] == [
+        ("broken", "initial", True), ("good", "initial", False), ("good", "incremental", False),
+    ]
+    source.do((2, 4, 1, "b"))
+    cycle = {m.table: m for m in run_cycle([broken, good])}
+    assert cycle["broken"].error and cycle["good"].updates == 1
+    table = metrics_table(spark, list(cycle.values()))
+    assert table.count() == 2 and table.where("error is not null").first().table_name == "broken"
+    with pytest.raises(RuntimeError, match="down"):
+        run_once([broken], stop_on_error=True)
+    assert run_cycle([]) == []
+
+
+def test_stream_equals_batch(spark, store, tmp_path):
+    target, log = random_target(31), sorted(random_log(31, nulls=False))
+    store.full_load("t", spark.createDataFrame(target, TABLE), None, keys=["k"])
+    landed, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
+    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"], fold_after=2)
+    seen = []
+    for lo, hi in ((0, 80), (80, 160), (160, 300)):
+        part = feed_of(spark, [e for e in log if lo < e[0] <= hi]).coalesce(1)
+        part.write.mode("append").parquet(landed)
+        query = run_stream(
+            stream_changes(spark, landed, FEED), job, checkpoint=checkpoint, trigger={"availableNow": True},
+            on_batch=seen.append,
+        )
+        query.awaitTermination()
+        assert rows_of(store.read("t")) == replay(target, [e for e in log if e[0] <= hi], "upsert")
+    assert len(seen) == 3 and store.watermark("t") == position(300)
+    number = store.current("t").number
+    # A lost checkpoint brings all files again: the target's position drops them.
+    query = run_stream(
+        stream_changes(spark, landed, FEED), job, checkpoint=str(tmp_path / "other"), trigger={"availableNow": True}
+    )
+    query.awaitTermination()
+    assert store.current("t").number == number
+    assert rows_of(store.read("t")) == replay(target, log, "upsert")
+
+
+def test_continuous_polling(spark, store, tmp_path):
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+    job = job_for(store, source)
+    initial_sync(job)
+    cycles = []
+
+    def next_change(done):
+        cycles.append(done[0])
+        if len(cycles) <= 2:
+            source.do((len(cycles) + 1, 4, 1, f"v{len(cycles)}"))
+
+    query = run_continuous([job], checkpoint=str(tmp_path / "clock"), interval="1 second", on_cycle=next_change)
+    try:
+        for _ in range(240):
+            if len(cycles) >= 4 or not query.isActive:
+                break
+            query.awaitTermination(0.5)
+    finally:
+        query.stop()
+    assert not any(m.error for m in cycles) and len(cycles) >= 4
+    assert rows_of(store.read("t")) == [(1, "v2")]
