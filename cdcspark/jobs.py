@@ -16,8 +16,8 @@ from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, ZERO_LS
 from cdcspark.operators.apply import _c, last_changes
 from cdcspark.operators.quarantine import REASON, cast_to, with_reason
 from cdcspark.plans.mapping import project_mapped, table_columns
-from cdcspark.session import written
-from cdcspark.sinks.store import Store
+from cdcspark.session import scratch, written
+from cdcspark.sinks.store import Store, Version
 from cdcspark.sources.changes import changes_since, max_lsn
 
 METRICS = (
@@ -40,8 +40,12 @@ class TableJob:
     column); without it all source columns are taken under their own names.
     ``retained_from(spark)`` tells the oldest position the change table still
     covers; a target behind it is loaded anew. ``on_error`` is ``fail`` or
-    ``quarantine``. In mode ``upsert``, replays wait next to the rows until
-    more than ``fold_after`` of them are there; 0 folds each one in at once.
+    ``quarantine``.
+
+    In mode ``upsert`` replays wait next to the rows, so a cycle costs what its
+    changes cost. More than ``fold_after`` of them are squashed into one, and
+    once they hold more than ``fold_share`` of the table's rows they are folded
+    in; ``fold_after=0`` folds each one at once.
     """
 
     table: str
@@ -55,6 +59,7 @@ class TableJob:
     retained_from: Callable[[SparkSession], bytes | None] | None = None
     on_error: str = "fail"
     fold_after: int = 16
+    fold_share: float = 0.1
 
     @property
     def spark(self) -> SparkSession:
@@ -166,9 +171,12 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
             changes_since(source, base.position), columns, keep=[OP, LSN, *dict.fromkeys(extra)]
         )
         judged = with_reason(fresh, schema, () if bag else base.keys, other_ops="ignore")
-        staged, counts = _stage(job.spark, judged)
-        if not counts["n"]:
-            return
+        with scratch(job.spark, "changes") as path:
+            staged, counts = _stage(job.spark, judged, path)
+            if counts["n"]:
+                replay(base, staged, counts)
+
+    def replay(base: Version, staged: DataFrame, counts: dict) -> None:
         metrics.inserts, metrics.updates, metrics.deletes = counts["ins"], counts["upd"], counts["del"]
         metrics.ignored, metrics.rejected = counts["other"], counts["bad"]
         if counts["bad"]:
@@ -177,13 +185,15 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
                 reasons = [r[REASON] for r in rejected.select(REASON).distinct().limit(20).collect()]
                 raise RejectedChanges(f"{counts['bad']} changes of {job.table} rejected: {', '.join(sorted(reasons))}")
             job.store.quarantine(job.table, rejected)
-        good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), schema)
+        good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), base.columns)
         position = max(base.position, bytes.fromhex(counts["high"] or ""))
         if job.mode == "upsert":
-            last = last_changes(good, base.keys, columns=schema.names, order_by=job.order_by)
+            last = last_changes(good, base.keys, columns=base.columns.names, order_by=job.order_by)
             version = job.store.replay_later(job.table, last, position)
-            if len(version.pending) > job.fold_after:
+            if not job.fold_after or version.waiting_share() > job.fold_share:
                 version = job.store.fold(job.table)
+            elif len(version.pending) > job.fold_after:
+                version = job.store.squash(job.table)
         else:
             version = job.store.replay(job.table, good, position, mode=job.mode, order_by=job.order_by)
         metrics.watermark = version.position
@@ -191,7 +201,7 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
     return _timed(metrics, work, stop_on_error)
 
 
-def _stage(spark: SparkSession, judged: DataFrame) -> tuple[DataFrame, dict]:
+def _stage(spark: SparkSession, judged: DataFrame, path: str) -> tuple[DataFrame, dict]:
     """Write the judged changes once, counting on the way."""
     fine, op = F.col(REASON).isNull(), _c(OP)
     seen = Observation()
@@ -205,7 +215,7 @@ def _stage(spark: SparkSession, judged: DataFrame) -> tuple[DataFrame, dict]:
         F.count_if(~fine).alias("bad"),
         F.max(F.when(fine, F.hex(_c(LSN)))).alias("high"),
     )
-    staged = written(counted, "changes", reader=spark)
+    staged = written(counted, "changes", reader=spark, path=path)
     return staged, seen.get
 
 

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cdcspark import files
+
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -46,15 +50,28 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/cdcspark/{purpose}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, purpose: str, *, reader: SparkSession | None = None) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A path under the shared folder that is removed when the block ends."""
+    path = fresh_dir(spark, purpose)
+    try:
+        yield path
+    finally:
+        files.remove(spark, path)
+
+
+def written(
+    df: DataFrame, purpose: str, *, reader: SparkSession | None = None, path: str | None = None
+) -> DataFrame:
     """Write ``df`` once and read it back.
 
     Cuts the lineage, so a lost executor repeats a file read and not the whole
     job, and gives the planner the real size, so it broadcasts a small result
     and shuffles a large one. ``reader`` is the session that goes on with the
-    copy, by default the one of ``df``.
+    copy, by default the one of ``df``. ``path`` is for copies their writer
+    removes; others stay, as checkpoints do.
     """
     spark = reader or df.sparkSession
-    path = fresh_dir(spark, purpose)
+    path = path or fresh_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

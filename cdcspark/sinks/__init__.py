@@ -1 +1,3 @@
+from cdcspark.sinks.catalog import merge_into, merge_statement
+from cdcspark.sinks.database import jdbc_append, jdbc_load, replay_to_database
 from cdcspark.sinks.store import CommitConflict, Store, Version, bucket_of

@@ -15,24 +15,25 @@ a job that dies in between leaves the old version in force.
 Rows are spread over buckets by key hash. A replay rewrites the buckets that
 hold changed keys and refers to the others where they are. With few changes to
 every bucket that is still a lot of writing, so a replay may also leave the last
-change of each key next to the rows (``changes/``, same layout); reading merges
-them in, and ``fold`` rewrites the buckets once for many replays.
+change of each key next to the rows (``changes/``, same layout). Reading merges
+them in; ``squash`` turns many such replays into one, and ``fold`` rewrites the
+buckets once there are enough changes to be worth it.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from cdcspark import files
 from cdcspark.functions.lsn import OP, SYNC, ZERO_LSN, lsn_literal, pad_lsn
 from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied, merge_last
-from cdcspark.sinks import files
 
 COMMIT, BUCKET = "__commit", "__bucket"
 
@@ -52,6 +53,36 @@ class Version:
     buckets: int
     folders: dict[str, list[int]] = field(default_factory=dict)
     pending: dict[str, list[int]] = field(default_factory=dict)
+    rows: dict[str, int] = field(default_factory=dict)
+    partial: list[str] = field(default_factory=list)
+
+    def next(self, lsn: bytes | None = None) -> Version:
+        """A copy to be committed after this one."""
+        return Version(
+            self.number + 1, self.lsn if lsn is None else pad_lsn(lsn).hex(), self.schema, list(self.keys),
+            self.buckets, dict(self.folders), dict(self.pending), dict(self.rows), list(self.partial),
+        )
+
+    def drop_buckets(self, gone: set[int]) -> None:
+        """Leave out some buckets of every folder; row counts shrink in proportion."""
+        for held in (self.folders, self.pending):
+            for commit, numbers in list(held.items()):
+                rest = [b for b in numbers if b not in gone]
+                if len(rest) == len(numbers):
+                    continue
+                del held[commit]
+                count = self.rows.pop(commit, 0)
+                if rest:
+                    held[commit] = rest
+                    self.rows[commit] = count * len(rest) // len(numbers)
+                    if commit not in self.partial:
+                        self.partial.append(commit)
+        self.partial = [c for c in self.partial if c in self.folders or c in self.pending]
+
+    def waiting_share(self) -> float:
+        """Rows of waiting changes relative to the table's rows."""
+        waiting = sum(self.rows.get(c, 0) for c in self.pending)
+        return waiting / max(1, sum(self.rows.get(c, 0) for c in self.folders))
 
     @property
     def position(self) -> bytes:
@@ -112,16 +143,22 @@ class Store:
     # -- reading ----------------------------------------------------------
 
     def _open(
-        self, root: str, schema: StructType, held: Mapping[str, Sequence[int]], buckets: Iterable[int] | None
+        self, root: str, schema: StructType, held: Mapping[str, Sequence[int]], whole: Callable[[str], bool],
+        buckets: Iterable[int] | None,
     ) -> DataFrame | None:
-        """Rows of the given folders, all or some buckets; None if there are none."""
+        """Rows of the given folders, all or some buckets; None if there are none.
+
+        A commit of which every bucket is wanted is named by its folder, so a
+        table of many buckets does not need a path for each.
+        """
         wanted = None if buckets is None else set(buckets)
-        folders = [
-            f"{root}/{COMMIT}={commit}/{BUCKET}={b}"
-            for commit, numbers in held.items()
-            for b in numbers
-            if wanted is None or b in wanted
-        ]
+        folders = []
+        for commit, numbers in held.items():
+            if wanted is None and whole(commit):
+                folders.append(f"{root}/{COMMIT}={commit}")
+            else:
+                numbers = [b for b in numbers if wanted is None or b in wanted]
+                folders += [f"{root}/{COMMIT}={commit}/{BUCKET}={b}" for b in numbers]
         if not folders:
             return None
         return self.spark.read.schema(schema).option("basePath", root).parquet(*folders).drop(BUCKET)
@@ -129,7 +166,8 @@ class Store:
     def _pending(self, table: str, version: Version, buckets: Iterable[int] | None) -> DataFrame | None:
         """Last change of each key among the replays not folded in yet."""
         schema = StructType([StructField(OP, IntegerType()), *version.columns.fields])
-        found = self._open(self._changes(table), schema, version.pending, buckets)
+        whole = lambda commit: commit not in version.partial
+        found = self._open(self._changes(table), schema, version.pending, whole, buckets)
         if found is None or len(version.pending) == 1:
             return found if found is None else found.drop(COMMIT)
         # Commit ids sort in commit order; each commit holds a key at most once.
@@ -147,7 +185,8 @@ class Store:
     ) -> DataFrame:
         """The table at its current version, by default with the sync column."""
         version = version or self.current(table)
-        df = self._open(self._data(table), version.columns, version.folders, buckets)
+        whole = lambda commit: commit not in version.partial
+        df = self._open(self._data(table), version.columns, version.folders, whole, buckets)
         df = self.spark.createDataFrame([], version.columns) if df is None else df.drop(COMMIT)
         last = self._pending(table, version, buckets)
         if last is not None:
@@ -174,8 +213,7 @@ class Store:
         version = Version(
             number, pad_lsn(lsn).hex(), df.schema.json(), list(keys or df.columns[:1]), self.buckets
         )
-        commit, held = self._write(self._data(table), df, version)
-        version.folders = {commit: held} if held else {}
+        self._write(self._data(table), df, version, version.folders)
         return self._publish(table, version)
 
     def commit(
@@ -187,36 +225,23 @@ class Store:
         has no rows for becomes empty.
         """
         gone = set(buckets)
-
-        def others(folders: Mapping[str, list[int]]) -> dict[str, list[int]]:
-            return {c: rest for c, held in folders.items() if (rest := [b for b in held if b not in gone])}
-
-        version = Version(
-            base.number + 1, pad_lsn(lsn).hex(), base.schema, base.keys, base.buckets,
-            others(base.folders), others(base.pending),
-        )
+        version = base.next(lsn)
+        version.drop_buckets(gone)
         if df is not None and gone:
-            commit, held = self._write(self._data(table), df, version)
-            if held:
-                version.folders[commit] = held
+            self._write(self._data(table), df, version, version.folders)
         return self._publish(table, version)
 
     def clear(self, table: str) -> Version:
         """Empty the table; the log position stays."""
-        base = self.current(table)
-        return self._publish(
-            table, Version(base.number + 1, base.lsn, base.schema, base.keys, base.buckets)
-        )
+        version = self.current(table).next()
+        version.folders, version.pending, version.rows, version.partial = {}, {}, {}, []
+        return self._publish(table, version)
 
     def append(self, table: str, df: DataFrame) -> Version:
         """Add rows without looking at those already there; the log position stays."""
-        base = self.fold(table)
-        version = Version(
-            base.number + 1, base.lsn, base.schema, base.keys, base.buckets, dict(base.folders)
-        )
-        commit, held = self._write(self._data(table), df.select(*[_c(c) for c in base.columns.names]), version)
-        if held:
-            version.folders[commit] = held
+        version = self.fold(table).next()
+        rows = df.select(*[_c(c) for c in version.columns.names])
+        self._write(self._data(table), rows, version, version.folders)
         return self._publish(table, version)
 
     def replay(
@@ -248,15 +273,19 @@ class Store:
         ``last`` has one row per key (see ``last_changes``). The work grows with the
         changes alone, however large the table is.
         """
+        version = self.current(table).next(lsn)
+        columns = [_c(OP).cast("int").alias(OP), *[_c(c) for c in version.columns.names]]
+        self._write(self._changes(table), last.select(*columns), version, version.pending)
+        return self._publish(table, version)
+
+    def squash(self, table: str) -> Version:
+        """Turn several waiting replays into one; the rows stay as they are."""
         base = self.current(table)
-        version = Version(
-            base.number + 1, pad_lsn(lsn).hex(), base.schema, base.keys, base.buckets,
-            dict(base.folders), dict(base.pending),
-        )
-        columns = [_c(OP).cast("int").alias(OP), *[_c(c) for c in base.columns.names]]
-        commit, held = self._write(self._changes(table), last.select(*columns), version)
-        if held:
-            version.pending[commit] = held
+        if len(base.pending) < 2:
+            return base
+        version = base.next()
+        version.pending = {}
+        self._write(self._changes(table), self._pending(table, base, None), version, version.pending)
         return self._publish(table, version)
 
     def fold(self, table: str) -> Version:
@@ -268,19 +297,20 @@ class Store:
         merged = self.read(table, with_sync=False, buckets=waiting, version=base)
         return self.commit(table, merged, base.position, buckets=waiting, base=base)
 
-    def _write(self, root: str, df: DataFrame, version: Version) -> tuple[str, list[int]]:
-        """Write rows by bucket; returns the commit id and the buckets that got rows.
+    def _write(self, root: str, df: DataFrame, version: Version, into: dict[str, list[int]]) -> None:
+        """Write rows by bucket and enter the folder into the version.
 
         The rebalance hint brings a bucket's rows together and lets adaptive
         execution split one that is too large for a task.
         """
         commit = f"{version.number:010d}-{uuid.uuid4().hex}"
-        folder = f"{root}/{COMMIT}={commit}"
+        folder, seen = f"{root}/{COMMIT}={commit}", Observation()
         spread = df.withColumn(BUCKET, bucket_of(version.keys, version.buckets)).hint("rebalance", F.col(BUCKET))
-        spread.write.partitionBy(BUCKET).parquet(folder)
+        spread.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(BUCKET).parquet(folder)
         prefix = f"{BUCKET}="
         held = [int(n[len(prefix):]) for n in files.names_in(self.spark, folder) if n.startswith(prefix)]
-        return commit, sorted(held)
+        if held:
+            into[commit], version.rows[commit] = sorted(held), seen.get["n"]
 
     def quarantine(self, table: str, rejected: DataFrame) -> str:
         """Keep rejected changes next to the table; each call writes its own folder."""

@@ -41,7 +41,7 @@ def store(spark, tmp_path):
 
 
 def job_for(store, source, **more):
-    more.setdefault("keys", ["k"])
+    more = {"keys": ["k"], "fold_share": 100.0, **more}
     return TableJob("t", store, source.snapshot, source.changes, **more)
 
 
@@ -60,6 +60,18 @@ def test_first_load_then_replay(spark, store, mode, fold_after):
     assert bool(store.current("t").pending) == (mode == "upsert" and fold_after > 0)
 
 
+@pytest.mark.parametrize("share,waiting", [(100.0, [1, 2, 1, 2]), (0.05, [0, 0, 0, 0])])
+def test_waiting_replays_are_squashed_or_folded(spark, store, share, waiting):
+    source = Source(spark, [(k, "a") for k in range(10)])
+    job = job_for(store, source, fold_after=2, fold_share=share)
+    initial_sync(job)
+    for n, expected in enumerate(waiting, 1):
+        source.do((n, 4, n, f"b{n}"))
+        incremental_sync(job)
+        assert len(store.current("t").pending) == expected
+        assert rows_of(store.read("t")) == sorted(source.rows)
+
+
 def test_nothing_new_touches_nothing(spark, store):
     source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
     job = job_for(store, source)
@@ -189,7 +201,7 @@ def test_stream_equals_batch(spark, store, tmp_path):
     target, log = random_target(31), sorted(random_log(31, nulls=False))
     store.full_load("t", spark.createDataFrame(target, TABLE), None, keys=["k"])
     landed, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
-    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"], fold_after=2)
+    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"], fold_after=1)
     seen = []
     for lo, hi in ((0, 80), (80, 160), (160, 300)):
         part = feed_of(spark, [e for e in log if lo < e[0] <= hi]).coalesce(1)

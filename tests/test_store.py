@@ -2,9 +2,9 @@ import os
 
 import pytest
 
+from cdcspark import files
 from cdcspark.functions.lsn import OP, SYNC, ZERO_LSN
 from cdcspark.operators.apply import last_changes
-from cdcspark.sinks import files
 from cdcspark.sinks.store import CommitConflict, Store
 from helpers import FEED, TABLE, feed_of, position, random_log, random_target, replay, rows_of
 
@@ -80,6 +80,10 @@ def test_waiting_changes_are_merged_and_folded(spark, store):
         assert rows_of(store.read("t")) == replay(target, [e for e in log if e[0] <= hi], "upsert")
     expected = rows_of(store.read("t"))
     assert len(store.current("t").pending) == 3
+    squashed = store.squash("t")
+    assert len(squashed.pending) == 1 and squashed.position == position(300)
+    assert squashed.rows[next(iter(squashed.pending))] == len({e[2] for e in log if e[1] in (1, 2, 4)})
+    assert rows_of(store.read("t")) == expected and store.squash("t").number == squashed.number
     folded = store.fold("t")
     assert not folded.pending and folded.position == position(300)
     assert rows_of(store.read("t")) == expected
