@@ -178,19 +178,13 @@ def _key_fates(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _births(target: DataFrame, inserts: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Rows that come into being: target rows before the log (no position), inserts at theirs."""
-    own = F.struct(*[_c(c) for c in columns])
-    old = target.select(
-        *[_c(k) for k in keys],
-        F.lit(None).cast(inserts.schema[_POS].dataType).alias(_POS),
-        own.alias(_ROW),
-    )
-    return old.unionByName(inserts.select(*[_c(k) for k in keys], _POS, _ROW))
-
+def _survivors(
+    births: DataFrame, fates: DataFrame, keys: Sequence[str], hot: Sequence[int]
+) -> DataFrame:
+    """Rows born after the key's last delete, each with its value at the end of the log.
 
-def _surviving(births: DataFrame, fates: DataFrame, keys: Sequence[str], hot: Sequence[int]) -> DataFrame:
-    """Births after the key's last delete, each with its value at the end of the log."""
+    ``births`` have a position, or none if they were there before the log.
+    """
     joined = lookup_join(births, fates, keys, "left", hot)
     tied = (F.col(_POS) == F.col("deleted")) | (F.col(_POS) == F.col("updated")[_POS])
     later = F.col("updated").isNotNull() & (F.col(_POS).isNull() | (F.col("updated")[_POS] > F.col(_POS)))
@@ -200,41 +194,48 @@ def _surviving(births: DataFrame, fates: DataFrame, keys: Sequence[str], hot: Se
     )
 
 
+def _old_rows(target: DataFrame, keys: Sequence[str], columns: Sequence[str], inserts: DataFrame) -> DataFrame:
+    """Target rows as births without a position."""
+    return target.select(
+        *[_c(k) for k in keys],
+        F.lit(None).cast(inserts.schema[_POS].dataType).alias(_POS),
+        F.struct(*[_c(c) for c in columns]).alias(_ROW),
+    )
+
+
 def _apply_bag(target, changes, keys, columns, order, hot) -> DataFrame:
     events = positioned(changes.where(is_applied()), keys, columns, order)
     fates = _key_fates(events.where((_c(OP) != INSERT) & has_key(keys)), keys)
-    births = _births(target, events.where(_c(OP) == INSERT), keys, columns)
+    inserts = events.where(_c(OP) == INSERT).select(*[_c(k) for k in keys], _POS, _ROW)
+    births = _old_rows(target, keys, columns, inserts).unionByName(inserts)
     if hot is None:
         hot = hot_keys(births, keys)
-    return _surviving(births, fates, keys, hot).select(f"{_ROW}.*")
+    return _survivors(births, fates, keys, hot).select(f"{_ROW}.*")
 
 
 def _apply_strict(target, changes, keys, columns, order, hot) -> DataFrame:
     """Only the first birth after a key's last delete counts.
 
-    Target rows of unchanged keys pass through one anti join; the fold itself
-    works on the changes and the target rows of changed keys only.
+    A target row is the first birth of its key, so it stays unless the key was
+    deleted. Of the inserts the first one after the last delete counts, where
+    the target row is not still there. The target is read twice, the second
+    time its keys only.
     """
     events = positioned(changes.where(is_applied() & has_key(keys)), keys, columns, order)
-    inserts = events.where(_c(OP) == INSERT)
+    inserts = events.where(_c(OP) == INSERT).select(*[_c(k) for k in keys], _POS, _ROW)
     if hot is None:
         hot = hot_keys(inserts, keys)
     fates = _key_fates(events, keys)
-    changed = fates.select(*[_c(k) for k in keys])
-    touched = target.join(changed, keys, "left_semi")
-    untouched = target.join(changed, keys, "left_anti")
-    alive = _surviving(_births(touched, inserts, keys, columns), fates, keys, hot).withColumn(
-        _HASH, F.xxhash64(F.col(_ROW))
-    )
-    first = alive.groupBy(*[_c(k) for k in keys]).agg(
-        F.min(_entry(_ROW)).alias("first"),
-        F.min(F.struct(_c(_POS), F.bitwise_not(_c(_HASH)).alias(_HASH))).alias("twin"),
-    )
-    return untouched.unionByName(
-        first.select(_checked(F.col("first"), _disagree("first", "twin"), "insert").alias("first")).select(
-            f"first.{_ROW}.*"
-        )
+    kept = _survivors(_old_rows(target, keys, columns, inserts), fates, keys, ())
+    born = _survivors(inserts, fates, keys, hot).withColumn(_HASH, F.xxhash64(F.col(_ROW)))
+    first = born.groupBy(*[_c(k) for k in keys]).agg(F.min(_entry(_ROW)).alias("first"), F.min(_twin()).alias("twin"))
+    still_there = target.select(*[_c(k) for k in keys]).join(
+        fates.where(F.col("deleted").isNull()).select(*[_c(k) for k in keys]), keys, "left_semi"
     )
+    new = first.select(
+        *[_c(k) for k in keys], _checked(F.col("first"), _disagree("first", "twin"), "insert").alias("first")
+    ).join(still_there, keys, "left_anti")
+    return kept.select(f"{_ROW}.*").unionByName(new.select(f"first.{_ROW}.*"))
 
 
 def expand_key_changes(changes: DataFrame, keys: Sequence[str], before: Mapping[str, str]) -> DataFrame:
