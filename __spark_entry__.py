@@ -25,6 +25,7 @@ from cdcspark.session import fresh_dir
 from cdcspark.sinks.store import Store
 from cdcspark.sources import changes as ch
 from cdcspark.sources.snapshot import read_snapshot
+from cdcspark.sources.tables import FileSource
 from cdcspark.streaming.run import run_stream
 from oracles import oracle_sql  # noqa: F401  (part of the driver contract)
 
@@ -368,6 +369,74 @@ def multi_table_cycle(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def deferred_replay(spark, sf_dir):
+    """Two replays wait beside the rows; reading merges them in."""
+    store = Store(spark, fresh_dir(spark, "deferred"), buckets=8)
+    store.full_load("t", fx.accounts(spark, sf_dir), None, keys=["k"])
+    feed, half = fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
+    top = ch.max_lsn(feed)
+    for part, position in ((ch.changes_since(feed, None, upto=half), half), (ch.changes_since(feed, half), top)):
+        store.replay_later("t", ap.last_changes(part, ["k"], columns=["k", "v"]), position)
+    return store.read("t").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
+def folded_replay(spark, sf_dir):
+    """The same, squashed into one and folded into the rows."""
+    store = Store(spark, fresh_dir(spark, "folded"), buckets=8)
+    store.full_load("t", fx.accounts(spark, sf_dir), None, keys=["k"])
+    feed, half = fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
+    top = ch.max_lsn(feed)
+    for part, position in ((ch.changes_since(feed, None, upto=half), half), (ch.changes_since(feed, half), top)):
+        store.replay_later("t", ap.last_changes(part, ["k"], columns=["k", "v"]), position)
+    store.squash("t")
+    store.fold("t")
+    return store.read("t").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
+def _landing(spark, sf_dir):
+    """Accounts and the first half of their log as files; the rest can be landed later."""
+    folder, feed, half = fresh_dir(spark, "landing"), fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
+    fx.accounts(spark, sf_dir).write.parquet(f"{folder}/accounts")
+    log = f"{folder}/dbo_accounts_CT"
+    ch.changes_since(feed, None, upto=half).write.parquet(log)
+    return FileSource(folder), lambda: ch.changes_since(feed, half).write.mode("append").parquet(log)
+
+
+def mapping_driven_sync(spark, sf_dir):
+    """From a mapping document to a replicated table: load, then one cycle after more changes came."""
+    source, more = _landing(spark, sf_dir)
+    text = (
+        '{"clients": {"__$last_sync": {}, "id": {"campoOrigem": "k", "tabelaOrigem": "accounts"}, '
+        '"balance": {"campoOrigem": "v", "tabelaOrigem": "accounts"}}}'
+    )
+    mapping = mp.parse_mapping(spark.createDataFrame([(text,)], "value string"))
+    store = Store(spark, fresh_dir(spark, "mapped"), buckets=8)
+    jobs = jb.jobs_from_mapping(mapping, store, source, keys={"clients": ["id"]})
+    jb.run_once(jobs, stop_on_error=True)
+    more()
+    _without_errors(jb.run_cycle(jobs))
+    return store.read("clients").select("id", "balance", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
+def table_list_sync(spark, sf_dir):
+    """The same from a list of tables, in mode strict, on a target created from the source's columns."""
+    source, more = _landing(spark, sf_dir)
+    tables = mp.parse_table_list(spark.createDataFrame([('{"tabelas": ["accounts"]}',)], "value string"))
+    store = Store(spark, fresh_dir(spark, "listed"), buckets=8)
+    store.create_if_absent("accounts", ACCOUNT)
+    jobs = jb.jobs_from_tables(tables, store, source, mode="strict")
+    jb.run_once(jobs, stop_on_error=True)
+    more()
+    _without_errors(jb.run_cycle(jobs))
+    return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
+def _without_errors(done):
+    failed = [m for m in done if m.error]
+    if failed:
+        raise AssertionError(f"failed: {failed}")
+
+
 def cycle_metrics(spark, sf_dir):
     """Counts a replay reports; times differ per run and are left out."""
     store = Store(spark, fresh_dir(spark, "metrics"), buckets=8)
@@ -447,6 +516,10 @@ def queries() -> dict[str, Query]:
         "initial_sync": initial_sync,
         "incremental_sync": incremental_sync,
         "multi_table_cycle": multi_table_cycle,
+        "deferred_replay": deferred_replay,
+        "folded_replay": folded_replay,
+        "mapping_driven_sync": mapping_driven_sync,
+        "table_list_sync": table_list_sync,
         "cycle_metrics": cycle_metrics,
         "stream_apply": stream_apply,
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, ZERO_LSN
 from cdcspark.operators.apply import _c, last_changes
 from cdcspark.operators.quarantine import REASON, cast_to, with_reason
-from cdcspark.plans.mapping import project_mapped, table_columns
+from cdcspark.plans.mapping import mapped_tables, project_mapped, table_columns
+from cdcspark.plans.schema import translate_schema
 from cdcspark.session import scratch, written
 from cdcspark.sinks.store import Store, Version
 from cdcspark.sources.changes import changes_since, max_lsn
+from cdcspark.sources.tables import Source
 
 METRICS = (
     "table_name string, phase string, started timestamp, seconds double, loaded bigint, inserts bigint, "
@@ -90,6 +92,50 @@ class Metrics:
         )
 
 
+def jobs_from_mapping(
+    mapping: DataFrame, store: Store, source: Source, *, keys: Mapping[str, Sequence[str]] | None = None, **options
+) -> list[TableJob]:
+    """One job per target of a mapping (see ``load_mapping``).
+
+    ``keys`` names each target's key columns; without them the first mapped
+    column is the key. ``options`` go to every job.
+    """
+    return [
+        _job(store, source, target, origin, columns, keys, options)
+        for target, (origin, columns) in mapped_tables(mapping).items()
+    ]
+
+
+def jobs_from_tables(
+    tables: DataFrame, store: Store, source: Source, *, keys: Mapping[str, Sequence[str]] | None = None, **options
+) -> list[TableJob]:
+    """One job per table of a list (see ``load_table_list``), all columns under their own names."""
+    names = [r["table_name"] for r in tables.orderBy("pos").collect()]
+    return [_job(store, source, name, name, None, keys, options) for name in names]
+
+
+def _job(store, source, target, origin, columns, keys, options) -> TableJob:
+    return TableJob(
+        target,
+        store,
+        lambda spark: source.snapshot(spark, origin),
+        lambda spark, position: source.changes(spark, origin, position),
+        keys=(keys or {}).get(target),
+        columns=columns,
+        **options,
+    )
+
+
+def create_from_schema(store: Store, table: str, info: DataFrame, *, keys: Sequence[str] | None = None) -> bool:
+    """Create the target from its source's information schema; False if the source has no such table."""
+    try:
+        schema = translate_schema(info)
+    except LookupError:
+        return False
+    store.create_if_absent(table, schema, keys=keys)
+    return True
+
+
 def metrics_table(spark: SparkSession, metrics: Sequence[Metrics]) -> DataFrame:
     return spark.createDataFrame([m.row() for m in metrics], METRICS)
 
@@ -126,10 +172,8 @@ def initial_sync(job: TableJob, *, full_refresh: bool = False, stop_on_error: bo
         position = max_lsn(feed) or ZERO_LSN
         source = job.snapshot(job.spark)
         columns = job.columns or [(c, c) for c in table_columns(source)]
-        seen = Observation()
-        rows = project_mapped(source, columns).observe(seen, F.count(F.lit(1)).alias("n"))
-        job.store.full_load(job.table, rows, position, keys=job.keys)
-        metrics.loaded, metrics.watermark = seen.get["n"], position
+        version = job.store.full_load(job.table, project_mapped(source, columns), position, keys=job.keys)
+        metrics.loaded, metrics.watermark = sum(version.rows.values()), position
 
     return _timed(metrics, work, stop_on_error)
 

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.scheduler.mode": "FAIR",
 }
 
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "cdcspark", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on; cluster settings win over the defaults."""
@@ -40,9 +42,10 @@ def shared_dir(spark: SparkSession) -> str:
         return found.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="cdcspark-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="cdcspark-")
+    return _local_dirs[app]
 
 
 def fresh_dir(spark: SparkSession, purpose: str) -> str:

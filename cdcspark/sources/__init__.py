@@ -14,3 +14,4 @@ from cdcspark.sources.changes import (
     with_change_tables,
 )
 from cdcspark.sources.snapshot import read_snapshot
+from cdcspark.sources.tables import FileSource, JdbcSource, Source

@@ -1 +1,8 @@
-from cdcspark.streaming.run import DEFAULT_INTERVAL, run_continuous, run_stream
+from cdcspark.streaming.run import (
+    DEFAULT_INTERVAL,
+    MONITOR_INTERVAL,
+    run_continuous,
+    run_every,
+    run_monitor,
+    run_stream,
+)

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from cdcspark.jobs import Metrics, TableJob, incremental_sync, run_cycle
+from cdcspark.operators.feed import change_report
 
-# Fixed value: seconds between two cycles unless asked otherwise.
+# Time between two cycles, and between two looks of the monitor.
 DEFAULT_INTERVAL = "15 seconds"
+MONITOR_INTERVAL = "10 seconds"
 
 
 def run_stream(
@@ -39,6 +41,15 @@ def run_stream(
     return writer.trigger(**(trigger or {"processingTime": DEFAULT_INTERVAL})).start()
 
 
+def run_every(
+    spark: SparkSession, work: Callable[[], None], *, checkpoint: str, interval: str = DEFAULT_INTERVAL
+) -> StreamingQuery:
+    """Run batch work again and again; a clock stream sets the pace. Stop it with ``query.stop()``."""
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
+    writer = clock.writeStream.foreachBatch(lambda _, __: work()).option("checkpointLocation", checkpoint)
+    return writer.trigger(processingTime=interval).start()
+
+
 def run_continuous(
     jobs: Sequence[TableJob],
     *,
@@ -46,17 +57,27 @@ def run_continuous(
     interval: str = DEFAULT_INTERVAL,
     on_cycle: Callable[[list[Metrics]], None] | None = None,
 ) -> StreamingQuery:
-    """Poll the change tables of all jobs again and again, for sources that do not stream.
+    """Poll the change tables of all jobs, for sources that do not stream: one batch replay per table and cycle."""
 
-    A clock stream starts the cycles; each one is a batch replay per table.
-    Stop it with ``query.stop()``.
-    """
-    clock = jobs[0].spark.readStream.format("rate").option("rowsPerSecond", 1).option("numPartitions", 1).load()
-
-    def tick(_: DataFrame, __: int) -> None:
+    def cycle() -> None:
         done = run_cycle(jobs)
         if on_cycle:
             on_cycle(done)
 
-    writer = clock.writeStream.foreachBatch(tick).option("checkpointLocation", checkpoint)
-    return writer.trigger(processingTime=interval).start()
+    return run_every(jobs[0].spark, cycle, checkpoint=checkpoint, interval=interval)
+
+
+def run_monitor(
+    spark: SparkSession,
+    open_feed: Callable[[SparkSession], DataFrame],
+    *,
+    checkpoint: str,
+    on_report: Callable[[Row], None],
+    interval: str = MONITOR_INTERVAL,
+) -> StreamingQuery:
+    """Report on the whole retained range of a change table again and again, applying nothing."""
+
+    def look() -> None:
+        on_report(change_report(open_feed(spark)).first())
+
+    return run_every(spark, look, checkpoint=checkpoint, interval=interval)

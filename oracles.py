@@ -50,7 +50,7 @@ SHOWN = f"op, '0x' || {_hex('lsn')} AS lsn, k, v"
 TOP = f"(SELECT {_hex('MAX(event_id) + 1')} FROM events)"
 
 
-def _strict(ctes: str, keys: str = "k", order: str = "lsn", cut: str = "") -> str:
+def _strict(ctes: str, keys: str = "k", order: str = "lsn") -> str:
     """One-by-one replay on a unique key: which changes take effect, then the last of them."""
     on = " AND ".join(f"l.{c.strip()} = t.{c.strip()}" for c in keys.split(","))
     return f"""WITH {ctes},
@@ -60,7 +60,7 @@ marked AS (
       PARTITION BY {', '.join('l.' + c.strip() for c in keys.split(','))} ORDER BY {order}
       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
     t.present, FALSE) AS there
-  FROM log l LEFT JOIN (SELECT {keys}, TRUE AS present FROM tgt) t ON {on} {cut}),
+  FROM log l LEFT JOIN (SELECT {keys}, TRUE AS present FROM tgt) t ON {on}),
 effective AS (
   SELECT *, ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY {', '.join(c + ' DESC' for c in order.split(','))}) AS back
   FROM marked WHERE op = 1 OR (op = 2 AND NOT there) OR (op = 4 AND there))
@@ -85,6 +85,11 @@ WHERE f.deleted IS NULL OR b.born > f.deleted"""
 
 STRICT = _strict(f"{LOG}, {ACCOUNTS}")
 
+# The second half of the log.
+LATE_LOG = LOG.replace("FROM events", "FROM events WHERE event_id > (SELECT MAX(event_id) // 2 FROM events)")
+LATE_STRICT = _strict(f"{LATE_LOG}, {ACCOUNTS}")
+LATE_UPSERT = UPSERT.replace(LOG, LATE_LOG)
+
 COMPOSITE = _strict(
     """log AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 2 WHEN 'R' THEN 1 ELSE 4 END AS op, CAST(l_shipdate AS DATE) AS lsn,
@@ -214,10 +219,7 @@ def oracle_sql() -> dict[str, str]:
         "apply_strict": STRICT,
         "apply_upsert": UPSERT,
         "apply_bag": BAG,
-        "apply_since": _strict(
-            f"""{LOG.replace('FROM events', 'FROM events WHERE event_id > (SELECT MAX(event_id) // 2 FROM events)')},
-            {ACCOUNTS}"""
-        ),
+        "apply_since": LATE_STRICT,
         "apply_composite": COMPOSITE,
         "insert_rows": f"WITH {LOG}, {ACCOUNTS} SELECT k, v FROM tgt UNION ALL SELECT k, v FROM log WHERE op = 2",
         "clear_and_reload": f"WITH {LATER} SELECT {LATER_ROWS} FROM later",
@@ -256,6 +258,10 @@ def oracle_sql() -> dict[str, str]:
         "multi_table_cycle": f"""SELECT 'a_upsert' AS table_name, k, v, {TOP} AS sync FROM ({UPSERT})
             UNION ALL SELECT 'b_bag', k, v, {TOP} FROM ({BAG})
             UNION ALL SELECT 'c_broken', c_custkey, c_acctbal, '{ZERO}' FROM customer""",
+        "deferred_replay": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
+        "folded_replay": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
+        "mapping_driven_sync": f"SELECT k AS id, v AS balance, {TOP} AS sync FROM ({LATE_UPSERT})",
+        "table_list_sync": f"SELECT k, v, {TOP} AS sync FROM ({LATE_STRICT})",
         "cycle_metrics": f"""SELECT 'accounts' AS table_name, 'incremental' AS phase, {COUNTS},
               CAST(0 AS BIGINT) AS ignored, CAST(0 AS BIGINT) AS rejected, {_hex('MAX(event_id) + 1')} AS watermark
             FROM events

@@ -4,16 +4,21 @@ from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, ZERO_LSN
 from cdcspark.jobs import (
     RejectedChanges,
     TableJob,
+    create_from_schema,
     incremental_sync,
     initial_sync,
+    jobs_from_mapping,
+    jobs_from_tables,
     metrics_table,
     run_cycle,
     run_once,
 )
 from cdcspark.operators.feed import reconcile
+from cdcspark.plans.mapping import parse_mapping, parse_table_list
 from cdcspark.sinks.store import Store
 from cdcspark.sources.changes import stream_changes
-from cdcspark.streaming.run import run_continuous, run_stream
+from cdcspark.sources.tables import FileSource, JdbcSource
+from cdcspark.streaming.run import run_continuous, run_monitor, run_stream
 from helpers import FEED, TABLE, feed_of, position, random_log, random_target, replay, rows_of
 
 
@@ -244,3 +249,67 @@ def test_continuous_polling(spark, store, tmp_path):
         query.stop()
     assert not any(m.error for m in cycles) and len(cycles) >= 4
     assert rows_of(store.read("t")) == [(1, "v2")]
+
+
+def land(spark, folder, table, rows, log):
+    spark.createDataFrame(rows, TABLE).write.mode("overwrite").parquet(f"{folder}/{table}")
+    feed_of(spark, log).write.mode("overwrite").parquet(f"{folder}/dbo_{table}_CT")
+
+
+def test_configured_by_mapping(spark, store, tmp_path):
+    folder = str(tmp_path / "source")
+    land(spark, folder, "people", [(1, "a"), (2, "b")], [(1, 2, 2, "b")])
+    text = """{"clients": {"__$last_sync": {}, "id": {"campoOrigem": "k", "tabelaOrigem": "people"},
+      "name": {"campoOrigem": "v", "tabelaOrigem": "people"}},
+      "lonely": {"id": {"campoOrigem": "k", "tabelaOrigem": "uncaptured"}}}"""
+    spark.createDataFrame([(7, "u")], TABLE).write.parquet(f"{folder}/uncaptured")
+    mapping = parse_mapping(spark.createDataFrame([(text,)], "value string"))
+    jobs = jobs_from_mapping(mapping, store, FileSource(folder), keys={"clients": ["id"]}, fold_after=0)
+    done = {(m.table, m.phase): m for m in run_once(jobs)}
+    assert done["clients", "initial"].loaded == 2 and "no change table" in done["lonely", "initial"].error
+    land(spark, folder, "people", [(1, "a")], [(1, 2, 2, "b"), (2, 4, 1, "x"), (3, 1, 2, None)])
+    assert [m.error for m in run_cycle(jobs[:1])] == [None]
+    assert store.read("clients").columns == ["id", "name", SYNC]
+    assert [tuple(r)[:2] for r in store.read("clients").collect()] == [(1, "x")]
+
+
+def test_configured_by_table_list(spark, store, tmp_path):
+    folder = str(tmp_path / "source")
+    land(spark, folder, "a", [(1, "a")], [(1, 2, 1, "a"), (2, 2, 2, "z")])
+    land(spark, folder, "b", [(5, "b")], [])
+    tables = parse_table_list(spark.createDataFrame([('{"tabelas": ["a", "b"]}',)], "value string"))
+    done = run_once(jobs_from_tables(tables, store, FileSource(folder)))
+    assert [(m.table, m.phase, m.error) for m in done] == [
+        ("a", "initial", None), ("a", "incremental", None), ("b", "initial", None), ("b", "incremental", None),
+    ]
+    assert rows_of(store.read("a")) == [(1, "a")] and store.watermark("a") == position(2)
+    assert rows_of(store.read("b")) == [(5, "b")] and store.watermark("b") == ZERO_LSN
+
+
+def test_create_from_information_schema(spark, store):
+    schema = "COLUMN_NAME string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH int, IS_NULLABLE string"
+    info = spark.createDataFrame([("id", "int", None, "NO"), ("name", "varchar", 20, "YES")], schema)
+    assert create_from_schema(store, "t", info) and store.read("t").columns == ["id", "name", SYNC]
+    assert not create_from_schema(store, "u", info.limit(0)) and not store.exists("u")
+
+
+def test_jdbc_source_keeps_its_options_to_itself():
+    source = JdbcSource({"url": "jdbc:none", "password": "hidden"})
+    assert "hidden" not in repr(source) and "hidden" not in str(source)
+
+
+def test_monitor_reports_the_retained_range(spark, tmp_path):
+    reports = []
+    query = run_monitor(
+        spark, lambda s: feed_of(s, [(3, 2, 1, "a"), (4, 1, 1, None)]), checkpoint=str(tmp_path / "clock"),
+        interval="1 second", on_report=reports.append,
+    )
+    try:
+        for _ in range(120):
+            if len(reports) >= 2 or not query.isActive:
+                break
+            query.awaitTermination(0.5)
+    finally:
+        query.stop()
+    assert len(reports) >= 2
+    assert (reports[0].changes, bytes(reports[0].min_lsn), bytes(reports[0].max_lsn)) == (2, position(3), position(4))
