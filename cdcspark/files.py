@@ -15,12 +15,17 @@ def _fs(spark: SparkSession, name: str):
     return _path(spark, name).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def names_in(spark: SparkSession, folder: str) -> list[str]:
-    """Names in a folder, empty if there is none."""
+def entries(spark: SparkSession, folder: str) -> dict[str, float]:
+    """Names in a folder and when each was last changed (seconds), empty if there is no folder."""
     fs = _fs(spark, folder)
     if not fs.exists(_path(spark, folder)):
-        return []
-    return [status.getPath().getName() for status in fs.listStatus(_path(spark, folder))]
+        return {}
+    found = fs.listStatus(_path(spark, folder))
+    return {status.getPath().getName(): status.getModificationTime() / 1000 for status in found}
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    return list(entries(spark, folder))
 
 
 def read_text(spark: SparkSession, name: str) -> str:

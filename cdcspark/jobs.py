@@ -12,7 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, ZERO_LSN
+from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, ZERO_LSN, lsn_literal
 from cdcspark.operators.apply import _c, last_changes
 from cdcspark.operators.quarantine import REASON, cast_to, with_reason
 from cdcspark.plans.mapping import mapped_tables, project_mapped, table_columns
@@ -41,13 +41,17 @@ class TableJob:
     it are dropped in any case. ``columns`` lists (target column, source
     column); without it all source columns are taken under their own names.
     ``retained_from(spark)`` tells the oldest position the change table still
-    covers; a target behind it is loaded anew. ``on_error`` is ``fail`` or
-    ``quarantine``.
+    covers; a target behind it is loaded anew.
+
+    ``on_error`` is ``fail`` or ``quarantine``: changes that cannot be applied
+    are set aside once the position passes them, until then they are tried
+    again.
 
     In mode ``upsert`` replays wait next to the rows, so a cycle costs what its
     changes cost. More than ``fold_after`` of them are squashed into one, and
     once they hold more than ``fold_share`` of the table's rows they are folded
-    in; ``fold_after=0`` folds each one at once.
+    in; ``fold_after=0`` folds each one at once. Versions that were replaced
+    more than ``retain_hours`` ago are removed; None keeps all.
     """
 
     table: str
@@ -62,6 +66,7 @@ class TableJob:
     on_error: str = "fail"
     fold_after: int = 16
     fold_share: float = 0.1
+    retain_hours: float | None = 24
 
     @property
     def spark(self) -> SparkSession:
@@ -223,14 +228,18 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
     def replay(base: Version, staged: DataFrame, counts: dict) -> None:
         metrics.inserts, metrics.updates, metrics.deletes = counts["ins"], counts["upd"], counts["del"]
         metrics.ignored, metrics.rejected = counts["other"], counts["bad"]
+        position = max(base.position, bytes.fromhex(counts["high"] or ""))
         if counts["bad"]:
             rejected = staged.where(F.col(REASON).isNotNull())
             if job.on_error != "quarantine":
                 reasons = [r[REASON] for r in rejected.select(REASON).distinct().limit(20).collect()]
                 raise RejectedChanges(f"{counts['bad']} changes of {job.table} rejected: {', '.join(sorted(reasons))}")
-            job.store.quarantine(job.table, rejected)
+            # Later ones are read again with the next cycle.
+            if bytes.fromhex(counts["low"]) <= position:
+                job.store.quarantine(job.table, rejected.where(_c(LSN) <= lsn_literal(position)))
+            if counts["bad"] == counts["n"]:
+                return
         good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), base.columns)
-        position = max(base.position, bytes.fromhex(counts["high"] or ""))
         if job.mode == "upsert":
             last = last_changes(good, base.keys, columns=base.columns.names, order_by=job.order_by)
             version = job.store.replay_later(job.table, last, position)
@@ -241,6 +250,8 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
         else:
             version = job.store.replay(job.table, good, position, mode=job.mode, order_by=job.order_by)
         metrics.watermark = version.position
+        if job.retain_hours is not None:
+            job.store.prune(job.table, hours=job.retain_hours)
 
     return _timed(metrics, work, stop_on_error)
 
@@ -258,6 +269,7 @@ def _stage(spark: SparkSession, judged: DataFrame, path: str) -> tuple[DataFrame
         F.count_if(fine & ~F.coalesce(op.isin(INSERT, UPDATE, DELETE), F.lit(False))).alias("other"),
         F.count_if(~fine).alias("bad"),
         F.max(F.when(fine, F.hex(_c(LSN)))).alias("high"),
+        F.min(F.when(~fine, F.hex(_c(LSN)))).alias("low"),
     )
     staged = written(counted, "changes", reader=spark, path=path)
     return staged, seen.get

@@ -23,6 +23,7 @@ buckets once there are enough changes to be worth it.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
@@ -206,13 +207,19 @@ class Store:
     def full_load(
         self, table: str, df: DataFrame, lsn: bytes | None, *, keys: Sequence[str] | None = None
     ) -> Version:
-        """Replace the whole table by ``df`` at log position ``lsn``."""
+        """Replace the whole table by ``df`` at log position ``lsn``.
+
+        Keys default to those the table has, else to the first column. Columns
+        may be null unless the table was created otherwise: what Spark infers
+        for ``df`` is no rule for later changes.
+        """
         df = df.select(*[_c(c) for c in data_columns(df)])
-        numbers = self._numbers(table)
-        number = numbers[-1] + 1 if numbers else 1
-        version = Version(
-            number, pad_lsn(lsn).hex(), df.schema.json(), list(keys or df.columns[:1]), self.buckets
-        )
+        schema = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+        old = self.current(table) if self.exists(table) else None
+        if old and [(f.name, f.dataType) for f in old.columns] == [(f.name, f.dataType) for f in schema]:
+            schema = old.columns
+        keys = list(keys or (old and old.keys) or df.columns[:1])
+        version = Version(old.number + 1 if old else 1, pad_lsn(lsn).hex(), schema.json(), keys, self.buckets)
         self._write(self._data(table), df, version, version.folders)
         return self._publish(table, version)
 
@@ -321,25 +328,35 @@ class Store:
     def quarantined(self, table: str) -> DataFrame:
         return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{table}/quarantine")
 
-    def prune(self, table: str, *, keep: int = 2) -> int:
-        """Remove folders no kept version refers to; returns how many.
+    def prune(self, table: str, *, keep: int = 2, hours: float = 0) -> int:
+        """Remove folders and version files that only old versions refer to.
 
-        Folders of commits after the current version belong to jobs still at
-        work and stay.
+        The last ``keep`` versions stay, and those that were current within the
+        last ``hours``, so a reader may take that long. Returns the number of
+        folders removed. A folder belongs to every version from its own number
+        until it is replaced, so the oldest kept version tells which earlier
+        ones are still in use; folders with later numbers, also those of jobs
+        still at work, are left alone.
         """
+        made = files.entries(self.spark, self._commits(table))
         numbers = self._numbers(table)
-        if not numbers:
+        old = numbers[: -max(keep, 1)]
+        limit = time.time() - hours * 3600
+        # A version was current until its successor was made.
+        while old and hours and made[f"{numbers[len(old)]:010d}.json"] > limit:
+            old.pop()
+        if not old:
             return 0
-        kept = [self._version(table, n) for n in numbers[-max(keep, 1):]]
-        live = {commit for v in kept for commit in (*v.folders, *v.pending)}
+        oldest = self._version(table, numbers[len(old)])
         removed = 0
         for root in (self._data(table), self._changes(table)):
             for name in files.names_in(self.spark, root):
                 commit = name.partition("=")[2]
-                if name.startswith(f"{COMMIT}=") and commit not in live and int(commit[:10]) <= numbers[-1]:
+                used = commit in oldest.folders or commit in oldest.pending
+                if name.startswith(f"{COMMIT}=") and not used and int(commit[:10]) <= oldest.number:
                     files.remove(self.spark, f"{root}/{name}")
                     removed += 1
-        for n in numbers[: -max(keep, 1)]:
+        for n in old:
             files.remove(self.spark, f"{self._commits(table)}/{n:010d}.json")
         return removed
 

@@ -33,6 +33,17 @@ def test_load_read_replace(spark, store):
     assert store.current("t").number == 4
 
 
+def test_load_keeps_declared_keys_and_rules(spark, store):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    declared = StructType([StructField("k", IntegerType(), False), StructField("v", StringType(), False)])
+    store.create_if_absent("t", declared, keys=["k", "v"])
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), None)
+    assert store.current("t").keys == ["k", "v"] and store.current("t").columns == declared
+    store.full_load("u", spark.range(3).selectExpr("id k", "'x' v"), None)
+    assert all(f.nullable for f in store.current("u").columns)
+
+
 def test_create_if_absent(spark, store):
     schema = spark.createDataFrame([], TABLE).schema
     assert store.watermark("t") == ZERO_LSN and not store.exists("t")
@@ -137,9 +148,12 @@ def test_prune(spark, store):
     for n in range(1, 4):
         store.full_load("t", spark.createDataFrame([(k, f"b{n}") for k in range(50)], TABLE), position(n))
     store.replay_later("t", last_of(feed_of(spark, [(4, 4, 1, "c")])), position(4))
+    assert store.prune("t", hours=1) == 0 and len(store._numbers("t")) == 5
+    kept = store.read("t", version=store._version("t", 4))
     assert store.prune("t", keep=2) == 3
     assert store.prune("t", keep=2) == 0
-    assert len(os.listdir(f"{store.path}/t/data")) == 1
+    assert len(os.listdir(f"{store.path}/t/data")) == 1 and store._numbers("t") == [4, 5]
+    assert kept.where("v = 'b3'").count() == 50
     got = dict(rows_of(store.read("t")))
     assert got[1] == "c" and got[2] == "b3" and len(got) == 50
 
