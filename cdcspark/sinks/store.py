@@ -3,7 +3,7 @@
 Layout of one table::
 
     <root>/<table>/data/__commit=<id>/__bucket=<n>/*.parquet
-    <root>/<table>/changes/__commit=<id>/__bucket=<n>/*.parquet
+    <root>/<table>/changes/__commit=<id>/*.parquet
     <root>/<table>/commits/<version>.json
     <root>/<table>/quarantine/commit=<id>/*.parquet
 
@@ -15,7 +15,7 @@ a job that dies in between leaves the old version in force.
 Rows are spread over buckets by key hash. A replay rewrites the buckets that
 hold changed keys and refers to the others where they are. With few changes to
 every bucket that is still a lot of writing, so a replay may also leave the last
-change of each key next to the rows (``changes/``, same layout). Reading merges
+change of each key next to the rows (``changes/``, a few files). Reading merges
 them in; ``squash`` turns many such replays into one, and ``fold`` rewrites the
 buckets once there are enough changes to be worth it.
 """
@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -53,7 +53,7 @@ class Version:
     keys: list[str]
     buckets: int
     folders: dict[str, list[int]] = field(default_factory=dict)
-    pending: dict[str, list[int]] = field(default_factory=dict)
+    pending: list[str] = field(default_factory=list)
     rows: dict[str, int] = field(default_factory=dict)
     partial: list[str] = field(default_factory=list)
 
@@ -61,24 +61,29 @@ class Version:
         """A copy to be committed after this one."""
         return Version(
             self.number + 1, self.lsn if lsn is None else pad_lsn(lsn).hex(), self.schema, list(self.keys),
-            self.buckets, dict(self.folders), dict(self.pending), dict(self.rows), list(self.partial),
+            self.buckets, dict(self.folders), list(self.pending), dict(self.rows), list(self.partial),
         )
 
     def drop_buckets(self, gone: set[int]) -> None:
         """Leave out some buckets of every folder; row counts shrink in proportion."""
-        for held in (self.folders, self.pending):
-            for commit, numbers in list(held.items()):
-                rest = [b for b in numbers if b not in gone]
-                if len(rest) == len(numbers):
-                    continue
-                del held[commit]
-                count = self.rows.pop(commit, 0)
-                if rest:
-                    held[commit] = rest
-                    self.rows[commit] = count * len(rest) // len(numbers)
-                    if commit not in self.partial:
-                        self.partial.append(commit)
-        self.partial = [c for c in self.partial if c in self.folders or c in self.pending]
+        for commit, numbers in list(self.folders.items()):
+            rest = [b for b in numbers if b not in gone]
+            if len(rest) == len(numbers):
+                continue
+            del self.folders[commit]
+            count = self.rows.pop(commit, 0)
+            if rest:
+                self.folders[commit] = rest
+                self.rows[commit] = count * len(rest) // len(numbers)
+                if commit not in self.partial:
+                    self.partial.append(commit)
+        self.partial = [c for c in self.partial if c in self.folders]
+
+    def settle(self) -> None:
+        """Forget the waiting changes: the rows hold them now."""
+        for commit in self.pending:
+            self.rows.pop(commit, None)
+        self.pending = []
 
     def waiting_share(self) -> float:
         """Rows of waiting changes relative to the table's rows."""
@@ -143,34 +148,32 @@ class Store:
 
     # -- reading ----------------------------------------------------------
 
-    def _open(
-        self, root: str, schema: StructType, held: Mapping[str, Sequence[int]], whole: Callable[[str], bool],
-        buckets: Iterable[int] | None,
-    ) -> DataFrame | None:
-        """Rows of the given folders, all or some buckets; None if there are none.
+    def _rows(self, table: str, version: Version, buckets: Iterable[int] | None) -> DataFrame:
+        """Rows of the table's folders, all or some buckets, without waiting changes.
 
         A commit of which every bucket is wanted is named by its folder, so a
         table of many buckets does not need a path for each.
         """
-        wanted = None if buckets is None else set(buckets)
-        folders = []
-        for commit, numbers in held.items():
-            if wanted is None and whole(commit):
+        root, wanted, folders = self._data(table), None if buckets is None else set(buckets), []
+        for commit, numbers in version.folders.items():
+            if wanted is None and commit not in version.partial:
                 folders.append(f"{root}/{COMMIT}={commit}")
             else:
                 numbers = [b for b in numbers if wanted is None or b in wanted]
                 folders += [f"{root}/{COMMIT}={commit}/{BUCKET}={b}" for b in numbers]
         if not folders:
-            return None
-        return self.spark.read.schema(schema).option("basePath", root).parquet(*folders).drop(BUCKET)
+            return self.spark.createDataFrame([], version.columns)
+        reader = self.spark.read.schema(version.columns).option("basePath", root)
+        return reader.parquet(*folders).drop(COMMIT, BUCKET)
 
-    def _pending(self, table: str, version: Version, buckets: Iterable[int] | None) -> DataFrame | None:
+    def _waiting(self, table: str, version: Version) -> DataFrame:
         """Last change of each key among the replays not folded in yet."""
+        root = self._changes(table)
         schema = StructType([StructField(OP, IntegerType()), *version.columns.fields])
-        whole = lambda commit: commit not in version.partial
-        found = self._open(self._changes(table), schema, version.pending, whole, buckets)
-        if found is None or len(version.pending) == 1:
-            return found if found is None else found.drop(COMMIT)
+        reader = self.spark.read.schema(schema).option("basePath", root)
+        found = reader.parquet(*[f"{root}/{COMMIT}={c}" for c in version.pending])
+        if len(version.pending) == 1:
+            return found.drop(COMMIT)
         # Commit ids sort in commit order; each commit holds a key at most once.
         image = F.struct(*[_c(c) for c in (OP, *version.columns.names) if c not in version.keys])
         newest = found.groupBy(*[_c(k) for k in version.keys]).agg(F.max_by(image, F.col(COMMIT)).alias("image"))
@@ -186,11 +189,12 @@ class Store:
     ) -> DataFrame:
         """The table at its current version, by default with the sync column."""
         version = version or self.current(table)
-        whole = lambda commit: commit not in version.partial
-        df = self._open(self._data(table), version.columns, version.folders, whole, buckets)
-        df = self.spark.createDataFrame([], version.columns) if df is None else df.drop(COMMIT)
-        last = self._pending(table, version, buckets)
-        if last is not None:
+        buckets = None if buckets is None else sorted(set(buckets))
+        df = self._rows(table, version, buckets)
+        if version.pending:
+            last = self._waiting(table, version)
+            if buckets is not None:
+                last = last.where(bucket_of(version.keys, version.buckets).isin(*buckets))
             df = merge_last(df, last, version.keys)
         return df.withColumn(SYNC, lsn_literal(version.position)) if with_sync else df
 
@@ -220,7 +224,7 @@ class Store:
             schema = old.columns
         keys = list(keys or (old and old.keys) or df.columns[:1])
         version = Version(old.number + 1 if old else 1, pad_lsn(lsn).hex(), schema.json(), keys, self.buckets)
-        self._write(self._data(table), df, version, version.folders)
+        self._write(table, df, version)
         return self._publish(table, version)
 
     def commit(
@@ -235,20 +239,20 @@ class Store:
         version = base.next(lsn)
         version.drop_buckets(gone)
         if df is not None and gone:
-            self._write(self._data(table), df, version, version.folders)
+            self._write(table, df, version)
         return self._publish(table, version)
 
     def clear(self, table: str) -> Version:
         """Empty the table; the log position stays."""
         version = self.current(table).next()
-        version.folders, version.pending, version.rows, version.partial = {}, {}, {}, []
+        version.folders, version.pending, version.rows, version.partial = {}, [], {}, []
         return self._publish(table, version)
 
     def append(self, table: str, df: DataFrame) -> Version:
         """Add rows without looking at those already there; the log position stays."""
         version = self.fold(table).next()
         rows = df.select(*[_c(c) for c in version.columns.names])
-        self._write(self._data(table), rows, version, version.folders)
+        self._write(table, rows, version)
         return self._publish(table, version)
 
     def replay(
@@ -264,7 +268,7 @@ class Store:
 
         ``changes`` is read several times, so it should be a written table.
         """
-        base = self.current(table)
+        base = self.fold(table)
         bucket = bucket_of(base.keys, base.buckets)
         # At most one number per bucket reaches the driver.
         touched = [r[0] for r in changes.where(is_applied()).select(bucket.alias("b")).distinct().collect()]
@@ -281,8 +285,7 @@ class Store:
         changes alone, however large the table is.
         """
         version = self.current(table).next(lsn)
-        columns = [_c(OP).cast("int").alias(OP), *[_c(c) for c in version.columns.names]]
-        self._write(self._changes(table), last.select(*columns), version, version.pending)
+        self._write_changes(table, last, version)
         return self._publish(table, version)
 
     def squash(self, table: str) -> Version:
@@ -291,33 +294,48 @@ class Store:
         if len(base.pending) < 2:
             return base
         version = base.next()
-        version.pending = {}
-        self._write(self._changes(table), self._pending(table, base, None), version, version.pending)
+        version.settle()
+        self._write_changes(table, self._waiting(table, base), version)
         return self._publish(table, version)
 
     def fold(self, table: str) -> Version:
         """Bring changes committed by ``replay_later`` into the rows of their buckets."""
         base = self.current(table)
-        waiting = {b for held in base.pending.values() for b in held}
-        if not waiting:
+        if not base.pending:
             return base
-        merged = self.read(table, with_sync=False, buckets=waiting, version=base)
-        return self.commit(table, merged, base.position, buckets=waiting, base=base)
+        bucket = bucket_of(base.keys, base.buckets)
+        touched = [r[0] for r in self._waiting(table, base).select(bucket.alias("b")).distinct().collect()]
+        version = base.next()
+        version.drop_buckets(set(touched))
+        version.settle()
+        if touched:
+            self._write(table, self.read(table, with_sync=False, buckets=touched, version=base), version)
+        return self._publish(table, version)
 
-    def _write(self, root: str, df: DataFrame, version: Version, into: dict[str, list[int]]) -> None:
-        """Write rows by bucket and enter the folder into the version.
+    def _write(self, table: str, df: DataFrame, version: Version) -> None:
+        """Write rows by bucket and enter their folder into the version.
 
         The rebalance hint brings a bucket's rows together and lets adaptive
         execution split one that is too large for a task.
         """
-        commit = f"{version.number:010d}-{uuid.uuid4().hex}"
-        folder, seen = f"{root}/{COMMIT}={commit}", Observation()
+        commit, seen = _commit_id(version), Observation()
+        folder = f"{self._data(table)}/{COMMIT}={commit}"
         spread = df.withColumn(BUCKET, bucket_of(version.keys, version.buckets)).hint("rebalance", F.col(BUCKET))
         spread.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(BUCKET).parquet(folder)
         prefix = f"{BUCKET}="
         held = [int(n[len(prefix):]) for n in files.names_in(self.spark, folder) if n.startswith(prefix)]
         if held:
-            into[commit], version.rows[commit] = sorted(held), seen.get["n"]
+            version.folders[commit], version.rows[commit] = sorted(held), seen.get["n"]
+
+    def _write_changes(self, table: str, last: DataFrame, version: Version) -> None:
+        """Write the last change of each key and enter the folder into the version."""
+        commit, seen = _commit_id(version), Observation()
+        rows = last.select(_c(OP).cast("int").alias(OP), *[_c(c) for c in version.columns.names])
+        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.parquet(f"{self._changes(table)}/{COMMIT}={commit}")
+        if seen.get["n"]:
+            version.pending.append(commit)
+            version.rows[commit] = seen.get["n"]
 
     def quarantine(self, table: str, rejected: DataFrame) -> str:
         """Keep rejected changes next to the table; each call writes its own folder."""
@@ -361,5 +379,9 @@ class Store:
         return removed
 
 
+def _commit_id(version: Version) -> str:
+    return f"{version.number:010d}-{uuid.uuid4().hex}"
+
+
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[_c(k) for k in keys]), F.lit(buckets)).cast("int")

@@ -9,8 +9,8 @@ def spark(tmp_path_factory):
         "cdcspark-tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
-            "spark.default.parallelism": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoint")),
         },
