@@ -125,6 +125,7 @@ def _job(store, source, target, origin, columns, keys, options) -> TableJob:
         store,
         lambda spark: source.snapshot(spark, origin),
         lambda spark, position: source.changes(spark, origin, position),
+        retained_from=lambda spark: source.retained_from(spark, origin),
         keys=(keys or {}).get(target),
         columns=columns,
         **options,
@@ -145,6 +146,11 @@ def metrics_table(spark: SparkSession, metrics: Sequence[Metrics]) -> DataFrame:
     return spark.createDataFrame([m.row() for m in metrics], METRICS)
 
 
+def save_metrics(spark: SparkSession, metrics: Sequence[Metrics], path: str) -> None:
+    """Append the outcome of a cycle to a table of all cycles."""
+    metrics_table(spark, metrics).coalesce(1).write.mode("append").parquet(path)
+
+
 def _timed(metrics: Metrics, work: Callable[[], None], stop_on_error: bool) -> Metrics:
     begin = time.monotonic()
     try:
@@ -212,14 +218,15 @@ def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_er
             if source is None:
                 metrics.phase = "not captured"
                 return
-        schema, bag = base.columns, job.mode == "bag"
+        schema = base.columns
         columns = job.columns or [(c, c) for c in schema.names]
         order = [c for c in job.order_by or () if c in source.columns]
         extra = [c for c in (SEQ, *order) if c in source.columns and c not in (OP, LSN, *schema.names)]
         fresh = project_mapped(
             changes_since(source, base.position), columns, keep=[OP, LSN, *dict.fromkeys(extra)]
         )
-        judged = with_reason(fresh, schema, () if bag else base.keys, other_ops="ignore")
+        null_keys = "ignore" if job.mode == "bag" else "reject"
+        judged = with_reason(fresh, schema, base.keys, other_ops="ignore", null_keys=null_keys)
         with scratch(job.spark, "changes") as path:
             staged, counts = _stage(job.spark, judged, path)
             if counts["n"]:

@@ -15,12 +15,18 @@ from cdcspark.sources.snapshot import read_snapshot
 
 
 class Source(Protocol):
-    """Opens a table, and its changes after a position; no change table gives None."""
+    """Opens a table, and its changes after a position; no change table gives None.
+
+    ``retained_from`` is the oldest position the change table still covers,
+    None if nothing is ever removed from it.
+    """
 
     def snapshot(self, spark: SparkSession, table: str) -> DataFrame: ...
 
     def changes(self, spark: SparkSession, table: str, position: bytes) -> DataFrame | None: ...
 
+    def retained_from(self, spark: SparkSession, table: str) -> bytes | None: ...
+
 
 @dataclass
 class FileSource:
@@ -43,6 +49,9 @@ class FileSource:
         except AnalysisException:
             return None
 
+    def retained_from(self, spark: SparkSession, table: str) -> bytes | None:
+        return None
+
 
 @dataclass
 class JdbcSource:
@@ -81,3 +90,13 @@ class JdbcSource:
             partitioning=self.partitioning.get(table),
         )
         return read_snapshot(spark, "jdbc", options)
+
+    def _lowest_statement(self, table: str) -> str:
+        return f"SELECT sys.fn_cdc_get_min_lsn('{capture_name(table, self.schema)}') AS min_lsn"
+
+    def retained_from(self, spark: SparkSession, table: str) -> bytes | None:
+        """Asked of the database where it keeps a retention period; other dialects have no such function."""
+        if self.dialect != "sqlserver":
+            return None
+        found = read_snapshot(spark, "jdbc", {**self.options, "query": self._lowest_statement(table)}).first()
+        return None if found is None or found["min_lsn"] is None else bytes(found["min_lsn"])

@@ -12,8 +12,9 @@ from cdcspark.jobs import (
     metrics_table,
     run_cycle,
     run_once,
+    save_metrics,
 )
-from cdcspark.operators.feed import reconcile
+from cdcspark.operators.feed import capture_changes, change_report, reconcile
 from cdcspark.plans.mapping import parse_mapping, parse_table_list
 from cdcspark.sinks.store import Store
 from cdcspark.sources.changes import stream_changes
@@ -205,6 +206,10 @@ def test_one_failing_table_does_not_stop_the_others(spark, store):
     assert cycle["broken"].error and cycle["good"].updates == 1
     table = metrics_table(spark, list(cycle.values()))
     assert table.count() == 2 and table.where("error is not null").first().table_name == "broken"
+    history = f"{store.path}/metrics"
+    for _ in range(2):
+        save_metrics(spark, list(cycle.values()), history)
+    assert spark.read.parquet(history).count() == 4
     with pytest.raises(RuntimeError, match="down"):
         run_once([broken], stop_on_error=True)
     assert run_cycle([]) == []
@@ -302,9 +307,48 @@ def test_create_from_information_schema(spark, store):
     assert not create_from_schema(store, "u", info.limit(0)) and not store.exists("u")
 
 
+def test_typed_table_with_composite_key_end_to_end(spark, store):
+    """Information schema → empty table → load → replay in every mode → nothing differs."""
+    info = spark.createDataFrame(
+        [
+            (1, "branch", "int", None, "NO", None, None), (2, "lot", "bigint", None, "NO", None, None),
+            (3, "label", "varchar", 40, "YES", None, None), (4, "price", "decimal", None, "YES", 18, 4),
+            (5, "made", "datetime", None, "YES", None, None), (6, "day", "date", None, "YES", None, None),
+            (7, "hour", "time", None, "YES", None, None), (8, "active", "bit", None, "YES", None, None),
+            (9, "weight", "float", None, "YES", None, None), (10, "raw", "varbinary", 10, "YES", None, None),
+        ],
+        "ORDINAL_POSITION int, COLUMN_NAME string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH int, "
+        "IS_NULLABLE string, NUMERIC_PRECISION int, NUMERIC_SCALE int",
+    )
+
+    def rows(source, shift):
+        return source.selectExpr(
+            "cast(id % 3 as int) branch", "id lot", f"concat('item ', id + {shift}) label",
+            f"cast((id + {shift}) / 7 as decimal(18,4)) price",
+            "timestamp_ntz'2024-02-29 10:11:12' + make_dt_interval(cast(id as int)) made",
+            "date_add(date'2024-02-28', cast(id as int)) day", "'23:59:01' hour", "id % 2 = 0 active",
+            f"if(id % 5 = 0, null, id * 0.5D + {shift}) weight", "unhex(hex(id)) raw",
+        )
+
+    before, after = rows(spark.range(60), 0), rows(spark.range(10, 80), 1)
+    keys = ["branch", "lot"]
+    changes = capture_changes(before, after, keys, batch=5)
+    assert change_report(changes).first()[1:4] == (20, 50, 10)
+    for mode in ("upsert", "strict", "bag"):
+        assert create_from_schema(store, mode, info, keys=keys)
+        job = TableJob(mode, store, lambda s: before, lambda s, p: changes.limit(0), mode=mode)
+        assert initial_sync(job).loaded == 60
+        job.changes = lambda s, p: changes
+        done = incremental_sync(job)
+        assert (done.inserts, done.updates, done.deletes, done.watermark) == (20, 50, 10, position(5))
+        assert dict(store.read(mode).dtypes)["price"] == "decimal(18,4)"
+        assert reconcile(after, store.read(mode), keys).where("status <> 'equal'").isEmpty()
+
+
 def test_jdbc_source_keeps_its_options_to_itself():
     source = JdbcSource({"url": "jdbc:none", "password": "hidden"})
     assert "hidden" not in repr(source) and "hidden" not in str(source)
+    assert source._lowest_statement("t") == "SELECT sys.fn_cdc_get_min_lsn('dbo_t') AS min_lsn"
 
 
 def test_monitor_reports_the_retained_range(spark, tmp_path):

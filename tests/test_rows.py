@@ -61,18 +61,20 @@ def test_quarantine(spark):
             (4, None, "1", "1.5", "w"),
             (4, position(6), None, "1.5", "w"),
             (4, position(7), "x", "1.5", "w"),
-            (1, position(8), "1", "much", "w"),
+            (1, position(8), "1", "much", None),
+            (4, position(8), "1", "much", "w"),
             (4, position(9), "1", None, "w"),
             (4, position(10), "1", "2", None),
         ],
         f"`{OP}` int, `{LSN}` binary, k string, v string, w string",
     )
     good, bad = quarantine_split(feed, wanted, ["k"])
-    assert [(r.k, r.v) for r in good.collect()] == [(1, 1.5), (1, None)]
+    assert [(r.k, r.v) for r in good.collect()] == [(1, 1.5), (1, None), (1, None)]
     assert dict(good.dtypes)["v"] == "double" and dict(bad.dtypes)["v"] == "string"
     assert [r.reason for r in bad.collect()] == [
         "unknown operation", "unknown operation", "bad log position", "bad log position", "null key k",
         "k is not int", "v is not double", "w may not be null",
     ]
     lenient = with_reason(feed, wanted, ["k"], other_ops="ignore")
-    assert lenient.where("reason is null").count() == 4
+    assert lenient.where("reason is null").count() == 5
+    assert with_reason(feed, wanted, ["k"], null_keys="ignore").where("reason is null").count() == 4
