@@ -190,7 +190,10 @@ def _survivors(
     later = F.col("updated").isNotNull() & (F.col(_POS).isNull() | (F.col("updated")[_POS] > F.col(_POS)))
     value = F.when(later, F.col("updated")[_ROW]).otherwise(F.col(_ROW))
     return joined.where(F.col("deleted").isNull() | (F.col(_POS) >= F.col("deleted"))).select(
-        *[_c(k) for k in keys], _POS, _checked(value, tied, "insert").alias(_ROW)
+        *[_c(k) for k in keys],
+        _POS,
+        F.col("deleted").isNull().alias("never_deleted"),
+        _checked(value, tied, "insert").alias(_ROW),
     )
 
 
@@ -225,16 +228,21 @@ def _apply_strict(target, changes, keys, columns, order, hot) -> DataFrame:
     inserts = events.where(_c(OP) == INSERT).select(*[_c(k) for k in keys], _POS, _ROW)
     if hot is None:
         hot = hot_keys(inserts, keys)
-    fates = _key_fates(events, keys)
+    fates = _key_fates(events.where(_c(OP) != INSERT), keys)
     kept = _survivors(_old_rows(target, keys, columns, inserts), fates, keys, ())
     born = _survivors(inserts, fates, keys, hot).withColumn(_HASH, F.xxhash64(F.col(_ROW)))
-    first = born.groupBy(*[_c(k) for k in keys]).agg(F.min(_entry(_ROW)).alias("first"), F.min(_twin()).alias("twin"))
-    still_there = target.select(*[_c(k) for k in keys]).join(
-        fates.where(F.col("deleted").isNull()).select(*[_c(k) for k in keys]), keys, "left_semi"
+    first = born.groupBy(*[_c(k) for k in keys]).agg(
+        F.min(_entry(_ROW)).alias("first"), F.min(_twin()).alias("twin"), F.max("never_deleted").alias("never_deleted")
     )
     new = first.select(
-        *[_c(k) for k in keys], _checked(F.col("first"), _disagree("first", "twin"), "insert").alias("first")
-    ).join(still_there, keys, "left_anti")
+        *[_c(k) for k in keys],
+        "never_deleted",
+        _checked(F.col("first"), _disagree("first", "twin"), "insert").alias("first"),
+    )
+    on = [F.col(f"__there_{i}") == _c(k) for i, k in enumerate(keys)]
+    names = [_c(k).alias(f"__there_{i}") for i, k in enumerate(keys)]
+    there = target.select(*names).join(inserts.select(*[_c(k) for k in keys]).distinct(), on, "left_semi")
+    new = new.join(there, [*on, F.col("never_deleted")], "left_anti")
     return kept.select(f"{_ROW}.*").unionByName(new.select(f"first.{_ROW}.*"))
 
 

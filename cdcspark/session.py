@@ -17,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.scheduler.mode": "FAIR",
+    # Noting the call site of every column expression doubles the time to build a replay's plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_dirs: dict[str, str] = {}
