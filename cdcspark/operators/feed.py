@@ -86,7 +86,7 @@ def _sides(source: DataFrame, target: DataFrame, columns: Sequence[str], keys: S
         )
 
     types = dict(source.dtypes)
-    same = target.select(*[_c(c).cast(types[c]).alias(c) for c in {*columns, *keys}])
+    same = target.select(*[_c(c).try_cast(types[c]).alias(c) for c in dict.fromkeys([*keys, *columns])])
     return side(source, 1).unionByName(side(same, -1))
 
 

@@ -23,13 +23,16 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(f"`{k}`") for k in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], *, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list[int]:
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], *, share: float | None = None, min_rows: int | None = None
+) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows.
 
     One pass over the key columns into a frequent-items sketch; tasks merge
     sketches of fixed size, no rows are shuffled. The answer only steers the
     join, it never changes a result.
     """
+    share, min_rows = share or HOT_SHARE, HOT_ROWS if min_rows is None else min_rows
     most = int(1 / share)
     sketch = F.call_function("approx_top_k", key_hash(keys), F.lit(most), F.lit(max(10_000, 10 * most)))
     found = df.agg(F.count(F.lit(1)).alias("n"), sketch.alias("top")).first()

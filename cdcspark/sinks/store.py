@@ -299,8 +299,12 @@ class Store:
         return self._publish(table, version)
 
     def fold(self, table: str) -> Version:
-        """Bring changes committed by ``replay_later`` into the rows of their buckets."""
-        base = self.current(table)
+        """Bring changes committed by ``replay_later`` into the rows of their buckets.
+
+        They are squashed first: the join with a written table of one row per
+        key is one that adaptive execution can split if a key is hot.
+        """
+        base = self.squash(table)
         if not base.pending:
             return base
         bucket = bucket_of(base.keys, base.buckets)

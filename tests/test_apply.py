@@ -2,7 +2,14 @@ import pytest
 
 from cdcspark.functions.lsn import LSN, OP, SEQ, ZERO_LSN
 from cdcspark.operators import skew
-from cdcspark.operators.apply import apply_changes, expand_key_changes, new_watermark, watermark_after
+from cdcspark.operators.apply import (
+    apply_changes,
+    expand_key_changes,
+    last_changes,
+    merge_last,
+    new_watermark,
+    watermark_after,
+)
 from cdcspark.operators.feed import net_changes
 from helpers import FEED, TABLE, feed_of, position, random_log, random_target, replay, rows_of
 
@@ -26,6 +33,11 @@ def test_hot_key_split_keeps_result(spark, mode, monkeypatch):
     assert len(hot) == 1
     got = apply_changes(table, feed, keys=["k"], mode=mode, hot=hot)
     assert rows_of(got) == replay(target, log, mode)
+    if mode != "upsert":
+        # Found without being told: the plan gets a second, broadcast branch.
+        found = apply_changes(table, feed, keys=["k"], mode=mode)
+        assert "isin" in found._jdf.queryExecution().analyzed().toString().lower().replace(" in (", " isin (")
+        assert rows_of(found) == replay(target, log, mode)
 
 
 @pytest.mark.parametrize("mode", ["upsert", "strict", "bag"])
@@ -154,3 +166,45 @@ def test_upsert_plan_does_not_shuffle_the_target(spark, tmp_path):
         spark.read.parquet(path), spark.read.parquet(str(tmp_path / "f")), keys=["k"]
     )._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_hot_rows_leave_the_shuffle(spark):
+    """A third of the target has one key: those rows meet a broadcast of one row, in place."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.range(3000).selectExpr("cast(if(id % 3 = 0, -1, id) as int) k", "'t' v")
+        feed = feed_of(spark, [(n, 4, n % 40 - 1, f"v{n}") for n in range(1, 100)])
+        hot = skew.hot_keys(target, ["k"], share=0.1, min_rows=100)
+        assert len(hot) == 1
+        got = apply_changes(target, feed, keys=["k"], mode="bag", hot=hot)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 1 and plan.count("SortMergeJoin") == 1
+        assert got.where("k = -1 and v = 'v80'").count() == 1000 and got.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_adaptive_execution_splits_a_hot_target_key(spark, tmp_path):
+    """Where the last changes are a written table, as in the store, its keys need not be unique in the target."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100kb",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        target = spark.range(0, 120_000, 1, 8).selectExpr("cast(if(id % 3 = 0, -1, id) as int) k", "uuid() v")
+        feed = feed_of(spark, [(n, 1, n, None) for n in range(1, 100)])
+        last_changes(feed, ["k"], columns=["k", "v"]).write.parquet(str(tmp_path / "last"))
+        got = merge_last(target, spark.read.parquet(str(tmp_path / "last")), ["k"])
+        rows = got.collect()
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+        assert len(rows) == 120_000 - 66
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
