@@ -46,8 +46,10 @@ class FileSource:
     def changes(self, spark: SparkSession, table: str, position: bytes) -> DataFrame | None:
         try:
             return self._open(spark, f"{capture_name(table, self.schema)}_CT")
-        except AnalysisException:
-            return None
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def retained_from(self, spark: SparkSession, table: str) -> bytes | None:
         return None
