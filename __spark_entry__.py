@@ -27,7 +27,7 @@ from cdcspark.sources import changes as ch
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.tables import FileSource
 from cdcspark.streaming.run import run_stream
-from oracles import oracle_sql  # noqa: F401  (part of the driver contract)
+from oracles import oracle_sql  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -219,7 +219,8 @@ def quarantine_split(spark, sf_dir):
     )
     return usable.unionByName(
         bad.select(
-            F.col(OP).alias("op"), F.hex(F.col(LSN)).alias("lsn"), "k", F.lit(None).cast("double").alias("v"), "reason"
+            F.col(OP).alias("op"), F.hex(F.col(LSN)).alias("lsn"), "k", F.lit(None).cast("double").alias("v"),
+            F.col(qr.REASON).alias("reason"),
         )
     )
 

@@ -90,11 +90,11 @@ def last_changes(
     rest = [c for c in columns if c not in keys]
     events = positioned(changes.where(is_applied() & has_key(keys)), keys, rest or keys, order)
     best = events.groupBy(*[_c(k) for k in keys]).agg(
-        F.max(_entry(OP, _ROW)).alias("best"), F.max(_twin()).alias("twin")
+        F.max(_entry(OP, _ROW)).alias("__best"), F.max(_twin()).alias("__twin")
     )
-    checked = _checked(F.col("best"), _disagree("best", "twin"), "last change")
-    return best.select(*[_c(k) for k in keys], checked.alias("best")).select(
-        f"best.`{OP}`", *[_c(c) if c in keys else F.col(f"best.{_ROW}.`{c}`") for c in columns]
+    checked = _checked(F.col("__best"), _disagree("__best", "__twin"), "last change")
+    return best.select(*[_c(k) for k in keys], checked.alias("__best")).select(
+        f"__best.`{OP}`", *[_c(c) if c in keys else F.col(f"__best.{_ROW}.`{c}`") for c in columns]
     )
 
 
@@ -166,14 +166,14 @@ def _key_fates(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return (
         events.groupBy(*[_c(k) for k in keys])
         .agg(
-            F.max(F.when(_c(OP) == DELETE, _c(_POS))).alias("deleted"),
-            F.max(F.when(is_update, _entry(_ROW))).alias("updated"),
-            F.max(F.when(is_update, _twin())).alias("twin"),
+            F.max(F.when(_c(OP) == DELETE, _c(_POS))).alias("__deleted"),
+            F.max(F.when(is_update, _entry(_ROW))).alias("__updated"),
+            F.max(F.when(is_update, _twin())).alias("__twin"),
         )
         .select(
             *[_c(k) for k in keys],
-            "deleted",
-            _checked(F.col("updated"), _disagree("updated", "twin"), "last update").alias("updated"),
+            "__deleted",
+            _checked(F.col("__updated"), _disagree("__updated", "__twin"), "last update").alias("__updated"),
         )
     )
 
@@ -186,13 +186,13 @@ def _survivors(
     ``births`` have a position, or none if they were there before the log.
     """
     joined = lookup_join(births, fates, keys, "left", hot)
-    tied = (F.col(_POS) == F.col("deleted")) | (F.col(_POS) == F.col("updated")[_POS])
-    later = F.col("updated").isNotNull() & (F.col(_POS).isNull() | (F.col("updated")[_POS] > F.col(_POS)))
-    value = F.when(later, F.col("updated")[_ROW]).otherwise(F.col(_ROW))
-    return joined.where(F.col("deleted").isNull() | (F.col(_POS) >= F.col("deleted"))).select(
+    tied = (F.col(_POS) == F.col("__deleted")) | (F.col(_POS) == F.col("__updated")[_POS])
+    later = F.col("__updated").isNotNull() & (F.col(_POS).isNull() | (F.col("__updated")[_POS] > F.col(_POS)))
+    value = F.when(later, F.col("__updated")[_ROW]).otherwise(F.col(_ROW))
+    return joined.where(F.col("__deleted").isNull() | (F.col(_POS) >= F.col("__deleted"))).select(
         *[_c(k) for k in keys],
         _POS,
-        F.col("deleted").isNull().alias("never_deleted"),
+        F.col("__deleted").isNull().alias("__never_deleted"),
         _checked(value, tied, "insert").alias(_ROW),
     )
 
@@ -232,18 +232,18 @@ def _apply_strict(target, changes, keys, columns, order, hot) -> DataFrame:
     kept = _survivors(_old_rows(target, keys, columns, inserts), fates, keys, ())
     born = _survivors(inserts, fates, keys, hot).withColumn(_HASH, F.xxhash64(F.col(_ROW)))
     first = born.groupBy(*[_c(k) for k in keys]).agg(
-        F.min(_entry(_ROW)).alias("first"), F.min(_twin()).alias("twin"), F.max("never_deleted").alias("never_deleted")
+        F.min(_entry(_ROW)).alias("__first"), F.min(_twin()).alias("__twin"), F.max("__never_deleted").alias("__never_deleted")
     )
     new = first.select(
         *[_c(k) for k in keys],
-        "never_deleted",
-        _checked(F.col("first"), _disagree("first", "twin"), "insert").alias("first"),
+        "__never_deleted",
+        _checked(F.col("__first"), _disagree("__first", "__twin"), "insert").alias("__first"),
     )
     on = [F.col(f"__there_{i}") == _c(k) for i, k in enumerate(keys)]
     names = [_c(k).alias(f"__there_{i}") for i, k in enumerate(keys)]
     there = target.select(*names).join(inserts.select(*[_c(k) for k in keys]).distinct(), on, "left_semi")
-    new = new.join(there, [*on, F.col("never_deleted")], "left_anti")
-    return kept.select(f"{_ROW}.*").unionByName(new.select(f"first.{_ROW}.*"))
+    new = new.join(there, [*on, F.col("__never_deleted")], "left_anti")
+    return kept.select(f"{_ROW}.*").unionByName(new.select(f"__first.{_ROW}.*"))
 
 
 def expand_key_changes(changes: DataFrame, keys: Sequence[str], before: Mapping[str, str]) -> DataFrame:

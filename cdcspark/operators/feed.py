@@ -54,22 +54,22 @@ def net_changes(feed: DataFrame, keys: Sequence[str], *, order_by: Sequence[str]
     columns = [c for c in feed.columns if c not in (OP, *order) and c not in keys]
     events = positioned(feed.where(is_applied() & has_key(keys)), keys, [*columns, *order], order)
     ends = events.groupBy(*[_c(k) for k in keys]).agg(
-        F.min(_entry(OP)).alias("first"),
-        F.min(_twin()).alias("first_twin"),
-        F.max(_entry(OP, "__row")).alias("last"),
-        F.max(_twin()).alias("last_twin"),
+        F.min(_entry(OP)).alias("__first"),
+        F.min(_twin()).alias("__first_twin"),
+        F.max(_entry(OP, "__row")).alias("__last"),
+        F.max(_twin()).alias("__last_twin"),
     )
     ends = ends.select(
         *[_c(k) for k in keys],
-        _checked(F.col("first"), _disagree("first", "first_twin"), "first change").alias("first"),
-        _checked(F.col("last"), _disagree("last", "last_twin"), "last change").alias("last"),
+        _checked(F.col("__first"), _disagree("__first", "__first_twin"), "first change").alias("__first"),
+        _checked(F.col("__last"), _disagree("__last", "__last_twin"), "last change").alias("__last"),
     )
-    first, last = F.col("first")[OP], F.col("last")[OP]
+    first, last = F.col("__first")[OP], F.col("__last")[OP]
     born = first == INSERT
     op = F.when(last == DELETE, DELETE).when(born, INSERT).otherwise(UPDATE)
     return ends.where(~(born & (last == DELETE))).select(
-        op.alias(OP), *[F.col(f"last.__row.`{c}`") for c in order if c != OP], *[_c(k) for k in keys],
-        *[F.col(f"last.__row.`{c}`") for c in columns],
+        op.alias(OP), *[F.col(f"__last.__row.`{c}`") for c in order if c != OP], *[_c(k) for k in keys],
+        *[F.col(f"__last.__row.`{c}`") for c in columns],
     )
 
 
@@ -82,7 +82,7 @@ def _sides(source: DataFrame, target: DataFrame, columns: Sequence[str], keys: S
     def side(df: DataFrame, mark: int) -> DataFrame:
         weight = row_hash(list(columns)).cast("decimal(26,0)")
         return df.select(
-            *[_c(k) for k in keys], F.lit(mark).alias("side"), (weight if mark > 0 else -weight).alias("weight")
+            *[_c(k) for k in keys], F.lit(mark).alias("__side"), (weight if mark > 0 else -weight).alias("__weight")
         )
 
     types = dict(source.dtypes)
@@ -91,7 +91,12 @@ def _sides(source: DataFrame, target: DataFrame, columns: Sequence[str], keys: S
 
 
 def reconcile(
-    source: DataFrame, target: DataFrame, keys: Sequence[str] | None = None, *, columns: Sequence[str] | None = None
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str] | None = None,
+    *,
+    columns: Sequence[str] | None = None,
+    prefix: str = "",
 ) -> DataFrame:
     """Compare two tables key by key: rows per side and a status.
 
@@ -100,34 +105,36 @@ def reconcile(
     rows. Only the key, two counts and the sum of 64-bit row hashes are
     shuffled, summed in the map tasks first, so the cost does not grow with
     row width or with the size of a group. Without ``keys`` whole rows are
-    compared.
+    compared. ``prefix`` goes before the names of the three added columns.
     """
     columns = list(columns or data_columns(source))
     keys = list(keys) if keys else columns
+    source_rows, target_rows, status = (prefix + n for n in ("source_rows", "target_rows", "status"))
+    if {source_rows, target_rows, status} & set(keys):
+        raise ValueError("a compared column has the name of an added one; give a prefix")
     compared = [c for c in columns if c not in keys] or keys
     both = _sides(source, target, compared, keys)
-    side = F.col("side")
+    side = F.col("__side")
     sums = both.groupBy(*[_c(k) for k in keys]).agg(
-        F.count_if(side == 1).alias("source_rows"),
-        F.count_if(side == -1).alias("target_rows"),
-        F.sum("weight").alias("balance"),
+        F.count_if(side == 1).alias(source_rows),
+        F.count_if(side == -1).alias(target_rows),
+        F.sum("__weight").alias("__balance"),
     )
-    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("balance") == 0)
-    status = (
-        F.when(F.col("target_rows") == 0, MISSING)
-        .when(F.col("source_rows") == 0, EXTRA)
-        .when(same, EQUAL)
+    verdict = (
+        F.when(_c(target_rows) == 0, MISSING)
+        .when(_c(source_rows) == 0, EXTRA)
+        .when((_c(source_rows) == _c(target_rows)) & (F.col("__balance") == 0), EQUAL)
         .otherwise(DIFFERENT)
     )
-    return sums.select(*[_c(k) for k in keys], "source_rows", "target_rows", status.alias("status"))
+    return sums.select(*[_c(k) for k in keys], _c(source_rows), _c(target_rows), verdict.alias(status))
 
 
-def reconcile_counts(compared: DataFrame) -> DataFrame:
+def reconcile_counts(compared: DataFrame, *, prefix: str = "") -> DataFrame:
     """Keys and rows per status of a ``reconcile`` result."""
-    return compared.groupBy("status").agg(
+    return compared.groupBy(_c(prefix + "status").alias("status")).agg(
         F.count(F.lit(1)).alias("n_keys"),
-        F.sum("source_rows").alias("source_rows"),
-        F.sum("target_rows").alias("target_rows"),
+        F.sum(_c(prefix + "source_rows")).alias("source_rows"),
+        F.sum(_c(prefix + "target_rows")).alias("target_rows"),
     )
 
 
@@ -142,14 +149,13 @@ def capture_changes(
     """
     keys = list(keys)
     columns = list(columns or data_columns(after))
-    compared = reconcile(before, after, keys, columns=columns)
-    repeated = (F.col("source_rows") > 1) | (F.col("target_rows") > 1)
-    unique = F.when(repeated, F.raise_error("the key is not unique in a snapshot")).otherwise(F.col("status"))
-    op = F.when(F.col("status") == MISSING, DELETE).when(F.col("status") == EXTRA, INSERT).otherwise(UPDATE)
+    compared = reconcile(before, after, keys, columns=columns, prefix="__")
+    status = F.col("__status")
+    repeated = (F.col("__source_rows") > 1) | (F.col("__target_rows") > 1)
+    unique = F.when(repeated, F.raise_error("the key is not unique in a snapshot")).otherwise(status)
+    op = F.when(status == MISSING, DELETE).when(status == EXTRA, INSERT).otherwise(UPDATE)
     changed = written(
-        compared.withColumn("status", unique)
-        .where(F.col("status") != EQUAL)
-        .select(*[_c(k) for k in keys], op.alias(OP)),
+        compared.withColumn("__status", unique).where(status != EQUAL).select(*[_c(k) for k in keys], op.alias(OP)),
         "changed-keys",
     )
 

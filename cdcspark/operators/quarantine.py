@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from cdcspark.functions.lsn import APPLIED_OPS, DELETE, LSN, LSN_BYTES, OP
 from cdcspark.operators.apply import _c
 
-REASON = "reason"
+REASON = "__$reason"
 
 
 def _cast(name: str, wanted: str) -> Column:

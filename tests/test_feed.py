@@ -67,6 +67,22 @@ def test_reconcile_tells_swapped_nulls_apart(spark):
     assert reconcile(source, target, ["k"]).first().status == "different"
 
 
+def test_columns_may_have_any_name(spark):
+    schema = "first int, status string, deleted string"
+    before = spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema)
+    after = spark.createDataFrame([(1, "a", "z"), (3, "c", None)], schema)
+    with pytest.raises(ValueError, match="prefix"):
+        reconcile(before, after)
+    counts = reconcile_counts(reconcile(before, after, prefix="p_"), prefix="p_")
+    assert {r.status: r.n_keys for r in counts.collect()} == {"missing": 2, "extra": 2}
+    for keys in (["first"], ["first", "status"]):
+        found = capture_changes(before, after, keys, batch=1)
+        for mode in ("upsert", "strict", "bag"):
+            got = apply_changes(before, found, keys=keys, mode=mode)
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, after.collect()), key=repr)
+        assert net_changes(found, keys).count() == 3
+
+
 def test_reconcile_ignores_column_order_sync_and_number_width(spark):
     source = spark.createDataFrame([(1, 5)], "k int, v int")
     target = stamped(spark.createDataFrame([(5, 1)], "v bigint, k bigint"), F.lit(b"\x01"))

@@ -15,6 +15,7 @@ from cdcspark.jobs import (
     save_metrics,
 )
 from cdcspark.operators.feed import capture_changes, change_report, reconcile
+from cdcspark.operators.quarantine import REASON
 from cdcspark.plans.mapping import parse_mapping, parse_table_list
 from cdcspark.sinks.store import Store
 from cdcspark.sources.changes import stream_changes
@@ -176,7 +177,7 @@ def test_rejected_changes_are_set_aside_once_passed(spark, store):
     rows.append((4, position(3), "1", "e"))
     assert incremental_sync(job).watermark == position(3)
     aside = store.quarantined("t")
-    assert sorted(r.reason for r in aside.collect()) == ["k is not int", "null key k"]
+    assert sorted(r[REASON] for r in aside.collect()) == ["k is not int", "null key k"]
     assert {r.k for r in aside.collect()} == {"x", None} and rows_of(store.read("t")) == [(1, "e")]
 
 

@@ -1,7 +1,7 @@
 import pytest
 
 from cdcspark.functions.lsn import LSN, OP
-from cdcspark.operators.quarantine import quarantine_split, with_reason
+from cdcspark.operators.quarantine import REASON, quarantine_split, with_reason
 from cdcspark.operators.rows import delete_by_key, sample_one, thin_rows, update_by_key
 from helpers import position
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
@@ -71,10 +71,10 @@ def test_quarantine(spark):
     good, bad = quarantine_split(feed, wanted, ["k"])
     assert [(r.k, r.v) for r in good.collect()] == [(1, 1.5), (1, None), (1, None)]
     assert dict(good.dtypes)["v"] == "double" and dict(bad.dtypes)["v"] == "string"
-    assert [r.reason for r in bad.collect()] == [
+    assert [r[REASON] for r in bad.collect()] == [
         "unknown operation", "unknown operation", "bad log position", "bad log position", "null key k",
         "k is not int", "v is not double", "w may not be null",
     ]
     lenient = with_reason(feed, wanted, ["k"], other_ops="ignore")
-    assert lenient.where("reason is null").count() == 5
-    assert with_reason(feed, wanted, ["k"], null_keys="ignore").where("reason is null").count() == 4
+    assert lenient.where(f"`{REASON}` is null").count() == 5
+    assert with_reason(feed, wanted, ["k"], null_keys="ignore").where(f"`{REASON}` is null").count() == 4
