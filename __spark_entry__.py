@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import importlib.util
 import os
 import sys
+import tempfile
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,16 +24,25 @@ from cdcspark.operators import quarantine as qr
 from cdcspark.operators import rows as rw
 from cdcspark.plans import mapping as mp
 from cdcspark.plans import schema as sc
-from cdcspark.session import fresh_dir
+from cdcspark.session import fresh_dir, use_shared_dir
 from cdcspark.sinks.store import Store
 from cdcspark.sources import changes as ch
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.tables import FileSource
 from cdcspark.streaming.run import run_stream
-from oracles import oracle_sql  # noqa: F401
+from oracles import oracle_sql as base_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Data of ``entry``.
+ENTRY_DIR = "/root/testdata/sf0.001"
+
+#: Shared folder for sessions that name none in ``spark.checkpoint.dir`` (one machine, as in tests).
+SHARED_DIR = os.environ.get("CDCSPARK_SHARED_DIR") or os.path.join(tempfile.gettempdir(), "cdcspark-shared")
+
+#: The corpus operators are optional: without their folder everything else still works.
+HAS_LLM = importlib.util.find_spec("cdcspark.llm") is not None
+
 ACCOUNT = StructType([StructField("k", LongType()), StructField("v", DoubleType())])
 
 
@@ -465,12 +477,44 @@ def stream_apply(spark, sf_dir):
     return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def _prepared(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            use_shared_dir(spark, SHARED_DIR)
+        return query(spark, sf_dir)
+
+    return run
+
+
+def entry(spark: SparkSession, sf_dir: str = ENTRY_DIR) -> DataFrame:
     """Changes after a position, replayed on the target in log order."""
-    return apply_since(spark, "/root/testdata/sf0.001")
+    return _prepared(apply_since)(spark, sf_dir)
 
 
 def queries() -> dict[str, Query]:
+    found = dict(_own_queries())
+    if HAS_LLM:
+        import corpus_pipeline
+        from cdcspark.llm.queries import QUERIES
+
+        found |= QUERIES | {"pipeline": corpus_pipeline.run}
+    return {name: _prepared(query) for name, query in found.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    found = dict(base_sql())
+    if HAS_LLM:
+        import corpus_pipeline
+        from cdcspark.llm.queries import SQL
+
+        found |= SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
+
+
+def _own_queries() -> dict[str, Query]:
     return {
         "mapping_rows": mapping_rows,
         "mapping_source_tables": mapping_source_tables,

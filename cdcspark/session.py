@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -21,7 +20,8 @@ DEFAULTS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-_local_dirs: dict[str, str] = {}
+#: Shared folders chosen by callers, for sessions whose settings name none.
+_chosen: dict[str, str] = {}
 
 
 def build_session(app: str = "cdcspark", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,20 +34,17 @@ def build_session(app: str = "cdcspark", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, taken from ``spark.checkpoint.dir``.
+def use_shared_dir(spark: SparkSession, path: str) -> None:
+    """The shared folder of a session that has no ``spark.checkpoint.dir``; the setting wins where there is one."""
+    _chosen[spark.sparkContext.applicationId] = path
 
-    Only a local session may fall back to a temporary folder of this machine.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+
+def shared_dir(spark: SparkSession) -> str:
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else what ``use_shared_dir`` was given."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or _chosen.get(spark.sparkContext.applicationId)
+    if not found:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="cdcspark-")
-    return _local_dirs[app]
+    return found.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
