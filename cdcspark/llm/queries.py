@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate
-from cdcspark.llm.common import read_table
+from cdcspark.llm import decontaminate, packing
+from cdcspark.llm.common import read_table, vocabulary
 
 
 def op10_decontaminate(spark, sf_dir):
@@ -18,7 +18,13 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op9_best_fit_packing(spark, sf_dir):
+    pieces = packing.tokenize(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
 QUERIES = {
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
 }
 
