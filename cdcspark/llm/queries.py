@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, packing
+from cdcspark.llm import decontaminate, packing, shards
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -18,12 +18,17 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op4_bin_packing(spark, sf_dir):
+    return shards.shard(read_table(spark, sf_dir, "documents"))
+
+
 def op9_best_fit_packing(spark, sf_dir):
     pieces = packing.tokenize(read_table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
     return packing.pack(pieces)
 
 
 QUERIES = {
+    "op4_bin_packing": op4_bin_packing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
 }
