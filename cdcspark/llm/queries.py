@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, packing, shards
+from cdcspark.llm import decontaminate, packing, shards, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -18,6 +18,10 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def op1_gzip_normaliser(spark, sf_dir):
+    return warc.archived_pages(spark, read_table(spark, sf_dir, "pages"))
+
+
 def op4_bin_packing(spark, sf_dir):
     return shards.shard(read_table(spark, sf_dir, "documents"))
 
@@ -28,6 +32,7 @@ def op9_best_fit_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_gzip_normaliser": op1_gzip_normaliser,
     "op4_bin_packing": op4_bin_packing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
@@ -37,6 +42,13 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op1_gzip_normaliser": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+r AS (SELECT payload, max(page_id) AS response_id FROM p WHERE strlen(payload) >= 1000 GROUP BY payload)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha1(payload) AS payload_digest,
+       CASE WHEN response_id IS NULL OR response_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN response_id <> page_id THEN response_id END AS refers_to
+FROM p LEFT JOIN r USING (payload)""",
     "op10_decontaminate": f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM documents),
 b AS (SELECT item_id, regexp_extract_all({_LOWER}, '{_WORD}') AS w FROM benchmark),
