@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, packing, shards, warc
+from cdcspark.llm import decontaminate, langid, packing, shards, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -22,6 +22,10 @@ def op1_gzip_normaliser(spark, sf_dir):
     return warc.archived_pages(spark, read_table(spark, sf_dir, "pages"))
 
 
+def op2_nearest_centroid(spark, sf_dir):
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bin_packing(spark, sf_dir):
     return shards.shard(read_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,7 @@ def op9_best_fit_packing(spark, sf_dir):
 
 QUERIES = {
     "op1_gzip_normaliser": op1_gzip_normaliser,
+    "op2_nearest_centroid": op2_nearest_centroid,
     "op4_bin_packing": op4_bin_packing,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
