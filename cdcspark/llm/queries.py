@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, langid, packing, pii, shards, warc
+from cdcspark.llm import decontaminate, html, langid, packing, pii, shards, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -30,6 +30,10 @@ def op4_bin_packing(spark, sf_dir):
     return shards.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op6_consensus_paths(spark, sf_dir):
+    return html.main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op8_deobfuscation(spark, sf_dir):
     return pii.find(read_table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ QUERIES = {
     "op1_gzip_normaliser": op1_gzip_normaliser,
     "op2_nearest_centroid": op2_nearest_centroid,
     "op4_bin_packing": op4_bin_packing,
+    "op6_consensus_paths": op6_consensus_paths,
     "op8_deobfuscation": op8_deobfuscation,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
