@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, html, langid, packing, pii, shards, warc
+from cdcspark.llm import decontaminate, html, langid, neardup, packing, pii, shards, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -26,6 +26,10 @@ def op2_nearest_centroid(spark, sf_dir):
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
 
+def op3_coordinate_join(spark, sf_dir):
+    return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op4_bin_packing(spark, sf_dir):
     return shards.shard(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ def op9_best_fit_packing(spark, sf_dir):
 QUERIES = {
     "op1_gzip_normaliser": op1_gzip_normaliser,
     "op2_nearest_centroid": op2_nearest_centroid,
+    "op3_coordinate_join": op3_coordinate_join,
     "op4_bin_packing": op4_bin_packing,
     "op6_consensus_paths": op6_consensus_paths,
     "op8_deobfuscation": op8_deobfuscation,
@@ -57,6 +62,17 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op3_coordinate_join": f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(0, len(w) - 4), lambda i: array_to_string(w[i + 1 : i + 5], ' ')) END) AS g FROM d),
+x AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM s),
+pairs AS (SELECT p.doc_id AS a, q.doc_id AS b FROM x p JOIN x q ON p.t = q.t AND p.doc_id < q.doc_id
+          GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 75 * (p.n + q.n - count(*))),
+e AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, c.c AS component_id, s.doc_id = c.c AS kept
+FROM s JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) c ON c.a = s.doc_id""",
     "op1_gzip_normaliser": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 r AS (SELECT payload, max(page_id) AS response_id FROM p WHERE strlen(payload) >= 1000 GROUP BY payload)
