@@ -117,13 +117,14 @@ def _in_company(lists: DataFrame) -> DataFrame:
     return lists.join(sizes, "key", "left_semi")
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets overlap enough."""
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with how many shingles they have in common, and whether that makes a link."""
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("cid").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
     both = both.withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    return both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b")
+    enough = 100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))
+    return both.select("a", "b", "common", enough.alias("linked"))
 
 
 def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -147,30 +148,39 @@ def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int
     near = lists.join(centre, "key").where("cid <> p.cid").where(
         enough(F.least("u", "p.u"), F.col("n"), F.col("p.n"))
     )
-    tried = near.select(F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")).distinct()
-    tried = written(tried, "tried")
-    first = written(_linked(tried, sets, percent), "first-links")
+    ends = [F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")]
+    tried = written(_compared(near.select(*ends).distinct(), sets, percent), "tried")
+    first = tried.where("linked").select("a", "b")
     found = components(first)
     labelled = lists.join(found, F.col("cid") == F.col("id"), "left").withColumn("label", F.coalesce("component", "cid"))
-    labelled = written(labelled.select("key", "keys", "cid", "n", "u", "label"), "labelled")
+    # What a class has in common with its list's centre, where the two were compared.
+    labelled = labelled.drop("id", "component").join(centre.select("key", "p"), "key").select("*", *ends)
+    labelled = labelled.join(tried.select("a", "b", "common"), ["a", "b"], "left")
+    inner = F.when(F.col("cid") == F.col("p.cid"), F.col("u")).otherwise(F.col("common"))
+    labelled = written(labelled.select("key", "keys", "cid", "n", "u", "label", inner.cast("long").alias("i")), "labelled")
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
     largest = written(largest.where("labels > 1").select("key", F.col("top.label").alias("top")), "largest")
     open_rows = labelled.join(largest, "key")
     # Members of the largest part of a list need not meet each other.
     left = open_rows.where("label <> top").select(
-        "key", "keys", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("u").alias("xu"), F.col("label").alias("xl")
+        "key", "keys", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("u").alias("xu"), F.col("i").alias("xi"), F.col("label").alias("xl")
     )
     right = open_rows.select(
-        "key", F.col("keys").alias("ykeys"), F.col("cid").alias("y"), F.col("n").alias("yn"), F.col("u").alias("yu"),
-        F.col("label").alias("yl"), "top",
+        F.col("key").alias("ykey"), F.col("keys").alias("ykeys"), F.col("cid").alias("y"), F.col("n").alias("yn"), F.col("u").alias("yu"),
+        F.col("i").alias("yi"), F.col("label").alias("yl"), "top",
     )
-    met = left.join(right.withColumnRenamed("key", "ykey"), (F.col("key") == F.col("ykey")) & (F.col("xl") != F.col("yl"))
+    # Two classes share inside the centre no more than either does with it, and outside no more than either shares there at all.
+    known = F.col("xi").isNotNull() & F.col("yi").isNotNull()
+    outside = F.least(F.col("xu") - F.col("xi"), F.col("yu") - F.col("yi"))
+    most = F.when(known, F.least("xi", "yi") + outside).otherwise(F.least("xu", "yu"))
+    met = left.join(right, (F.col("key") == F.col("ykey")) & (F.col("xl") != F.col("yl"))
                     & ((F.col("yl") == F.col("top")) | (F.col("x") < F.col("y")))
-                    & enough(F.least("xu", "yu"), F.col("xn"), F.col("yn"))
+                    & enough(most, F.col("xn"), F.col("yn"))
                     & (F.array_min(F.array_intersect("keys", "ykeys")) == F.col("key")))
     rest = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    return first.unionByName(_linked(written(rest, "rest"), sets, percent))
+    more = _compared(written(rest, "rest"), sets, percent).where("linked").select("a", "b")
+    return first.unionByName(more)
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
