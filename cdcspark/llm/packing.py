@@ -1,8 +1,8 @@
 """Packing of tokenised documents into sequences of a fixed length, by swap-based local search.
 
-Tokenising: the vocabulary splits a text into words first and merges inside words only, so each distinct word is
-tokenised once by the library and looked up afterwards. That holds for texts in plain letters of Latin script, digits and
-ASCII punctuation; any other text (other scripts, special tokens, unusual white space) goes through the library whole.
+Tokenising: the vocabulary's merges stay inside words, so each distinct run of characters between white space is
+tokenised once by the library and looked up afterwards. Texts where that could differ (special tokens, characters whose
+form depends on their neighbours, separators that libraries read differently) go through the library whole.
 
 Packing: pieces are dealt evenly into blocks of bounded size, whatever their ids or lengths are. In a block, best fit
 decreasing gives a first packing; then the search takes documents out of the emptiest bins by moves, one-for-one and
@@ -12,9 +12,12 @@ Blocks are independent, so the work is linear in the corpus, and a lost block is
 
 from __future__ import annotations
 
+import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,44 +47,62 @@ class _Places(dict):
 
     def __init__(self):
         self.new: list[str] = []
+        self.chars = 0
 
     def __missing__(self, word: str) -> int:
         self.new.append(word)
+        self.chars += len(word)
         self[word] = found = len(self)
         return found
 
 
 class WordTokenizer:
-    """Ids of texts under a vocabulary file whose merges stay inside words (see the module's text)."""
+    """Ids of texts under a vocabulary file whose merges never cross white space (see the module's text)."""
 
-    #: Characters for which the words below are the vocabulary's own words.
-    UNUSUAL = re.compile("[^\t\n\r -~À-ÖØ-öø-įı-ɏ–—‘-”…]")
-    WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-    MOST_WORDS = 300_000
+    #: The separators that only Python takes for white space, and letters with a lower case that depends on others.
+    UNUSUAL = re.compile("[\x1c-\x1fİΣ]")
+    #: Words and characters of them that are remembered; beyond that, the later half is forgotten.
+    MOST_WORDS, MOST_CHARS = 500_000, 16 << 20
+    #: Words tokenised in one call.
+    CALL_WORDS = 10_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.whole = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
         self.places = _Places()
         self.flat = np.empty(0, np.uint32)
         self.ends = np.zeros(1, np.int64)
 
     def _learn(self) -> None:
-        ids = [x.ids for x in self.whole.encode_batch_fast(self.places.new, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.uint32, int(lengths.sum()))
-        self.flat = np.concatenate([self.flat, flat])
+        new, found, lengths = self.places.new, [self.flat], []
+        for i in range(0, len(new), self.CALL_WORDS):
+            ids = [x.ids for x in self.whole.encode_batch_fast(new[i : i + self.CALL_WORDS], add_special_tokens=False)]
+            lengths += map(len, ids)
+            found.append(np.fromiter(chain.from_iterable(ids), np.uint32))
+        self.flat = np.concatenate(found)
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
         self.places.new = []
 
+    def _forget(self) -> None:
+        """Keeps the words seen first, which are the frequent ones."""
+        chars, kept = 0, []
+        for word in self.places:
+            chars += len(word)
+            if len(kept) >= self.MOST_WORDS // 2 or chars > self.MOST_CHARS // 2:
+                break
+            kept.append(word)
+        self.places = _Places()
+        self.places.update(zip(kept, range(len(kept)), strict=True))
+        self.ends = self.ends[: len(kept) + 1].copy()
+        self.flat = self.flat[: self.ends[-1]].copy()
+        self.places.chars = sum(map(len, kept))
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text; new words of all of them are tokenised together."""
-        if len(self.places) > self.MOST_WORDS:
-            self._clear()
+        if len(self.places) > self.MOST_WORDS or self.places.chars > self.MOST_CHARS:
+            self._forget()
         found = [[self._part(x) for x in _parts(text)] for text in texts]
         if self.places.new:
             self._learn()
@@ -89,9 +110,9 @@ class WordTokenizer:
 
     def _part(self, text: str) -> np.ndarray:
         """Places of the part's words, or its ids if it has to be tokenised whole."""
-        if "<|" in text or self.UNUSUAL.search(text):
+        if "<|" in text or self.UNUSUAL.search(text) or not unicodedata.is_normalized("NFC", text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = self.WORDS.findall(text.lower())
+        words = text.lower().split()
         return np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
 
     def _looked_up(self, at: np.ndarray) -> np.ndarray:
@@ -103,6 +124,16 @@ class WordTokenizer:
         return self.flat[np.repeat(begin - total + lengths, lengths) + np.arange(total[-1])]
 
 
+_loaded: dict[str, WordTokenizer] = {}
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One per worker process, so tasks go on with the words that earlier ones met."""
+    if path not in _loaded:
+        _loaded[path] = WordTokenizer(path)
+    return _loaded[path]
+
+
 def _parts(text: str) -> Iterator[str]:
     """The text cut at white space into parts of about ``PART_CHARS``."""
     cut = re.compile("[ \n]")
@@ -125,7 +156,7 @@ def tokenize(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTokenizer(tokenizer)
+        words = word_tokenizer(tokenizer)
         for batch in batches:
             rows: list[tuple] = []
             kept: list[np.ndarray] = []
