@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, html, langid, neardup, packing, pii, shards, warc
+from cdcspark.llm import decontaminate, html, langid, neardup, packing, pii, repeats, shards, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -38,6 +38,10 @@ def op6_consensus_paths(spark, sf_dir):
     return html.main_text(read_table(spark, sf_dir, "pages"))
 
 
+def op7_radix_repeats(spark, sf_dir):
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def op8_deobfuscation(spark, sf_dir):
     return pii.find(read_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ QUERIES = {
     "op3_coordinate_join": op3_coordinate_join,
     "op4_bin_packing": op4_bin_packing,
     "op6_consensus_paths": op6_consensus_paths,
+    "op7_radix_repeats": op7_radix_repeats,
     "op8_deobfuscation": op8_deobfuscation,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
