@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, html, langid, neardup, packing, pii, repeats, shards, warc
+from cdcspark.llm import decontaminate, html, langid, neardup, packing, pii, repeats, shards, vectors, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -34,6 +34,10 @@ def op4_bin_packing(spark, sf_dir):
     return shards.shard(read_table(spark, sf_dir, "documents"))
 
 
+def op5_product_quantisation(spark, sf_dir):
+    return vectors.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op6_consensus_paths(spark, sf_dir):
     return html.main_text(read_table(spark, sf_dir, "pages"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_nearest_centroid": op2_nearest_centroid,
     "op3_coordinate_join": op3_coordinate_join,
     "op4_bin_packing": op4_bin_packing,
+    "op5_product_quantisation": op5_product_quantisation,
     "op6_consensus_paths": op6_consensus_paths,
     "op7_radix_repeats": op7_radix_repeats,
     "op8_deobfuscation": op8_deobfuscation,
@@ -67,6 +72,18 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op5_product_quantisation": """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+ok AS (SELECT vec_id, x FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+       AND len(list_filter(x, lambda c: c <> 0)) > 0),
+pairs AS (SELECT p.vec_id AS a, q.vec_id AS b FROM ok p JOIN ok q ON p.vec_id < q.vec_id AND len(p.x) = len(q.x)
+          WHERE list_cosine_similarity(p.x, q.x) >= 0.95),
+e AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM e GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
     "op3_coordinate_join": f"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
