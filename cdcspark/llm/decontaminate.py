@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cdcspark.llm.common import small
+from cdcspark.session import written
 
 WINDOW = 13
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -133,6 +134,8 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, window: int =
     bad = contamination(documents, benchmark, window).where("contaminated").select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")
     ).distinct()
+    # Written, so the planner knows whether the documents need a shuffle to meet them.
+    bad = written(bad, "contaminated")
     own = F.xxhash64(F.coalesce(documents["text"], F.lit("")))
     return documents.join(bad, documents["doc_id"].eqNullSafe(bad["_bad_id"]) & (own == bad["_bad_hash"]), "left_anti")
 

@@ -1,26 +1,65 @@
-"""From raw documents to packed training sequences, in five stages of the corpus operators."""
+"""From raw documents to packed training sequences, in five stages of the corpus operators.
+
+Each stage takes all that the one before it kept. Documents, with their columns, go in and out of every stage but the
+last, which returns the places of their pieces in the sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate
-from cdcspark.llm.common import read_table
-from cdcspark.session import fresh_dir
+from cdcspark.llm import decontaminate, langid, neardup, packing, pii
+from cdcspark.llm.common import read_table, vocabulary
+from cdcspark.session import fresh_dir, written
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents near a language that their labels teach; those without a label get the one found.
+
+    The model learns from the rows that ``op2`` may learn from. Texts without letters, and texts too far from every
+    centroid, go.
+    """
+    docs = docs.select(*COLUMNS)
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(docs, model).where("NOT rejected")
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the least id of every group of near-duplicates. Rows without an id stay."""
+    docs = docs.select(*COLUMNS)
+    gone = neardup.near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(written(gone, "near-copies"), F.col("doc_id") == F.col("gone"), "left_anti")
+
+
 def clear_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without those that a benchmark's windows contaminate."""
-    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(*COLUMNS)
+    return decontaminate.drop_contaminated(docs.select(*COLUMNS), read_table(spark, sf_dir, "benchmark"))
+
+
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data, plain or in disguise, replaced by its kind; n_chars follows the text."""
+    masked = pii.mask(docs.select(*COLUMNS))
+    return masked.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(packing.tokenize(docs, vocabulary("word_bpe_49k.json")))
 
 
 STAGES = [
+    ("language", known_language),
+    ("near_dedup", without_near_copies),
     ("decontaminate", clear_of_benchmark),
+    ("pii", without_personal_data),
+    ("packing", packed),
 ]
 
-#: Language models, sketches and packings are beyond SQL; the tests hold the stages against brute force.
+#: A trained model, transducers and a packing are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
