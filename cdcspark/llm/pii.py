@@ -63,7 +63,11 @@ _DIGIT_SIGNS = re.compile(
 _AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+@\s+(?=[A-Za-z0-9-]+\s*(?:\.|\[|\(|dot\b))", re.I)
 _DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.|punkt|point|punto)\s*[\])}>]\s*", re.I)
 _LOCAL, _LABEL = r"[A-Za-z0-9._%+-]+", r"[A-Za-z0-9-]+"
-_WORDY = re.compile(rf"(?<![\w.%+-]){_LOCAL}(?:\s+dot\s+{_LOCAL})*\s+at\s+{_LABEL}(?:\s+dot\s+{_LABEL})+", re.I)
+#: What an address in bare words ends in, besides two letters; other words beside "dot" are left alone.
+_ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|name|online|site|shop|app|dev|cloud|mail"
+_WORDY = re.compile(
+    rf"(?<![\w.%+-]){_LOCAL}(?:\s+dot\s+{_LOCAL})*\s+at\s+{_LABEL}(?:\s+dot\s+{_LABEL})*\s+dot\s+(?:[a-z]{{2}}|{_ENDINGS})(?![\w-])", re.I
+)
 _WORDY_PART = re.compile(r"\s+(at|dot)\s+", re.I)
 
 

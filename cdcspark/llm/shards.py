@@ -99,6 +99,12 @@ def _tightest(node: _Node | None, size: int) -> tuple[int, int] | None:
     return found
 
 
+def _roomiest(node: _Node) -> tuple[int, int]:
+    while node.right:
+        node = node.right
+    return node.key
+
+
 def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     """The bin of each size; a size over the capacity has a bin of its own. Bins are numbered as they are opened."""
     tree: _Node | None = None
@@ -117,39 +123,27 @@ def best_fit_decreasing(sizes: list[int], capacity: int) -> list[int]:
     return bins
 
 
-def into_shards(sizes: list[int], shards: int) -> list[int]:
-    """Bins at the least capacity for which best fit decreasing needs no more than ``shards``.
+def near_equal(sizes: list[int], shards: int) -> list[int]:
+    """Best fit decreasing into ``shards`` bins whose capacity is an equal share, so that all come out nearly as large.
 
-    A size above an equal share stays whole: it sets that capacity, or where all sizes are larger the search is over
-    the largest. Unused shards stay empty.
+    A size above the share of what is left has a bin alone, and the others share the rest. A size that no bin takes any more
+    goes to the roomiest one; sizes come in falling order, so these are the smallest.
     """
-    if not sizes:
-        return []
-    low = max(max(sizes), -(-sum(sizes) // shards))
-    high = low + max(sizes)
-    while low < high:
-        middle = (low + high) // 2
-        if max(best_fit_decreasing(sizes, middle)) < shards:
-            high = middle
-        else:
-            low = middle + 1
-    return best_fit_decreasing(sizes, high)
-
-
-def near_equal(sizes: list[int], shards: int) -> list[int]:
-    """``into_shards`` with sizes above an equal share of the rest set apart first, so the others come out even."""
-    own: dict[int, int] = {}
-    rest = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
-    total = sum(sizes)
-    while rest and len(own) < shards - 1 and sizes[rest[0]] * (shards - len(own)) >= total:
-        i = rest.pop(0)
-        own[i] = len(own)
-        total -= sizes[i]
     bins = [0] * len(sizes)
-    for i, b in own.items():
+    order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
+    total, first, alone = sum(sizes), 0, 0
+    while first < len(order) and alone < shards - 1 and sizes[order[first]] * (shards - alone) >= total:
+        bins[order[first]] = alone
+        total -= sizes[order[first]]
+        first, alone = first + 1, alone + 1
+    share = -(-total // (shards - alone))
+    tree: _Node | None = None
+    for b in range(alone, shards):
+        tree = _with(tree, (share, b))
+    for i in order[first:]:
+        room, b = found = _tightest(tree, sizes[i]) or _roomiest(tree)
         bins[i] = b
-    for i, b in zip(rest, into_shards([sizes[i] for i in rest], shards - len(own)), strict=True):
-        bins[i] = len(own) + b
+        tree = _with(_without(tree, found), (room - sizes[i], b))
     return bins
 
 
