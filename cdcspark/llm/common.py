@@ -33,6 +33,25 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
+def bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """A bit set for each number in the column ``place`` (0 to ``bits`` - 1), as 64-bit words.
+
+    Its size is fixed whatever the number of rows: a filter made of it lets more through when it fills up, and what it lets
+    through is always checked by a join.
+    """
+    words = places.groupBy(F.shiftright("place", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("set")
+    )
+    out = np.zeros(bits // 64, np.int64)
+    for word, value in words.collect():
+        out[word] = value
+    return out.view(np.uint64)
+
+
+def in_bitmap(words: np.ndarray, places: np.ndarray) -> np.ndarray:
+    return (words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) > 0
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text's UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcspark.llm.common import bounded_batches, buffers, mixed, text_bytes
+from cdcspark.llm.common import bitmap, bounded_batches, buffers, in_bitmap, mixed, text_bytes
 from cdcspark.llm.components import components
 from cdcspark.llm.shingles import shingle_sets
 from cdcspark.session import written
@@ -32,6 +32,9 @@ PERCENT = 75
 #: Coordinates of a signature, and agreements that a pair must show: a binomial draw of 32 at 0.75 is below 13 once in 10^5.
 COORDINATES, MATCHES = 32, 13
 
+#: Bits of the filters that keep rows without a partner out of a shuffle; they are broadcast, 1 MB each.
+FILTER_BITS = 1 << 23
+
 _random = np.random.Generator(np.random.PCG64(75))
 _MULTIPLY = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
@@ -77,11 +80,14 @@ def sketches(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), text_bytes().alias("raw")).mapInArrow(work, SKETCH)
 
 
-def full_sets(documents: DataFrame) -> DataFrame:
-    """Rows (doc_id, k1, shingles): the sorted distinct shingle hashes of each text."""
+def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows (doc_id, k1, shingles): the sorted distinct shingle hashes of texts, at least of those whose id is in ``wanted``."""
+    place = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS)).alias("place")
+    words = documents.sparkSession.sparkContext.broadcast(bitmap(wanted.select("doc_id").select(place), FILTER_BITS))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(in_bitmap(words.value, batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64))))
             sets = list(shingle_sets(*buffers(batch.column(1))))
             sums = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
             ends = pa.array(np.cumsum([0, *map(len, sets)]).astype(np.int32))
@@ -91,18 +97,42 @@ def full_sets(documents: DataFrame) -> DataFrame:
             )
 
     bounded_batches(documents.sparkSession)
-    return documents.select(F.col("doc_id").cast("long"), text_bytes().alias("raw")).mapInArrow(
-        work, "doc_id long, k1 long, shingles array<long>"
-    )
+    named = documents.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("long"), text_bytes().alias("raw"), place)
+    return named.mapInArrow(work, "doc_id long, k1 long, shingles array<long>")
+
+
+def _posting_key(at, value):
+    """The (coordinate, value) pair as one number; columns and arrays alike."""
+    return at * (1 << 32) + (value + (1 << 31))
+
+
+def _posting_place(at, value):
+    """The pair's bit in a filter; a minimum's low bits are as good as random."""
+    return (value + at * 262_147) % FILTER_BITS
 
 
 def _prefixes(classes: DataFrame) -> DataFrame:
     """Rows (cid, n, key, keys, centrality) of the rarest postings of every class that may have a partner."""
-    posted = classes.select("cid", "n", F.posexplode("signature").alias("at", "value")).select(
-        "cid", "n", (F.shiftleft(F.col("at").cast("long"), 32) + F.col("value").cast("long") + F.lit(1 << 31)).alias("key")
-    )
-    again = written(posted.groupBy("key").count().where("count > 1").select("key", F.col("count").alias("df")), "postings")
-    met = posted.join(again, "key").groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("all"))
+    posted = classes.select(F.posexplode("signature").alias("at", "value"))
+    again = posted.groupBy(F.col("at").cast("long").alias("at"), F.col("value").cast("long").alias("value")).count().where("count > 1")
+    again = written(again.withColumnRenamed("count", "df"), "postings")
+    place = F.pmod(F.col("value") + F.col("at") * 262_147, F.lit(FILTER_BITS)).alias("place")
+    words = classes.sparkSession.sparkContext.broadcast(bitmap(again.select(place), FILTER_BITS))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = np.arange(COORDINATES, dtype=np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                values = batch.column(2).flatten().to_numpy().astype(np.int64).reshape(-1, COORDINATES)
+                row, c = np.nonzero(in_bitmap(words.value, _posting_place(at, values)))
+                key = _posting_key(c, values[row, c])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row)), pa.array(key)], ["cid", "n", "key"]
+                )
+
+    met = classes.select("cid", "n", "signature").mapInArrow(work, "cid long, n long, key long")
+    met = met.join(again.select(_posting_key(F.col("at"), F.col("value")).alias("key"), "df"), "key")
+    met = met.groupBy("cid", "n").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("all"))
     met = met.where(F.size("all") >= MATCHES)
     kept = met.select(
         "cid", "n", F.expr("aggregate(all, 0L, (s, x) -> s + x.df)").alias("centrality"),
@@ -117,6 +147,14 @@ def _in_company(lists: DataFrame) -> DataFrame:
     return lists.join(sizes, "key", "left_semi")
 
 
+def _colliding(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that agree in at least ``MATCHES`` coordinates."""
+    left = classes.select(F.col("cid").alias("a"), F.col("signature").alias("ga"))
+    right = classes.select(F.col("cid").alias("b"), F.col("signature").alias("gb"))
+    agreed = F.size(F.filter(F.arrays_zip("ga", "gb"), lambda x: x["ga"] == x["gb"]))
+    return pairs.join(left, "a").join(right, "b").where(agreed >= MATCHES).select("a", "b")
+
+
 def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) with how many shingles they have in common, and whether that makes a link."""
     left = sets.select(F.col("cid").alias("a"), F.col("shingles").alias("sa"))
@@ -132,10 +170,10 @@ def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int
     # n shingles on each side and c in common: 100 c >= p (na + nb - c).
     enough = lambda c, na, nb: (100 + percent) * c >= percent * (na + nb)
     lists = _in_company(written(_prefixes(classes), "prefixes"))
-    likely = lists.select("cid").distinct().join(classes.select("cid", "k1"), "cid")
+    likely = lists.select("cid").distinct().join(classes.select("cid", "k1", "signature"), "cid")
     likely = written(likely, "likely")
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(likely, F.col("doc_id") == F.col("cid"), "left_semi")
-    sets = full_sets(texts).withColumnRenamed("doc_id", "cid").join(likely, ["cid", "k1"], "left_semi").dropDuplicates(["cid", "k1"])
+    sets = full_sets(documents, likely.select(F.col("cid").alias("doc_id"))).withColumnRenamed("doc_id", "cid")
+    sets = sets.join(likely.select("cid", "k1"), ["cid", "k1"], "left_semi").dropDuplicates(["cid", "k1"])
     sets = written(sets.select("cid", "shingles"), "sets")
     # How many of its shingles a class shares with any other one.
     single = sets.select("cid", F.explode("shingles").alias("shingle"))
@@ -149,7 +187,8 @@ def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int
         enough(F.least("u", "p.u"), F.col("n"), F.col("p.n"))
     )
     ends = [F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")]
-    tried = written(_compared(near.select(*ends).distinct(), sets, percent), "tried")
+    tried = _colliding(near.select(*ends).distinct(), likely)
+    tried = written(_compared(written(tried, "colliding"), sets, percent), "tried")
     first = tried.where("linked").select("a", "b")
     found = components(first)
     labelled = lists.join(found, F.col("cid") == F.col("id"), "left").withColumn("label", F.coalesce("component", "cid"))
@@ -179,7 +218,7 @@ def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int
                     & enough(most, F.col("xn"), F.col("yn"))
                     & (F.array_min(F.array_intersect("keys", "ykeys")) == F.col("key")))
     rest = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _compared(written(rest, "rest"), sets, percent).where("linked").select("a", "b")
+    more = _compared(written(_colliding(rest, likely), "rest"), sets, percent).where("linked").select("a", "b")
     return first.unionByName(more)
 
 
