@@ -17,11 +17,12 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from cdcspark import fixtures as fx
 from cdcspark import jobs as jb
-from cdcspark.functions.lsn import LSN, OP, SYNC, lsn_from_number, lsn_hex
+from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, lsn_from_number, lsn_hex, to_lsn
 from cdcspark.operators import apply as ap
 from cdcspark.operators import feed as fd
 from cdcspark.operators import quarantine as qr
 from cdcspark.operators import rows as rw
+from cdcspark.operators.skew import hot_keys
 from cdcspark.plans import mapping as mp
 from cdcspark.plans import schema as sc
 from cdcspark.session import fresh_dir, use_shared_dir
@@ -69,7 +70,8 @@ def mapping_source_tables(spark, sf_dir):
 
 
 def table_list(spark, sf_dir):
-    return mp.parse_table_list(fx.table_list_documents(spark, sf_dir), keep=["doc"])
+    """Documents without a list are passed over on request."""
+    return mp.parse_table_list(fx.table_list_documents(spark, sf_dir), keep=["doc"], strict=False)
 
 
 def table_pairs(spark, sf_dir):
@@ -92,13 +94,24 @@ def ensure_sync(spark, sf_dir):
 
 
 def created_table(spark, sf_dir):
-    """A table made from an information schema, then filled."""
+    """A table made from its source's information schema, then filled."""
+    source, _ = _landing(spark, sf_dir)
     store = Store(spark, fresh_dir(spark, "created"), buckets=8)
-    store.create_if_absent("accounts", ACCOUNT)
+    schema = jb.create_from_schema(store, "accounts", source.information_schema(spark, "accounts"))
+    if schema is None or not store.is_new("accounts"):
+        raise AssertionError("the table was not created")
     store.append("accounts", fx.accounts(spark, sf_dir))
     return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def configuration_verdicts(spark, sf_dir):
+    """What is wrong with each configuration text."""
+    return fx.configuration_texts(spark, sf_dir).select(
+        "doc", mp.mapping_verdict("mapping").alias("mapping"), mp.table_list_verdict("tables").alias("tables"),
+        mp.pairs_verdict("pairs").alias("pairs"),
+    )
+
+
 def captured_columns(spark, sf_dir):
     feed = fx.events_feed(spark, sf_dir).withColumn("w", F.lit(1))
     return _shown(mp.captured_columns(feed, "k,v"))
@@ -129,8 +142,42 @@ def change_tables(spark, sf_dir):
     return ch.with_change_tables(tables, catalog)
 
 
+def capture_instances(spark, sf_dir):
+    """Capture instances by source schema and table: the orders' customers against the suppliers' catalog."""
+    tables = fx.table(spark, sf_dir, "customer").select(
+        F.col("c_mktsegment").alias("source_schema"), F.concat(F.lit("t"), F.col("c_custkey").cast("string")).alias("source_table")
+    )
+    segments = F.when(F.col("s_nationkey") < 12, "BUILDING").otherwise("MACHINERY")
+    catalog = fx.table(spark, sf_dir, "supplier").select(
+        segments.alias("source_schema"), F.concat(F.lit("t"), F.col("s_suppkey").cast("string")).alias("source_table"),
+    ).withColumn("capture_instance", F.concat_ws("_", "source_schema", "source_table"))
+    return ch.with_capture_instances(tables, catalog)
+
+
+def _landed(spark, sf_dir) -> DataFrame:
+    """The events' feed as files, so that a bound on the position reaches the row groups."""
+    path = fresh_dir(spark, "landed-feed")
+    fx.events_feed(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def changes_since(spark, sf_dir):
-    return _shown(ch.changes_since(fx.events_feed(spark, sf_dir), _half(spark, sf_dir)))
+    return _shown(ch.changes_since(_landed(spark, sf_dir), _half(spark, sf_dir)))
+
+
+def empty_range(spark, sf_dir):
+    """A feed without a range has no changes; the whole range has all."""
+    feed = fx.events_feed(spark, sf_dir)
+    count = F.count(F.lit(1)).alias("changes")
+    none = ch.changes_between(feed, None, None).agg(count).select(F.lit("none").alias("of"), "changes")
+    whole = ch.changes_between(feed, ch.min_lsn(feed), ch.max_lsn(feed)).agg(count).select(F.lit("whole").alias("of"), "changes")
+    return none.unionByName(whole)
+
+
+def position_cast(spark, sf_dir):
+    """Positions of any width brought to ten bytes."""
+    events = fx.table(spark, sf_dir, "events")
+    return events.select("event_id", lsn_hex(to_lsn(F.unhex(F.hex("event_id")))).alias("lsn"))
 
 
 def changes_between(spark, sf_dir):
@@ -169,10 +216,21 @@ def _apply(mode, target=fx.accounts) -> Query:
 
 def apply_since(spark, sf_dir):
     """Only the second half of the log, on the whole target."""
-    feed = ch.changes_since(fx.events_feed(spark, sf_dir), _half(spark, sf_dir))
+    feed = ch.changes_since(_landed(spark, sf_dir), _half(spark, sf_dir))
     return ap.apply_changes(fx.accounts(spark, sf_dir), feed, keys=["k"], mode="strict")
 
 
+def apply_mixed_types(spark, sf_dir):
+    """Feeds of narrower types than the target's, with some keys split off as hot, in all modes."""
+    feed = fx.events_feed(spark, sf_dir).withColumn("k", F.col("k").cast("int"))
+    parts = []
+    for mode, target in (("upsert", fx.accounts), ("strict", fx.accounts), ("bag", fx.quantities)):
+        rows = target(spark, sf_dir)
+        hot = hot_keys(rows.unionByName(feed.select(F.col("k").cast("long"), "v")), ["k"], share=0.002, min_rows=1)
+        parts.append(ap.apply_changes(rows, feed, mode=mode, hot=hot).select(F.lit(mode).alias("mode"), "k", "v"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def apply_composite(spark, sf_dir):
     """Key of two columns, several changes per position ordered by sequence columns."""
     lines = fx.table(spark, sf_dir, "lineitem")
@@ -262,11 +320,47 @@ def thin_rows(spark, sf_dir):
 
 
 def thin_rows_random(spark, sf_dir):
-    return rw.thin_rows(fx.table(spark, sf_dir, "orders").select("o_orderkey"), 30, seed=7)
+    """A random draw keeps rows of the table, each once, and about as many as asked for."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey")
+    kept = rw.thin_rows(orders, 30, seed=7)
+    n, m = F.col("n"), F.col("m")
+    sizes = kept.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("d")).crossJoin(
+        orders.agg(F.count(F.lit(1)).alias("m"))
+    )
+    strange = kept.join(orders, "o_orderkey", "left_anti").agg(F.count(F.lit(1)).alias("strange"))
+    # Six standard deviations of a draw of m with 0.7.
+    near = F.abs(n - 0.7 * m) <= 6 * F.sqrt(m * 0.7 * 0.3) + 1
+    return sizes.crossJoin(strange).select(
+        (F.col("strange") == 0).alias("members"), (n == F.col("d")).alias("once"), near.alias("about_as_many")
+    )
 
 
 def sample_one(spark, sf_dir):
-    return rw.sample_one(fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice"), seed=7)
+    """One row, and one of the table's."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    one = rw.sample_one(orders, seed=7)
+    members = one.join(orders, ["o_orderkey", "o_totalprice"], "left_semi")
+    return one.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(members.agg((F.count(F.lit(1)) == 1).alias("member")))
+
+
+def stored_update(spark, sf_dir):
+    """The same edit committed to a stored table."""
+    store = _stored_lines(spark, sf_dir)
+    store.update_rows("lines", {"l_linenumber": 3, "l_returnflag": "A"}, {"l_quantity": 0})
+    return store.read("lines", with_sync=False)
+
+
+def stored_delete(spark, sf_dir):
+    store = _stored_lines(spark, sf_dir)
+    store.delete_rows("lines", {"l_linenumber": 3, "l_returnflag": "A"})
+    return store.read("lines", with_sync=False)
+
+
+def _stored_lines(spark, sf_dir) -> Store:
+    store = Store(spark, fresh_dir(spark, "edited"), buckets=8)
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    store.full_load("lines", lines, None, keys=["l_orderkey", "l_linenumber"])
+    return store
 
 
 # -- feeds and comparisons ----------------------------------------------------
@@ -276,6 +370,16 @@ def net_changes(spark, sf_dir):
     return _shown(fd.net_changes(fx.events_feed(spark, sf_dir), ["k"]))
 
 
+def net_changes_without_key(spark, sf_dir):
+    """Inserts without a key pass a net feed as they are."""
+    return _shown(fd.net_changes(fx.keyless_feed(spark, sf_dir), ["k"]))
+
+
+def reconcile_mixed_types(spark, sf_dir):
+    source, target = fx.retyped_customers(spark, sf_dir)
+    return fd.reconcile(source, target, ["k"])
+
+
 def capture_changes(spark, sf_dir):
     found = fd.capture_changes(
         fx.table(spark, sf_dir, "customer"), fx.later_customers(spark, sf_dir), ["c_custkey"], batch=77
@@ -315,7 +419,7 @@ def reconcile_whole_rows(spark, sf_dir):
 
 
 def pair_status(spark, sf_dir):
-    pairs = [("orders", "lineitem"), ("customer", "no_such_table")]
+    pairs = mp.parse_pairs(spark.createDataFrame([("orders,lineitem;customer,no_such_table",)], "value string"))
     return fd.pair_status(spark, pairs, read=lambda session, name: fx.table(session, sf_dir, name))
 
 
@@ -383,29 +487,57 @@ def multi_table_cycle(spark, sf_dir):
 
 
 def deferred_replay(spark, sf_dir):
-    """Two replays wait beside the rows; reading merges them in."""
-    store = Store(spark, fresh_dir(spark, "deferred"), buckets=8)
-    store.full_load("t", fx.accounts(spark, sf_dir), None, keys=["k"])
-    feed, half = fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
-    top = ch.max_lsn(feed)
-    for part, position in ((ch.changes_since(feed, None, upto=half), half), (ch.changes_since(feed, half), top)):
-        store.replay_later("t", ap.last_changes(part, ["k"], columns=["k", "v"]), position)
-    return store.read("t").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+    """The two halves of the log, replayed one after the other."""
+    return _replayed(spark, sf_dir, lambda part: part)
 
 
 def folded_replay(spark, sf_dir):
-    """The same, squashed into one and folded into the rows."""
-    store = Store(spark, fresh_dir(spark, "folded"), buckets=8)
+    """The same, each half folded to the last change of a key first."""
+    return _replayed(spark, sf_dir, lambda part: ap.last_changes(part, ["k"], columns=["k", "v", LSN]))
+
+
+def _replayed(spark, sf_dir, prepared):
+    store = Store(spark, fresh_dir(spark, "halves"), buckets=8)
     store.full_load("t", fx.accounts(spark, sf_dir), None, keys=["k"])
     feed, half = fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
     top = ch.max_lsn(feed)
     for part, position in ((ch.changes_since(feed, None, upto=half), half), (ch.changes_since(feed, half), top)):
-        store.replay_later("t", ap.last_changes(part, ["k"], columns=["k", "v"]), position)
-    store.squash("t")
-    store.fold("t")
+        store.replay("t", prepared(part), position)
     return store.read("t").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def idle_table(spark, sf_dir):
+    """A table without changes, of whose log the beginning is gone: loaded once, then only its position moves."""
+    store = Store(spark, fresh_dir(spark, "idle"), buckets=8)
+    top, half = ch.max_lsn(fx.events_feed(spark, sf_dir)), _half(spark, sf_dir)
+    reached = [half]
+    job = jb.TableJob(
+        "accounts", store, lambda s: fx.accounts(s, sf_dir), lambda s, p: fx.events_feed(s, sf_dir).limit(0), keys=["k"],
+        position=lambda _: reached[-1], retained_from=lambda _: half,
+    )
+    done = [jb.initial_sync(job), jb.incremental_sync(job)]
+    reached.append(top)
+    done += [jb.incremental_sync(job), jb.incremental_sync(job)]
+    shown = jb.metrics_table(spark, done).select("phase", "loaded", F.hex("watermark").alias("watermark"))
+    return shown.unionByName(store.read("accounts").agg(F.count(F.lit(1)).alias("loaded")).select(
+        F.lit("rows").alias("phase"), "loaded", F.lit(top.hex().upper()).alias("watermark")
+    ))
+
+
+def bad_positions(spark, sf_dir):
+    """Changes without a proper position are set aside once, the others are replayed."""
+    store = Store(spark, fresh_dir(spark, "displaced"), buckets=8)
+    store.full_load("accounts", fx.accounts(spark, sf_dir).withColumn("n", F.lit(None).cast("long")), None, keys=["k"])
+    job = jb.TableJob(
+        "accounts", store, lambda s: fx.accounts(s, sf_dir), lambda s, p: fx.displaced_feed(s, sf_dir), keys=["k"],
+        on_error="quarantine",
+    )
+    _without_errors([jb.incremental_sync(job), jb.incremental_sync(job)])
+    rows = store.read("accounts").select(F.lit("row").alias("part"), "k", "v", "n", F.lit(None).cast("string").alias("reason"))
+    aside = store.quarantined("accounts").select(F.lit("aside").alias("part"), "k", "v", "n", F.col(qr.REASON).alias("reason"))
+    return rows.unionByName(aside)
+
+
 def _landing(spark, sf_dir):
     """Accounts and the first half of their log as files; the rest can be landed later."""
     folder, feed, half = fresh_dir(spark, "landing"), fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
@@ -477,6 +609,37 @@ def stream_apply(spark, sf_dir):
     return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def stream_same_position(spark, sf_dir):
+    """Transactions of ten changes each; one of them comes in two files, and so in two micro-batches."""
+    feed = fx.transaction_feed(spark, sf_dir)
+    top = feed.agg(F.max(F.col(SEQ))).first()[0]
+    cut = top // 20 * 10 + 4
+    store = _streamed(spark, sf_dir, feed, [F.col(SEQ) <= cut, F.col(SEQ) > cut], order_by=[LSN, SEQ])
+    return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
+def stream_quarantine(spark, sf_dir):
+    """Rejected changes of every micro-batch are set aside with its commit."""
+    feed, half = fx.keyless_feed(spark, sf_dir), _half(spark, sf_dir)
+    store = _streamed(spark, sf_dir, feed, [F.col(LSN) <= F.lit(half), F.col(LSN) > F.lit(half)], on_error="quarantine")
+    rows = store.read("accounts").select(F.lit("row").alias("part"), F.lit(None).cast("string").alias("lsn"), "k", "v")
+    aside = store.quarantined("accounts").select(F.lit("aside").alias("part"), F.hex(F.col(LSN)).alias("lsn"), "k", "v")
+    return rows.unionByName(aside)
+
+
+def _streamed(spark, sf_dir, feed, parts, **options) -> Store:
+    """Accounts after a stream over files that land one part after the other."""
+    store = Store(spark, fresh_dir(spark, "stream"), buckets=8)
+    store.full_load("accounts", fx.accounts(spark, sf_dir), None, keys=["k"])
+    landed, checkpoint = fresh_dir(spark, "landed"), fresh_dir(spark, "query")
+    job = jb.TableJob("accounts", store, lambda s: fx.accounts(s, sf_dir), _events_since(sf_dir), keys=["k"], **options)
+    for part in parts:
+        feed.where(part).coalesce(1).write.mode("append").parquet(landed)
+        stream = ch.stream_changes(spark, landed, feed.schema, max_files=1)
+        run_stream(stream, job, checkpoint=checkpoint, trigger={"availableNow": True}).awaitTermination()
+    return store
+
+
 def _prepared(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -518,6 +681,7 @@ def _own_queries() -> dict[str, Query]:
     return {
         "mapping_rows": mapping_rows,
         "mapping_source_tables": mapping_source_tables,
+        "configuration_verdicts": configuration_verdicts,
         "table_list": table_list,
         "table_pairs": table_pairs,
         "type_translation": type_translation,
@@ -527,7 +691,10 @@ def _own_queries() -> dict[str, Query]:
         "snapshot_projection": snapshot_projection,
         "snapshot_all_columns": snapshot_all_columns,
         "change_tables": change_tables,
+        "capture_instances": capture_instances,
         "changes_since": changes_since,
+        "empty_range": empty_range,
+        "position_cast": position_cast,
         "changes_between": changes_between,
         "lsn_range": lsn_range,
         "last_sync": last_sync,
@@ -537,6 +704,7 @@ def _own_queries() -> dict[str, Query]:
         "apply_bag": _apply("bag", fx.quantities),
         "apply_since": apply_since,
         "apply_composite": apply_composite,
+        "apply_mixed_types": apply_mixed_types,
         "insert_rows": insert_rows,
         "clear_and_reload": clear_and_reload,
         "new_watermark": new_watermark,
@@ -549,13 +717,17 @@ def _own_queries() -> dict[str, Query]:
         "thin_rows": thin_rows,
         "thin_rows_random": thin_rows_random,
         "sample_one": sample_one,
+        "stored_update": stored_update,
+        "stored_delete": stored_delete,
         "net_changes": net_changes,
+        "net_changes_without_key": net_changes_without_key,
         "capture_changes": capture_changes,
         "capture_then_apply": capture_then_apply,
         "reconcile_status": reconcile_status,
         "reconcile_keys": reconcile_keys,
         "reconcile_repeated_keys": reconcile_repeated_keys,
         "reconcile_whole_rows": reconcile_whole_rows,
+        "reconcile_mixed_types": reconcile_mixed_types,
         "pair_status": pair_status,
         "full_load": full_load,
         "initial_sync": initial_sync,
@@ -567,4 +739,8 @@ def _own_queries() -> dict[str, Query]:
         "table_list_sync": table_list_sync,
         "cycle_metrics": cycle_metrics,
         "stream_apply": stream_apply,
+        "stream_same_position": stream_same_position,
+        "stream_quarantine": stream_quarantine,
+        "idle_table": idle_table,
+        "bad_positions": bad_positions,
     }

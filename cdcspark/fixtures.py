@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, UPDATE, lsn_from_number
+from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, lsn_from_number
 from cdcspark.plans.mapping import SOURCE_COLUMN_FIELD, SOURCE_TABLE_FIELD, TABLE_LIST_FIELD
 
 
@@ -111,8 +111,9 @@ def information_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     kind = (
         F.when(size < 5, "varchar").when(size < 10, "nchar").when(size < 15, "decimal").when(size < 20, "datetime")
-        .when(size < 25, "bit").when(size < 30, "bigint").when(size < 35, "float").when(size < 40, "date")
-        .when(size < 45, "time").otherwise("geometry")
+        .when(size < 25, "bit").when(size < 30, "BigInt").when(size < 35, "float").when(size < 38, "date")
+        .when(size < 40, "money").when(size < 42, "uniqueidentifier").when(size < 43, "datetimeoffset")
+        .when(size < 44, "image").when(size < 45, "time").when(size < 47, "xml").otherwise("geometry")
     )
     return table(spark, sf_dir, "part").select(
         F.concat(F.lit("c"), F.col("p_partkey").cast("string")).alias("COLUMN_NAME"),
@@ -122,3 +123,67 @@ def information_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size == 12, 18).cast("int").alias("NUMERIC_PRECISION"),
         F.when(size == 12, 4).cast("int").alias("NUMERIC_SCALE"),
     )
+
+
+def keyless_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' feed, some changes without a key."""
+    events = table(spark, sf_dir, "events")
+    return events.select(
+        operation().alias(OP), lsn_from_number(F.col("event_id") + 1).alias(LSN),
+        F.when(F.col("props") != '{"k": 1}', F.col("user_id") * 20).alias("k"), F.col("value").alias("v"),
+    )
+
+
+def displaced_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' feed; clicks have no position, views one of two bytes."""
+    number = F.col("event_id") + 1
+    position = F.when(F.col("event_type") == "view", F.unhex(F.lit("00FF"))).when(
+        F.col("event_type") != "click", lsn_from_number(number)
+    )
+    return table(spark, sf_dir, "events").select(
+        operation().alias(OP), position.alias(LSN), (F.col("user_id") * 20).alias("k"), F.col("value").alias("v"), number.alias("n")
+    )
+
+
+def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' feed in transactions of ten changes, told apart by the sequence column."""
+    return table(spark, sf_dir, "events").select(
+        operation().alias(OP), lsn_from_number(F.floor(F.col("event_id") / 10) + 1).alias(LSN), F.col("event_id").alias(SEQ),
+        (F.col("user_id") * 20).alias("k"), F.col("value").alias("v"),
+    )
+
+
+def configuration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per customer a mapping, a table list and a text of pairs, many of them not in order."""
+    n, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")
+    good = f'{{"{SOURCE_COLUMN_FIELD}": "c", "{SOURCE_TABLE_FIELD}": "a"}}'
+    other = f'{{"{SOURCE_COLUMN_FIELD}": "c", "{SOURCE_TABLE_FIELD}": "b"}}'
+    mapping = (
+        F.when(n < 4, F.lit("{ not json")).when(n < 8, F.lit("{}")).when(n < 12, F.concat(F.lit('{"t'), key, F.lit('": {"__$last_sync": {}}}')))
+        .when(n < 16, F.concat(F.lit('{"t'), key, F.lit(f'": {{"x": {{}}, "y": {good}}}}}')))
+        .when(n < 20, F.concat(F.lit('{"t'), key, F.lit(f'": {{"x": {other}, "y": {good}}}}}')))
+        .otherwise(F.concat(F.lit('{"t'), key, F.lit(f'": {{"__$last_sync": {{}}, "y": {good}}}}}')))
+    )
+    tables = (
+        F.when(n < 4, F.lit("[1")).when(n < 8, F.lit('{"other": []}')).when(n < 12, F.lit(f'{{"{TABLE_LIST_FIELD}": []}}'))
+        .when(n < 16, F.lit(f'{{"{TABLE_LIST_FIELD}": ["a", " "]}}')).otherwise(F.concat(F.lit(f'{{"{TABLE_LIST_FIELD}": ["t'), key, F.lit('"]}')))
+    )
+    pairs = F.when(n < 5, F.lit(" ")).when(n < 10, F.lit("a,b;c")).when(n < 15, F.lit("a,")).otherwise(F.concat(key, F.lit(",b;")))
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("doc"), mapping.alias("mapping"), tables.alias("tables"), pairs.alias("pairs")
+    )
+
+
+def retyped_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The same rows with other types on each side; some values differ by what a cast would lose."""
+    rows = table(spark, sf_dir, "customer")
+    source = rows.select(
+        F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("int").alias("a"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("int")).alias("b"),
+    )
+    target = rows.select(
+        F.col("c_custkey").cast("string").alias("k"),
+        (F.col("c_nationkey") + F.when(F.col("c_nationkey") < 5, 0.5).otherwise(0.0)).cast("double").alias("a"),
+        F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_custkey").cast("string")).otherwise("abc").alias("b"),
+    )
+    return source, target

@@ -9,17 +9,18 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, ZERO_LSN, lsn_literal
-from cdcspark.operators.apply import _c, last_changes
-from cdcspark.operators.quarantine import REASON, cast_to, with_reason
+from cdcspark.functions.lsn import DELETE, INSERT, LSN, LSN_BYTES, OP, SEQ, SYNC, UPDATE, ZERO_LSN, lsn_literal
+from cdcspark.operators.apply import _c
+from cdcspark.operators.quarantine import BAD_POSITION, LATE, REASON, cast_to, with_reason
 from cdcspark.plans.mapping import mapped_tables, project_mapped, table_columns
 from cdcspark.plans.schema import translate_schema
 from cdcspark.session import scratch, written
-from cdcspark.sinks.store import Store, Version
-from cdcspark.sources.changes import changes_since, max_lsn
+from cdcspark.sinks.target import Batch, State, Target
+from cdcspark.sources.changes import changes_since, max_lsn, misplaced
 from cdcspark.sources.tables import Source
 
 METRICS = (
@@ -40,32 +41,37 @@ class TableJob:
     opens its change table; it may use the position to read less, rows up to
     it are dropped in any case. ``columns`` lists (target column, source
     column); without it all source columns are taken under their own names.
-    ``retained_from(spark)`` tells the oldest position the change table still
-    covers; a target behind it is loaded anew.
+
+    ``position(spark)`` tells how far the source's log goes. It is asked before
+    the scan and before each read, which then goes up to it and no further, so
+    a transaction is read whole, and the target's position moves on over ranges
+    without changes. ``retained_from(spark)`` tells the oldest position the change
+    table still covers; a target behind it is loaded anew.
+    ``information_schema(spark)`` describes the source table; with it the
+    target is created, and its types and rules are the source's.
 
     ``on_error`` is ``fail`` or ``quarantine``: changes that cannot be applied
-    are set aside once the position passes them, until then they are tried
-    again.
-
-    In mode ``upsert`` replays wait next to the rows, so a cycle costs what its
-    changes cost. More than ``fold_after`` of them are squashed into one, and
-    once they hold more than ``fold_share`` of the table's rows they are folded
-    in; ``fold_after=0`` folds each one at once. Versions that were replaced
-    more than ``retain_hours`` ago are removed; None keeps all.
+    are set aside by the commit that passes them. Changes whose own position is
+    missing or malformed can never be passed and are set aside at once;
+    looking for them among old changes costs a scan of the feed's position column
+    per cycle, which ``check_positions=False`` saves where the source cannot
+    hold such. Versions that were replaced more than ``retain_hours`` ago are
+    removed, and a read that takes longer fails; None keeps all.
     """
 
     table: str
-    store: Store
+    store: Target
     snapshot: Callable[[SparkSession], DataFrame]
     changes: Callable[[SparkSession, bytes], DataFrame | None]
     keys: Sequence[str] | None = None
     columns: Sequence[tuple[str, str]] | None = None
     mode: str = "upsert"
     order_by: Sequence[str] | None = None
+    position: Callable[[SparkSession], bytes | None] | None = None
     retained_from: Callable[[SparkSession], bytes | None] | None = None
+    information_schema: Callable[[SparkSession], DataFrame | None] | None = None
     on_error: str = "fail"
-    fold_after: int = 16
-    fold_share: float = 0.1
+    check_positions: bool = True
     retain_hours: float | None = 24
 
     @property
@@ -98,7 +104,7 @@ class Metrics:
 
 
 def jobs_from_mapping(
-    mapping: DataFrame, store: Store, source: Source, *, keys: Mapping[str, Sequence[str]] | None = None, **options
+    mapping: DataFrame, store: Target, source: Source, *, keys: Mapping[str, Sequence[str]] | None = None, **options
 ) -> list[TableJob]:
     """One job per target of a mapping (see ``load_mapping``).
 
@@ -112,7 +118,7 @@ def jobs_from_mapping(
 
 
 def jobs_from_tables(
-    tables: DataFrame, store: Store, source: Source, *, keys: Mapping[str, Sequence[str]] | None = None, **options
+    tables: DataFrame, store: Target, source: Source, *, keys: Mapping[str, Sequence[str]] | None = None, **options
 ) -> list[TableJob]:
     """One job per table of a list (see ``load_table_list``), all columns under their own names."""
     names = [r["table_name"] for r in tables.orderBy("pos").collect()]
@@ -125,21 +131,44 @@ def _job(store, source, target, origin, columns, keys, options) -> TableJob:
         store,
         lambda spark: source.snapshot(spark, origin),
         lambda spark, position: source.changes(spark, origin, position),
-        retained_from=lambda spark: source.retained_from(spark, origin),
         keys=(keys or {}).get(target),
         columns=columns,
-        **options,
+        **{
+            "position": lambda spark: source.position(spark, origin),
+            "retained_from": lambda spark: source.retained_from(spark, origin),
+            "information_schema": lambda spark: source.information_schema(spark, origin),
+            "check_positions": getattr(source, "check_positions", True),
+            **options,
+        },
     )
 
 
-def create_from_schema(store: Store, table: str, info: DataFrame, *, keys: Sequence[str] | None = None) -> bool:
-    """Create the target from its source's information schema; False if the source has no such table."""
+def create_from_schema(
+    store: Target,
+    table: str,
+    info: DataFrame,
+    *,
+    keys: Sequence[str] | None = None,
+    columns: Sequence[tuple[str, str]] | None = None,
+) -> StructType | None:
+    """Create the target, if it is absent, from its source's information schema.
+
+    ``columns`` picks and renames as in a job. Returns the target's schema,
+    None if the source has no such table.
+    """
     try:
         schema = translate_schema(info)
     except LookupError:
-        return False
+        return None
+    if columns:
+        known = {f.name: f for f in schema}
+        missing = [source for target, source in columns if target != SYNC and source not in known]
+        if missing:
+            raise LookupError(f"{table} is mapped from columns the source lacks: {', '.join(missing)}")
+        picked = [(target, known[source]) for target, source in columns if target != SYNC]
+        schema = StructType([StructField(t, f.dataType, f.nullable, f.metadata) for t, f in picked])
     store.create_if_absent(table, schema, keys=keys)
-    return True
+    return schema
 
 
 def metrics_table(spark: SparkSession, metrics: Sequence[Metrics]) -> DataFrame:
@@ -167,105 +196,154 @@ def initial_sync(job: TableJob, *, full_refresh: bool = False, stop_on_error: bo
     """Load the whole source table, unless the target was loaded before.
 
     The log position is taken before the scan: changes made during the scan
-    are replayed afterwards instead of being lost. ``bag`` counts an insert
-    seen by both the scan and the replay twice, so it needs a scan of a
-    fixed point in time or a source at rest.
+    are replayed afterwards instead of being lost. It is the source's own, so a
+    table that never changed starts where the log is, not at its beginning.
+    ``bag`` counts an insert seen by both the scan and the replay twice, so it
+    needs a scan of a fixed point in time or a source at rest.
     """
     metrics = Metrics(job.table, "initial")
 
     def work() -> None:
-        if job.store.exists(job.table) and not full_refresh and not _only_created(job):
-            metrics.phase, metrics.watermark = "resumed", job.store.watermark(job.table)
+        spark, store = job.spark, job.store
+        if store.exists(job.table) and not full_refresh and not store.is_new(job.table):
+            metrics.phase, metrics.watermark = "resumed", store.current(job.table).position
             return
-        feed = job.changes(job.spark, ZERO_LSN)
+        feed = job.changes(spark, ZERO_LSN)
         if feed is None:
             raise LookupError(f"{job.table} has no change table")
-        position = max_lsn(feed) or ZERO_LSN
-        source = job.snapshot(job.spark)
+        floor = job.retained_from(spark) if job.retained_from else None
+        reached = job.position(spark) if job.position else max_lsn(feed)
+        position = max(floor or ZERO_LSN, reached or ZERO_LSN)
+        info = job.information_schema(spark) if job.information_schema else None
+        schema = None
+        if info is not None:
+            schema = create_from_schema(store, job.table, info, keys=job.keys, columns=job.columns)
+        source = job.snapshot(spark)
         columns = job.columns or [(c, c) for c in table_columns(source)]
-        version = job.store.full_load(job.table, project_mapped(source, columns), position, keys=job.keys)
-        metrics.loaded, metrics.watermark = sum(version.rows.values()), position
+        state = store.full_load(job.table, project_mapped(source, columns), position, keys=job.keys, schema=schema)
+        metrics.loaded, metrics.watermark = state.written, position
 
     return _timed(metrics, work, stop_on_error)
 
 
-def _only_created(job: TableJob) -> bool:
-    """Made by ``create_if_absent`` and never loaded."""
-    version = job.store.current(job.table)
-    return version.number == 1 and not version.folders and version.position == ZERO_LSN
-
-
-def incremental_sync(job: TableJob, *, feed: DataFrame | None = None, stop_on_error: bool = True) -> Metrics:
+def incremental_sync(
+    job: TableJob, *, feed: DataFrame | None = None, batch: tuple[str, int] | None = None, stop_on_error: bool = True
+) -> Metrics:
     """Replay the changes after the target's position and commit both together.
 
     The new part of the feed is read once and written to the shared folder with
     a verdict on each change; every later step reads that copy. No new changes:
-    target and position stay as they are.
+    the rows stay as they are, and the position moves on to the source's.
+
+    ``feed`` is a stream's micro-batch and ``batch`` its query and number. A
+    micro-batch the target already holds is skipped. Of the others, changes up
+    to the position the target had when the query first came are dropped as
+    known, later ones are applied even if their position was reached before, as
+    one transaction may come in several parts, and those below it are too late
+    and count as rejected.
     """
     metrics = Metrics(job.table, "incremental")
 
     def work() -> None:
         base = job.store.current(job.table)
         metrics.watermark = base.position
-        source = feed
-        if source is None:
+        upper, mine = None, None
+        if feed is None:
             floor = job.retained_from(job.spark) if job.retained_from else None
             if floor is not None and base.position < floor:
                 again = initial_sync(job, full_refresh=True)
                 metrics.phase, metrics.loaded, metrics.watermark = "reloaded", again.loaded, again.watermark
                 return
+            reached = job.position(job.spark) if job.position else None
+            upper = None if reached is None else max(reached, base.position)
             source = job.changes(job.spark, base.position)
             if source is None:
                 metrics.phase = "not captured"
                 return
+            fresh = changes_since(source, base.position, upto=upper)
+            if job.check_positions and not misplaced(source).select(_c(LSN)).isEmpty():
+                fresh = misplaced(fresh, others=True).unionByName(misplaced(source))
+        else:
+            source, late_below = feed, None
+            if batch is not None:
+                known = base.last_batch(batch[0])
+                if known and known.number >= batch[1]:
+                    metrics.phase = "repeated"
+                    return
+                mine = Batch(*batch, known.floor if known else base.position)
+                floor, late_below = mine.floor, base.position
+            else:
+                floor = base.position
+            fresh = source.where((_c(LSN) > lsn_literal(floor)) | misplaced())
         schema = base.columns
         columns = job.columns or [(c, c) for c in schema.names]
         order = [c for c in job.order_by or () if c in source.columns]
         extra = [c for c in (SEQ, *order) if c in source.columns and c not in (OP, LSN, *schema.names)]
-        fresh = project_mapped(
-            changes_since(source, base.position), columns, keep=[OP, LSN, *dict.fromkeys(extra)]
-        )
+        fresh = project_mapped(fresh, columns, keep=[OP, LSN, *dict.fromkeys(extra)])
         null_keys = "ignore" if job.mode == "bag" else "reject"
         judged = with_reason(fresh, schema, base.keys, other_ops="ignore", null_keys=null_keys)
+        if mine:
+            late = F.col(REASON).isNull() & (_c(LSN) < lsn_literal(late_below))
+            judged = judged.withColumn(REASON, F.when(late, F.lit(LATE)).otherwise(F.col(REASON)))
         with scratch(job.spark, "changes") as path:
             staged, counts = _stage(job.spark, judged, path)
-            if counts["n"]:
-                replay(base, staged, counts)
+            replay(base, staged, counts, upper, mine)
 
-    def replay(base: Version, staged: DataFrame, counts: dict) -> None:
+    def replay(base: State, staged: DataFrame, counts: dict, upper: bytes | None, mine: Batch | None) -> None:
         metrics.inserts, metrics.updates, metrics.deletes = counts["ins"], counts["upd"], counts["del"]
         metrics.ignored, metrics.rejected = counts["other"], counts["bad"]
-        position = max(base.position, bytes.fromhex(counts["high"] or ""))
+        # A micro-batch never comes again, and up to ``upper`` everything was read: all that is rejected goes aside now.
+        whole = upper is not None or mine is not None
+        position = upper or max(base.position, bytes.fromhex(counts["reached" if mine else "high"] or ""))
+        rejected = None
         if counts["bad"]:
-            rejected = staged.where(F.col(REASON).isNotNull())
+            bad = staged.where(F.col(REASON).isNotNull())
             if job.on_error != "quarantine":
-                reasons = [r[REASON] for r in rejected.select(REASON).distinct().limit(20).collect()]
-                raise RejectedChanges(f"{counts['bad']} changes of {job.table} rejected: {', '.join(sorted(reasons))}")
-            # Later ones are read again with the next cycle.
-            if bytes.fromhex(counts["low"]) <= position:
-                job.store.quarantine(job.table, rejected.where(_c(LSN) <= lsn_literal(position)))
-            if counts["bad"] == counts["n"]:
-                return
-        good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), base.columns)
-        if job.mode == "upsert":
-            last = last_changes(good, base.keys, columns=base.columns.names, order_by=job.order_by)
-            version = job.store.replay_later(job.table, last, position)
-            if not job.fold_after or version.waiting_share() > job.fold_share:
-                version = job.store.fold(job.table)
-            elif len(version.pending) > job.fold_after:
-                version = job.store.squash(job.table)
+                # As many rows as the table has columns, at most.
+                found = sorted(tuple(r) for r in bad.groupBy(REASON).count().collect())
+                reasons = ", ".join(f"{reason} ({n})" for reason, n in found)
+                raise RejectedChanges(f"{counts['bad']} changes of {job.table} rejected: {reasons}")
+            # Without an upper end later ones are read again with the next cycle.
+            rejected = bad if whole else bad.where((F.col(REASON) == BAD_POSITION) | (_c(LSN) <= lsn_literal(position)))
+            if mine is None:
+                rejected = _not_aside(job.store, job.table, rejected)
+            if rejected.isEmpty():
+                rejected = None
+        if counts["n"] > counts["bad"]:
+            good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), base.columns)
+            state = job.store.replay(
+                job.table, good, position, mode=job.mode, order_by=job.order_by, rejected=rejected, batch=mine
+            )
+        elif rejected is not None or position > base.position:
+            state = job.store.advance(job.table, position, rejected=rejected, batch=mine)
         else:
-            version = job.store.replay(job.table, good, position, mode=job.mode, order_by=job.order_by)
-        metrics.watermark = version.position
+            return
+        metrics.watermark = state.position
         if job.retain_hours is not None:
             job.store.prune(job.table, hours=job.retain_hours)
 
     return _timed(metrics, work, stop_on_error)
 
 
+def _not_aside(store: Target, table: str, rejected: DataFrame) -> DataFrame:
+    """Without changes of a bad position that are aside already: polling meets them in every cycle."""
+    held = store.quarantined(table)
+    if held is None:
+        return rejected
+    columns = [c for c in rejected.columns if c in held.columns]
+
+    def mark(df: DataFrame) -> Column:
+        return F.sha2(F.to_json(F.struct(*[_c(c).cast("string").alias(c) for c in columns])), 256)
+
+    known = held.where(F.col(REASON) == BAD_POSITION).select(mark(held).alias("__mark")).distinct()
+    marked = rejected.withColumn("__mark", F.when(F.col(REASON) == BAD_POSITION, mark(rejected)))
+    return marked.join(known, "__mark", "left_anti").drop("__mark")
+
+
 def _stage(spark: SparkSession, judged: DataFrame, path: str) -> tuple[DataFrame, dict]:
     """Write the judged changes once, counting on the way."""
     fine, op = F.col(REASON).isNull(), _c(OP)
+    placed = F.octet_length(_c(LSN)) == LSN_BYTES
     seen = Observation()
     counted = judged.observe(
         seen,
@@ -276,7 +354,7 @@ def _stage(spark: SparkSession, judged: DataFrame, path: str) -> tuple[DataFrame
         F.count_if(fine & ~F.coalesce(op.isin(INSERT, UPDATE, DELETE), F.lit(False))).alias("other"),
         F.count_if(~fine).alias("bad"),
         F.max(F.when(fine, F.hex(_c(LSN)))).alias("high"),
-        F.min(F.when(~fine, F.hex(_c(LSN)))).alias("low"),
+        F.max(F.when(placed, F.hex(_c(LSN)))).alias("reached"),
     )
     staged = written(counted, "changes", reader=spark, path=path)
     return staged, seen.get

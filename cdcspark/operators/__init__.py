@@ -5,6 +5,7 @@ from cdcspark.operators.apply import (
     last_changes,
     merge_last,
     new_watermark,
+    to_types,
     watermark_after,
 )
 from cdcspark.operators.feed import (

@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cdcspark.functions.lsn import APPLIED_OPS, DELETE, INSERT, LSN, OP, SEQ, SYNC, UPDATE, lsn_literal, pad_lsn
 from cdcspark.operators.skew import hot_keys, lookup_join
@@ -28,6 +29,25 @@ def data_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != SYNC]
 
 
+def to_types(df: DataFrame, schema: StructType) -> DataFrame:
+    """Columns of ``df`` that ``schema`` has too, in its types; a value that does not fit raises an error.
+
+    Keys are hashed and compared by type, so this comes before anything else.
+    Other columns stay.
+    """
+    have, wanted = dict(df.dtypes), {f.name: f.dataType.simpleString() for f in schema.fields}
+
+    def column(name: str) -> Column:
+        kind = wanted.get(name, have[name])
+        if kind == have[name]:
+            return _c(name)
+        cast = _c(name).try_cast(kind)
+        lost = _c(name).isNotNull() & cast.isNull()
+        return F.when(lost, F.raise_error(f"a value of {name} is no {kind}")).otherwise(cast).alias(name)
+
+    return df.select(*[column(c) for c in df.columns])
+
+
 def order_columns(changes: DataFrame, order_by: Sequence[str] | None) -> list[str]:
     if order_by:
         return list(order_by)
@@ -123,9 +143,12 @@ def apply_changes(
     inserts append, updates and deletes match nothing. Other operation codes
     change nothing.
 
+    Keys and data of the changes are brought to the target's types first; a
+    value that does not fit raises an error.
+
     ``hot`` lists hashes of hot keys (see ``hot_keys``); left out, ``strict``
     looks for them among the inserts, ``bag`` and first-column keys among the
-    target rows too.
+    target rows too. That look runs a job when this function is called.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -134,6 +157,7 @@ def apply_changes(
     keys = [columns[0]] if guessed else list(keys)
     order = order_columns(changes, order_by)
     target = target.select(*[_c(c) for c in columns])
+    changes = to_types(changes, target.schema)
     if mode == "bag":
         return _apply_bag(target, changes, keys, columns, order, hot)
     if mode == "strict":

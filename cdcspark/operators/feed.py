@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from py4j.protocol import Py4JError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,8 +22,6 @@ from cdcspark.operators.apply import (
     order_columns,
     positioned,
 )
-from cdcspark.session import written
-
 MISSING, EXTRA, DIFFERENT, EQUAL = "missing", "extra", "different", "equal"
 
 
@@ -49,6 +48,7 @@ def net_changes(feed: DataFrame, keys: Sequence[str], *, order_by: Sequence[str]
 
     Insert … delete cancels out, insert … update is an insert of the last
     image, delete … insert is an update, anything else ends as its last change.
+    Inserts with a null key concern no key and pass as they are.
     """
     order = order_columns(feed, order_by)
     columns = [c for c in feed.columns if c not in (OP, *order) and c not in keys]
@@ -67,10 +67,39 @@ def net_changes(feed: DataFrame, keys: Sequence[str], *, order_by: Sequence[str]
     first, last = F.col("__first")[OP], F.col("__last")[OP]
     born = first == INSERT
     op = F.when(last == DELETE, DELETE).when(born, INSERT).otherwise(UPDATE)
-    return ends.where(~(born & (last == DELETE))).select(
+    keyless = feed.where((_c(OP) == INSERT) & ~has_key(keys))
+    net = ends.where(~(born & (last == DELETE))).select(
         op.alias(OP), *[F.col(f"__last.__row.`{c}`") for c in order if c != OP], *[_c(k) for k in keys],
         *[F.col(f"__last.__row.`{c}`") for c in columns],
     )
+    return net.unionByName(keyless.select(*[_c(c) for c in net.columns]))
+
+
+def _common(source: DataFrame, target: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Both tables with each column in a type that holds the values of both sides.
+
+    That is the wider one as Spark sees it (a whole number meets a fraction as a
+    double); where one side is text, or no such type exists, the text forms
+    are compared. Nothing is cast to a narrower type, so no value becomes null.
+    """
+    left, right = dict(source.dtypes), dict(target.dtypes)
+
+    def kind(name: str) -> str | None:
+        if left[name] == right[name]:
+            return None
+        if "string" in (left[name], right[name]):
+            return "string"
+        try:
+            return source.select(_c(name)).limit(0).union(target.select(_c(name)).limit(0)).dtypes[0][1]
+        except AnalysisException:
+            return "string"
+
+    kinds = {c: kind(c) for c in columns}
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.select(*[_c(c).cast(kinds[c]).alias(c) if kinds[c] else _c(c) for c in columns])
+
+    return side(source), side(target)
 
 
 def _sides(source: DataFrame, target: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
@@ -85,9 +114,8 @@ def _sides(source: DataFrame, target: DataFrame, columns: Sequence[str], keys: S
             *[_c(k) for k in keys], F.lit(mark).alias("__side"), (weight if mark > 0 else -weight).alias("__weight")
         )
 
-    types = dict(source.dtypes)
-    same = target.select(*[_c(c).try_cast(types[c]).alias(c) for c in dict.fromkeys([*keys, *columns])])
-    return side(source, 1).unionByName(side(same, -1))
+    source, target = _common(source, target, list(dict.fromkeys([*keys, *columns])))
+    return side(source, 1).unionByName(side(target, -1))
 
 
 def reconcile(
@@ -105,7 +133,8 @@ def reconcile(
     rows. Only the key, two counts and the sum of 64-bit row hashes are
     shuffled, summed in the map tasks first, so the cost does not grow with
     row width or with the size of a group. Without ``keys`` whole rows are
-    compared. ``prefix`` goes before the names of the three added columns.
+    compared. Where a column's types differ, values are compared in a type that
+    holds both. ``prefix`` goes before the names of the three added columns.
     """
     columns = list(columns or data_columns(source))
     keys = list(keys) if keys else columns
@@ -143,9 +172,10 @@ def capture_changes(
 ) -> DataFrame:
     """Changes that lead from one snapshot to the next, as a feed.
 
-    The snapshots are compared by hash first (see ``reconcile``); the changed
-    keys are written once, and full rows are read for those keys only. Keys
-    must be unique in both snapshots. All changes carry position ``batch``.
+    The snapshots are compared by hash first (see ``reconcile``), then full rows
+    are taken for the changed keys only. Keys must be unique in both
+    snapshots. All changes carry position ``batch``. Nothing runs before the
+    result is used.
     """
     keys = list(keys)
     columns = list(columns or data_columns(after))
@@ -154,22 +184,21 @@ def capture_changes(
     repeated = (F.col("__source_rows") > 1) | (F.col("__target_rows") > 1)
     unique = F.when(repeated, F.raise_error("the key is not unique in a snapshot")).otherwise(status)
     op = F.when(status == MISSING, DELETE).when(status == EXTRA, INSERT).otherwise(UPDATE)
-    changed = written(
-        compared.withColumn("__status", unique).where(status != EQUAL).select(*[_c(k) for k in keys], op.alias(OP)),
-        "changed-keys",
+    changed = compared.withColumn("__status", unique).where(status != EQUAL).select(
+        *[_c(k).alias(f"__key_{i}") for i, k in enumerate(keys)], op.alias(OP)
     )
 
-    def rows(df: DataFrame, ops: Column) -> DataFrame:
-        return df.select(*[_c(c) for c in columns]).join(_null_safe(changed.where(ops), keys), _on(keys), "inner")
+    def rows(df: DataFrame, is_after: bool) -> DataFrame:
+        types = dict(after.dtypes)
+        picked = [_c(c).cast(types[c]).alias(c) if dict(df.dtypes)[c] != types[c] else _c(c) for c in columns]
+        return df.select(*picked, F.lit(is_after).alias("__after"))
 
-    body = rows(after, _c(OP) != DELETE).unionByName(rows(before, _c(OP) == DELETE))
+    # A delete takes the row from before, the others the row from after: one join serves both.
+    both = rows(after, True).unionByName(rows(before, False))
+    body = both.join(changed, _on(keys) & (F.col("__after") == (_c(OP) != DELETE)), "inner")
     return body.select(_c(OP), lsn_from_number(F.lit(batch)).alias(LSN), *[_c(c) for c in columns])
 
 
-def _null_safe(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.select(*[_c(k).alias(f"__key_{i}") for i, k in enumerate(keys)], _c(OP))
-
-
 def _on(keys: Sequence[str]) -> Column:
     match = _c(keys[0]).eqNullSafe(F.col("__key_0"))
     for i, k in enumerate(keys[1:], 1):
@@ -179,23 +208,26 @@ def _on(keys: Sequence[str]) -> Column:
 
 def pair_status(
     spark: SparkSession,
-    pairs: Sequence[tuple[str, str]],
+    pairs: Sequence[tuple[str, str]] | DataFrame,
     *,
     read: Callable[[SparkSession, str], DataFrame] | None = None,
 ) -> DataFrame:
     """For each configured (source, target) pair and side: does it exist, how many rows.
 
     ``read`` opens a table by name and defaults to ``spark.table``; a name it
-    cannot open is reported as absent.
+    cannot open, whatever the reason, is reported as absent. ``pairs`` come from
+    ``parse_pairs`` or a list.
     """
     read = read or (lambda session, name: session.table(name))
+    if isinstance(pairs, DataFrame):
+        pairs = [(r["source_name"], r["target_name"]) for r in pairs.orderBy("pos").collect()]
     schema = "pair int, side string, table_name string, present boolean, n_rows bigint"
     parts = []
     for i, pair in enumerate(pairs):
         for side, name in zip(("source", "target"), pair):
             try:
                 counted = read(spark, name).agg(F.count(F.lit(1)).alias("n_rows"))
-            except AnalysisException:
+            except (AnalysisException, Py4JError, OSError):
                 counted = spark.range(1).select(F.lit(None).cast("bigint").alias("n_rows"))
             parts.append(
                 counted.select(

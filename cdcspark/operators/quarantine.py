@@ -13,6 +13,9 @@ from cdcspark.operators.apply import _c
 
 REASON = "__$reason"
 
+#: Reasons that concern the position: missing or malformed, or passed by a stream before.
+BAD_POSITION, LATE = "bad log position", "late log position"
+
 
 def _cast(name: str, wanted: str) -> Column:
     return _c(name).try_cast(wanted)
@@ -37,7 +40,7 @@ def with_reason(
     verdict = None if other_ops == "ignore" else "unknown operation"
     reason = F.when(~F.coalesce(_c(OP).isin(*APPLIED_OPS), F.lit(False)), F.lit(verdict).cast("string"))
     width = F.octet_length(_c(LSN).cast("binary"))
-    reason = reason.when(F.coalesce(width != LSN_BYTES, F.lit(True)), F.lit("bad log position"))
+    reason = reason.when(F.coalesce(width != LSN_BYTES, F.lit(True)), F.lit(BAD_POSITION))
     if null_keys != "ignore":
         for k in keys:
             reason = reason.when(_c(k).isNull(), F.lit(f"null key {k}"))

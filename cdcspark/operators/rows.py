@@ -43,13 +43,16 @@ def delete_by_key(df: DataFrame, key: Mapping[str, Any]) -> DataFrame:
 def thin_rows(df: DataFrame, percent: float, *, seed: int | None = None, by: str | None = None) -> DataFrame:
     """Delete each row with a probability of ``percent``.
 
-    With ``by``, a whole-number column, the draw is a fixed function of that
-    column, so the same rows go on every run and after a lost task.
+    With ``by``, a column of any type, the draw is a fixed function of its text
+    form, so the same rows go on every run and after a lost task; null counts
+    as empty text.
     """
     if not 0 <= percent <= 100:
         raise ValueError("percent lies between 0 and 100")
     if by is not None:
-        return df.where(F.pmod(F.pmod(_c(by), F.lit(100)) * 7919, F.lit(100)) >= percent)
+        digits = F.substring(F.md5(F.coalesce(_c(by).cast("string"), F.lit("")).cast("binary")), 1, 12)
+        draw = F.conv(digits, 16, 10).cast("double") / F.lit(float(16**12))
+        return df.where(draw >= percent / 100.0)
     return df.where(F.rand(seed) >= percent / 100.0)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import DecimalType, StructField, StructType, _parse_datatype_string
 
 from cdcspark.functions.lsn import SYNC
 
@@ -29,12 +29,35 @@ PLAIN_TYPES = {
     "binary": "binary",
     "varbinary": "binary",
     "blob": "binary",
+    "image": "binary",
+    "rowversion": "binary",
+    "timestamp": "binary",
+    "money": "decimal(19,4)",
+    "smallmoney": "decimal(10,4)",
+    "uniqueidentifier": "string",
+    "datetimeoffset": "timestamp",
+    "xml": "string",
 }
+
+# Source type names for the Spark types of landed files.
+LANDED_TYPES = {
+    "int": "int", "bigint": "bigint", "smallint": "smallint", "tinyint": "smallint", "float": "real", "double": "float",
+    "boolean": "bit", "date": "date", "timestamp": "datetimeoffset", "timestamp_ntz": "datetime2", "string": "varchar",
+    "binary": "varbinary",
+}
+
+#: Where a column's source type is kept when its values are held as text for want of a better type.
+SOURCE_TYPE = "source_type"
 DEFAULT_PRECISION, DEFAULT_SCALE = 38, 18
 
+INFORMATION_SCHEMA = (
+    "COLUMN_NAME string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH int, NUMERIC_PRECISION int, NUMERIC_SCALE int, "
+    "IS_NULLABLE string, ORDINAL_POSITION int"
+)
+
 
 def spark_type(info: DataFrame) -> Column:
-    """Spark type, as DDL text, for rows of an information schema; unknown types give null.
+    """Spark type, as DDL text, for rows of an information schema; values of unknown types are held as text.
 
     Decimals keep precision and scale where the information schema has them.
     Time of day is kept as ``HH:mm:ss`` text.
@@ -50,17 +73,18 @@ def spark_type(info: DataFrame) -> Column:
     known = known.when(kind.isin(*DECIMAL_TYPES), decimal)
     for name, held_by in PLAIN_TYPES.items():
         known = known.when(kind == name, F.lit(held_by))
-    return known
+    return known.otherwise(F.when(kind.isNotNull(), F.lit("string")))
 
 
 def declared_type(info: DataFrame) -> Column:
     """Column type for the DDL of a relational target.
 
-    Text keeps its length and gets 255 without one, ``datetime`` and ``bit``
+    Type names are read without regard to case, here as for ``spark_type``, and
+    given in lower case. Text keeps its length and gets 255 without one, ``datetime`` and ``bit``
     get the target's names, other types pass by name. A length of -1 (no limit) becomes
     ``text``; decimals keep precision and scale if known.
     """
-    kind = F.col("DATA_TYPE")
+    kind = F.lower(F.col("DATA_TYPE"))
     length = F.col("CHARACTER_MAXIMUM_LENGTH").cast("int")
     text = F.when(length == -1, F.lit("text")).otherwise(
         F.concat(kind, F.lit("("), F.coalesce(F.nullif(length, F.lit(0)), F.lit(255)).cast("string"), F.lit(")"))
@@ -85,6 +109,18 @@ def translate_types(info: DataFrame) -> DataFrame:
     )
 
 
+def describe(df: DataFrame) -> DataFrame:
+    """An information schema of a DataFrame's own columns; types without a source name keep Spark's."""
+    rows = []
+    for i, f in enumerate(df.schema.fields, 1):
+        kind, precision, scale = f.dataType.simpleString(), None, None
+        if isinstance(f.dataType, DecimalType):
+            kind, precision, scale = "decimal", f.dataType.precision, f.dataType.scale
+        length = -1 if kind == "string" else None
+        rows.append((f.name, LANDED_TYPES.get(kind, kind), length, precision, scale, "YES" if f.nullable else "NO", i))
+    return df.sparkSession.createDataFrame(rows, INFORMATION_SCHEMA)
+
+
 def translate_schema(info: DataFrame) -> StructType:
     """Schema of one table from its information-schema rows.
 
@@ -99,8 +135,9 @@ def translate_schema(info: DataFrame) -> StructType:
         if row["COLUMN_NAME"] == SYNC:
             continue
         if row["spark_type"] is None:
-            raise ValueError(f"column {row['COLUMN_NAME']} has unsupported type {row['DATA_TYPE']}")
-        fields.append(StructField(row["COLUMN_NAME"], _parse_datatype_string(row["spark_type"]), row["nullable"]))
+            raise ValueError(f"column {row['COLUMN_NAME']} has no type")
+        kept = {SOURCE_TYPE: row["DATA_TYPE"]} if row["spark_type"] == "string" else None
+        fields.append(StructField(row["COLUMN_NAME"], _parse_datatype_string(row["spark_type"]), row["nullable"], kept))
     if not fields:
         raise LookupError("the table is not in the source's information schema")
     return StructType(fields)

@@ -3,21 +3,19 @@
 Layout of one table::
 
     <root>/<table>/data/__commit=<id>/__bucket=<n>/*.parquet
-    <root>/<table>/changes/__commit=<id>/*.parquet
     <root>/<table>/commits/<version>.json
     <root>/<table>/quarantine/commit=<id>/*.parquet
 
-A version file names the folders that make up the table and the log position
-they stand for. A commit writes new folders first and the next version file
-last; readers follow the highest version, so they never see half a change, and
-a job that dies in between leaves the old version in force.
+A version file names the folders that make up the table, the log position they
+stand for, the folders of rejected changes and the last micro-batch of each
+stream. A commit writes new folders first and the next version file last;
+readers follow the highest version, so they never see half a change, and a job
+that dies in between leaves the old version in force.
 
 Rows are spread over buckets by key hash. A replay rewrites the buckets that
-hold changed keys and refers to the others where they are. With few changes to
-every bucket that is still a lot of writing, so a replay may also leave the last
-change of each key next to the rows (``changes/``, a few files). Reading merges
-them in; ``squash`` turns many such replays into one, and ``fold`` rewrites the
-buckets once there are enough changes to be worth it.
+hold changed keys and refers to the others where they are. Tables whose buckets
+are all touched by every replay belong into a row-level table format (see
+``sinks.catalog``).
 """
 
 from __future__ import annotations
@@ -25,27 +23,31 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from collections.abc import Iterable, Sequence
-from dataclasses import asdict, dataclass, field
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import asdict, dataclass, field, fields
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import StructField, StructType
 
 from cdcspark import files
-from cdcspark.functions.lsn import OP, SYNC, ZERO_LSN, lsn_literal, pad_lsn
-from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied, merge_last
+from cdcspark.functions.lsn import SYNC, ZERO_LSN, lsn_literal, pad_lsn
+from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied, to_types
+from cdcspark.operators.rows import delete_by_key, update_by_key
+from cdcspark.sinks.target import Batch, CommitConflict
 
 COMMIT, BUCKET = "__commit", "__bucket"
 
 
-class CommitConflict(RuntimeError):
-    """Another job committed to the table first."""
-
-
 @dataclass
 class Version:
-    """Content of a version file."""
+    """Content of a version file.
+
+    ``batches`` has, per stream, its last micro-batch and the position the
+    table had before its first one. ``written`` is the number of rows this
+    commit wrote; it is not stored.
+    """
 
     number: int
     lsn: str
@@ -53,42 +55,50 @@ class Version:
     keys: list[str]
     buckets: int
     folders: dict[str, list[int]] = field(default_factory=dict)
-    pending: list[str] = field(default_factory=list)
-    rows: dict[str, int] = field(default_factory=dict)
     partial: list[str] = field(default_factory=list)
+    quarantine: list[str] = field(default_factory=list)
+    batches: dict[str, list] = field(default_factory=dict)
+    written: int = 0
+
+    @classmethod
+    def read(cls, text: str) -> Version:
+        stored = json.loads(text)
+        return cls(**{f.name: stored[f.name] for f in fields(cls) if f.name in stored})
+
+    def text(self) -> str:
+        return json.dumps({k: v for k, v in asdict(self).items() if k != "written"})
 
     def next(self, lsn: bytes | None = None) -> Version:
         """A copy to be committed after this one."""
-        return Version(
-            self.number + 1, self.lsn if lsn is None else pad_lsn(lsn).hex(), self.schema, list(self.keys),
-            self.buckets, dict(self.folders), list(self.pending), dict(self.rows), list(self.partial),
-        )
+        new = Version.read(self.text())
+        new.number += 1
+        if lsn is not None:
+            new.lsn = pad_lsn(lsn).hex()
+        return new
 
     def drop_buckets(self, gone: set[int]) -> None:
-        """Leave out some buckets of every folder; row counts shrink in proportion."""
+        """Leave out some buckets of every folder."""
         for commit, numbers in list(self.folders.items()):
             rest = [b for b in numbers if b not in gone]
             if len(rest) == len(numbers):
                 continue
             del self.folders[commit]
-            count = self.rows.pop(commit, 0)
             if rest:
                 self.folders[commit] = rest
-                self.rows[commit] = count * len(rest) // len(numbers)
                 if commit not in self.partial:
                     self.partial.append(commit)
         self.partial = [c for c in self.partial if c in self.folders]
 
-    def settle(self) -> None:
-        """Forget the waiting changes: the rows hold them now."""
-        for commit in self.pending:
-            self.rows.pop(commit, None)
-        self.pending = []
+    def note(self, batch: Batch | None) -> None:
+        """Remember that a stream's micro-batch is in this version."""
+        if batch is not None:
+            self.batches[batch.query] = [batch.number, batch.floor.hex()]
 
-    def waiting_share(self) -> float:
-        """Rows of waiting changes relative to the table's rows."""
-        waiting = sum(self.rows.get(c, 0) for c in self.pending)
-        return waiting / max(1, sum(self.rows.get(c, 0) for c in self.folders))
+    def last_batch(self, query: str) -> Batch | None:
+        if query not in self.batches:
+            return None
+        number, floor = self.batches[query]
+        return Batch(query, number, bytes.fromhex(floor))
 
     @property
     def position(self) -> bytes:
@@ -117,9 +127,6 @@ class Store:
     def _data(self, table: str) -> str:
         return f"{self.path}/{table}/data"
 
-    def _changes(self, table: str) -> str:
-        return f"{self.path}/{table}/changes"
-
     def _numbers(self, table: str) -> list[int]:
         names = files.names_in(self.spark, self._commits(table))
         return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
@@ -134,14 +141,19 @@ class Store:
         return self._version(table, numbers[-1])
 
     def _version(self, table: str, number: int) -> Version:
-        return Version(**json.loads(files.read_text(self.spark, f"{self._commits(table)}/{number:010d}.json")))
+        return Version.read(files.read_text(self.spark, f"{self._commits(table)}/{number:010d}.json"))
 
     def _publish(self, table: str, version: Version) -> Version:
         name = f"{self._commits(table)}/{version.number:010d}.json"
-        if not files.create_text(self.spark, name, json.dumps(asdict(version))):
+        if not files.create_text(self.spark, name, version.text()):
             raise CommitConflict(f"version {version.number} of {table} was committed by another job")
         return version
 
+    def is_new(self, table: str) -> bool:
+        """Made by ``create_if_absent`` and never loaded."""
+        version = self.current(table)
+        return version.number == 1 and not version.folders and version.position == ZERO_LSN
+
     def watermark(self, table: str) -> bytes:
         """Log position of the table, the start of the log if it was never loaded."""
         return self.current(table).position if self.exists(table) else ZERO_LSN
@@ -149,7 +161,7 @@ class Store:
     # -- reading ----------------------------------------------------------
 
     def _rows(self, table: str, version: Version, buckets: Iterable[int] | None) -> DataFrame:
-        """Rows of the table's folders, all or some buckets, without waiting changes.
+        """Rows of the table's folders, all or some buckets.
 
         A commit of which every bucket is wanted is named by its folder, so a
         table of many buckets does not need a path for each.
@@ -166,19 +178,6 @@ class Store:
         reader = self.spark.read.schema(version.columns).option("basePath", root)
         return reader.parquet(*folders).drop(COMMIT, BUCKET)
 
-    def _waiting(self, table: str, version: Version) -> DataFrame:
-        """Last change of each key among the replays not folded in yet."""
-        root = self._changes(table)
-        schema = StructType([StructField(OP, IntegerType()), *version.columns.fields])
-        reader = self.spark.read.schema(schema).option("basePath", root)
-        found = reader.parquet(*[f"{root}/{COMMIT}={c}" for c in version.pending])
-        if len(version.pending) == 1:
-            return found.drop(COMMIT)
-        # Commit ids sort in commit order; each commit holds a key at most once.
-        image = F.struct(*[_c(c) for c in (OP, *version.columns.names) if c not in version.keys])
-        newest = found.groupBy(*[_c(k) for k in version.keys]).agg(F.max_by(image, F.col(COMMIT)).alias("image"))
-        return newest.select(*[_c(k) for k in version.keys], "image.*")
-
     def read(
         self,
         table: str,
@@ -189,13 +188,7 @@ class Store:
     ) -> DataFrame:
         """The table at its current version, by default with the sync column."""
         version = version or self.current(table)
-        buckets = None if buckets is None else sorted(set(buckets))
-        df = self._rows(table, version, buckets)
-        if version.pending:
-            last = self._waiting(table, version)
-            if buckets is not None:
-                last = last.where(bucket_of(version.keys, version.buckets).isin(*buckets))
-            df = merge_last(df, last, version.keys)
+        df = self._rows(table, version, None if buckets is None else sorted(set(buckets)))
         return df.withColumn(SYNC, lsn_literal(version.position)) if with_sync else df
 
     # -- writing ----------------------------------------------------------
@@ -209,35 +202,59 @@ class Store:
         return True
 
     def full_load(
-        self, table: str, df: DataFrame, lsn: bytes | None, *, keys: Sequence[str] | None = None
+        self,
+        table: str,
+        df: DataFrame,
+        lsn: bytes | None,
+        *,
+        keys: Sequence[str] | None = None,
+        schema: StructType | None = None,
     ) -> Version:
         """Replace the whole table by ``df`` at log position ``lsn``.
 
-        Keys default to those the table has, else to the first column. Columns
-        may be null unless the table was created otherwise: what Spark infers
-        for ``df`` is no rule for later changes.
+        Keys default to those the table has, else to the first column. ``schema``
+        declares the columns' types and rules; without it they are those of
+        ``df``, and columns may be null unless the table was created
+        otherwise: what Spark infers for ``df`` is no rule for later changes.
         """
         df = df.select(*[_c(c) for c in data_columns(df)])
-        schema = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
         old = self.current(table) if self.exists(table) else None
-        if old and [(f.name, f.dataType) for f in old.columns] == [(f.name, f.dataType) for f in schema]:
-            schema = old.columns
+        if schema is None:
+            schema = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+            if old and [(f.name, f.dataType) for f in old.columns] == [(f.name, f.dataType) for f in schema]:
+                schema = old.columns
         keys = list(keys or (old and old.keys) or df.columns[:1])
         version = Version(old.number + 1 if old else 1, pad_lsn(lsn).hex(), schema.json(), keys, self.buckets)
+        if old:
+            version.quarantine = list(old.quarantine)
         self._write(table, df, version)
         return self._publish(table, version)
 
     def commit(
-        self, table: str, df: DataFrame | None, lsn: bytes, *, buckets: Iterable[int], base: Version
+        self,
+        table: str,
+        df: DataFrame | None,
+        lsn: bytes,
+        *,
+        buckets: Iterable[int],
+        base: Version,
+        rejected: DataFrame | None = None,
+        batch: Batch | None = None,
     ) -> Version:
         """Replace the given buckets by ``df``; the others and their files stay.
 
         ``base`` is the version ``df`` was computed from. A bucket that ``df``
-        has no rows for becomes empty.
+        has no rows for becomes empty. ``rejected`` changes are set aside and
+        ``batch`` is remembered by the same commit.
         """
         gone = set(buckets)
         version = base.next(lsn)
         version.drop_buckets(gone)
+        version.note(batch)
+        if rejected is not None:
+            folder = f"commit={uuid.uuid4().hex}"
+            rejected.write.parquet(f"{self._aside(table)}/{folder}")
+            version.quarantine.append(folder)
         if df is not None and gone:
             self._write(table, df, version)
         return self._publish(table, version)
@@ -245,14 +262,13 @@ class Store:
     def clear(self, table: str) -> Version:
         """Empty the table; the log position stays."""
         version = self.current(table).next()
-        version.folders, version.pending, version.rows, version.partial = {}, [], {}, []
+        version.folders, version.partial = {}, []
         return self._publish(table, version)
 
     def append(self, table: str, df: DataFrame) -> Version:
         """Add rows without looking at those already there; the log position stays."""
-        version = self.fold(table).next()
-        rows = df.select(*[_c(c) for c in version.columns.names])
-        self._write(table, rows, version)
+        version = self.current(table).next()
+        self._write(table, df.select(*[_c(c) for c in version.columns.names]), version)
         return self._publish(table, version)
 
     def replay(
@@ -263,58 +279,51 @@ class Store:
         *,
         mode: str = "upsert",
         order_by: Sequence[str] | None = None,
+        rejected: DataFrame | None = None,
+        batch: Batch | None = None,
     ) -> Version:
         """Apply changes to the buckets they touch and commit them with their position.
 
-        ``changes`` is read several times, so it should be a written table.
+        ``changes`` is read several times, so it should be a written table. Keys
+        and data are brought to the table's types first; a value that does not
+        fit raises an error.
         """
-        base = self.fold(table)
+        base = self.current(table)
+        changes = to_types(changes, base.columns)
         bucket = bucket_of(base.keys, base.buckets)
         # At most one number per bucket reaches the driver.
         touched = [r[0] for r in changes.where(is_applied()).select(bucket.alias("b")).distinct().collect()]
-        if not touched:
-            return self.commit(table, None, lsn, buckets=(), base=base)
-        target = self.read(table, with_sync=False, buckets=touched, version=base)
-        result = apply_changes(target, changes, keys=base.keys, order_by=order_by, mode=mode)
-        return self.commit(table, result, lsn, buckets=touched, base=base)
-
-    def replay_later(self, table: str, last: DataFrame, lsn: bytes) -> Version:
-        """Commit the last change of each key without touching the rows.
+        result = None
+        if touched:
+            target = self.read(table, with_sync=False, buckets=touched, version=base)
+            result = apply_changes(target, changes, keys=base.keys, order_by=order_by, mode=mode)
+        return self.commit(table, result, lsn, buckets=touched, base=base, rejected=rejected, batch=batch)
 
-        ``last`` has one row per key (see ``last_changes``). The work grows with the
-        changes alone, however large the table is.
-        """
-        version = self.current(table).next(lsn)
-        self._write_changes(table, last, version)
-        return self._publish(table, version)
+    def advance(
+        self, table: str, lsn: bytes, *, rejected: DataFrame | None = None, batch: Batch | None = None
+    ) -> Version:
+        """Move the position on over a range without changes that apply; rows and files stay."""
+        return self.commit(table, None, lsn, buckets=(), base=self.current(table), rejected=rejected, batch=batch)
 
-    def squash(self, table: str) -> Version:
-        """Turn several waiting replays into one; the rows stay as they are."""
-        base = self.current(table)
-        if len(base.pending) < 2:
-            return base
-        version = base.next()
-        version.settle()
-        self._write_changes(table, self._waiting(table, base), version)
-        return self._publish(table, version)
+    def update_rows(self, table: str, key: Mapping[str, Any], values: Mapping[str, Any]) -> Version:
+        """Set fields of the rows with the given (composite) key; the log position stays."""
+        return self._edit(table, key, lambda rows: update_by_key(rows, key, values))
 
-    def fold(self, table: str) -> Version:
-        """Bring changes committed by ``replay_later`` into the rows of their buckets.
+    def delete_rows(self, table: str, key: Mapping[str, Any]) -> Version:
+        """Delete the rows with the given (composite) key; the log position stays."""
+        return self._edit(table, key, lambda rows: delete_by_key(rows, key))
 
-        They are squashed first: the join with a written table of one row per
-        key is one that adaptive execution can split if a key is hot.
-        """
-        base = self.squash(table)
-        if not base.pending:
-            return base
-        bucket = bucket_of(base.keys, base.buckets)
-        touched = [r[0] for r in self._waiting(table, base).select(bucket.alias("b")).distinct().collect()]
-        version = base.next()
-        version.drop_buckets(set(touched))
-        version.settle()
-        if touched:
-            self._write(table, self.read(table, with_sync=False, buckets=touched, version=base), version)
-        return self._publish(table, version)
+    def _edit(self, table: str, key: Mapping[str, Any], change: Callable[[DataFrame], DataFrame]) -> Version:
+        """Rewrite the one bucket of a table key, or all buckets if the given key is another one."""
+        base = self.current(table)
+        if set(key) == set(base.keys) and None not in key.values():
+            types = {f.name: f.dataType for f in base.columns}
+            one = self.spark.range(1).select(*[F.lit(key[k]).cast(types[k]).alias(k) for k in base.keys])
+            buckets = [one.select(bucket_of(base.keys, base.buckets)).first()[0]]
+        else:
+            buckets = sorted({b for numbers in base.folders.values() for b in numbers})
+        rows = change(self.read(table, with_sync=False, buckets=buckets, version=base))
+        return self.commit(table, rows, base.position, buckets=buckets, base=base)
 
     def _write(self, table: str, df: DataFrame, version: Version) -> None:
         """Write rows by bucket and enter their folder into the version.
@@ -324,38 +333,29 @@ class Store:
         """
         commit, seen = _commit_id(version), Observation()
         folder = f"{self._data(table)}/{COMMIT}={commit}"
-        spread = df.withColumn(BUCKET, bucket_of(version.keys, version.buckets)).hint("rebalance", F.col(BUCKET))
+        spread = to_types(df, version.columns).withColumn(BUCKET, bucket_of(version.keys, version.buckets)).hint("rebalance", F.col(BUCKET))
         spread.observe(seen, F.count(F.lit(1)).alias("n")).write.partitionBy(BUCKET).parquet(folder)
         prefix = f"{BUCKET}="
         held = [int(n[len(prefix):]) for n in files.names_in(self.spark, folder) if n.startswith(prefix)]
         if held:
-            version.folders[commit], version.rows[commit] = sorted(held), seen.get["n"]
+            version.folders[commit], version.written = sorted(held), seen.get["n"]
 
-    def _write_changes(self, table: str, last: DataFrame, version: Version) -> None:
-        """Write the last change of each key and enter the folder into the version."""
-        commit, seen = _commit_id(version), Observation()
-        rows = last.select(_c(OP).cast("int").alias(OP), *[_c(c) for c in version.columns.names])
-        counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.parquet(f"{self._changes(table)}/{COMMIT}={commit}")
-        if seen.get["n"]:
-            version.pending.append(commit)
-            version.rows[commit] = seen.get["n"]
-
-    def quarantine(self, table: str, rejected: DataFrame) -> str:
-        """Keep rejected changes next to the table; each call writes its own folder."""
-        folder = f"{self.path}/{table}/quarantine/commit={uuid.uuid4().hex}"
-        rejected.write.parquet(folder)
-        return folder
-
-    def quarantined(self, table: str) -> DataFrame:
-        return self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/{table}/quarantine")
+    def _aside(self, table: str) -> str:
+        return f"{self.path}/{table}/quarantine"
+
+    def quarantined(self, table: str) -> DataFrame | None:
+        """Rejected changes of all commits, None if there are none."""
+        folders = [f"{self._aside(table)}/{f}" for f in self.current(table).quarantine]
+        if not folders:
+            return None
+        return self.spark.read.option("mergeSchema", "true").option("basePath", self._aside(table)).parquet(*folders)
 
     def prune(self, table: str, *, keep: int = 2, hours: float = 0) -> int:
         """Remove folders and version files that only old versions refer to.
 
         The last ``keep`` versions stay, and those that were current within the
-        last ``hours``, so a reader may take that long. Returns the number of
-        folders removed. A folder belongs to every version from its own number
+        last ``hours``, so a reader may take that long; one that takes longer
+        finds its files gone and fails. Returns the number of folders removed. A folder belongs to every version from its own number
         until it is replaced, so the oldest kept version tells which earlier
         ones are still in use; folders with later numbers, also those of jobs
         still at work, are left alone.
@@ -371,13 +371,12 @@ class Store:
             return 0
         oldest = self._version(table, numbers[len(old)])
         removed = 0
-        for root in (self._data(table), self._changes(table)):
-            for name in files.names_in(self.spark, root):
-                commit = name.partition("=")[2]
-                used = commit in oldest.folders or commit in oldest.pending
-                if name.startswith(f"{COMMIT}=") and not used and int(commit[:10]) <= oldest.number:
-                    files.remove(self.spark, f"{root}/{name}")
-                    removed += 1
+        root = self._data(table)
+        for name in files.names_in(self.spark, root):
+            commit = name.partition("=")[2]
+            if name.startswith(f"{COMMIT}=") and commit not in oldest.folders and int(commit[:10]) <= oldest.number:
+                files.remove(self.spark, f"{root}/{name}")
+                removed += 1
         for n in old:
             files.remove(self.spark, f"{self._commits(table)}/{n:010d}.json")
         return removed

@@ -8,9 +8,11 @@ from cdcspark.sources.changes import (
     lsn_range,
     max_lsn,
     min_lsn,
+    misplaced,
     resolve_capture_instance,
     resolve_change_table,
     stream_changes,
+    with_capture_instances,
     with_change_tables,
 )
 from cdcspark.sources.snapshot import read_snapshot

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, ZERO_LSN, lsn_literal, pad_lsn
+from cdcspark.functions.lsn import LSN, LSN_BYTES, OP, SEQ, SYNC, ZERO_LSN, lsn_literal, pad_lsn
 
 
 def capture_name(table: str | Column, schema: str = "dbo") -> str | Column:
@@ -30,6 +30,12 @@ def resolve_capture_instance(change_tables: DataFrame, schema: str, table: str)
     return found["capture_instance"] if found else None
 
 
+def with_capture_instances(tables: DataFrame, change_tables: DataFrame) -> DataFrame:
+    """``resolve_capture_instance`` for many (source_schema, source_table) rows, null where a table is not captured."""
+    known = change_tables.select("source_schema", "source_table", "capture_instance").distinct()
+    return tables.join(known, ["source_schema", "source_table"], "left")
+
+
 def with_change_tables(tables: DataFrame, change_tables: DataFrame, *, schema: str = "dbo") -> DataFrame:
     """Many source tables at once: adds ``change_table``, null where a table is not captured."""
     known = change_tables.select(F.col("capture_instance")).distinct()
@@ -44,12 +50,22 @@ def with_change_tables(tables: DataFrame, change_tables: DataFrame, *, schema: s
 def changes_since(feed: DataFrame, wm: bytes | None, *, upto: bytes | None = None) -> DataFrame:
     """Changes after a position, which itself is excluded, optionally up to and including another.
 
-    The bounds are literals, so a landed feed skips row groups by them.
+    The bounds are literals, so a landed feed skips row groups by them. Changes
+    without a proper position have no place in the log: see ``misplaced``.
     """
     later = feed.where(F.col(LSN) > lsn_literal(wm))
     return later if upto is None else later.where(F.col(LSN) <= lsn_literal(upto))
 
 
+def misplaced(feed: DataFrame | None = None, *, others: bool = False) -> DataFrame | Column:
+    """Changes whose position is missing or has not ten bytes, or all others; without a feed, the condition."""
+    raw = F.col(LSN).cast("binary")
+    odd = raw.isNull() | (F.octet_length(raw) != LSN_BYTES)
+    if feed is None:
+        return odd
+    return feed.where(~odd if others else odd)
+
+
 def changes_between(feed: DataFrame, lo: bytes | None, hi: bytes | None) -> DataFrame:
     """All changes of a range, both ends included; no range means no changes yet."""
     if lo is None or hi is None:
@@ -87,6 +103,13 @@ def last_sync(df: DataFrame) -> bytes:
 BINARY_LITERAL = {"sqlserver": "0x{}", "standard": "X'{}'"}
 
 
+def jdbc_position_statement(change_table: str, *, dialect: str = "sqlserver") -> str:
+    """One value: how far the log goes, of the database itself where it can tell, else of the change table."""
+    if dialect == "sqlserver":
+        return "SELECT sys.fn_cdc_get_max_lsn() AS max_lsn"
+    return f'SELECT MAX("{LSN}") AS max_lsn FROM {change_table}'
+
+
 def jdbc_changes_options(
     options: Mapping[str, str],
     change_table: str,
@@ -118,7 +141,7 @@ def jdbc_changes_options(
 def stream_changes(
     spark: SparkSession, path: str, schema: StructType | str, *, fmt: str = "parquet", max_files: int | None = None
 ) -> DataFrame:
-    """Landed change files as a stream. Files must land in log order."""
+    """Landed change files as a stream. Files must land in log order; a transaction may come in several of them."""
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -23,17 +23,19 @@ def run_stream(
     trigger: Mapping[str, object] | None = None,
     on_batch: Callable[[Metrics], None] | None = None,
 ) -> StreamingQuery:
-    """Apply a streaming change feed to a table of the store.
-
-    Each micro-batch commits its rows together with its highest position. A
-    batch that is repeated after a failure finds the position already in the
-    target and drops what it holds, so every change counts once. Changes must
-    arrive in log order: one that comes after a higher position was committed
-    is not read again.
+    """Apply a streaming change feed to a table.
+
+    Each micro-batch commits its rows, its rejected changes and its number
+    together. The number, under the name of the checkpoint, is how a batch that
+    comes again after a failure is recognised, so every change counts once.
+    Changes of one transaction may come in several batches. What comes after a
+    higher position was committed is too late to be put in order: it fails the
+    query, or goes to quarantine. A new checkpoint starts over: changes up to
+    the position the table has then are known and dropped.
     """
 
-    def batch(changes: DataFrame, _: int) -> None:
-        done = incremental_sync(job, feed=changes)
+    def batch(changes: DataFrame, number: int) -> None:
+        done = incremental_sync(job, feed=changes, batch=(checkpoint, number))
         if on_batch:
             on_batch(done)
 

@@ -163,19 +163,26 @@ SELECT CASE WHEN e.last_op = 1 THEN 1 WHEN e.first_op = 2 THEN 2 ELSE 4 END AS o
 FROM ends e JOIN log l ON l.k = e.k AND l.lsn = e.lsn
 WHERE NOT (e.first_op = 2 AND e.last_op = 1)"""
 
+KEYLESS_LOG = LOG.replace("user_id * 20 AS k", """CASE WHEN props <> '{"k": 1}' THEN user_id * 20 END AS k""")
+KEYLESS_NET = f"""{NET.replace(LOG, KEYLESS_LOG).replace("FROM log GROUP BY k", "FROM log WHERE k IS NOT NULL GROUP BY k")}
+UNION ALL
+SELECT op, '0x' || {_hex('lsn')}, k, v FROM log WHERE k IS NULL AND op = 2"""
+
 TYPES = """WITH info AS (
   SELECT 'c' || p_partkey AS column_name, p_type, p_size,
     CASE WHEN p_size < 5 THEN 'varchar' WHEN p_size < 10 THEN 'nchar' WHEN p_size < 15 THEN 'decimal'
          WHEN p_size < 20 THEN 'datetime' WHEN p_size < 25 THEN 'bit' WHEN p_size < 30 THEN 'bigint'
-         WHEN p_size < 35 THEN 'float' WHEN p_size < 40 THEN 'date' WHEN p_size < 45 THEN 'time'
-         ELSE 'geometry' END AS kind,
+         WHEN p_size < 35 THEN 'float' WHEN p_size < 38 THEN 'date' WHEN p_size < 40 THEN 'money'
+         WHEN p_size < 42 THEN 'uniqueidentifier' WHEN p_size < 43 THEN 'datetimeoffset' WHEN p_size < 44 THEN 'image'
+         WHEN p_size < 45 THEN 'time' WHEN p_size < 47 THEN 'xml' ELSE 'geometry' END AS kind,
     CASE WHEN p_size < 3 THEN -1 WHEN p_size < 7 THEN p_size * 10 END AS len
   FROM part)
 SELECT column_name,
   CASE kind WHEN 'varchar' THEN 'string' WHEN 'nchar' THEN 'string'
     WHEN 'decimal' THEN CASE WHEN p_size = 12 THEN 'decimal(18,4)' ELSE 'decimal(38,18)' END
     WHEN 'datetime' THEN 'timestamp_ntz' WHEN 'bit' THEN 'boolean' WHEN 'bigint' THEN 'bigint'
-    WHEN 'float' THEN 'double' WHEN 'date' THEN 'date' WHEN 'time' THEN 'string' END AS spark_type,
+    WHEN 'float' THEN 'double' WHEN 'date' THEN 'date' WHEN 'money' THEN 'decimal(19,4)'
+    WHEN 'datetimeoffset' THEN 'timestamp' WHEN 'image' THEN 'binary' ELSE 'string' END AS spark_type,
   CASE WHEN kind IN ('varchar', 'nchar') THEN CASE WHEN len = -1 THEN 'text' ELSE kind || '(' || COALESCE(len, 255) || ')' END
        WHEN kind = 'datetime' THEN 'DATETIME' WHEN kind = 'bit' THEN 'TINYINT(1)'
        WHEN kind = 'decimal' AND p_size = 12 THEN 'decimal(18,4)' ELSE kind END AS declared_type,
@@ -237,7 +244,55 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem""",
         "delete_by_key": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
             WHERE NOT (l_linenumber = 3 AND l_returnflag = 'A')""",
-        "thin_rows": "SELECT o_orderkey, o_totalprice FROM orders WHERE (o_orderkey * 7919) % 100 >= 30",
+        "thin_rows": """SELECT o_orderkey, o_totalprice FROM orders
+            WHERE ('0x' || left(md5(o_orderkey::VARCHAR), 12))::BIGINT / 281474976710656.0 >= 0.3""",
+        "thin_rows_random": "SELECT TRUE AS members, TRUE AS once, TRUE AS about_as_many",
+        "sample_one": "SELECT CAST(1 AS BIGINT) AS n_rows, TRUE AS member",
+        "stored_update": """SELECT l_orderkey, l_linenumber,
+            CASE WHEN l_linenumber = 3 AND l_returnflag = 'A' THEN 0 ELSE l_quantity END AS l_quantity, l_returnflag
+            FROM lineitem""",
+        "stored_delete": """SELECT l_orderkey, l_linenumber, l_quantity, l_returnflag FROM lineitem
+            WHERE NOT (l_linenumber = 3 AND l_returnflag = 'A')""",
+        "net_changes_without_key": KEYLESS_NET,
+        "reconcile_mixed_types": """SELECT c_custkey::VARCHAR AS k, CAST(1 AS BIGINT) AS source_rows, CAST(1 AS BIGINT) AS target_rows,
+            CASE WHEN c_nationkey < 5 OR c_mktsegment = 'BUILDING' THEN 'different' ELSE 'equal' END AS status FROM customer""",
+        "configuration_verdicts": """SELECT c_custkey AS doc,
+            CASE WHEN c_nationkey < 4 THEN 'unreadable' WHEN c_nationkey < 8 THEN 'no targets'
+                 WHEN c_nationkey < 12 THEN 'a target without columns' WHEN c_nationkey < 16 THEN 'an entry without a source'
+                 WHEN c_nationkey < 20 THEN 'a target with two source tables' ELSE 'ok' END AS mapping,
+            CASE WHEN c_nationkey < 4 THEN 'unreadable' WHEN c_nationkey < 8 THEN 'no list' WHEN c_nationkey < 12 THEN 'no tables'
+                 WHEN c_nationkey < 16 THEN 'a table without a name' ELSE 'ok' END AS tables,
+            CASE WHEN c_nationkey < 5 THEN 'no pairs' WHEN c_nationkey < 15 THEN 'half a pair' ELSE 'ok' END AS pairs
+            FROM customer""",
+        "capture_instances": """SELECT c.source_schema, c.source_table, s.capture_instance
+            FROM (SELECT c_mktsegment AS source_schema, 't' || c_custkey AS source_table FROM customer) c
+            LEFT JOIN (SELECT CASE WHEN s_nationkey < 12 THEN 'BUILDING' ELSE 'MACHINERY' END AS source_schema,
+                              't' || s_suppkey AS source_table,
+                              CASE WHEN s_nationkey < 12 THEN 'BUILDING' ELSE 'MACHINERY' END || '_t' || s_suppkey AS capture_instance
+                       FROM supplier) s USING (source_schema, source_table)""",
+        "empty_range": "SELECT 'none' AS \"of\", CAST(0 AS BIGINT) AS changes UNION ALL SELECT 'whole', COUNT(*) FROM events",
+        "position_cast": f"SELECT event_id, '0x' || {_hex('event_id')} AS lsn FROM events",
+        "apply_mixed_types": f"""SELECT 'upsert' AS mode, k, v FROM ({UPSERT}) UNION ALL SELECT 'strict', k, v FROM ({STRICT})
+            UNION ALL SELECT 'bag', k, v FROM ({BAG})""",
+        "stream_same_position": f"""SELECT k, v, (SELECT {_hex('MAX(event_id) // 10 + 1')} FROM events) AS sync FROM ({UPSERT})""",
+        "stream_quarantine": f"""WITH {KEYLESS_LOG},
+            {ACCOUNTS}, good AS (SELECT * FROM log WHERE k IS NOT NULL),
+            ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY lsn DESC) AS back FROM good)
+            SELECT 'row' AS part, NULL AS lsn, k, v FROM tgt WHERE k NOT IN (SELECT k FROM good)
+            UNION ALL SELECT 'row', NULL, k, v FROM ranked WHERE back = 1 AND op <> 1
+            UNION ALL SELECT 'aside', {_hex('lsn')}, k, v FROM log WHERE k IS NULL""",
+        "idle_table": f"""WITH half AS (SELECT {_hex('MAX(event_id) // 2 + 1')} AS h, {_hex('MAX(event_id) + 1')} AS t FROM events)
+            SELECT 'initial' AS phase, (SELECT COUNT(*) FROM customer) AS loaded, h AS watermark FROM half
+            UNION ALL SELECT 'incremental', 0, h FROM half
+            UNION ALL SELECT 'incremental', 0, t FROM half UNION ALL SELECT 'incremental', 0, t FROM half
+            UNION ALL SELECT 'rows', (SELECT COUNT(*) FROM customer), t FROM half""",
+        "bad_positions": f"""WITH {LOG.replace('FROM events', "FROM events WHERE event_type NOT IN ('click', 'view')")}, {ACCOUNTS},
+            ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY lsn DESC) AS back FROM log)
+            SELECT 'row' AS part, k, v, CAST(NULL AS BIGINT) AS n, CAST(NULL AS VARCHAR) AS reason FROM tgt
+              WHERE k NOT IN (SELECT k FROM log)
+            UNION ALL SELECT 'row', k, v, lsn, NULL FROM ranked WHERE back = 1 AND op <> 1
+            UNION ALL SELECT 'aside', user_id * 20, value, event_id + 1, 'bad log position' FROM events
+              WHERE event_type IN ('click', 'view')""",
         "net_changes": NET,
         "capture_changes": CAPTURE,
         "capture_then_apply": f"WITH {LATER} SELECT {LATER_ROWS} FROM later",

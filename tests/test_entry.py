@@ -12,7 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as entry  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
-RANDOM = {"sample_one", "thin_rows_random"}
+OWN = entry._own_queries()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables are not here")
 
@@ -26,24 +26,36 @@ def db():
     return connection
 
 
-def test_every_query_has_sql_but_the_random_ones():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == RANDOM
+def test_every_query_has_sql():
+    assert set(OWN) == set(entry.base_sql()) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_a_shared_folder_has_to_be_named(spark, monkeypatch):
+    from cdcspark import session
+
+    class Bare:
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+        sparkContext = spark.sparkContext
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Bare)
+    monkeypatch.setitem(session._chosen, spark.sparkContext.applicationId, "/some/where/")
+    assert session.shared_dir(Bare) == "/some/where"
+
+
 def test_entry_returns_rows(spark):
     assert entry.entry(spark).columns == ["k", "v"] and entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(OWN))
 def test_query_equals_sql(spark, db, name):
     got = entry.queries()[name](spark, SF_DIR)
     columns = sorted(got.columns)
     want = db.execute(f"SELECT {', '.join(columns)} FROM ({entry.oracle_sql()[name]})").fetchall()
     assert len(db.execute(entry.oracle_sql()[name]).description) == len(columns)
     assert sorted(map(tuple, got.select(*columns).collect()), key=repr) == sorted(want, key=repr)
-
-
-@pytest.mark.parametrize("name", sorted(RANDOM))
-def test_random_query_runs(spark, name):
-    assert entry.queries()[name](spark, SF_DIR).count() > 0

@@ -34,11 +34,13 @@ def test_net_changes_cases(spark):
         (5, 1, 3, None), (6, 2, 3, "c"),                    # replaced
         (7, 4, 4, "d"), (8, 1, 4, "gone"),                  # went
         (9, 4, 5, "e"), (10, 4, 5, None),                   # changed twice, last to null
-        (11, 2, None, "n"), (12, 3, 6, "other"),            # no key, no effect
+        (11, 2, None, "n"), (12, 3, 6, "other"),            # an insert without key passes, other codes have no effect
+        (13, 4, None, "m"), (14, 1, None, None),            # no key, nothing to change
     ])
     got = {(r[OP], r["k"], r["v"], bytes(r[LSN])) for r in net_changes(feed, ["k"]).collect()}
     assert got == {
         (2, 2, "bb", position(4)), (4, 3, "c", position(6)), (1, 4, "gone", position(8)), (4, 5, None, position(10)),
+        (2, None, "n", position(11)),
     }
 
 
@@ -108,7 +110,26 @@ def test_captured_changes_lead_to_the_later_state(spark):
 def test_capture_needs_unique_keys(spark):
     twice = spark.createDataFrame([(1, "a"), (1, "a")], TABLE)
     with pytest.raises(Exception, match="not unique"):
-        capture_changes(twice, twice, ["k"], batch=1)
+        capture_changes(twice, twice, ["k"], batch=1).collect()
+
+
+def test_reconcile_compares_in_a_type_that_holds_both_sides(spark):
+    def status(left, left_type, right, right_type):
+        source = spark.createDataFrame([(1, left)], f"k int, v {left_type}")
+        target = spark.createDataFrame([(1, right)], f"k long, v {right_type}")
+        return reconcile(source, target, ["k"]).first().status
+
+    assert status(1, "int", 1.5, "double") == "different" and status(1, "int", 1.0, "double") == "equal"
+    assert status(None, "int", "abc", "string") == "different" and status(7, "int", "7", "string") == "equal"
+    assert status("x", "string", None, "int") == "different" and status(None, "int", None, "string") == "equal"
+    assert status(3, "int", 3, "bigint") == "equal" and status(2**40, "bigint", 0, "int") == "different"
+
+
+def test_capture_runs_nothing_and_leaves_nothing(spark, tmp_path):
+    before = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], TABLE)
+    after = spark.createDataFrame([(2, "c"), (3, "d"), (None, "n")], TABLE)
+    found = capture_changes(before, after, ["k"], batch=1)
+    assert sorted((r[OP], r.k, r.v) for r in found.collect()) == [(1, 1, "a"), (2, 3, "d"), (4, 2, "c")]
 
 
 def test_pair_status(spark):

@@ -18,7 +18,7 @@ from cdcspark.operators.feed import capture_changes, change_report, reconcile
 from cdcspark.operators.quarantine import REASON
 from cdcspark.plans.mapping import parse_mapping, parse_table_list
 from cdcspark.sinks.store import Store
-from cdcspark.sources.changes import stream_changes
+from cdcspark.sources.changes import jdbc_position_statement, stream_changes
 from cdcspark.sources.tables import FileSource, JdbcSource
 from cdcspark.streaming.run import run_continuous, run_monitor, run_stream
 from helpers import FEED, TABLE, feed_of, position, random_log, random_target, replay, rows_of
@@ -48,14 +48,14 @@ def store(spark, tmp_path):
 
 
 def job_for(store, source, **more):
-    more = {"keys": ["k"], "fold_share": 100.0, **more}
+    more = {"keys": ["k"], **more}
     return TableJob("t", store, source.snapshot, source.changes, **more)
 
 
-@pytest.mark.parametrize("mode,fold_after", [("upsert", 16), ("upsert", 0), ("strict", 0), ("bag", 0)])
-def test_first_load_then_replay(spark, store, mode, fold_after):
+@pytest.mark.parametrize("mode", ["upsert", "strict", "bag"])
+def test_first_load_then_replay(spark, store, mode):
     source = Source(spark, [(1, "a"), (2, "b")], [(1, 2, 1, "a"), (2, 2, 2, "b")])
-    job = job_for(store, source, mode=mode, fold_after=fold_after)
+    job = job_for(store, source, mode=mode)
     first = initial_sync(job)
     assert (first.loaded, first.watermark) == (2, position(2))
     source.do((3, 2, 3, "c"), (4, 4, 1, "aa"), (5, 1, 2, None))
@@ -64,19 +64,6 @@ def test_first_load_then_replay(spark, store, mode, fold_after):
     assert rows_of(store.read("t")) == sorted(source.rows)
     both = reconcile(source.snapshot(spark), store.read("t"), ["k"])
     assert both.where("status <> 'equal'").isEmpty()
-    assert bool(store.current("t").pending) == (mode == "upsert" and fold_after > 0)
-
-
-@pytest.mark.parametrize("share,waiting", [(100.0, [1, 2, 1, 2]), (0.05, [0, 0, 0, 0])])
-def test_waiting_replays_are_squashed_or_folded(spark, store, share, waiting):
-    source = Source(spark, [(k, "a") for k in range(10)])
-    job = job_for(store, source, fold_after=2, fold_share=share)
-    initial_sync(job)
-    for n, expected in enumerate(waiting, 1):
-        source.do((n, 4, n, f"b{n}"))
-        incremental_sync(job)
-        assert len(store.current("t").pending) == expected
-        assert rows_of(store.read("t")) == sorted(source.rows)
 
 
 def test_nothing_new_touches_nothing(spark, store):
@@ -126,14 +113,123 @@ def test_changes_during_the_scan_are_not_lost(spark, store):
 
 def test_gap_in_the_feed_loads_anew(spark, store):
     source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
-    job = job_for(store, source, retained_from=lambda _: position(50))
+    floor = [position(0)]
+    job = job_for(store, source, retained_from=lambda _: floor[-1])
     initial_sync(job)
+    floor.append(position(50))
     source.rows, source.log = [(5, "e")], [(60, 2, 5, "e")]
     done = incremental_sync(job)
     assert (done.phase, done.loaded, done.watermark) == ("reloaded", 1, position(60))
     assert rows_of(store.read("t")) == [(5, "e")]
 
 
+def test_an_idle_table_is_not_loaded_again(spark, store):
+    """Its changes were cleaned up while nothing happened, and the log went on."""
+    source = Source(spark, [(1, "a")])
+    reached, floor = [position(70)], [position(50)]
+    job = job_for(store, source, position=lambda _: reached[-1], retained_from=lambda _: floor[-1])
+    initial_sync(job)
+    for n in (90, 120, 150):
+        reached.append(position(n))
+        floor.append(position(n - 40))
+        done = incremental_sync(job)
+        assert (done.phase, done.watermark) == ("incremental", position(n))
+    assert source.scans == 1 and rows_of(store.read("t")) == [(1, "a")]
+
+
+def test_a_read_ends_where_the_log_ended_when_it_began(spark, store):
+    source = Source(spark, [(1, "a")], [])
+    reached = [position(1)]
+    job = job_for(store, source, position=lambda _: reached[-1])
+    initial_sync(job)
+    reached.append(position(2))
+    source.do((2, 4, 1, "b"), (3, 4, 1, "half of a transaction"))
+    assert incremental_sync(job).watermark == position(2) and rows_of(store.read("t")) == [(1, "b")]
+
+
+def test_a_split_transaction_waits_for_its_rest(spark, store, tmp_path):
+    folder = str(tmp_path / "source")
+    land(spark, folder, "a", [(1, "a")], [(1, 2, 1, "a"), (5, 4, 1, "b")])
+    (job,) = jobs_from_tables(
+        parse_table_list(spark.createDataFrame([('{"tabelas": ["a"]}',)], "value string")), store,
+        FileSource(folder, split_transactions=True),
+    )
+    initial_sync(job)
+    incremental_sync(job)
+    assert store.watermark("a") == position(1)
+    feed_of(spark, [(5, 2, 2, "c"), (6, 2, 3, "d")]).write.mode("append").parquet(f"{folder}/dbo_a_CT")
+    assert incremental_sync(job).watermark == position(5)
+    assert rows_of(store.read("a")) == [(1, "b"), (2, "c")]
+
+
+def test_changes_without_a_place_are_set_aside_once(spark, store):
+    schema = f"`{OP}` int, `{LSN}` binary, k int, v string"
+    rows = [(4, position(5), 1, "b"), (4, None, 1, "x"), (4, b"\x01", 1, "y"), (4, b"\xff" * 11, 1, "z")]
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), None, keys=["k"])
+    job = TableJob("t", store, lambda s: None, lambda s, _: s.createDataFrame(rows, schema), keys=["k"])
+    with pytest.raises(RejectedChanges, match=r"bad log position \(3\)"):
+        incremental_sync(job)
+    job.on_error = "quarantine"
+    done = incremental_sync(job)
+    assert (done.updates, done.rejected, done.watermark) == (1, 3, position(5))
+    rows += [(4, position(6), 1, "c"), (4, None, 1, "w")]
+    assert incremental_sync(job).watermark == position(6)
+    assert incremental_sync(job).updates == 0
+    assert sorted(r.v for r in store.quarantined("t").collect()) == ["w", "x", "y", "z"]
+    assert rows_of(store.read("t")) == [(1, "c")]
+
+
+def stream_of(spark, job, folder, checkpoint, parts, **options):
+    for part in parts:
+        feed_of(spark, part).coalesce(1).write.mode("append").parquet(folder)
+        run_stream(
+            stream_changes(spark, folder, FEED, max_files=1), job, checkpoint=checkpoint, trigger={"availableNow": True}, **options
+        ).awaitTermination()
+
+
+def test_a_transaction_may_come_in_two_batches(spark, store, tmp_path):
+    store.full_load("t", spark.createDataFrame([(1, "a"), (2, "a")], TABLE), position(4), keys=["k"])
+    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"])
+    parts = [[(3, 4, 1, "known"), (5, 4, 1, "b")], [(5, 4, 2, "c")], [(6, 2, 3, "d")]]
+    stream_of(spark, job, str(tmp_path / "landed"), str(tmp_path / "ck"), parts)
+    assert rows_of(store.read("t")) == [(1, "b"), (2, "c"), (3, "d")]
+
+
+def test_a_batch_that_comes_again_is_recognised(spark, store):
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), None, keys=["k"])
+    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"], mode="bag")
+    feed = feed_of(spark, [(5, 2, 1, "b")])
+    assert incremental_sync(job, feed=feed, batch=("q", 0)).inserts == 1
+    assert incremental_sync(job, feed=feed, batch=("q", 0)).phase == "repeated"
+    assert incremental_sync(job, feed=feed, batch=("other", 0)).inserts == 0
+    assert rows_of(store.read("t")) == [(1, "a"), (1, "b")]
+
+
+def test_a_stream_loses_no_rejected_or_late_change(spark, store, tmp_path):
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), None, keys=["k"])
+    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"], on_error="quarantine")
+    parts = [[(8, 4, 1, "b"), (9, 4, None, "no key")], [(12, 4, 1, "c")], [(10, 4, 1, "late")], [(13, 4, None, "alone")]]
+    stream_of(spark, job, str(tmp_path / "landed"), str(tmp_path / "ck"), parts)
+    assert rows_of(store.read("t")) == [(1, "c")] and store.watermark("t") == position(13)
+    assert {(r.v, r[REASON]) for r in store.quarantined("t").collect()} == {
+        ("no key", "null key k"), ("late", "late log position"), ("alone", "null key k"),
+    }
+
+
+def test_an_absent_target_is_created_from_the_source(spark, store):
+    info = spark.createDataFrame(
+        [("k", "int", None, "NO"), ("v", "xml", None, "YES")],
+        "COLUMN_NAME string, DATA_TYPE string, CHARACTER_MAXIMUM_LENGTH int, IS_NULLABLE string",
+    )
+    source = Source(spark, [(1, "a")], [(1, 2, 1, "a")])
+    job = job_for(store, source, information_schema=lambda _: info, columns=[("id", "k"), ("body", "v")], keys=["id"])
+    assert initial_sync(job).loaded == 1
+    columns = store.current("t").columns
+    assert columns.names == ["id", "body"] and not columns["id"].nullable and columns["body"].metadata == {"source_type": "xml"}
+    with pytest.raises(LookupError, match="lacks: nope"):
+        initial_sync(job_for(store, source, information_schema=lambda _: info, columns=[("x", "nope")]), full_refresh=True)
+
+
 def test_mapping_and_sequence(spark, store):
     rows = [(1, "a", 0.5)]
     feed = [(2, position(1), 1, 2, "x", 1.0), (4, position(1), 2, 2, "y", 2.0), (3, position(2), 1, 2, "y", 9.0)]
@@ -161,7 +257,7 @@ def bad_job(spark, store, rows=BAD, **more):
 
 def test_rejected_changes_fail_by_default(spark, store):
     job = bad_job(spark, store)
-    with pytest.raises(RejectedChanges, match="k is not int, null key k"):
+    with pytest.raises(RejectedChanges, match=r"k is not int \(1\), null key k \(1\)"):
         incremental_sync(job)
     assert rows_of(store.read("t")) == [(1, "a")] and store.watermark("t") == ZERO_LSN
 
@@ -220,7 +316,7 @@ def test_stream_equals_batch(spark, store, tmp_path):
     target, log = random_target(31), sorted(random_log(31, nulls=False))
     store.full_load("t", spark.createDataFrame(target, TABLE), None, keys=["k"])
     landed, checkpoint = str(tmp_path / "landed"), str(tmp_path / "checkpoint")
-    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"], fold_after=1)
+    job = TableJob("t", store, lambda s: None, lambda s, p: None, keys=["k"])
     seen = []
     for lo, hi in ((0, 80), (80, 160), (160, 300)):
         part = feed_of(spark, [e for e in log if lo < e[0] <= hi]).coalesce(1)
@@ -279,7 +375,7 @@ def test_configured_by_mapping(spark, store, tmp_path):
       "lonely": {"id": {"campoOrigem": "k", "tabelaOrigem": "uncaptured"}}}"""
     spark.createDataFrame([(7, "u")], TABLE).write.parquet(f"{folder}/uncaptured")
     mapping = parse_mapping(spark.createDataFrame([(text,)], "value string"))
-    jobs = jobs_from_mapping(mapping, store, FileSource(folder), keys={"clients": ["id"]}, fold_after=0)
+    jobs = jobs_from_mapping(mapping, store, FileSource(folder), keys={"clients": ["id"]})
     done = {(m.table, m.phase): m for m in run_once(jobs)}
     assert done["clients", "initial"].loaded == 2 and "no change table" in done["lonely", "initial"].error
     land(spark, folder, "people", [(1, "a")], [(1, 2, 2, "b"), (2, 4, 1, "x"), (3, 1, 2, None)])
@@ -299,6 +395,7 @@ def test_configured_by_table_list(spark, store, tmp_path):
     ]
     assert rows_of(store.read("a")) == [(1, "a")] and store.watermark("a") == position(2)
     assert rows_of(store.read("b")) == [(5, "b")] and store.watermark("b") == ZERO_LSN
+    assert store.current("a").columns.names == ["k", "v"]
 
 
 def test_create_from_information_schema(spark, store):
@@ -349,6 +446,9 @@ def test_typed_table_with_composite_key_end_to_end(spark, store):
 def test_jdbc_source_keeps_its_options_to_itself():
     source = JdbcSource({"url": "jdbc:none", "password": "hidden"})
     assert "hidden" not in repr(source) and "hidden" not in str(source)
+    assert "TABLE_NAME = 'o''x'" in source._columns_statement("o'x") and not source.check_positions
+    assert jdbc_position_statement("cdc.dbo_t_CT") == "SELECT sys.fn_cdc_get_max_lsn() AS max_lsn"
+    assert jdbc_position_statement("c", dialect="standard") == f'SELECT MAX("{LSN}") AS max_lsn FROM c'
     assert source._lowest_statement("t") == "SELECT sys.fn_cdc_get_min_lsn('dbo_t') AS min_lsn"
 
 

@@ -1,20 +1,24 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StringType, TimestampNTZType
 
-from cdcspark.functions.lsn import LSN, OP, SYNC
+from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC
 from cdcspark.plans.mapping import (
     captured_columns,
     load_mapping,
     load_table_list,
     mapped_tables,
+    mapping_verdict,
+    parse_mapping,
     parse_pairs,
+    parse_table_list,
     project_mapped,
     source_tables,
     table_columns,
 )
-from cdcspark.plans.schema import ensure_sync_column, translate_schema, translate_types
+from cdcspark.plans.schema import SOURCE_TYPE, describe, ensure_sync_column, translate_schema, translate_types
 from helpers import FEED, feed_of
 
 INFO = (
@@ -31,7 +35,6 @@ def test_mapping_file(spark, tmp_path):
     document = {
         "people": {SYNC: {}, "name": entry("NOME", "PESSOA"), "id": entry("COD", "PESSOA")},
         "stock": {"sku": entry("CODIGO", "ESTOQUE"), SYNC: {}, "left": entry("SALDO", "ESTOQUE")},
-        "nothing": {},
     }
     path = tmp_path / "map.json"
     path.write_text(json.dumps(document, indent=2))
@@ -47,21 +50,51 @@ def test_mapping_file(spark, tmp_path):
 def test_mapping_of_two_sources_is_refused(spark, tmp_path):
     path = tmp_path / "map.json"
     path.write_text(json.dumps({"t": {"a": entry("A", "X"), "b": entry("B", "Y")}}))
-    with pytest.raises(ValueError, match="two source tables"):
+    with pytest.raises(Exception, match="two source tables"):
         mapped_tables(load_mapping(spark, str(path)))
+    with pytest.raises(ValueError, match="two source tables"):
+        mapped_tables(parse_mapping(spark.read.text(str(path), wholetext=True), strict=False))
+
+
+@pytest.mark.parametrize("text,verdict", [
+    ("{ broken", "unreadable"), ("[1]", "unreadable"), (None, "unreadable"), ("{}", "no targets"),
+    ('{"t": {}}', "a target without columns"), ('{"t": {"__$last_sync": {}}}', "a target without columns"),
+    ('{"t": {"a": {}}}', "an entry without a source"), ('{"t": {"a": {"campoOrigem": "A"}}}', "an entry without a source"),
+])
+def test_a_mapping_out_of_order_stops(spark, text, verdict):
+    documents = spark.createDataFrame([(text,)], "value string")
+    assert documents.select(mapping_verdict()).first()[0] == verdict
+    with pytest.raises(Exception, match=verdict):
+        mapped_tables(parse_mapping(documents))
+
+
+def test_entries_without_a_source_stop_a_loose_reading_too(spark):
+    text = json.dumps({"t": {"a": entry("A", "X"), "b": {}}})
+    rows = parse_mapping(spark.createDataFrame([(text,)], "value string"), strict=False)
+    with pytest.raises(ValueError, match="no source for b"):
+        mapped_tables(rows)
+    with pytest.raises(ValueError, match="no targets"):
+        mapped_tables(rows.limit(0))
 
 
 def test_table_list(spark, tmp_path):
     path = tmp_path / "tables.json"
     path.write_text('{"tabelas": [\n"a",\n"b"]}')
     assert [r.table_name for r in load_table_list(spark, str(path)).orderBy("pos").collect()] == ["a", "b"]
-    path.write_text('{"other": 1}')
-    assert load_table_list(spark, str(path)).isEmpty()
+    for text, verdict in [('{"other": 1}', "no list"), ('{"tabelas": []}', "no tables"), ("{", "unreadable"), ('{"tabelas": [""]}', "without a name")]:
+        path.write_text(text)
+        with pytest.raises(Exception, match=verdict):
+            load_table_list(spark, str(path)).collect()
+        assert parse_table_list(spark.read.text(str(path), wholetext=True), strict=False).where("table_name <> ''").isEmpty()
 
 
 def test_pairs(spark):
     texts = spark.createDataFrame([("a,b; c , d ;broken",)], "value string")
-    assert [(r.source_name, r.target_name) for r in parse_pairs(texts).collect()] == [("a", "b"), ("c", "d")]
+    with pytest.raises(Exception, match="half a pair"):
+        parse_pairs(texts).collect()
+    assert [(r.source_name, r.target_name) for r in parse_pairs(texts, strict=False).collect()] == [("a", "b"), ("c", "d")]
+    whole = spark.createDataFrame([("a,b; c , d ;",)], "value string")
+    assert [(r.source_name, r.target_name) for r in parse_pairs(whole).collect()] == [("a", "b"), ("c", "d")]
 
 
 def test_projection_keeps_mapping_order(spark):
@@ -75,6 +108,8 @@ def test_captured_columns(spark):
     assert captured_columns(feed, "v").columns == [OP, LSN, "v"]
     assert captured_columns(feed, ["k", "v"]).columns == [OP, LSN, "k", "v"]
     assert FEED.startswith("`" + OP)
+    sequenced = feed.withColumn(SEQ, F.lit(1))
+    assert captured_columns(sequenced, "v").columns == [OP, LSN, SEQ, "v"]
 
 
 def test_types(spark):
@@ -107,9 +142,16 @@ def test_types(spark):
 def test_unknown_table_and_type(spark):
     with pytest.raises(LookupError):
         translate_schema(spark.createDataFrame([], INFO))
-    odd = spark.createDataFrame([("a", "hierarchyid", None, "YES", None, None)], INFO)
-    with pytest.raises(ValueError, match="unsupported type"):
-        translate_schema(odd)
+    odd = spark.createDataFrame([("a", "HierarchyID", None, "YES", None, None), ("b", "VARCHAR", 7, "YES", None, None)], INFO)
+    schema = translate_schema(odd)
+    assert schema["a"].dataType == StringType() and schema["a"].metadata == {SOURCE_TYPE: "HierarchyID"}
+    assert [r.declared_type for r in translate_types(odd).collect()] == ["hierarchyid", "varchar(7)"]
+
+
+def test_a_table_describes_itself(spark):
+    df = spark.sql("SELECT 1 AS a, 2L AS b, 1.5BD AS c, 'x' AS d, true AS e, current_date() AS f, X'00' AS g, 1.5D AS h")
+    schema = translate_schema(describe(df))
+    assert [f.dataType for f in schema] == [f.dataType for f in df.schema]
 
 
 def test_sync_column(spark):

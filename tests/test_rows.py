@@ -35,7 +35,12 @@ def test_thinning(spark):
     many = spark.range(10_000)
     assert thin_rows(many, 0, seed=1).count() == 10_000 and thin_rows(many, 100, seed=1).count() == 0
     assert 6_700 < thin_rows(many, 30, seed=1).count() < 7_300
-    assert thin_rows(many, 30, by="id").count() == 7_000
+    assert 6_800 < thin_rows(many, 30, by="id").count() < 7_200
+    # The draw does not hang on the last digits of a key.
+    hundreds = spark.range(0, 100_000, 100)
+    assert 970 < thin_rows(hundreds, 1, by="id").count() < 1_000
+    assert sorted(map(tuple, thin_rows(many, 30, by="id").collect())) == sorted(map(tuple, thin_rows(many.repartition(7), 30, by="id").collect()))
+    assert thin_rows(many.selectExpr("if(id < 9000, null, cast(id as string)) s"), 0, by="s").count() == 10_000
     with pytest.raises(ValueError):
         thin_rows(many, 101)
 

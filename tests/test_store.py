@@ -4,8 +4,8 @@ import pytest
 
 from cdcspark import files
 from cdcspark.functions.lsn import OP, SYNC, ZERO_LSN
-from cdcspark.operators.apply import last_changes
-from cdcspark.sinks.store import CommitConflict, Store
+from cdcspark.sinks.store import Store
+from cdcspark.sinks.target import Batch, CommitConflict
 from helpers import FEED, TABLE, feed_of, position, random_log, random_target, replay, rows_of
 
 
@@ -14,10 +14,6 @@ def store(spark, tmp_path):
     return Store(spark, str(tmp_path / "store"), buckets=8)
 
 
-def last_of(feed, columns=("k", "v")):
-    return last_changes(feed, ["k"], columns=list(columns))
-
-
 def test_load_read_replace(spark, store):
     first = [(k, f"a{k}") for k in range(100)] + [(None, "n")]
     store.full_load("t", spark.createDataFrame(first, TABLE), position(5))
@@ -80,36 +76,42 @@ def test_emptied_bucket_stays_empty(spark, store):
     assert store.read("t").isEmpty() and store.current("t").folders == {}
 
 
-def test_waiting_changes_are_merged_and_folded(spark, store):
+def test_a_read_of_a_replicated_table_shuffles_nothing(spark, store):
     target, log = random_target(22), random_log(22, nulls=False)
     store.full_load("t", spark.createDataFrame(target, TABLE), ZERO_LSN, keys=["k"])
     for lo, hi in ((0, 90), (90, 200), (200, 300)):
-        part = feed_of(spark, [e for e in log if lo < e[0] <= hi])
-        loaded = store.current("t").folders
-        store.replay_later("t", last_of(part), position(hi))
-        assert store.current("t").folders == loaded
+        store.replay("t", feed_of(spark, [e for e in log if lo < e[0] <= hi]), position(hi))
         assert rows_of(store.read("t")) == replay(target, [e for e in log if e[0] <= hi], "upsert")
-    expected = rows_of(store.read("t"))
+    assert "Exchange" not in store.read("t")._jdf.queryExecution().executedPlan().toString()
     some = store.read("t", buckets=[0, 1, 2, 3]).count() + store.read("t", buckets=[4, 5, 6, 7]).count()
-    assert some == len(expected)
-    assert len(store.current("t").pending) == 3
-    squashed = store.squash("t")
-    assert len(squashed.pending) == 1 and squashed.position == position(300)
-    assert squashed.rows[squashed.pending[0]] == len({e[2] for e in log if e[1] in (1, 2, 4)})
-    assert rows_of(store.read("t")) == expected and store.squash("t").number == squashed.number
-    folded = store.fold("t")
-    assert not folded.pending and folded.position == position(300)
-    assert rows_of(store.read("t")) == expected
-    assert store.fold("t").number == folded.number
-
-
-def test_strict_replay_on_waiting_changes(spark, store):
-    target, log = random_target(23), random_log(23, nulls=False)
-    store.full_load("t", spark.createDataFrame(target, TABLE), ZERO_LSN, keys=["k"])
-    early, late = [e for e in log if e[0] <= 150], [e for e in log if e[0] > 150]
-    store.replay_later("t", last_of(feed_of(spark, early)), position(150))
-    store.replay("t", feed_of(spark, late), position(300), mode="strict")
-    assert rows_of(store.read("t")) == replay(replay(target, early, "upsert"), late, "strict")
+    assert some == store.read("t").count()
+
+
+@pytest.mark.parametrize("mode", ["upsert", "strict", "bag"])
+def test_keys_of_another_width_find_their_rows(spark, store, mode):
+    """Buckets are hashed in the table's types, not in the feed's."""
+    store.full_load("t", spark.range(50).selectExpr("id as k", "'a' as v"), ZERO_LSN, keys=["k"])
+    store.replay("t", feed_of(spark, [(n + 1, 4, n, "b") for n in range(50)]), position(50), mode=mode)
+    assert sorted((r.k, r.v) for r in store.read("t").collect()) == [(n, "b") for n in range(50)]
+    store.append("t", spark.createDataFrame([(99, "c")], TABLE))
+    store.replay("t", feed_of(spark, [(51, 1, 99, None)]), position(51), mode=mode)
+    assert store.read("t").count() == 50
+    with pytest.raises(Exception, match="a value of k is no bigint"):
+        store.append("t", spark.createDataFrame([("x", "c")], "k string, v string"))
+
+
+def test_rows_are_edited_in_their_bucket(spark, store):
+    store.full_load("t", spark.createDataFrame([(k, f"a{k % 2}") for k in range(100)], TABLE), position(3), keys=["k"])
+    before = store.current("t")
+    after = store.update_rows("t", {"k": 7}, {"v": "z"})
+    (new,) = [c for c in after.folders if c not in before.folders]
+    assert len(after.folders[new]) == 1 and after.position == position(3)
+    assert dict(rows_of(store.read("t")))[7] == "z" and store.read("t").count() == 100
+    store.update_rows("t", {"v": "a0"}, {"v": None})
+    assert store.read("t").where("v is null").count() == 50
+    store.delete_rows("t", {"k": 7})
+    store.delete_rows("t", {"k": None})
+    assert 7 not in dict(rows_of(store.read("t"))) and store.read("t").count() == 99
 
 
 def test_crash_before_the_version_file(spark, store, monkeypatch):
@@ -149,12 +151,12 @@ def test_prune(spark, store):
     store.full_load("t", spark.createDataFrame([(k, "a") for k in range(50)], TABLE), ZERO_LSN, keys=["k"])
     for n in range(1, 4):
         store.full_load("t", spark.createDataFrame([(k, f"b{n}") for k in range(50)], TABLE), position(n))
-    store.replay_later("t", last_of(feed_of(spark, [(4, 4, 1, "c")])), position(4))
+    store.replay("t", feed_of(spark, [(4, 4, 1, "c")]), position(4))
     assert store.prune("t", hours=1) == 0 and len(store._numbers("t")) == 5
     kept = store.read("t", version=store._version("t", 4))
     assert store.prune("t", keep=2) == 3
     assert store.prune("t", keep=2) == 0
-    assert len(os.listdir(f"{store.path}/t/data")) == 1 and store._numbers("t") == [4, 5]
+    assert len(os.listdir(f"{store.path}/t/data")) == 2 and store._numbers("t") == [4, 5]
     assert kept.where("v = 'b3'").count() == 50
     got = dict(rows_of(store.read("t")))
     assert got[1] == "c" and got[2] == "b3" and len(got) == 50
@@ -177,8 +179,24 @@ def test_large_bucket_is_split_over_files(spark, store):
     assert store.read("t").count() == 100_000
 
 
-def test_quarantine_folder(spark, store):
+def test_rejected_changes_belong_to_the_commit(spark, store, monkeypatch):
     store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), ZERO_LSN, keys=["k"])
-    for n in (1, 2):
-        store.quarantine("t", spark.createDataFrame([(4, position(n), 1, "x")], FEED))
+    bad = spark.createDataFrame([(4, position(1), 1, "x")], FEED)
+    assert store.quarantined("t") is None
+    with monkeypatch.context() as m:
+        m.setattr(files, "create_text", lambda *_: False)
+        with pytest.raises(CommitConflict):
+            store.advance("t", position(1), rejected=bad)
+    assert store.quarantined("t") is None
+    store.advance("t", position(1), rejected=bad, batch=Batch("q", 4, position(0)))
+    store.advance("t", position(2), rejected=bad)
+    store.full_load("t", spark.createDataFrame([(2, "b")], TABLE), position(3))
     assert store.quarantined("t").where(f"`{OP}` = 4").count() == 2
+
+
+def test_batches_are_remembered(spark, store):
+    store.full_load("t", spark.createDataFrame([(1, "a")], TABLE), ZERO_LSN, keys=["k"])
+    assert store.current("t").last_batch("q") is None
+    store.advance("t", position(1), batch=Batch("q", 4, position(0)))
+    store.advance("t", position(2))
+    assert store.current("t").last_batch("q") == Batch("q", 4, position(0))
