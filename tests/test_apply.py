@@ -40,6 +40,24 @@ def test_hot_key_split_keeps_result(spark, mode, monkeypatch):
         assert rows_of(found) == replay(target, log, mode)
 
 
+@pytest.mark.parametrize("keys", [["k"], None])
+@pytest.mark.parametrize("mode", ["upsert", "strict", "bag"])
+def test_a_feed_of_another_width_meets_the_same_keys(spark, mode, keys):
+    """The target's keys are wider than the feed's, and some of them are split off as hot."""
+    target, log = random_target(9, unique=mode != "bag"), random_log(9)
+    table = spark.createDataFrame(target, "k long, v string")
+    hot = [r[0] for r in table.where("k in (7, 8)").select(skew.key_hash(["k"])).distinct().collect()]
+    for split in (hot, []):
+        got = apply_changes(table, feed_of(spark, log), keys=keys, mode=mode, hot=split)
+        assert rows_of(got) == replay(target, log, mode)
+
+
+def test_a_value_that_does_not_fit_raises(spark):
+    table = spark.createDataFrame([(1, 2)], "k int, v int")
+    with pytest.raises(Exception, match="a value of v is no int"):
+        apply_changes(table, feed_of(spark, [(1, 4, 1, "x")]), keys=["k"]).collect()
+
+
 @pytest.mark.parametrize("mode", ["upsert", "strict", "bag"])
 def test_empty_sides(spark, mode):
     target, log = random_target(4), random_log(4)
