@@ -42,7 +42,8 @@ ENTRY_DIR = "/root/testdata/sf0.001"
 SHARED_DIR = os.environ.get("CDCSPARK_SHARED_DIR") or os.path.join(tempfile.gettempdir(), "cdcspark-shared")
 
 #: The corpus operators are optional: without their folder everything else still works.
-HAS_LLM = importlib.util.find_spec("cdcspark.llm") is not None
+_found = importlib.util.find_spec("cdcspark.llm")
+HAS_LLM = _found is not None and _found.origin is not None
 
 ACCOUNT = StructType([StructField("k", LongType()), StructField("v", DoubleType())])
 
