@@ -115,7 +115,8 @@ def _valid(kind: str, found: str) -> bool:
     if kind == "email":
         return True
     if kind == "ip":
-        return all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in found.split("."))
+        parts = [x.lstrip("0") for x in found.split(".")]
+        return all(len(x) <= 3 and int(x or "0") <= 255 for x in parts)
     digits = re.sub("[^0-9]", "", found)
     return 13 <= len(digits) <= 19 and luhn(digits) if kind == "card" else 9 <= len(digits) <= 15
 

@@ -66,6 +66,11 @@ def test_clean_text_stays_clean():
         assert shown(text) == [], text
 
 
+def test_very_long_numbers():
+    assert shown("0" * 10_000 + "1.2.3.4") == [("ip", "0" * 10_000 + "1.2.3.4")] and shown("9" * 10_000 + ".2.3.4") == []
+    assert shown("1 " * 50_000) == [] and shown("+" + "1" * 20_000) == []
+
+
 def test_find(docs):
     rows = [(1, None), (2, ""), (3, "é a@b.cd"), (3, "é a@b.cd"), (None, "x [at] y [dot] z"), (4, "w " * 100_000 + "a@b.cd")]
     got = sorted((tuple(r) for r in pii.find(docs(rows)).collect()), key=repr)
