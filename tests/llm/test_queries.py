@@ -75,3 +75,30 @@ def test_pipeline_stages(spark):
     lengths = {i: len(x) + 1 for i, x in zip(kept[4], words.ids(list(kept[4].values())), strict=True)}
     assert packing_path and {i: sum(r.length for r in docs.collect() if r.doc_id == i) for i in lengths} == lengths
     assert decontaminate.WINDOW == 13
+
+
+def test_stages_take_odd_rows_and_empty_tables(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n long, key string, lang_pred string"
+    words = " ".join(f"word{i % 37}" for i in range(300))
+    rows = [
+        (None, None, None, None, None, 1, "x", "y"), (1, None, "en", "s", 0, 1, "x", "y"), (2, "", "en", None, 0, 1, "x", "y"),
+        (3, words, "en", "s", 1, 1, "x", "y"), (3, words, "en", "s", 1, 1, "x", "y"), (None, words, None, "s", None, 1, "x", "y"),
+        (4, "word9 word8 word a@b.cd", None, "s", 3, 1, "x", "y"), (5, "123 456", "de", "s", 3, None, None, None),
+        (6, words * 200, "en", "s", 1, 1, "x", "y"),
+    ]
+    for given in (rows, []):
+        docs, seen = spark.createDataFrame(given, schema), []
+        for name, stage in corpus_pipeline.STAGES:
+            path = fresh_dir(spark, name)
+            stage(spark, docs, SF_DIR).write.parquet(path)
+            docs = spark.read.parquet(path)
+            seen.append(docs)
+        if not given:
+            assert all(d.count() == 0 for d in seen)
+            continue
+        # Texts without letters go; of the near copies the row without an id stays, as nothing names it.
+        assert sorted((r.doc_id or 0) for r in seen[0].collect()) == [0, 3, 3, 4, 6]
+        assert {r.lang for r in seen[0].collect()} == {"en"}
+        assert sorted((r.doc_id or 0) for r in seen[2].collect()) == [0, 3, 3, 4]
+        assert [r.text for r in seen[3].collect() if r.doc_id == 4] == ["word9 word8 word <email>"]
+        assert {r.n_chars for r in seen[3].collect()} == {len(words), len("word9 word8 word <email>")}
