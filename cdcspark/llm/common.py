@@ -9,8 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcspark import files
+from cdcspark.session import fresh_dir, written
+
 #: Most bytes of one Arrow batch that goes to a Python task; a single row may be longer.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 #: Rows a broadcast table may hold; what is not proven to be smaller is joined by a shuffle.
 BROADCAST_ROWS = 200_000
@@ -27,12 +30,25 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Arrow batches are bounded in bytes, so long texts cannot pile up in one."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
+class Workspace:
+    """Written intermediates of one operator, removed together once its result no longer needs them."""
+
+    def __init__(self, spark: SparkSession, purpose: str):
+        self.spark, self.path = spark, fresh_dir(spark, purpose)
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        return written(df, name, path=f"{self.path}/{name}")
+
+    def remove(self) -> None:
+        files.remove(self.spark, self.path)
+
+
 def bitmap(places: DataFrame, bits: int) -> np.ndarray:
     """A bit set for each number in the column ``place`` (0 to ``bits`` - 1), as 64-bit words.
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cdcspark.llm.common import bitmap, bounded_batches, buffers, in_bitmap, mixed, text_bytes
+from cdcspark.llm.common import Workspace, bitmap, bounded_batches, buffers, in_bitmap, mixed, text_bytes
 from cdcspark.llm.components import components
 from cdcspark.llm.shingles import shingle_sets
 from cdcspark.session import written
@@ -32,6 +32,9 @@ PERCENT = 75
 #: Coordinates of a signature, and agreements that a pair must show: a binomial draw of 32 at 0.75 is below 13 once in 10^5.
 COORDINATES, MATCHES = 32, 13
 
+#: Places that shared shingles are folded into where two classes' overlap is bounded.
+FOLDS = 4_096
+
 #: Bits of the filters that keep rows without a partner out of a shuffle; they are broadcast, 1 MB each.
 FILTER_BITS = 1 << 23
 
@@ -111,11 +114,11 @@ def _posting_place(at, value):
     return (value + at * 262_147) % FILTER_BITS
 
 
-def _prefixes(classes: DataFrame) -> DataFrame:
+def _prefixes(classes: DataFrame, space: Workspace) -> DataFrame:
     """Rows (cid, n, key, keys, centrality) of the rarest postings of every class that may have a partner."""
     posted = classes.select(F.posexplode("signature").alias("at", "value"))
     again = posted.groupBy(F.col("at").cast("long").alias("at"), F.col("value").cast("long").alias("value")).count().where("count > 1")
-    again = written(again.withColumnRenamed("count", "df"), "postings")
+    again = space.written(again.withColumnRenamed("count", "df"), "postings")
     place = F.pmod(F.col("value") + F.col("at") * 262_147, F.lit(FILTER_BITS)).alias("place")
     words = classes.sparkSession.sparkContext.broadcast(bitmap(again.select(place), FILTER_BITS))
 
@@ -165,30 +168,48 @@ def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "common", enough.alias("linked"))
 
 
+def _folded(sets: DataFrame, common: DataFrame) -> DataFrame:
+    """Rows (cid, folded): the shingles a class shares with others, as their place among ``FOLDS`` and a running number there.
+
+    Two such lists have at least as much in common as the sets do, at a fraction of their size.
+    """
+    shared = sets.select("cid", F.explode("shingles").alias("shingle")).join(common, "shingle", "left_semi")
+    counts = shared.groupBy("cid", F.pmod("shingle", F.lit(FOLDS)).cast("int").alias("fold")).agg(F.count(F.lit(1)).cast("int").alias("n"))
+    lists = F.collect_list(F.expr(f"transform(sequence(0, n - 1), j -> j * {FOLDS} + fold)"))
+    return counts.groupBy("cid").agg(F.flatten(lists).alias("folded"))
+
+
 def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Confirmed links (a, b) that join every component of classes (cid, n, k1, signature)."""
+    space = Workspace(documents.sparkSession, "neardup")
+    found = written(_links(documents, classes, percent, space), "class-links")
+    space.remove()
+    return found
+
+
+def _links(documents: DataFrame, classes: DataFrame, percent: int, space: Workspace) -> DataFrame:
     # n shingles on each side and c in common: 100 c >= p (na + nb - c).
     enough = lambda c, na, nb: (100 + percent) * c >= percent * (na + nb)
-    lists = _in_company(written(_prefixes(classes), "prefixes"))
+    lists = _in_company(space.written(_prefixes(classes, space), "prefixes"))
     likely = lists.select("cid").distinct().join(classes.select("cid", "k1", "signature"), "cid")
-    likely = written(likely, "likely")
+    likely = space.written(likely, "likely")
     sets = full_sets(documents, likely.select(F.col("cid").alias("doc_id"))).withColumnRenamed("doc_id", "cid")
     sets = sets.join(likely.select("cid", "k1"), ["cid", "k1"], "left_semi").dropDuplicates(["cid", "k1"])
-    sets = written(sets.select("cid", "shingles"), "sets")
+    sets = space.written(sets.select("cid", "shingles"), "sets")
     # How many of its shingles a class shares with any other one.
     single = sets.select("cid", F.explode("shingles").alias("shingle"))
     common = single.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"), F.min("cid").alias("one")).where("df > 1")
-    common = written(common.select("shingle"), "common-shingles")
+    common = space.written(common.select("shingle"), "common-shingles")
     shared = single.join(common, "shingle", "left_semi").groupBy("cid").agg(F.count(F.lit(1)).alias("u"))
     lists = lists.join(shared, "cid").where(100 * F.col("u") >= percent * F.col("n"))
-    lists = written(_in_company(lists), "lists")
+    lists = space.written(_in_company(lists), "lists")
     centre = lists.groupBy("key").agg(F.max(F.struct("centrality", "cid", "n", "u")).alias("p"))
     near = lists.join(centre, "key").where("cid <> p.cid").where(
         enough(F.least("u", "p.u"), F.col("n"), F.col("p.n"))
     )
     ends = [F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")]
     tried = _colliding(near.select(*ends).distinct(), likely)
-    tried = written(_compared(written(tried, "colliding"), sets, percent), "tried")
+    tried = space.written(_compared(space.written(tried, "colliding"), sets, percent), "tried")
     first = tried.where("linked").select("a", "b")
     found = components(first)
     labelled = lists.join(found, F.col("cid") == F.col("id"), "left").withColumn("label", F.coalesce("component", "cid"))
@@ -196,18 +217,22 @@ def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int
     labelled = labelled.drop("id", "component").join(centre.select("key", "p"), "key").select("*", *ends)
     labelled = labelled.join(tried.select("a", "b", "common"), ["a", "b"], "left")
     inner = F.when(F.col("cid") == F.col("p.cid"), F.col("u")).otherwise(F.col("common"))
-    labelled = written(labelled.select("key", "keys", "cid", "n", "u", "label", inner.cast("long").alias("i")), "labelled")
+    labelled = space.written(labelled.select("key", "keys", "cid", "n", "u", "label", inner.cast("long").alias("i")), "labelled")
     sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
-    largest = written(largest.where("labels > 1").select("key", F.col("top.label").alias("top")), "largest")
+    largest = space.written(largest.where("labels > 1").select("key", F.col("top.label").alias("top")), "largest")
     open_rows = labelled.join(largest, "key")
+    open_classes = space.written(open_rows.select("cid").distinct(), "open")
+    folded = _folded(sets.join(open_classes, "cid", "left_semi"), common)
+    open_rows = open_rows.join(folded, "cid")
     # Members of the largest part of a list need not meet each other.
     left = open_rows.where("label <> top").select(
-        "key", "keys", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("u").alias("xu"), F.col("i").alias("xi"), F.col("label").alias("xl")
+        "key", "keys", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("u").alias("xu"), F.col("i").alias("xi"),
+        F.col("label").alias("xl"), F.col("folded").alias("xf"),
     )
     right = open_rows.select(
         F.col("key").alias("ykey"), F.col("keys").alias("ykeys"), F.col("cid").alias("y"), F.col("n").alias("yn"), F.col("u").alias("yu"),
-        F.col("i").alias("yi"), F.col("label").alias("yl"), "top",
+        F.col("i").alias("yi"), F.col("label").alias("yl"), F.col("folded").alias("yf"), "top",
     )
     # Two classes share inside the centre no more than either does with it, and outside no more than either shares there at all.
     known = F.col("xi").isNotNull() & F.col("yi").isNotNull()
@@ -216,9 +241,10 @@ def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int
     met = left.join(right, (F.col("key") == F.col("ykey")) & (F.col("xl") != F.col("yl"))
                     & ((F.col("yl") == F.col("top")) | (F.col("x") < F.col("y")))
                     & enough(most, F.col("xn"), F.col("yn"))
-                    & (F.array_min(F.array_intersect("keys", "ykeys")) == F.col("key")))
+                    & (F.array_min(F.array_intersect("keys", "ykeys")) == F.col("key"))
+                    & enough(F.size(F.array_intersect("xf", "yf")), F.col("xn"), F.col("yn")))
     rest = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _compared(written(_colliding(rest, likely), "rest"), sets, percent).where("linked").select("a", "b")
+    more = _compared(space.written(_colliding(rest, likely), "rest"), sets, percent).where("linked").select("a", "b")
     return first.unionByName(more)
 
 

@@ -62,7 +62,7 @@ class WordTokenizer:
     #: The separators that only Python takes for white space, and letters with a lower case that depends on others.
     UNUSUAL = re.compile("[\x1c-\x1fİΣ]")
     #: Words and characters of them that are remembered; beyond that, the later half is forgotten.
-    MOST_WORDS, MOST_CHARS = 500_000, 16 << 20
+    MOST_WORDS, MOST_CHARS = 300_000, 8 << 20
     #: Words tokenised in one call.
     CALL_WORDS = 10_000
 

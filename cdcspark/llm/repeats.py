@@ -33,14 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcspark import files
-from cdcspark.llm.common import bounded_batches, buffers, mixed, row_blocks, text_bytes
-from cdcspark.session import fresh_dir
+from cdcspark.llm.common import BATCH_BYTES, bounded_batches, buffers, mixed, row_blocks, text_bytes
+from cdcspark.session import fresh_dir, written
 
 #: Bytes of the strings, and of the parts of them whose least hash is the first digit.
 DEPTH, SEED = 100, 32
 
 #: Bytes of text whose runs one bucket stands for, and bytes of text handled at once.
-BUCKET_BYTES, CHUNK_BYTES = 12 << 20, 2 << 20
+BUCKET_BYTES, CHUNK_BYTES = 8 << 20, 1 << 20
 
 #: Digits with as many runs are hot.
 HOT_RUNS = 2_000
@@ -216,6 +216,8 @@ def _copies(rows: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNotNull().alias("named"), "doc_id")
     first = narrow.groupBy(*keys).agg(F.min(order).alias("first"), F.max(order).alias("last"))
     first = first.where(~F.col("first").eqNullSafe(F.col("last"))).select(*keys, F.col("first.doc_id").alias("first_id"))
+    # Written, so the join knows its size, and has an exchange of its own that adaptive execution can split.
+    first = written(first, "repeats-first")
     return narrow.join(first, keys).where(~F.col("doc_id").eqNullSafe(F.col("first_id"))).select("file", "row")
 
 
@@ -465,7 +467,8 @@ def remove_repeats(documents: DataFrame, bucket_bytes: int = BUCKET_BYTES, with_
     ``bucket_bytes`` is the text one bucket of digits stands for; raise it with the corpus, so buckets times batches stay few.
     """
     spark = documents.sparkSession
-    bounded_batches(spark)
+    # What a batch sends to a bucket is one row, so batches are larger here.
+    bounded_batches(spark, 2 * BATCH_BYTES)
     base = fresh_dir(spark, "repeats")
     documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw")).write.parquet(f"{base}/texts")
     rows = spark.read.parquet(f"{base}/texts").select(

@@ -11,7 +11,7 @@ from cdcspark.llm.common import mixed, row_blocks
 SHINGLE_WORDS = 5
 
 #: Bytes of text handled at once; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _SEPARATORS = np.zeros(256, bool)
 _SEPARATORS[[0x20, *range(0x09, 0x0E)]] = True
