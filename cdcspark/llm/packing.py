@@ -127,11 +127,13 @@ class WordTokenizer:
 _loaded: dict[str, WordTokenizer] = {}
 
 
-def word_tokenizer(path: str) -> WordTokenizer:
+def word_tokenizer(path: str, most_words: int = WordTokenizer.MOST_WORDS) -> WordTokenizer:
     """One per worker process, so tasks go on with the words that earlier ones met."""
     if path not in _loaded:
         _loaded[path] = WordTokenizer(path)
-    return _loaded[path]
+    found = _loaded[path]
+    found.MOST_WORDS, found.MOST_CHARS = most_words, 32 * most_words
+    return found
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -147,16 +149,19 @@ def _parts(text: str) -> Iterator[str]:
     yield text[first:]
 
 
-def tokenize(documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+def tokenize(
+    documents: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = END_ID, with_ids: bool = False,
+    most_words: int = WordTokenizer.MOST_WORDS,
+) -> DataFrame:
     """Pieces of at most ``length`` ids of every document: doc_id, piece, start, length, ids_crc32 and, if asked for, ids.
 
     Each document is its ids and then ``end_id``; null or empty text is ``end_id`` alone. Only longer documents are
     cut. Columns other than doc_id and text are ignored; repeated rows give repeated pieces. ``tokenizer`` is the path of a
-    vocabulary file that every executor has.
+    vocabulary file that every executor has; ``most_words`` bounds the words a worker remembers, and so its memory.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokenizer(tokenizer)
+        words = word_tokenizer(tokenizer, most_words)
         for batch in batches:
             rows: list[tuple] = []
             kept: list[np.ndarray] = []

@@ -48,7 +48,8 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    return packing.pack(packing.tokenize(docs, vocabulary("word_bpe_49k.json")))
+    # Workers go on from stage to stage, so what they remember is kept smaller than where packing is all they do.
+    return packing.pack(packing.tokenize(docs, vocabulary("word_bpe_49k.json"), most_words=250_000))
 
 
 STAGES = [
