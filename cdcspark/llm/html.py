@@ -57,7 +57,9 @@ _TOKEN = re.compile(
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
+#: One attribute after the other, so that values are consumed and never searched for names.
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_READ = frozenset(("class", "id", "role", "hidden", "aria-hidden"))
 _NUMBER = re.compile(r"\d+")
 
 
@@ -85,9 +87,13 @@ class Block:
 
 def _step(tag: str, attributes: str) -> tuple[str, str]:
     """The element's step in a path, and its words that may mark it as surroundings."""
-    if not attributes or "=" not in attributes and "hidden" not in attributes:
+    if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return tag, ""
-    found = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTRIBUTE.finditer(attributes)}
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        name = m[1].lower()
+        if name in _READ:
+            found.setdefault(name, m[2] or m[3] or m[4] or "")
     classes = ".".join(sorted({_NUMBER.sub("#", x.lower()) for x in found.get("class", "").split()}))
     marks = " ".join(found.get(x, "") for x in ("class", "id", "role"))
     if "hidden" in found or found.get("aria-hidden", "").lower() == "true":

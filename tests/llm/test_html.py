@@ -55,3 +55,13 @@ def test_a_long_page_is_read_whole():
     assert html.extract(page, ["/article"]) == "\n".join(paragraphs)
     deep = "<div>" * 3000 + "x" + "</div>" * 3000
     assert html.extract(deep, []) == "x"
+
+
+def test_attribute_values_are_not_searched_for_names():
+    for attributes in ['style="overflow:hidden"', 'title="A hidden valley"', "data-hidden=1", 'data-x="a hidden id=search"', "title='class=ad'"]:
+        assert html.extract(f"<article {attributes}><div {attributes}><p {attributes}>kept text</p></div></article>", []) == "kept text", attributes
+    page = '<article><p>see <a href="/view?id=search">the link</a> and <a href=/view?role=search>another</a> in long text</p></article>'
+    assert html.extract(page, []) == "see the link and another in long text"
+    assert html.vote('<div class="post" title="a class=other"><p>some text</p></div>')[0] == "/div.post"
+    for attributes in ["hidden", "HIDDEN", 'hidden=""', "data-x=1 hidden", 'title="x"hidden', "aria-hidden=true", "class=ad", "CLASS = 'ad'"]:
+        assert html.extract(f"<article><p>kept</p><div {attributes}>gone</div></article>", []) == "kept", attributes
