@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -42,14 +43,32 @@ DROPPED = frozenset(
     "template textarea title video audio xmp noframes".split()
 )
 
+#: Of these, the ones that are kept where the page's article, or its only heading of the first rank, stands inside.
+_SPARED = {**dict.fromkeys("aside form header".split(), ("article", "h1")), **dict.fromkeys("dialog footer menu nav".split(), ("article",))}
+
 #: Words of classes, ids and roles that mark what surrounds the main text.
-_AROUND = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|advertisement|advertising|alert|banner|breadcrumbs?|captcha|comments?|complementary|consent|contentinfo|"
-    r"cookies?|disclaimer|disqus|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|"
-    r"pager|pagination|popup|promos?|recommended|related|replies|reply|respond|search|share|sharing|sidebar|signup|skip|social|"
-    r"sponsor|sponsored|subscribe|subscription|toolbar|widgets?)(?:$|[\s_-])",
-    re.I,
+_AROUND = frozenset(
+    "ad ads advert advertisement advertising alert banner breadcrumb breadcrumbs captcha comment comments complementary consent "
+    "contentinfo cookie cookies disclaimer disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice "
+    "notices overlay pager pagination popup promo promos recommended related replies reply respond search share sharing sidebar signup "
+    "skip social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+)
+#: Words that may stand beside them in one name; any other word (with, has, no, content, text, results) makes it the name of another thing.
+_BESIDE = frozenset(
+    "area bar block bottom box button buttons desktop fixed form global icons left link links list main mobile panel primary right "
+    "secondary section site slot slots sticky top unit".split()
+)
+#: Words of the article, beside which only these surround it: its comments, but not its header.
+_ARTICLE_WORDS = frozenset("article articles blog entry page post posts".split())
+_BESIDE_ARTICLE = frozenset(
+    "comment comments footer nav navigation pager pagination recommended related replies respond share sharing social".split()
 )
+#: Words of headings, which are the article's own inside it.
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
+_HEADING_WORDS = frozenset(("header", "masthead"))
+#: Names of layout, beside which a sidebar is what the element has and not what it is.
+_LAYOUT = frozenset("container content layout main page row site wrap wrapper".split())
+_PART = re.compile(r"[_-]+")
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|\Z)"
@@ -71,6 +90,10 @@ class Element:
     dropped: bool
     score: float = 0.0
     place: int = 0
+    #: The innermost element around it, or itself, that goes unless it turns out to hold the article; what spares that one.
+    doubtful: Element | None = None
+    spared_by: tuple[str, ...] = ()
+    gone: bool = True
 
 
 @dataclass(slots=True)
@@ -80,25 +103,43 @@ class Block:
     holder: Element
     parts: list[str] = field(default_factory=list)
     linked: int = 0
+    #: Places in ``parts``, and their linked length, that go with a doubtful element.
+    doubts: list[tuple[int, int, Element]] = field(default_factory=list)
 
     def text(self) -> str:
         return " ".join("".join(self.parts).split())
 
 
-def _step(tag: str, attributes: str) -> tuple[str, str]:
-    """The element's step in a path, and its words that may mark it as surroundings."""
+@lru_cache(maxsize=10_000)
+def _around(name: str) -> frozenset[str]:
+    """The words by which a whole class, id or role names surroundings; none where it names something else."""
+    parts = [x for x in _PART.split(name.lower()) if x]
+    words = frozenset(x for x in parts if x in _AROUND)
+    others = {x for x in parts if x not in words and x not in _BESIDE and not x[0].isdigit()}
+    return words if words and (not others or others <= _ARTICLE_WORDS and words <= _BESIDE_ARTICLE) else frozenset()
+
+
+def _surrounds(names: list[str]) -> frozenset[str]:
+    """The words by which an element's names mark it as surroundings."""
+    words = frozenset().union(*map(_around, names))
+    if "sidebar" in words and not _LAYOUT.isdisjoint(x.lower() for x in names):
+        return words - {"sidebar"}
+    return words
+
+
+def _step(tag: str, attributes: str) -> tuple[str, list[str], bool]:
+    """The element's step in a path, its names that may mark it as surroundings, and if it is hidden."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
-        return tag, ""
+        return tag, [], False
     found: dict[str, str] = {}
     for m in _ATTRIBUTE.finditer(attributes):
         name = m[1].lower()
         if name in _READ:
             found.setdefault(name, m[2] or m[3] or m[4] or "")
     classes = ".".join(sorted({_NUMBER.sub("#", x.lower()) for x in found.get("class", "").split()}))
-    marks = " ".join(found.get(x, "") for x in ("class", "id", "role"))
-    if "hidden" in found or found.get("aria-hidden", "").lower() == "true":
-        marks += " alert"
-    return f"{tag}.{classes}" if classes else tag, marks
+    names = [y for x in ("class", "id", "role") for y in found.get(x, "").split()]
+    hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true"
+    return f"{tag}.{classes}" if classes else tag, names, hidden
 
 
 def blocks_of(html: str) -> list[Block]:
@@ -106,6 +147,8 @@ def blocks_of(html: str) -> list[Block]:
     root = Element("", "", None, False)
     top, blocks, current, links, at = root, [], None, 0, 0
     end, places = len(html), 0
+    doubtful: list[Element] = []
+    landmarks: dict[str, list[Element]] = {"article": [], "h1": []}
 
     def add(raw: str) -> None:
         nonlocal current
@@ -120,6 +163,8 @@ def blocks_of(html: str) -> list[Block]:
             current = Block(holder)
             blocks.append(current)
         text = unescape(raw)
+        if top.doubtful is not None:
+            current.doubts.append((len(current.parts), len(text) if links else 0, top.doubtful))
         current.parts.append(text)
         if links:
             current.linked += len(text)
@@ -168,15 +213,51 @@ def blocks_of(html: str) -> list[Block]:
             continue
         if tag in VOID or m[3].endswith("/") and tag not in BLOCKS:
             continue
-        step, marks = _step(tag, m[3])
-        outside = tag in DROPPED or tag == "header" and not _inside_article(top) or bool(marks and _AROUND.search(marks))
+        step, names, hidden = _step(tag, m[3])
+        words = _surrounds(names) if names else frozenset()
+        around, spared_by = bool(words) or hidden, ("article", "h1")
+        if words and not hidden and (tag in _HEADINGS or words <= _HEADING_WORDS) and _inside_article(top):
+            around = False
+        if tag in _SPARED and (tag != "header" or not _inside_article(top)):
+            around, spared_by = True, _SPARED[tag]
         places += 1
+        hard = top.dropped or tag in DROPPED and tag not in _SPARED
+        top = Element(tag, f"{top.path}/{step}", top, hard, 0.0, places, top.doubtful, spared_by)
         # The page's frame itself is never surroundings, whatever its classes say.
-        top = Element(tag, f"{top.path}/{step}", top, top.dropped or (outside and tag not in ("html", "body", "main", "article")), 0.0, places)
+        if around and not hard and tag not in ("html", "body", "main", "article"):
+            top.doubtful = top
+            doubtful.append(top)
+        if not hard and (tag in ("main", "h1") or tag == "article" and not words):
+            landmarks["h1" if tag == "h1" else "article"].append(top)
         links += tag == "a"
+    if doubtful:
+        _settle(blocks, doubtful, landmarks)
     return blocks
 
 
+def _settle(blocks: list[Block], doubtful: list[Element], landmarks: dict[str, list[Element]]) -> None:
+    """Takes out what stands in doubtful elements, but keeps those around the article or the first heading if it is nowhere else."""
+    for kind, held in landmarks.items():
+        if any(e.doubtful is None for e in held):
+            continue
+        seen: set[int] = set()
+        for e in held:
+            node = e.doubtful
+            while node is not None and id(node) not in seen:
+                seen.add(id(node))
+                if kind in node.spared_by:
+                    node.gone = False
+                node = node.parent.doubtful
+    for e in doubtful:  # outer ones come first
+        outer = e.parent.doubtful
+        e.gone = e.gone or outer is not None and outer.gone
+    for block in blocks:
+        for i, linked, e in block.doubts:
+            if e.gone:
+                block.parts[i] = ""
+                block.linked -= linked
+
+
 def _inside_article(node: Element | None) -> bool:
     while node is not None:
         if node.tag in ("article", "main"):

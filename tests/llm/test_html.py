@@ -65,3 +65,34 @@ def test_attribute_values_are_not_searched_for_names():
     assert html.vote('<div class="post" title="a class=other"><p>some text</p></div>')[0] == "/div.post"
     for attributes in ["hidden", "HIDDEN", 'hidden=""', "data-x=1 hidden", 'title="x"hidden', "aria-hidden=true", "class=ad", "CLASS = 'ad'"]:
         assert html.extract(f"<article><p>kept</p><div {attributes}>gone</div></article>", []) == "kept", attributes
+
+
+def test_whole_names_mark_surroundings():
+    for name in ["content with-sidebar", "has-sidebar", "no-sidebar", "elementor-widget-text-editor", "article-header", "entry-header",
+                 "search-results", "container right-sidebar", "no-comments", "widget-content", "notice-board-text"]:
+        for page in [f"<div class='{name}'><p>kept text</p></div>", f"<div id='{name.split()[-1]}x'><p>kept text</p></div>"]:
+            assert html.extract(page, []) == "kept text", name
+    for name in ["ad", "ad-slot-3", "ad_300x250", "sidebar", "left-sidebar", "site-header", "post-comments", "related-posts", "cookie-notice",
+                 "comment-list", "header__nav", "main-nav", "Share-Buttons", "x comments"]:
+        assert html.extract(f"<div><p>kept text</p><div class='{name}'><p>gone</p></div></div>", []) == "kept text", name
+
+
+def test_headings_inside_an_article_stay():
+    for head in ["<div class=header><h1>Head</h1></div>", "<header class=header><h1>Head</h1></header>", "<h1 class=header>Head</h1>",
+                 "<div class=article-header><h1>Head</h1></div>", "<h2 class=widget>Head</h2>", "<div class=entry-header><h2>Head</h2></div>"]:
+        assert html.extract(f"<article>{head}<p>text of the article</p></article>", []) == "Head\ntext of the article", head
+
+
+def test_surroundings_that_hold_the_article_stay():
+    article = "<article><h1>Head</h1><p>text of the article</p></article>"
+    for around in ["<div class=sidebar>{}</div>", "<div id=widget><div class=modal>{}</div></div>", "<form>{}</form>", "<div hidden>{}</div>",
+                   "<aside>{}</aside>", "<span class=ad>{}</span>"]:
+        assert html.extract("<body><nav>menu</nav>" + around.format(article) + "</body>", []) == "Head\ntext of the article", around
+        assert html.extract(around.format("<main><p>text</p></main>"), []) == "text", around
+    assert html.extract("<div class=widget><h1>Head</h1><p>text</p></div>", []) == "Head\ntext"
+    # What else is marked goes: teasers and comments are not the page's article, wherever that stands.
+    other = "<div class=related><article><p>a teaser that is longer than the article, by far and for sure</p></article></div>"
+    assert html.extract(article + other, []) == html.extract(other + article, []) == "Head\ntext of the article"
+    other = "<div class=comments><article class=comment><p>a long comment on the text above it, by a reader</p></article></div>"
+    assert html.extract("<div><p>the text</p></div>" + other, []) == "the text"
+    assert html.extract("<article><p>one <span class=ad>two <b>x</b></span> three</p></article>", []) == "one three"
