@@ -1,11 +1,13 @@
 """Main text of web pages, by container paths that a host's pages agree on.
 
 First pass: every page's text blocks give their length, less what stands in links, to the element that holds them and half
-of it to the one above. The best element's path, in tags and classes with numbers generalised, is the page's vote. Spark
-sums votes per host with partial aggregates, so a host with a third of all pages is one row per path and task. Second pass:
-each page is read again and gives the text of the elements at its host's winning paths.
+of it to the one above. From the best element the vote climbs to the outermost article or main around it or, without one, to
+the least element that also holds the rest of the article. Its path, in tags and classes with numbers generalised, is the
+page's vote. Spark sums votes per host, and on how many pages each path holds text, with partial aggregates, so a host with
+a third of all pages is one row per path and task. Second pass: each page is read again. It gives the text at a winning path
+of its host, if that covers most of its own best element or if its host knows this one as what stands beside the text.
 
-Where a page has none of them it falls back to its own best element. Pages are parsed whole, in one streaming scan.
+Otherwise it gives the text of its own best element. Pages are parsed whole, in one streaming scan.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -25,6 +28,8 @@ from cdcspark.session import written
 
 #: A path wins if it has at least this part of its host's votes; so no host has more than the inverse of it.
 WIN_SHARE = 0.05
+#: The part of a page's own best element that a host's path must hold to be taken in its place.
+COVERS = 0.8
 
 #: Fixed values of the format: elements without content or end tag; elements whose content is no markup.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,6 +71,8 @@ _BESIDE_ARTICLE = frozenset(
 #: Words of headings, which are the article's own inside it.
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 header hgroup".split())
 _HEADING_WORDS = frozenset(("header", "masthead"))
+#: Words of the page's own surroundings, which stand in its layout and in no article.
+_PAGE_WORDS = frozenset("contentinfo footer masthead menu nav navbar navigation sidebar".split())
 #: Names of layout, beside which a sidebar is what the element has and not what it is.
 _LAYOUT = frozenset("container content layout main page row site wrap wrapper".split())
 _PART = re.compile(r"[_-]+")
@@ -94,6 +101,8 @@ class Element:
     doubtful: Element | None = None
     spared_by: tuple[str, ...] = ()
     gone: bool = True
+    #: It holds the page's own navigation or footer, so it is the page's layout and no article.
+    layout: bool = False
 
 
 @dataclass(slots=True)
@@ -106,8 +115,13 @@ class Block:
     #: Places in ``parts``, and their linked length, that go with a doubtful element.
     doubts: list[tuple[int, int, Element]] = field(default_factory=list)
 
+    #: Joined once, when the page has been read.
+    joined: str | None = None
+
     def text(self) -> str:
-        return " ".join("".join(self.parts).split())
+        if self.joined is None:
+            self.joined = " ".join("".join(self.parts).split())
+        return self.joined
 
 
 @lru_cache(maxsize=10_000)
@@ -224,6 +238,8 @@ def blocks_of(html: str) -> list[Block]:
         hard = top.dropped or tag in DROPPED and tag not in _SPARED
         top = Element(tag, f"{top.path}/{step}", top, hard, 0.0, places, top.doubtful, spared_by)
         # The page's frame itself is never surroundings, whatever its classes say.
+        if tag in ("nav", "footer") or not words.isdisjoint(_PAGE_WORDS) and around:
+            top.parent.layout = True
         if around and not hard and tag not in ("html", "body", "main", "article"):
             top.doubtful = top
             doubtful.append(top)
@@ -289,11 +305,16 @@ def _close_open(top: Element, tag: str, close) -> None:
             node = node.parent
 
 
+def _worth(block: Block) -> int:
+    return len(block.text()) - 2 * block.linked
+
+
 def best_element(blocks: list[Block]) -> Element | None:
-    """The element whose own blocks, and the blocks one level below, hold most text outside links."""
+    """The element that holds the article: the one whose own blocks, and the blocks one level below, hold most text outside
+    links, or what is around it and holds more of the article."""
     seen: dict[int, Element] = {}
     for block in blocks:
-        worth = len(block.text()) - 2 * block.linked
+        worth = _worth(block)
         if worth <= 0:
             continue
         node, share = block.holder if block.holder.tag in _CONTAINERS else block.holder.parent, 1.0
@@ -305,10 +326,58 @@ def best_element(blocks: list[Block]) -> Element | None:
             node = node.parent
     if not seen:
         return None
-    return max(seen.values(), key=lambda e: (e.score, -e.place))
+    return _whole(max(seen.values(), key=lambda e: (e.score, -e.place)), blocks)
+
+
+def _whole(best: Element, blocks: list[Block]) -> Element:
+    """The outermost article or main around ``best``; without one, the least element around it that holds the first heading,
+    and then each one below the page's frame that is no layout and adds more text outside links than in them."""
+    chain, node = [], best
+    while node is not None:
+        chain.append(node)
+        node = node.parent
+    for node in reversed(chain):
+        if node.tag in ("article", "main"):
+            return node
+    order = {id(e): i for i, e in enumerate(chain)}
+    known: dict[int, int] = dict(order)
+    # For each element of the chain, what it holds besides the one before.
+    adds, has_text, heading = [0] * len(chain), [False] * len(chain), len(chain)
+    for block in blocks:
+        if not block.text():
+            continue
+        walked, node, first = [], block.holder, False
+        while id(node) not in known:
+            walked.append(node)
+            node = node.parent
+        at = known[id(node)]
+        for x in walked:
+            known[id(x)] = at
+        node = block.holder
+        while node.tag and node.tag not in _CONTAINERS:
+            first = first or node.tag == "h1"
+            node = node.parent
+        if first:
+            heading = min(heading, at)
+        adds[at] += _worth(block)
+        has_text[at] = True
+    found = heading if heading < len(chain) else 0
+    for i in range(found + 1, len(chain)):
+        if chain[i].tag in _FRAME or chain[i].layout or has_text[i] and adds[i] <= 0:
+            break
+        if has_text[i]:
+            found = i
+    return chain[found]
 
 
 _CONTAINERS = frozenset("article main section div td body blockquote center html dd li".split())
+#: Around the whole page; the nameless one is the root of a page without them.
+_FRAME = frozenset(("", "html", "body"))
+
+
+def key_of(path: str) -> int:
+    """64 bits for a path."""
+    return int.from_bytes(blake2b(path.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
 def vote(html: str) -> tuple[str, float] | None:
@@ -317,21 +386,54 @@ def vote(html: str) -> tuple[str, float] | None:
     return (best.path, best.score) if best else None
 
 
-def extract(html: str, paths: list[str]) -> str:
-    """Blocks inside elements at the first of ``paths`` the page has, else in its own best element; all if it has none."""
+def _held(blocks: list[Block]) -> set[str]:
+    """Paths of all elements that hold text outside links, the page's frame aside."""
+    seen: set[int] = set()
+    paths: set[str] = set()
+    for block in blocks:
+        if _worth(block) <= 0:
+            continue
+        node = block.holder
+        while node is not None and id(node) not in seen:
+            seen.add(id(node))
+            if node.tag not in _FRAME:
+                paths.add(node.path)
+            node = node.parent
+    return paths
+
+
+def votes(html: str) -> list[tuple[int, str | None, float]]:
+    """Key and score of every path that holds text on the page; the best element's has its path, the others have none."""
+    blocks = blocks_of(html)
+    best = best_element(blocks)
+    if best is None:
+        return []
+    return [(key_of(best.path), best.path, best.score), *((key_of(x), None, 0.0) for x in _held(blocks) if x != best.path)]
+
+
+def extract(html: str, paths: list[str], beside: list[int] | frozenset[int] = ()) -> str:
+    """Blocks inside elements at the first of ``paths`` that holds most of the page's own best element, else inside that one;
+    all if it has none. An element whose path's key is ``beside`` the text on its host gives way to any of ``paths``."""
     blocks = blocks_of(html)
     texts = [(b, t) for b in blocks if (t := b.text())]
+    best = best_element(blocks)
 
-    def within(path: str) -> list[str]:
+    def within(path: str) -> list[tuple[Block, str]]:
         inside = path + "/"
-        return [t for b, t in texts if b.holder.path == path or b.holder.path.startswith(inside)]
+        return [(b, t) for b, t in texts if b.holder.path == path or b.holder.path.startswith(inside)]
 
+    if best is None:
+        return "\n".join(t for _, t in texts)
+    own = within(best.path)
+    held, total = {id(b) for b, _ in own}, sum(len(t) for _, t in own)
+    give_way = bool(beside) and key_of(best.path) in beside
     for path in paths:
+        if path == best.path:
+            return "\n".join(t for _, t in own)
         found = within(path)
-        if found:
-            return "\n".join(found)
-    best = best_element(blocks)
-    return "\n".join(within(best.path) if best else [t for _, t in texts])
+        if found and (give_way or sum(len(t) for b, t in found if id(b) in held) >= COVERS * total):
+            return "\n".join(t for _, t in found)
+    return "\n".join(t for _, t in own)
 
 
 def host(url: Column) -> Column:
@@ -340,27 +442,37 @@ def host(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """Winning paths per host, most voted first: host, paths."""
+    """Per host its winning paths, most voted first, and the keys of paths beside the text: host, paths, beside.
+
+    A path is beside the text if it holds text on many of a host's pages and is the best one on less than half of them.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [
-                (h, *found)
-                for h, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True)
-                if (found := vote(x.as_py() or "")) is not None
+                (h, *found) for h, x in zip(batch.column(0).to_pylist(), batch.column(1), strict=True) for found in votes(x.as_py() or "")
             ]
-            hosts, paths, scores = zip(*rows, strict=True) if rows else ((), (), ())
+            hosts, keys, paths, scores = zip(*rows, strict=True) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())], ["host", "path", "score"]
+                [pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
+                ["host", "key", "path", "score"],
             )
 
     bounded_batches(pages.sparkSession)
-    votes = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(work, "host string, path string, score double")
-    votes = votes.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("score").cast("long")).alias("score"))
-    hosts = votes.groupBy(F.col("host").alias("of")).agg(F.sum("n").alias("all"))
-    won = votes.join(hosts, F.col("host") == F.col("of")).where(F.col("n") >= F.lit(WIN_SHARE) * F.col("all"))
-    best = F.sort_array(F.collect_list(F.struct("n", "score", "path")), asc=False)
-    return won.groupBy("host").agg(F.transform(best, lambda x: x["path"]).alias("paths"))
+    found = pages.select(host(F.col("url")).alias("host"), "html").mapInArrow(work, "host string, key long, path string, score double")
+    found = found.groupBy("host", "key").agg(
+        F.count("path").alias("n"), F.count(F.lit(1)).alias("held"), F.max("path").alias("path"),
+        F.sum(F.col("score").cast("long")).alias("score"),
+    ).where("n > 0")
+    hosts = found.groupBy(F.col("host").alias("of")).agg(F.sum("n").alias("all"))
+    least = F.lit(WIN_SHARE) * F.col("all")
+    known = found.join(hosts, F.col("host") == F.col("of")).where(F.col("held") >= least)
+    won = (F.col("n") >= least) & (2 * F.col("n") >= F.col("held"))
+    best = F.sort_array(F.collect_list(F.when(won, F.struct("n", "score", "path"))), asc=False)
+    return known.groupBy("host").agg(
+        F.transform(best, lambda x: x["path"]).alias("paths"),
+        F.collect_list(F.when(2 * F.col("n") < F.col("held"), F.col("key"))).alias("beside"),
+    )
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -373,11 +485,12 @@ def main_text(pages: DataFrame) -> DataFrame:
     winners = written(host_paths(pages), "html-paths")
     rows = pages.withColumn("_host", host(F.col("url")))
     # A row per host, joined by its written size; where that needs a shuffle, adaptive execution splits a hot host.
-    rows = rows.join(winners.withColumnRenamed("host", "_host"), "_host", "left").select("page_id", "url", "html", "paths")
+    rows = rows.join(winners.withColumnRenamed("host", "_host"), "_host", "left").select("page_id", "url", "html", "paths", "beside")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [extract(x.as_py() or "", p or []) for x, p in zip(batch.column(2), batch.column(3).to_pylist(), strict=True)]
+            known = zip(batch.column(2), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
+            texts = [extract(x.as_py() or "", paths or [], frozenset(beside or ())) for x, paths, beside in known]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                 ["page_id", "url", "text", "n_chars"],

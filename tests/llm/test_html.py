@@ -96,3 +96,37 @@ def test_surroundings_that_hold_the_article_stay():
     other = "<div class=comments><article class=comment><p>a long comment on the text above it, by a reader</p></article></div>"
     assert html.extract("<div><p>the text</p></div>" + other, []) == "the text"
     assert html.extract("<article><p>one <span class=ad>two <b>x</b></span> three</p></article>", []) == "one three"
+
+
+LEAD, BODY = "a short lead", "the body of the article, which is the longest part of it by far"
+
+
+def test_articles_in_several_containers():
+    want = f"Head\n{LEAD}\n{BODY}"
+    for page in [
+        f"<article><h1>Head</h1><section class=lead>{LEAD}</section><section class=body>{BODY}</section></article>",
+        f"<article><h1>Head</h1><p>{LEAD}</p><div class=entry-content><p>{BODY}</p></div></article>",
+        f"<main><h1>Head</h1><article><p>{LEAD}</p></article><article><p>{BODY}</p></article></main>",
+        f"<article><h1>Head</h1><p>{LEAD}</p><blockquote>{BODY}</blockquote></article>",
+        f"<article><h1>Head</h1><ul><li>{LEAD}<li>{BODY}</ul></article>",
+        f"<article><h1>Head</h1><table><tr><td>{LEAD}<td>{BODY}</table></article>",
+        f"<div class=post><h1>Head</h1><div class=lead>{LEAD}</div><div class=entry-content><p>{BODY}</p></div></div>",
+        f"<div class=post><h2>Head</h2><p>{LEAD}</p><blockquote>{BODY}</blockquote></div>",
+        f"<body><h1>Head</h1><div>{LEAD}</div><div>{BODY}</div></body>",
+    ]:
+        for around in ["{}", "<body><nav><a href=/x>menu</a></nav><div id=page>{}</div><div class=sidebar>side</div></body>"]:
+            if "<body>" not in page or around == "{}":
+                assert html.extract(around.format(page), []) == want, (page, around)
+    # Below the page's layout nothing is joined: what has no heading and stands beside navigation is another column.
+    page = f"<div id=page><nav>menu</nav><div class=post><p>{LEAD}</p><p>{BODY}</p></div><div class=column><p>other</p></div></div>"
+    assert html.extract(page, []) == f"{LEAD}\n{BODY}"
+    page = f"<div id=page><div class=post><p>{BODY}</p></div><div class=column><a href=/x>a link</a> <a href=/x>and links</a></div></div>"
+    assert html.extract(page, []) == BODY
+
+
+def test_pages_of_another_template_keep_their_article(spark):
+    common = "<div class=main><p>the article {} says what it says</p></div>"
+    rows = [(i, f"http://a.b/{i}", common.format(i)) for i in range(9)]
+    rows.append((9, "http://a.b/9", f"<div class=main><p>a note</p></div><article><h1>Head</h1><p>{LEAD}</p><p>{BODY}</p></article>"))
+    got = {r.page_id: r.text for r in html.main_text(pages(spark, rows)).collect()}
+    assert got[9] == f"Head\n{LEAD}\n{BODY}" and got[0] == "the article 0 says what it says"
