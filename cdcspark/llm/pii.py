@@ -1,8 +1,8 @@
 """Personal data in plain and in disguised spelling, with the places it has in the source text.
 
 Plain identifiers are found by pattern. A text that shows signs of disguise also goes through transducers: characters that
-look like ASCII ones, invisible characters, digits spelled as words, and at/dot in brackets or words are rewritten, and every
-character of the result remembers the source range it came from. The same patterns then run on the rewritten text and their
+look like ASCII ones, invisible characters, digits spelled as words, and at and dot in brackets or words, each by itself, are
+rewritten, and every character of the result remembers the source range it came from. The same patterns then run on the rewritten text and their
 spans are mapped back. Spans found plainly always stay; one found in disguise is added where it overlaps none of its kind.
 
 Each text is handled by itself in one task, whole; nothing is shuffled.
@@ -53,22 +53,45 @@ DIGIT_WORDS = {
 }
 
 _DIGIT = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
+_BRACKETED_DOT = r"\s*[\[({<]\s*(?:dot|\.|punkt|point|punto)\s*[\])}>]\s*"
+#: What stands between digits in words: gaps, and dots as words or in brackets.
+_BETWEEN = rf"(?:{_BRACKETED_DOT}|[ ,.-]+(?:(?:dot|point)[ ,.-]+)?)"
 #: At least four digits in words, with plus, dots and other digits between them.
-_DIGIT_RUN = re.compile(rf"(?<!\w)(?:plus[ ,]+)?{_DIGIT}(?:[ ,.-]+(?:(?:dot|point)[ ,.-]+)?(?:{_DIGIT}|[0-9]+)){{3,}}(?!\w)", re.I)
-_DIGIT_TOKEN = re.compile(rf"(?P<plus>plus[ ,]+)|(?P<dot>[ ,.-]+(?:dot|point)[ ,.-]+)|(?P<digit>{_DIGIT})|(?P<gap>[ ,.-]+)|(?P<rest>.)", re.I)
+_DIGIT_RUN = re.compile(rf"(?<!\w)(?:plus[ ,]+)?{_DIGIT}(?:{_BETWEEN}(?:{_DIGIT}|[0-9]+)){{3,}}(?!\w)", re.I)
+_DIGIT_TOKEN = re.compile(
+    rf"(?P<plus>plus[ ,]+)|(?P<dot>{_BRACKETED_DOT}|[ ,.-]+(?:dot|point)[ ,.-]+)|(?P<digit>{_DIGIT})|(?P<gap>[ ,.-]+)|(?P<rest>.)", re.I
+)
 #: Cheap signs of such a run: the start of a word of each language's digits that long numbers rarely lack.
-_DIGIT_SIGNS = re.compile(
-    rf"(?<!\w){_DIGIT}[ ,.-]+(?:(?:dot|point)[ ,.-]+)?(?:{_DIGIT}|[0-9]+)[ ,.-]", re.I
+_DIGIT_SIGNS = re.compile(rf"(?<!\w){_DIGIT}{_BETWEEN}(?:{_DIGIT}|[0-9]+)(?:[ ,.-]|{_BRACKETED_DOT})", re.I)
+_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+@\s+(?=[A-Za-z0-9-]+\s*(?:\.|[\[({<]|dot\b))", re.I)
+#: Without the white space before them, which is added by hand: long runs of it would be searched from each place.
+_DOT = re.compile(_BRACKETED_DOT.removeprefix(r"\s*"), re.I)
+_BARE_DOT = re.compile(r"(?<=\s)dot\s+", re.I)
+#: A bare "at" before what may be a domain, however its dots are written.
+_BARE_AT = re.compile(r"(?<=\s)at\s+(?=[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]|\s+dot\s|\s*[\[({<]))", re.I)
+#: Numbers with dots of any spelling between them; the ip pattern judges them when they are rewritten.
+_NUMBERS = re.compile(rf"(?<![0-9])[0-9]+(?:(?:{_BRACKETED_DOT}|\s+(?:dot|point)\s+|\.)[0-9]+){{3,}}", re.I)
+_NUMBERS_DOT = re.compile(r"\s+(?:dot|point)\s+", re.I)
+_LABEL = re.compile(r"[A-Za-z0-9-]+")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+#: What an address with a dot or an at in bare words ends in, besides two letters; other words beside "dot" are left alone.
+_ENDING = re.compile(
+    "[a-z]{2}|com|org|net|edu|gov|mil|int|info|biz|name|online|site|shop|app|dev|cloud|mail|aero|asia|blog|cat|club|company|coop|"
+    "digital|email|global|group|jobs|live|ltd|media|mobi|museum|network|news|pro|services|solutions|space|store|systems|tech|tel|"
+    "travel|website|work|world|xyz|zone"
 )
-_AT = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+@\s+(?=[A-Za-z0-9-]+\s*(?:\.|\[|\(|dot\b))", re.I)
-_DOT = re.compile(r"\s*[\[({<]\s*(?:dot|\.|punkt|point|punto)\s*[\])}>]\s*", re.I)
-_LOCAL, _LABEL = r"[A-Za-z0-9._%+-]+", r"[A-Za-z0-9-]+"
-#: What an address in bare words ends in, besides two letters; other words beside "dot" are left alone.
-_ENDINGS = "com|org|net|edu|gov|mil|int|info|biz|name|online|site|shop|app|dev|cloud|mail"
-_WORDY = re.compile(
-    rf"(?<![\w.%+-]){_LOCAL}(?:\s+dot\s+{_LOCAL})*\s+at\s+{_LABEL}(?:\s+dot\s+{_LABEL})*\s+dot\s+(?:[a-z]{{2}}|{_ENDINGS})(?![\w-])", re.I
+#: Words before "at" and a site's name in running text; so are those in -ing and -ed.
+_BEFORE_AT = frozenset(
+    "a about account again also am and anything are article articles as available back be been blog book books bought buy call check "
+    "click code content copy data date day details directly document documents download else everything file files find first for "
+    "free from full get go got had has have he held her here him his home house i image images in info information is issue it item "
+    "items job join just kept laugh link list live lives located look looks made mail me meet meets met more myself news not now of on "
+    "one online only or order orders out over page pages paper people photo photos play point post posts price prices project read "
+    "register report reports run runs sale sat saw see seen sell sells service services shop shops she shown sign site sites smile "
+    "sold someone something source spoke stand start stay stop store stories story study submit summary support team text that the "
+    "them there they this tickets time today together up us version video videos visit was watch we website went were what when "
+    "where which who will with work works yes you yourself".split()
 )
-_WORDY_PART = re.compile(r"\s+(at|dot)\s+", re.I)
 
 
 def _folded() -> dict[str, str]:
@@ -139,14 +162,18 @@ def _edits(text: str) -> list[Edit]:
     """Ranges of ``text`` that words and brackets disguise, and what they stand for; they do not overlap."""
     low = text.lower()
     edits: list[Edit] = []
-    if "@" in text or "at" in low:
+    has_at, has_dot = "@" in text or "at" in low, "dot" in low
+    if has_at:
         edits += [(m.start(), m.end(), "@") for m in _AT.finditer(text)]
-        if edits or "@" in text:
-            edits += [(m.start(), m.end(), ".") for m in _DOT.finditer(text)]
-        if " dot " in low or "\ndot" in low or "dot\n" in low:
-            for m in _WORDY.finditer(text):
-                for x in _WORDY_PART.finditer(m[0]):
-                    edits.append((m.start() + x.start(), m.start() + x.end(), "@" if x[1].lower() == "at" else "."))
+    # Dots are rewritten wherever they stand; the patterns judge what comes of it.
+    dots = [(_left(text, m.start()), m.end()) for m in _DOT.finditer(text)] if any(c in text for c in "[({<") else []
+    bare = [(_left(text, m.start()), m.end()) for m in _BARE_DOT.finditer(text)] if has_dot else []
+    if has_at:
+        edits += _address_edits(text, [e[:2] for e in edits], dots, bare)
+    edits += [(s, e, ".") for s, e in dots]
+    if has_dot or "point" in low:
+        for m in _NUMBERS.finditer(text):
+            edits += [(m.start() + x.start(), m.start() + x.end(), ".") for x in _NUMBERS_DOT.finditer(m[0])]
     if _DIGIT_SIGNS.search(text):
         for m in _DIGIT_RUN.finditer(text):
             for x in _DIGIT_TOKEN.finditer(m[0]):
@@ -164,6 +191,89 @@ def _edits(text: str) -> list[Edit]:
     return apart
 
 
+def _left(text: str, at: int) -> int:
+    """Where the white space before ``at`` starts."""
+    while at and text[at - 1].isspace():
+        at -= 1
+    return at
+
+
+def _address_edits(text: str, ats: list[tuple[int, int]], dots: list[tuple[int, int]], bare: list[tuple[int, int]]) -> list[Edit]:
+    """Edits of the bare words "at" and "dot" inside addresses, whose other signs may be plain, in brackets or bare too."""
+    places: list[tuple[int, int, bool]] = []  # start, end, and if it is a bare word
+    if bare:
+        places += [(s, e, False) for s, e in ats] + [(m.start(), m.end(), False) for m in re.finditer("@", text)]
+    for m in _BARE_AT.finditer(text):
+        places.append((_left(text, m.start()), m.end(), True))
+    if not places:
+        return []
+    starts = {s: (e, False) for s, e in dots} | {s: (e, True) for s, e in bare}
+    ends = {e: (s, False) for s, e in dots} | {e: (s, True) for s, e in bare}
+    edits: list[Edit] = []
+    for start, end, word in places:
+        # The local part, backwards.
+        local, at, split = [], start, False
+        while True:
+            left = at
+            while left and text[left - 1] in _LOCAL:
+                left -= 1
+            if left == at:
+                break
+            first, at = left, left
+            if left not in ends:
+                break
+            at, is_bare = ends[left]
+            split = True
+            if is_bare:
+                local.append((at, left, "."))
+        if start == 0 or text[start - 1] not in _LOCAL:
+            continue
+        if local and at != first:  # nothing stands before the last dot
+            local = [x for x in local if x[0] != at]
+        # The domain: after each label its end, the kind of dot before it, and where a bare one stands.
+        m = _LABEL.match(text, end)
+        labels: list[tuple[str, str, tuple[int, int]]] = []
+        last = m
+        while last is not None:
+            at = last.end()
+            if at in starts:
+                to, is_bare = starts[at]
+                kind, place = "bare" if is_bare else "bracketed", (at, to)
+            elif text.startswith(".", at):
+                kind, place = "plain", (at, at + 1)
+            else:
+                break
+            last = _LABEL.match(text, place[1])
+            if last is not None:
+                labels.append((kind, last[0] if not text[last.end() : last.end() + 1].isalnum() else "", place))
+        spaced = text[start:end].strip() == "@" and end - start > 1
+        while labels and not _ends(labels, word, spaced):
+            labels.pop()
+        if not labels:
+            continue
+        if word and any(kind != "bare" for kind, _, _ in labels) and not split:
+            name = text[first:start]
+            if name.isalpha() and (name.lower() in _BEFORE_AT or name.lower().endswith(("ing", "ed"))):
+                continue
+        if word:
+            edits.append((start, end, "@"))
+        edits += local + [(*place, ".") for kind, _, place in labels if kind == "bare"]
+    return edits
+
+
+def _ends(labels: list[tuple[str, str, tuple[int, int]]], word: bool, spaced: bool) -> bool:
+    """Whether an address may end with the last of ``labels``."""
+    kind, label, _ = labels[-1]
+    if kind == "plain":
+        # A sentence that begins without a space has a capital.
+        return not word or _ENDING.fullmatch(label) is not None or label.isupper() and _ENDING.fullmatch(label.lower()) is not None
+    if _ENDING.fullmatch(label.lower()):
+        return True
+    named = len(label) > 1 and label.isalpha() and label.lower() not in ("at", "dot")
+    # One dot beside a sign that is no bare word: any name will do.
+    return named and (kind == "bracketed" or not word and not spaced and len(labels) == 1)
+
+
 def rewritten(text: str) -> tuple[str, list[int], list[int]] | None:
     """The text without disguise, and for each character of it where its source starts and ends; None if nothing is disguised."""
     folds = not text.isascii() and _FOLDABLE.search(text)

