@@ -45,8 +45,9 @@ _ADD = _random.integers(0, 1 << 63, COORDINATES, dtype=np.uint64)
 SKETCH = "doc_id long, n long, k1 long, k2 long, signature array<int>"
 
 
-def sketches(documents: DataFrame) -> DataFrame:
-    """Per row the size of its shingle set, the set's two sums and its signature (nulls without shingles)."""
+def sketches(documents: DataFrame, text_hash: bool = False) -> DataFrame:
+    """Per row the size of its shingle set, the set's two sums and its signature (nulls without shingles); and the text's hash if asked."""
+    own = [F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash")] if text_hash else []
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,11 +77,13 @@ def sketches(documents: DataFrame) -> DataFrame:
             )
             keys = [pa.array(x.view(np.int64), mask=~some) for x in sums]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), *keys, lists], ["doc_id", "n", "k1", "k2", "signature"]
+                [batch.column(0), pa.array(sizes), *keys, lists, *batch.columns[2:]],
+                ["doc_id", "n", "k1", "k2", "signature", *batch.schema.names[2:]],
             )
 
     bounded_batches(documents.sparkSession)
-    return documents.select(F.col("doc_id").cast("long"), text_bytes().alias("raw")).mapInArrow(work, SKETCH)
+    rows = documents.select(F.col("doc_id").cast("long"), text_bytes().alias("raw"), *own)
+    return rows.mapInArrow(work, SKETCH + (", text_hash long" if text_hash else ""))
 
 
 def full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -248,8 +251,8 @@ def _links(documents: DataFrame, classes: DataFrame, percent: int, space: Worksp
     return first.unionByName(more)
 
 
-def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id and kept.
+def near_duplicates(documents: DataFrame, percent: int = PERCENT, text_hash: bool = False) -> DataFrame:
+    """Per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id and kept; if asked, text_hash (xxhash64, null as empty).
 
     component_id is the least doc_id reachable by links of 100 * intersection >= ``percent`` * union of distinct 5-word
     shingles, kept says that it is the row's own. A text of fewer words is one shingle; null, empty or wordless texts have none
@@ -257,7 +260,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     kept). Ids are taken to be unique: rows that repeat id and text get the same result each, and rows that repeat an id with
     other texts follow their own text.
     """
-    rows = written(sketches(documents), "sketches")
+    rows = written(sketches(documents, text_hash), "sketches")
     some = rows.where("n > 0 AND doc_id IS NOT NULL")
     # A sum per class before the shuffle; classes of copies are one row per task.
     classes = written(
@@ -275,5 +278,6 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     result = result.withColumn("cid", F.coalesce("cid", "doc_id")).join(found, F.col("cid") == F.col("id"), "left")
     component = F.coalesce("component", "cid")
     return result.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        *(["text_hash"] if text_hash else []),
     )

@@ -29,10 +29,15 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of every group of near-duplicates. Rows without an id stay."""
+    """The document of the least id of every group of near-duplicates. Rows without an id stay.
+
+    A row is named by its id and its text's hash, so a copy takes no other text of the same id with it.
+    """
     docs = docs.select(*COLUMNS)
-    gone = neardup.near_duplicates(docs).where("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(written(gone, "near-copies"), F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = neardup.near_duplicates(docs, text_hash=True).where("NOT kept AND doc_id IS NOT NULL")
+    gone = written(gone.select(F.col("doc_id").alias("gone"), "text_hash").distinct(), "near-copies")
+    own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(gone, (docs["doc_id"] == gone["gone"]) & (own == gone["text_hash"]), "left_anti")
 
 
 def clear_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

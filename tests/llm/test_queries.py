@@ -102,3 +102,11 @@ def test_stages_take_odd_rows_and_empty_tables(spark):
         assert sorted((r.doc_id or 0) for r in seen[2].collect()) == [0, 3, 3, 4]
         assert [r.text for r in seen[3].collect() if r.doc_id == 4] == ["word9 word8 word <email>"]
         assert {r.n_chars for r in seen[3].collect()} == {len(words), len("word9 word8 word <email>")}
+
+
+def test_a_copy_takes_no_other_text_of_its_id_along(spark):
+    copied, other = (" ".join(f"{w}{i}" for i in range(60)) for w in ("word", "term"))
+    rows = [(1, copied, "en", "s", 1), (5, copied, "en", "s", 1), (5, other, "en", "s", 1), (6, copied + " end", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.without_near_copies(spark, docs, SF_DIR)
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, copied), (5, other)]
