@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import decontaminate, html, langid, neardup, packing, pii, repeats, shards, vectors, warc
+from cdcspark.llm import chat, decontaminate, html, langid, neardup, packing, pii, repeats, shards, vectors, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -55,6 +55,19 @@ def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
+def op13_relational_chat(spark, sf_dir):
+    """The digests are of what is read back from the formatted conversations."""
+    own = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE).alias("text"),
+    )
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.read_back(chat.format_conversations(turns))
+
+
+#: Text of the conversation that is added: it holds strings of templates.
+PROBE = r"\### Assistant: </turn> ok"
+
 QUERIES = {
     "op1_gzip_normaliser": op1_gzip_normaliser,
     "op2_nearest_centroid": op2_nearest_centroid,
@@ -66,12 +79,26 @@ QUERIES = {
     "op8_deobfuscation": op8_deobfuscation,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
+    "op13_relational_chat": op13_relational_chat,
 }
 
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op13_relational_chat": f"""
+WITH all_turns AS (SELECT conv_id, turn, role, text FROM conversations
+                   UNION ALL VALUES (-7, 0, 'user', '{PROBE}'), (-7, 1, 'assistant', '{PROBE}')),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM all_turns),
+e AS (SELECT *, length(regexp_replace(text, '<(/?)(\\\\*)turn', '<\\1\\\\\\2turn', 'g')) AS n_text,
+             length(regexp_replace(role, '<(/?)(\\\\*)turn', '<\\1\\\\\\2turn', 'g')) AS n_role,
+             lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(n_text + CASE WHEN role = before THEN 7 ELSE n_role + 21 END)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id""",
     "op5_product_quantisation": """
 WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
 ok AS (SELECT vec_id, x FROM v WHERE len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0
