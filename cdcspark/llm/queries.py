@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cdcspark.llm import chat, decontaminate, html, langid, neardup, packing, pii, repeats, shards, vectors, warc
+from cdcspark.llm import chat, decontaminate, html, langid, neardup, packing, pii, repeats, shards, spelling, vectors, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -55,6 +55,10 @@ def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
+def op12_gram_variants(spark, sf_dir):
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
 def op13_relational_chat(spark, sf_dir):
     """The digests are of what is read back from the formatted conversations."""
     own = spark.range(2).select(
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_deobfuscation": op8_deobfuscation,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
+    "op12_gram_variants": op12_gram_variants,
     "op13_relational_chat": op13_relational_chat,
 }
 
@@ -86,6 +91,28 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 SQL = {
+    "op12_gram_variants": f"""
+WITH RECURSIVE bits AS (SELECT list(list_reduce([x] || range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+                                    ORDER BY x) AS t FROM range(256) r(x)),
+runs AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]+')) AS w FROM documents)
+         GROUP BY doc_id, w),
+raw AS (SELECT doc_id, w, n, hex(encode(doc_id::VARCHAR || ':' || w)) AS x FROM runs),
+crc AS (SELECT doc_id, w, n, xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(range(1, len(x), 2),
+          lambda i: (strpos('0123456789ABCDEF', x[i]) - 1) * 16 + strpos('0123456789ABCDEF', x[i + 1]) - 1),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM raw, bits),
+damaged AS (SELECT n, CASE WHEN h % 97 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM crc),
+v AS (SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, n, i, substr(word, 1, i - 1) AS pre, substr(word, i + 1) AS post
+        FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)),
+pairs AS (SELECT p.word AS a, q.word AS b, q.n AS nb FROM cut p JOIN cut q ON p.pre = q.pre AND p.post = q.post AND p.i = q.i WHERE p.word <> q.word
+          UNION SELECT c.word, v.word, v.n FROM cut c JOIN v ON v.word = c.pre || c.post
+          UNION SELECT v.word, c.word, c.n FROM cut c JOIN v ON v.word = c.pre || c.post),
+best AS (SELECT a, count(*) AS n_near, min(struct_pack(less := -nb, b := b)) AS m FROM pairs GROUP BY a),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -m.less >= 2 * v.n THEN m.b END AS form,
+             CASE WHEN -m.less >= 2 * v.n THEN -m.less END AS form_n FROM v LEFT JOIN best ON a = v.word),
+way AS (SELECT word, word AS at FROM f UNION SELECT way.word, f.form FROM way JOIN f ON f.word = way.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, way.at AS root, f.n, f.n_near, f.form_n::BIGINT AS form_n
+FROM f JOIN way ON way.word = f.word JOIN f last ON last.word = way.at AND last.form IS NULL""",
     "op13_relational_chat": f"""
 WITH all_turns AS (SELECT conv_id, turn, role, text FROM conversations
                    UNION ALL VALUES (-7, 0, 'user', '{PROBE}'), (-7, 1, 'assistant', '{PROBE}')),
