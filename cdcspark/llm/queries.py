@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import functions as F
 
-from cdcspark.llm import chat, decontaminate, html, langid, neardup, packing, pii, repeats, shards, spelling, vectors, warc
+from cdcspark.llm import chat, decontaminate, html, langid, neardup, packing, pii, repeats, runs, shards, spelling, vectors, warc
 from cdcspark.llm.common import read_table, vocabulary
 
 
@@ -55,6 +57,34 @@ def op9_best_fit_packing(spark, sf_dir):
     return packing.pack(pieces)
 
 
+def _looped(doc_id, words):
+    """Words of every tenth document from some place on repeated with a period that the document's checksum gives."""
+    h = zlib.crc32(b"%d" % doc_id)
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    first = g % n
+    period = 1 + (n - first) // (3 + g % 8)
+    return words[:first] + [words[first + (i - first) % period] for i in range(first, n)]
+
+
+def op11_lyndon_runs(spark, sf_dir):
+    found = runs.collapse_runs(read_table(spark, sf_dir, "documents"), before=_looped)
+    # Runs are sorted, so of equal ones the first stays.
+    best = F.reduce(
+        "runs", F.get("runs", F.lit(0)),
+        lambda a, b: F.when(b["length"] * a["period"] > a["length"] * b["period"], b).otherwise(a),
+    )
+    lines = F.transform("runs", lambda x: F.concat(F.concat_ws(",", x["start"], x["length"], x["period"]), F.lit("\n")))
+    found = found.select("doc_id", "runs", "text", best.alias("best"), F.array_join(lines, "").alias("lines"))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_gram_variants(spark, sf_dir):
     return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
 
@@ -83,6 +113,7 @@ QUERIES = {
     "op8_deobfuscation": op8_deobfuscation,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_decontaminate": op10_decontaminate,
+    "op11_lyndon_runs": op11_lyndon_runs,
     "op12_gram_variants": op12_gram_variants,
     "op13_relational_chat": op13_relational_chat,
 }

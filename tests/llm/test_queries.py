@@ -27,7 +27,7 @@ def db():
 
 
 def test_all_are_registered():
-    assert len([n for n in QUERIES if n.startswith("op")]) == 12
+    assert len([n for n in QUERIES if n.startswith("op")]) == 13
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
