@@ -28,6 +28,7 @@ from cdcspark.plans import schema as sc
 from cdcspark.session import fresh_dir, use_shared_dir
 from cdcspark.sinks.store import Store
 from cdcspark.sources import changes as ch
+from cdcspark.sources import splits as sp
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.tables import FileSource
 from cdcspark.streaming.run import run_stream
@@ -132,6 +133,24 @@ def snapshot_all_columns(spark, sf_dir):
     return source.select(*mp.table_columns(source))
 
 
+def split_ranges(spark, sf_dir):
+    """Ranges of two composite keys of the lines, one with texts and nulls, each row counted under every range's SQL."""
+    lines = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.when(F.col("l_tax") != 0.08, F.col("l_returnflag")).alias("flag"), "l_partkey"
+    )
+    shown = lines
+    for name, keys in (("key", ["l_orderkey", "l_linenumber"]), ("flag", ["flag", "l_partkey"])):
+        splits = sp.plan_splits(lines, keys, 12)
+        held = [F.when(F.expr(text), 1).otherwise(0) for text in splits.statements(dialect="spark")]
+        same = functools.reduce(lambda a, b: a | b, [splits.condition(i) & (splits.number_of() == i) for i in range(len(splits))])
+        # Six standard deviations of a quantile of the sketch, at most.
+        share = lines.groupBy(splits.number_of().alias("n")).agg(F.count(F.lit(1)).alias("rows")).agg(
+            (F.max("rows") <= 2.5 * F.sum("rows") / 12).alias(f"{name}_even")
+        )
+        shown = shown.select("*", sum(held, F.lit(0)).alias(f"by_{name}"), same.alias(f"{name}_same")).crossJoin(share)
+    return shown
+
+
 def change_tables(spark, sf_dir):
     """Which customers' tables are captured: those of a name some supplier shares."""
     tables = fx.table(spark, sf_dir, "customer").select(
@@ -450,6 +469,20 @@ def initial_sync(spark, sf_dir):
     return store.read("clients").select("id", "name", "balance", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def chunked_initial_sync(spark, sf_dir):
+    """First loads by ranges of the key, while changes land before, during and after every reading."""
+    parts = []
+    for mode, target in (("upsert", fx.accounts), ("strict", fx.accounts), ("bag", fx.quantities)):
+        store = Store(spark, fresh_dir(spark, "chunked"), buckets=8)
+        source = fx.GrowingSource(spark, sf_dir, target, mode, lambda: store.load_in_progress("t"))
+        job = jb.TableJob("t", store, source.snapshot, source.changes, keys=["k"], mode=mode, position=source.position, chunks=3)
+        _without_errors([jb.initial_sync(job)])
+        source.land_all()
+        _without_errors([jb.incremental_sync(job)])
+        parts.append(store.read("t").select(F.lit(mode).alias("mode"), "k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def incremental_sync(spark, sf_dir):
     store = Store(spark, fresh_dir(spark, "incremental"), buckets=8)
     job = _job(spark, sf_dir, store, "accounts", "strict", fx.accounts)
@@ -691,6 +724,7 @@ def _own_queries() -> dict[str, Query]:
         "captured_columns": captured_columns,
         "snapshot_projection": snapshot_projection,
         "snapshot_all_columns": snapshot_all_columns,
+        "split_ranges": split_ranges,
         "change_tables": change_tables,
         "capture_instances": capture_instances,
         "changes_since": changes_since,
@@ -732,6 +766,7 @@ def _own_queries() -> dict[str, Query]:
         "pair_status": pair_status,
         "full_load": full_load,
         "initial_sync": initial_sync,
+        "chunked_initial_sync": chunked_initial_sync,
         "incremental_sync": incremental_sync,
         "multi_table_cycle": multi_table_cycle,
         "deferred_replay": deferred_replay,

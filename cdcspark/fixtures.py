@@ -5,10 +5,13 @@ Everything here is a projection of whole tables, so its size follows theirs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, lsn_from_number
+from cdcspark.operators.apply import apply_changes
 from cdcspark.plans.mapping import SOURCE_COLUMN_FIELD, SOURCE_TABLE_FIELD, TABLE_LIST_FIELD
 
 
@@ -153,6 +156,47 @@ def transaction_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+class GrowingSource:
+    """A table and its log, both further on at every look: the table shows the log up to the position it has reached.
+
+    ``progress`` tells which part of a load is at work; the log moves ``STEPS`` times in each and then waits for the next.
+    """
+
+    STEPS, PARTS = 5, 3
+
+    def __init__(self, spark: SparkSession, sf_dir: str, target: Callable, mode: str, progress: Callable):
+        self.rows, self.feed, self.mode, self.progress = target(spark, sf_dir), events_feed(spark, sf_dir), mode, progress
+        self.top = table(spark, sf_dir, "events").agg(F.max("event_id")).first()[0] + 1
+        self.looks: dict[int, int] = {}
+        self.ticks = 0
+
+    def _reached(self) -> bytes:
+        number = min(self.top * self.ticks // (self.STEPS * self.PARTS + 2), self.top)
+        return number.to_bytes(10, "big")
+
+    def _look(self) -> None:
+        state = self.progress()
+        part = state.done if state else -1
+        self.looks[part] = self.looks.get(part, 0) + 1
+        if part < 0 or self.looks[part] <= self.STEPS:
+            self.ticks += 1
+
+    def land_all(self) -> None:
+        self.ticks = self.top
+
+    def position(self, spark: SparkSession) -> bytes:
+        self._look()
+        return self._reached()
+
+    def snapshot(self, spark: SparkSession) -> DataFrame:
+        self._look()
+        landed = self.feed.where(F.col(LSN) <= F.lit(self._reached()))
+        return apply_changes(self.rows, landed, keys=["k"], mode=self.mode, hot=())
+
+    def changes(self, spark: SparkSession, position: bytes) -> DataFrame:
+        return self.feed.where(F.col(LSN) <= F.lit(self._reached()))
+
+
 def configuration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer a mapping, a table list and a text of pairs, many of them not in order."""
     n, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")

@@ -21,6 +21,7 @@ from cdcspark.plans.schema import translate_schema
 from cdcspark.session import scratch, written
 from cdcspark.sinks.target import Batch, State, Target
 from cdcspark.sources.changes import changes_since, max_lsn, misplaced
+from cdcspark.sources.splits import Splits
 from cdcspark.sources.tables import Source
 
 METRICS = (
@@ -57,6 +58,9 @@ class TableJob:
     per cycle, which ``check_positions=False`` saves where the source cannot
     hold such. Versions that were replaced more than ``retain_hours`` ago are
     removed, and a read that takes longer fails; None keeps all.
+
+    ``chunks`` makes the first load go range by range of the key (see
+    ``cdcspark.chunks``): a number of ranges, or a function that plans them.
     """
 
     table: str
@@ -73,6 +77,7 @@ class TableJob:
     on_error: str = "fail"
     check_positions: bool = True
     retain_hours: float | None = 24
+    chunks: int | Callable[[SparkSession], Splits] | None = None
 
     @property
     def spark(self) -> SparkSession:
@@ -199,7 +204,7 @@ def initial_sync(job: TableJob, *, full_refresh: bool = False, stop_on_error: bo
     are replayed afterwards instead of being lost. It is the source's own, so a
     table that never changed starts where the log is, not at its beginning.
     ``bag`` counts an insert seen by both the scan and the replay twice, so it
-    needs a scan of a fixed point in time or a source at rest.
+    needs a scan of a fixed point in time, a source at rest, or ``job.chunks``.
     """
     metrics = Metrics(job.table, "initial")
 
@@ -208,6 +213,11 @@ def initial_sync(job: TableJob, *, full_refresh: bool = False, stop_on_error: bo
         if store.exists(job.table) and not full_refresh and not store.is_new(job.table):
             metrics.phase, metrics.watermark = "resumed", store.current(job.table).position
             return
+        if job.chunks is not None:
+            from cdcspark.chunks import load_in_chunks
+
+            load_in_chunks(job, metrics)
+            return
         feed = job.changes(spark, ZERO_LSN)
         if feed is None:
             raise LookupError(f"{job.table} has no change table")
@@ -275,18 +285,12 @@ def incremental_sync(
             else:
                 floor = base.position
             fresh = source.where((_c(LSN) > lsn_literal(floor)) | misplaced())
-        schema = base.columns
-        columns = job.columns or [(c, c) for c in schema.names]
-        order = [c for c in job.order_by or () if c in source.columns]
-        extra = [c for c in (SEQ, *order) if c in source.columns and c not in (OP, LSN, *schema.names)]
-        fresh = project_mapped(fresh, columns, keep=[OP, LSN, *dict.fromkeys(extra)])
-        null_keys = "ignore" if job.mode == "bag" else "reject"
-        judged = with_reason(fresh, schema, base.keys, other_ops="ignore", null_keys=null_keys)
+        judged = judge(job, fresh, base.columns, base.keys)
         if mine:
             late = F.col(REASON).isNull() & (_c(LSN) < lsn_literal(late_below))
             judged = judged.withColumn(REASON, F.when(late, F.lit(LATE)).otherwise(F.col(REASON)))
         with scratch(job.spark, "changes") as path:
-            staged, counts = _stage(job.spark, judged, path)
+            staged, counts = stage(job.spark, judged, path)
             replay(base, staged, counts, upper, mine)
 
     def replay(base: State, staged: DataFrame, counts: dict, upper: bytes | None, mine: Batch | None) -> None:
@@ -297,12 +301,7 @@ def incremental_sync(
         position = upper or max(base.position, bytes.fromhex(counts["reached" if mine else "high"] or ""))
         rejected = None
         if counts["bad"]:
-            bad = staged.where(F.col(REASON).isNotNull())
-            if job.on_error != "quarantine":
-                # As many rows as the table has columns, at most.
-                found = sorted(tuple(r) for r in bad.groupBy(REASON).count().collect())
-                reasons = ", ".join(f"{reason} ({n})" for reason, n in found)
-                raise RejectedChanges(f"{counts['bad']} changes of {job.table} rejected: {reasons}")
+            bad = rejected_of(job, staged, counts["bad"])
             # Without an upper end later ones are read again with the next cycle.
             rejected = bad if whole else bad.where((F.col(REASON) == BAD_POSITION) | (_c(LSN) <= lsn_literal(position)))
             if mine is None:
@@ -325,6 +324,27 @@ def incremental_sync(
     return _timed(metrics, work, stop_on_error)
 
 
+def judge(job: TableJob, fresh: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
+    """Changes under the target's column names, each with the reason against it."""
+    columns = job.columns or [(c, c) for c in schema.names]
+    order = [c for c in job.order_by or () if c in fresh.columns]
+    extra = [c for c in (SEQ, *order) if c in fresh.columns and c not in (OP, LSN, *schema.names)]
+    fresh = project_mapped(fresh, columns, keep=[OP, LSN, *dict.fromkeys(extra)])
+    null_keys = "ignore" if job.mode == "bag" else "reject"
+    return with_reason(fresh, schema, keys, other_ops="ignore", null_keys=null_keys)
+
+
+def rejected_of(job: TableJob, staged: DataFrame, n: int) -> DataFrame:
+    """The changes with a reason against them; an error if the job does not set them aside."""
+    bad = staged.where(F.col(REASON).isNotNull())
+    if job.on_error != "quarantine":
+        # As many rows as the table has columns, at most.
+        found = sorted(tuple(r) for r in bad.groupBy(REASON).count().collect())
+        reasons = ", ".join(f"{reason} ({n})" for reason, n in found)
+        raise RejectedChanges(f"{n} changes of {job.table} rejected: {reasons}")
+    return bad
+
+
 def _not_aside(store: Target, table: str, rejected: DataFrame) -> DataFrame:
     """Without changes of a bad position that are aside already: polling meets them in every cycle."""
     held = store.quarantined(table)
@@ -340,7 +360,7 @@ def _not_aside(store: Target, table: str, rejected: DataFrame) -> DataFrame:
     return marked.join(known, "__mark", "left_anti").drop("__mark")
 
 
-def _stage(spark: SparkSession, judged: DataFrame, path: str) -> tuple[DataFrame, dict]:
+def stage(spark: SparkSession, judged: DataFrame, path: str) -> tuple[DataFrame, dict]:
     """Write the judged changes once, counting on the way."""
     fine, op = F.col(REASON).isNull(), _c(OP)
     placed = F.octet_length(_c(LSN)) == LSN_BYTES

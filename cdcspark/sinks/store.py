@@ -5,6 +5,7 @@ Layout of one table::
     <root>/<table>/data/__commit=<id>/__bucket=<n>/*.parquet
     <root>/<table>/commits/<version>.json
     <root>/<table>/quarantine/commit=<id>/*.parquet
+    <root>/<table>/loads/<step>.json
 
 A version file names the folders that make up the table, the log position they
 stand for, the folders of rejected changes and the last micro-batch of each
@@ -16,6 +17,9 @@ Rows are spread over buckets by key hash. A replay rewrites the buckets that
 hold changed keys and refers to the others where they are. Tables whose buckets
 are all touched by every replay belong into a row-level table format (see
 ``sinks.catalog``).
+
+A load that comes in parts keeps its own files, one per part, until all parts are there; readers see the version before it
+till then.
 """
 
 from __future__ import annotations
@@ -58,12 +62,12 @@ class Version:
     partial: list[str] = field(default_factory=list)
     quarantine: list[str] = field(default_factory=list)
     batches: dict[str, list] = field(default_factory=dict)
+    load: str = ""
     written: int = 0
 
     @classmethod
     def read(cls, text: str) -> Version:
-        stored = json.loads(text)
-        return cls(**{f.name: stored[f.name] for f in fields(cls) if f.name in stored})
+        return _from_json(cls, text)
 
     def text(self) -> str:
         return json.dumps({k: v for k, v in asdict(self).items() if k != "written"})
@@ -109,6 +113,32 @@ class Version:
         return StructType.fromJson(json.loads(self.schema))
 
 
+def _from_json(cls: type, text: str):
+    stored = json.loads(text)
+    return cls(**{f.name: stored[f.name] for f in fields(cls) if f.name in stored})
+
+
+@dataclass
+class Load:
+    """State of a load in parts: its ranges of the key, and of the parts done the position each stands for and its folder.
+
+    ``plan`` is what the loader needs to find the ranges again; the store only keeps it.
+    """
+
+    id: str
+    schema: str
+    keys: list[str]
+    buckets: int
+    plan: dict[str, Any]
+    positions: list[str] = field(default_factory=list)
+    folders: dict[str, list[int]] = field(default_factory=dict)
+    rows: int = 0
+
+    @property
+    def done(self) -> int:
+        return len(self.positions)
+
+
 class Store:
     """Tables under ``path``, a folder all executors share.
 
@@ -259,6 +289,79 @@ class Store:
             self._write(table, df, version)
         return self._publish(table, version)
 
+    # -- loading in parts ---------------------------------------------------
+
+    def _loads(self, table: str) -> str:
+        return f"{self.path}/{table}/loads"
+
+    def _steps(self, table: str) -> list[int]:
+        return sorted(int(n[:-5]) for n in files.names_in(self.spark, self._loads(table)) if n.endswith(".json") and not n.startswith("."))
+
+    def _publish_load(self, table: str, load: Load) -> Load:
+        name = f"{self._loads(table)}/{load.done:010d}.json"
+        if not files.create_text(self.spark, name, json.dumps(asdict(load))):
+            raise CommitConflict(f"part {load.done} of the load of {table} was written by another job")
+        return load
+
+    def load_in_progress(self, table: str) -> Load | None:
+        """The load that was begun and not finished; what one left behind that did finish is removed."""
+        steps = self._steps(table)
+        if not steps:
+            return None
+        load = _from_json(Load, files.read_text(self.spark, f"{self._loads(table)}/{steps[-1]:010d}.json"))
+        if self.exists(table) and self.current(table).load == load.id:
+            files.remove(self.spark, self._loads(table))
+            return None
+        return load
+
+    def begin_load(self, table: str, schema: StructType, plan: Mapping[str, Any], *, keys: Sequence[str] | None = None) -> Load:
+        """Start to load a table in parts. The version in force, if there is one, stays so until ``finish_load``."""
+        columns = [f.name for f in schema.fields]
+        load = Load(uuid.uuid4().hex, schema.json(), list(keys or columns[:1]), self.buckets, dict(plan))
+        return self._publish_load(table, load)
+
+    def abandon_load(self, table: str) -> None:
+        """Forget a load; its folders go with the next ``prune`` that finds them old."""
+        files.remove(self.spark, self._loads(table))
+
+    def load_part(self, table: str, load: Load, df: DataFrame, lsn: bytes) -> Load:
+        """Add the next part, whose rows stand for position ``lsn``. A job that dies before the end has added nothing."""
+        number = self.current(table).number + 1 if self.exists(table) else 1
+        part = Version(number, pad_lsn(lsn).hex(), load.schema, load.keys, load.buckets)
+        self._write(table, df.select(*[_c(c) for c in part.columns.names]), part)
+        new = _from_json(Load, json.dumps(asdict(load)))
+        new.positions.append(part.lsn)
+        new.folders.update(part.folders)
+        new.rows += part.written
+        return self._publish_load(table, new)
+
+    def finish_load(
+        self,
+        table: str,
+        load: Load,
+        changes: DataFrame | None,
+        lsn: bytes,
+        *,
+        mode: str = "upsert",
+        order_by: Sequence[str] | None = None,
+        rejected: DataFrame | None = None,
+    ) -> Version:
+        """Replay ``changes`` on the loaded rows and put both in force at position ``lsn``, in one commit.
+
+        ``changes`` holds for every part what came after its position. Quarantined changes of the table stay.
+        """
+        old = self.current(table) if self.exists(table) else None
+        base = Version(
+            old.number if old else 0, min([pad_lsn(lsn).hex(), *load.positions]), load.schema, load.keys, load.buckets,
+            dict(load.folders), [], list(old.quarantine) if old else [], {}, load.id,
+        )
+        if changes is None:
+            version = self.commit(table, None, lsn, buckets=(), base=base, rejected=rejected)
+        else:
+            version = self.replay(table, changes, lsn, mode=mode, order_by=order_by, rejected=rejected, base=base)
+        files.remove(self.spark, self._loads(table))
+        return version
+
     def clear(self, table: str) -> Version:
         """Empty the table; the log position stays."""
         version = self.current(table).next()
@@ -281,14 +384,15 @@ class Store:
         order_by: Sequence[str] | None = None,
         rejected: DataFrame | None = None,
         batch: Batch | None = None,
+        base: Version | None = None,
     ) -> Version:
         """Apply changes to the buckets they touch and commit them with their position.
 
         ``changes`` is read several times, so it should be a written table. Keys
         and data are brought to the table's types first; a value that does not
-        fit raises an error.
+        fit raises an error. ``base`` is the version to start from, by default the current one.
         """
-        base = self.current(table)
+        base = base or self.current(table)
         changes = to_types(changes, base.columns)
         bucket = bucket_of(base.keys, base.buckets)
         # At most one number per bucket reaches the driver.
@@ -370,11 +474,13 @@ class Store:
         if not old:
             return 0
         oldest = self._version(table, numbers[len(old)])
+        loading = self.load_in_progress(table)
+        in_use = set(oldest.folders) | set(loading.folders if loading else ())
         removed = 0
         root = self._data(table)
         for name in files.names_in(self.spark, root):
             commit = name.partition("=")[2]
-            if name.startswith(f"{COMMIT}=") and commit not in oldest.folders and int(commit[:10]) <= oldest.number:
+            if name.startswith(f"{COMMIT}=") and commit not in in_use and int(commit[:10]) <= oldest.number:
                 files.remove(self.spark, f"{root}/{name}")
                 removed += 1
         for n in old:

@@ -16,4 +16,5 @@ from cdcspark.sources.changes import (
     with_change_tables,
 )
 from cdcspark.sources.snapshot import read_snapshot
+from cdcspark.sources.splits import Splits, boundary_statement, plan_splits, splits_of_bounds
 from cdcspark.sources.tables import FileSource, JdbcSource, Source

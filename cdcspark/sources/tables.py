@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -20,6 +20,7 @@ from cdcspark.sources.changes import (
     resolve_change_table,
 )
 from cdcspark.sources.snapshot import read_snapshot
+from cdcspark.sources.splits import Splits, boundary_statement, splits_of_bounds
 
 
 class Source(Protocol):
@@ -103,6 +104,8 @@ class JdbcSource:
     ``options`` are Spark's JDBC options (url, user, password, driver …); they
     are handed to the reader only. ``partitioning`` gives, per table, the
     column and bounds that split its scan, and that of its changes, over tasks.
+    ``splits`` gives ranges of a table's key instead (see ``planned``): its scan
+    then has a task per range, whatever the key's columns and types.
     """
 
     options: Mapping[str, str]
@@ -110,6 +113,7 @@ class JdbcSource:
     change_schema: str = "cdc"
     dialect: str = "sqlserver"
     partitioning: Mapping[str, Mapping[str, object]] = field(default_factory=dict)
+    splits: Mapping[str, Splits] = field(default_factory=dict)
     #: The position column is a NOT NULL column of ten bytes there, so no change can lack its place.
     check_positions: bool = False
 
@@ -117,8 +121,16 @@ class JdbcSource:
         return f"JdbcSource(schema={self.schema!r})"
 
     def snapshot(self, spark: SparkSession, table: str) -> DataFrame:
-        options = {**self.options, "dbtable": f"{self.schema}.{table}"}
-        return read_snapshot(spark, "jdbc", options, partitioning=self.partitioning.get(table))
+        name = f"{self.schema}.{table}"
+        if table in self.splits:
+            reader = spark.read.options(**{k: v for k, v in self.options.items() if k != "url"})
+            return reader.jdbc(self.options["url"], name, predicates=self.splits[table].statements(dialect=self.dialect))
+        return read_snapshot(spark, "jdbc", {**self.options, "dbtable": name}, partitioning=self.partitioning.get(table))
+
+    def planned(self, spark: SparkSession, table: str, keys: Sequence[str], parts: int) -> Splits:
+        """Ranges of about as many rows each; the database counts along its index and sends the bounds only."""
+        statement = boundary_statement(f"{self.schema}.{table}", keys, parts, dialect=self.dialect)
+        return splits_of_bounds(read_snapshot(spark, "jdbc", {**self.options, "query": statement}), keys)
 
     def changes(self, spark: SparkSession, table: str, position: bytes) -> DataFrame | None:
         catalog = read_snapshot(spark, "jdbc", {**self.options, "dbtable": f"{self.change_schema}.change_tables"})

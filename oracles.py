@@ -213,6 +213,8 @@ def oracle_sql() -> dict[str, str]:
         "snapshot_projection": """SELECT o_orderkey AS id, o_custkey AS client, o_orderstatus AS state,
             o_totalprice AS total FROM orders""",
         "snapshot_all_columns": "SELECT * FROM customer",
+        "split_ranges": """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax <> 0.08 THEN l_returnflag END AS flag, l_partkey,
+            1 AS by_key, TRUE AS key_same, TRUE AS key_even, 1 AS by_flag, TRUE AS flag_same, TRUE AS flag_even FROM lineitem""",
         "change_tables": """SELECT 't' || c_custkey AS table_name,
             CASE WHEN c_custkey IN (SELECT s_suppkey FROM supplier) THEN 'dbo_t' || c_custkey || '_CT' END AS change_table
             FROM customer""",
@@ -310,6 +312,8 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem""",
         "initial_sync": f"SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance, {TOP} AS sync FROM customer",
         "incremental_sync": f"SELECT k, v, {TOP} AS sync FROM ({STRICT})",
+        "chunked_initial_sync": f"""SELECT 'upsert' AS mode, k, v, {TOP} AS sync FROM ({UPSERT})
+            UNION ALL SELECT 'strict', k, v, {TOP} FROM ({STRICT}) UNION ALL SELECT 'bag', k, v, {TOP} FROM ({BAG})""",
         "multi_table_cycle": f"""SELECT 'a_upsert' AS table_name, k, v, {TOP} AS sync FROM ({UPSERT})
             UNION ALL SELECT 'b_bag', k, v, {TOP} FROM ({BAG})
             UNION ALL SELECT 'c_broken', c_custkey, c_acctbal, '{ZERO}' FROM customer""",
