@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
@@ -28,6 +29,7 @@ from cdcspark.plans import schema as sc
 from cdcspark.session import fresh_dir, use_shared_dir
 from cdcspark.sinks.store import Store
 from cdcspark.sources import changes as ch
+from cdcspark.sources import logstream as ls
 from cdcspark.sources import splits as sp
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.tables import FileSource
@@ -661,6 +663,41 @@ def stream_quarantine(spark, sf_dir):
     return rows.unionByName(aside)
 
 
+class _Killed(RuntimeError):
+    """What ends a query in the middle of its work."""
+
+
+def stream_by_position(spark, sf_dir):
+    """The log as a stream by position: a query dies after two micro-batches, more lands, and another goes on from its checkpoint."""
+    store = Store(spark, fresh_dir(spark, "positions"), buckets=8)
+    store.full_load("accounts", fx.accounts(spark, sf_dir), None, keys=["k"])
+    feed, half = fx.events_feed(spark, sf_dir), _half(spark, sf_dir)
+    job = jb.TableJob("accounts", store, lambda s: fx.accounts(s, sf_dir), _events_since(sf_dir), keys=["k"])
+    landed, checkpoint = fresh_dir(spark, "landed"), fresh_dir(spark, "query")
+    log, admitted = ls.file_log(spark, landed), feed.count() // 5 + 1
+    seen = []
+
+    def dies(done):
+        seen.append(done)
+        if len(seen) == 2:
+            raise _Killed
+
+    for part, watch in ((feed.where(F.col(LSN) <= F.lit(half)), dies), (feed.where(F.col(LSN) > F.lit(half)), seen.append)):
+        part.repartition(3).write.mode("append").parquet(landed)
+        stream = ls.position_stream(spark, log, feed.schema, checkpoint=checkpoint, admitted=admitted, per_task=admitted // 3 + 1)
+        query = run_stream(stream, job, checkpoint=checkpoint, trigger={"processingTime": "0 seconds"}, on_batch=watch)
+        try:
+            query.processAllAvailable()
+        except StreamingQueryException:
+            if watch is not dies:
+                raise
+        finally:
+            query.stop()
+    if len(seen) < 5:
+        raise AssertionError(f"the log was to come in at least five micro-batches, not {len(seen)}")
+    return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
 def _streamed(spark, sf_dir, feed, parts, **options) -> Store:
     """Accounts after a stream over files that land one part after the other."""
     store = Store(spark, fresh_dir(spark, "stream"), buckets=8)
@@ -775,6 +812,7 @@ def _own_queries() -> dict[str, Query]:
         "table_list_sync": table_list_sync,
         "cycle_metrics": cycle_metrics,
         "stream_apply": stream_apply,
+        "stream_by_position": stream_by_position,
         "stream_same_position": stream_same_position,
         "stream_quarantine": stream_quarantine,
         "idle_table": idle_table,

@@ -15,6 +15,12 @@ def _fs(spark: SparkSession, name: str):
     return _path(spark, name).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def qualified(spark: SparkSession, name: str) -> str:
+    """The full address of a path; one without scheme belongs to Spark's default file system."""
+    fs = _fs(spark, name)
+    return fs.makeQualified(_path(spark, name)).toString()
+
+
 def entries(spark: SparkSession, folder: str) -> dict[str, float]:
     """Names in a folder and when each was last changed (seconds), empty if there is no folder."""
     fs = _fs(spark, folder)

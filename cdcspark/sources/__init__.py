@@ -15,6 +15,7 @@ from cdcspark.sources.changes import (
     with_capture_instances,
     with_change_tables,
 )
+from cdcspark.sources.logstream import DatabaseLog, FileLog, file_log, planned_position, position_stream
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.splits import Splits, boundary_statement, plan_splits, splits_of_bounds
 from cdcspark.sources.tables import FileSource, JdbcSource, Source

@@ -325,5 +325,6 @@ def oracle_sql() -> dict[str, str]:
               CAST(0 AS BIGINT) AS ignored, CAST(0 AS BIGINT) AS rejected, {_hex('MAX(event_id) + 1')} AS watermark
             FROM events
             UNION ALL SELECT 'accounts', 'incremental', 0, 0, 0, 0, 0, {TOP}""",
+        "stream_by_position": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
         "stream_apply": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
     }
