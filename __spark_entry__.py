@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
+from cdcspark import cuts
 from cdcspark import fixtures as fx
 from cdcspark import jobs as jb
 from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, lsn_from_number, lsn_hex, to_lsn
@@ -26,7 +27,7 @@ from cdcspark.operators import rows as rw
 from cdcspark.operators.skew import hot_keys
 from cdcspark.plans import mapping as mp
 from cdcspark.plans import schema as sc
-from cdcspark.session import fresh_dir, use_shared_dir
+from cdcspark.session import fresh_dir, use_shared_dir, written
 from cdcspark.sinks.store import Store
 from cdcspark.sources import changes as ch
 from cdcspark.sources import logstream as ls
@@ -522,6 +523,34 @@ def multi_table_cycle(spark, sf_dir):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def consistent_cycle(spark, sf_dir):
+    """Two tables and a slow one: what a reader of the newest cut sees after each of three cycles, the second of which fails."""
+    store = Store(spark, fresh_dir(spark, "cuts"), buckets=8)
+    top, half = ch.max_lsn(fx.events_feed(spark, sf_dir)), _half(spark, sf_dir)
+    reached = {"a_upsert": top, "b_bag": top, "c_slow": half}
+    jobs = [
+        _job(spark, sf_dir, store, "a_upsert", "upsert", fx.accounts, retain_hours=0),
+        _job(spark, sf_dir, store, "b_bag", "bag", fx.quantities, retain_hours=0),
+        _job(spark, sf_dir, store, "c_slow", "strict", fx.accounts, retain_hours=0),
+    ]
+    for job in jobs:
+        job.position = functools.partial(lambda table, _: reached[table], job.table)
+    works, parts = jobs[2].changes, []
+
+    def fails(_spark, _position):
+        raise RuntimeError("source is down")
+
+    for cycle, at, changes in ((1, half, works), (2, top, fails), (3, top, works)):
+        reached["c_slow"], jobs[2].changes = at, changes
+        done = cuts.consistent_cycle(jobs)
+        if (done.held_back is None) != (cycle != 2) or done.barrier != at:
+            raise AssertionError(f"unexpected outcome: {done}")
+        for name, rows in sorted(store.read_cut().items()):
+            rows = written(rows, "cut")
+            parts.append(rows.select(F.lit(cycle).alias("cycle"), F.lit(name).alias("table_name"), "k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync")))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 def deferred_replay(spark, sf_dir):
     """The two halves of the log, replayed one after the other."""
     return _replayed(spark, sf_dir, lambda part: part)
@@ -806,6 +835,7 @@ def _own_queries() -> dict[str, Query]:
         "chunked_initial_sync": chunked_initial_sync,
         "incremental_sync": incremental_sync,
         "multi_table_cycle": multi_table_cycle,
+        "consistent_cycle": consistent_cycle,
         "deferred_replay": deferred_replay,
         "folded_replay": folded_replay,
         "mapping_driven_sync": mapping_driven_sync,

@@ -237,7 +237,12 @@ def initial_sync(job: TableJob, *, full_refresh: bool = False, stop_on_error: bo
 
 
 def incremental_sync(
-    job: TableJob, *, feed: DataFrame | None = None, batch: tuple[str, int] | None = None, stop_on_error: bool = True
+    job: TableJob,
+    *,
+    feed: DataFrame | None = None,
+    batch: tuple[str, int] | None = None,
+    upto: bytes | None = None,
+    stop_on_error: bool = True,
 ) -> Metrics:
     """Replay the changes after the target's position and commit both together.
 
@@ -264,7 +269,7 @@ def incremental_sync(
                 again = initial_sync(job, full_refresh=True)
                 metrics.phase, metrics.loaded, metrics.watermark = "reloaded", again.loaded, again.watermark
                 return
-            reached = job.position(job.spark) if job.position else None
+            reached = upto if upto is not None else job.position(job.spark) if job.position else None
             upper = None if reached is None else max(reached, base.position)
             source = job.changes(job.spark, base.position)
             if source is None:

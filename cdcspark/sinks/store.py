@@ -6,6 +6,7 @@ Layout of one table::
     <root>/<table>/commits/<version>.json
     <root>/<table>/quarantine/commit=<id>/*.parquet
     <root>/<table>/loads/<step>.json
+    <root>/__cuts/<group>/<number>.json
 
 A version file names the folders that make up the table, the log position they
 stand for, the folders of rejected changes and the last micro-batch of each
@@ -20,6 +21,9 @@ are all touched by every replay belong into a row-level table format (see
 
 A load that comes in parts keeps its own files, one per part, until all parts are there; readers see the version before it
 till then.
+
+A cut names one version of each table of a group, all at one log position. It is written when all tables have got there, so
+who opens the tables by their newest cut sees them agree with each other.
 """
 
 from __future__ import annotations
@@ -41,7 +45,10 @@ from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied
 from cdcspark.operators.rows import delete_by_key, update_by_key
 from cdcspark.sinks.target import Batch, CommitConflict
 
-COMMIT, BUCKET = "__commit", "__bucket"
+COMMIT, BUCKET, CUTS = "__commit", "__bucket", "__cuts"
+
+#: Cuts of a group that stay readable: the newest, and the one before it for readers still at work.
+KEPT_CUTS = 2
 
 
 @dataclass
@@ -139,6 +146,19 @@ class Load:
         return len(self.positions)
 
 
+@dataclass(frozen=True)
+class Cut:
+    """Versions of several tables that stand for one log position."""
+
+    number: int
+    lsn: str
+    versions: dict[str, int]
+
+    @property
+    def position(self) -> bytes:
+        return bytes.fromhex(self.lsn)
+
+
 class Store:
     """Tables under ``path``, a folder all executors share.
 
@@ -221,6 +241,50 @@ class Store:
         df = self._rows(table, version, None if buckets is None else sorted(set(buckets)))
         return df.withColumn(SYNC, lsn_literal(version.position)) if with_sync else df
 
+    # -- cuts -----------------------------------------------------------------
+
+    def _cut_numbers(self, group: str) -> list[int]:
+        names = files.names_in(self.spark, f"{self.path}/{CUTS}/{group}")
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def current_cut(self, group: str = "all") -> Cut | None:
+        """The newest cut of a group of tables, None if there is none yet."""
+        numbers = self._cut_numbers(group)
+        if not numbers:
+            return None
+        return _from_json(Cut, files.read_text(self.spark, f"{self.path}/{CUTS}/{group}/{numbers[-1]:010d}.json"))
+
+    def publish_cut(self, versions: Mapping[str, Version], *, group: str = "all") -> Cut:
+        """Declare versions of several tables, all at one position, to belong together."""
+        positions = {v.lsn for v in versions.values()}
+        if len(positions) != 1:
+            raise ValueError("the versions of a cut stand for one position")
+        before = self.current_cut(group)
+        cut = Cut(before.number + 1 if before else 1, positions.pop(), {t: v.number for t, v in versions.items()})
+        if before and (cut.lsn, cut.versions) == (before.lsn, before.versions):
+            return before
+        if not files.create_text(self.spark, f"{self.path}/{CUTS}/{group}/{cut.number:010d}.json", json.dumps(asdict(cut))):
+            raise CommitConflict(f"cut {cut.number} of {group} was made by another job")
+        for number in self._cut_numbers(group)[:-KEPT_CUTS]:
+            files.remove(self.spark, f"{self.path}/{CUTS}/{group}/{number:010d}.json")
+        return cut
+
+    def read_cut(self, group: str = "all", *, cut: Cut | None = None, with_sync: bool = True) -> dict[str, DataFrame]:
+        """All tables of a group as they were at one position, by default that of the newest cut."""
+        cut = cut or self.current_cut(group)
+        if cut is None:
+            raise LookupError(f"there is no cut of {group} yet")
+        return {t: self.read(t, with_sync=with_sync, version=self._version(t, n)) for t, n in cut.versions.items()}
+
+    def _oldest_in_cuts(self, table: str) -> int | None:
+        """The lowest version of a table that a kept cut names."""
+        found = []
+        for group in files.names_in(self.spark, f"{self.path}/{CUTS}"):
+            for number in self._cut_numbers(group):
+                cut = _from_json(Cut, files.read_text(self.spark, f"{self.path}/{CUTS}/{group}/{number:010d}.json"))
+                found += [cut.versions[table]] if table in cut.versions else []
+        return min(found, default=None)
+
     # -- writing ----------------------------------------------------------
 
     def create_if_absent(self, table: str, schema: StructType, *, keys: Sequence[str] | None = None) -> bool:
@@ -459,7 +523,7 @@ class Store:
 
         The last ``keep`` versions stay, and those that were current within the
         last ``hours``, so a reader may take that long; one that takes longer
-        finds its files gone and fails. Returns the number of folders removed. A folder belongs to every version from its own number
+        finds its files gone and fails. Versions from the oldest one a cut names on stay. Returns the number of folders removed. A folder belongs to every version from its own number
         until it is replaced, so the oldest kept version tells which earlier
         ones are still in use; folders with later numbers, also those of jobs
         still at work, are left alone.
@@ -471,6 +535,9 @@ class Store:
         # A version was current until its successor was made.
         while old and hours and made[f"{numbers[len(old)]:010d}.json"] > limit:
             old.pop()
+        in_cuts = self._oldest_in_cuts(table) if old else None
+        while old and in_cuts is not None and numbers[len(old)] > in_cuts:
+            old.pop()
         if not old:
             return 0
         oldest = self._version(table, numbers[len(old)])

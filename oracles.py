@@ -90,6 +90,18 @@ LATE_LOG = LOG.replace("FROM events", "FROM events WHERE event_id > (SELECT MAX(
 LATE_STRICT = _strict(f"{LATE_LOG}, {ACCOUNTS}")
 LATE_UPSERT = UPSERT.replace(LOG, LATE_LOG)
 
+# The first half of the log, and the three modes at its end.
+EARLY_LOG = LOG.replace("FROM events", "FROM events WHERE event_id <= (SELECT MAX(event_id) // 2 FROM events)")
+EARLY = {"a_upsert": UPSERT.replace(LOG, EARLY_LOG), "b_bag": BAG.replace(LOG, EARLY_LOG), "c_slow": _strict(f"{EARLY_LOG}, {ACCOUNTS}")}
+HALF = f"(SELECT {_hex('MAX(event_id) // 2 + 1')} FROM events)"
+CUTS = " UNION ALL ".join(
+    f"SELECT {cycle} AS cycle, '{name}' AS table_name, k, v, {sync} AS sync FROM ({sql})"
+    for cycle, sync, states in (
+        (1, HALF, EARLY), (2, HALF, EARLY), (3, TOP, {"a_upsert": UPSERT, "b_bag": BAG, "c_slow": STRICT})
+    )
+    for name, sql in states.items()
+)
+
 COMPOSITE = _strict(
     """log AS (
   SELECT CASE l_returnflag WHEN 'A' THEN 2 WHEN 'R' THEN 1 ELSE 4 END AS op, CAST(l_shipdate AS DATE) AS lsn,
@@ -317,6 +329,7 @@ def oracle_sql() -> dict[str, str]:
         "multi_table_cycle": f"""SELECT 'a_upsert' AS table_name, k, v, {TOP} AS sync FROM ({UPSERT})
             UNION ALL SELECT 'b_bag', k, v, {TOP} FROM ({BAG})
             UNION ALL SELECT 'c_broken', c_custkey, c_acctbal, '{ZERO}' FROM customer""",
+        "consistent_cycle": CUTS,
         "deferred_replay": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
         "folded_replay": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
         "mapping_driven_sync": f"SELECT k AS id, v AS balance, {TOP} AS sync FROM ({LATE_UPSERT})",
