@@ -31,11 +31,14 @@ FORM_TIMES = 2
 DAMAGED = 97
 
 #: Letters after A-Z were lower-cased, and the groups they fall into.
-FIRST, LAST, GROUPS = "a", "ÿ", 4
+FIRST, LAST, GROUPS = "a", "ÿ", 6
 
 #: Words and letters of a block; a fuller block is dealt into several by hash.
 BLOCK_WORDS, BLOCK_LETTERS = 512, 16_384
 
+#: Blocks whose letters and counts a task remembers; blocks that meet the same one come one after the other.
+REMEMBERED = 16
+
 #: Letters of text looked at together; a longer run of letters is taken whole.
 SLICE = 1 << 20
 
@@ -108,38 +111,46 @@ def _meeting():
     return F.array(*[F.array(*[own[g] + dict(move).get(g, 0) for g in range(GROUPS)]) for move in moves])
 
 
-def _coded(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Letters of words as code points, zero behind their end; lengths; and letter counts."""
-    longest = max(map(len, words))
-    codes = np.array(words, f"U{longest}").view(np.uint32).reshape(len(words), longest)
-    place = np.where(codes >= 0xC0, codes - 0xC0 + 27, np.where(codes > 0, codes - ord(FIRST) + 1, 0)).astype(np.int64)
-    width = 27 + 64
-    counts = np.bincount((np.arange(len(words))[:, None] * width + place).ravel(), minlength=len(words) * width)
-    return codes, (codes > 0).sum(1), counts.reshape(len(words), width)[:, 1:].astype(np.float32)
+class Block:
+    """Words with one number of letters: their code points, and how often each letter is in each word."""
+
+    def __init__(self, words: list[str]):
+        longest = max(map(len, words))
+        self.codes = np.array(words, f"U{longest}").view(np.uint32).reshape(len(words), longest)
+        self.letters = longest
+        place = np.where(self.codes >= 0xC0, self.codes - 0xC0 + 26, self.codes - ord(FIRST)).astype(np.int64)
+        width = 26 + 64
+        counts = np.bincount((np.arange(len(words))[:, None] * width + place).ravel(), minlength=len(words) * width)
+        self.counts = counts.reshape(len(words), width).astype(np.float32)
+        self.used = self.counts.any(0)
+        self.half = (self.counts**2).sum(1, keepdims=True) / 2
 
 
-def near_pairs(left: list[str], right: list[str], same: bool) -> tuple[np.ndarray, np.ndarray]:
+def near_pairs(left: Block, right: Block, same: bool) -> tuple[np.ndarray, np.ndarray]:
     """Places in ``left`` and ``right`` of all words that one edit takes into each other; of one block, each pair once.
 
-    The words of ``left`` have one number of letters, those of ``right`` as many or one more.
+    The words of ``right`` have as many letters as those of ``left`` or one more.
     """
-    a_codes, a_len, a = _coded(left)
-    b_codes, b_len, b = _coded(right)
-    squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
-    x, y = np.nonzero(squared <= 2)
+    used = left.used | right.used
+    one, other = np.ones_like(left.half), np.ones_like(right.half)
+    # The squares are two more columns, so the product is minus half the squared distance; halves are exact in float32.
+    a = np.hstack([left.counts[:, used], -left.half, one])
+    b = np.hstack([right.counts[:, used], other, -right.half])
+    close = np.flatnonzero((a @ b.T).ravel() >= -1)
+    x, y = close // len(b), close % len(b)
     if same:
         x, y = x[x < y], y[x < y]
-    ok = np.zeros(len(x), bool)
-    # A few pairs at a time, so that their letters stay small.
-    for first in range(0, len(x), 1 << 16):
-        part = slice(first, first + (1 << 16))
-        u, v = a_codes[x[part]], b_codes[y[part]]
-        n = int(a_len[0])
-        if b_len[0] == n:
-            ok[part] = (u[:, :n] != v[:, :n]).sum(1) == 1
+    ok, n = np.zeros(len(x), bool), left.letters
+    # A bounded number of pairs at a time, so that their letters stay small.
+    step = max(1, (1 << 20) // n)
+    for first in range(0, len(x), step):
+        part = slice(first, first + step)
+        u, v = left.codes[x[part]], right.codes[y[part]]
+        if right.letters == n:
+            ok[part] = (u != v).sum(1) == 1
         else:
-            ahead = np.logical_and.accumulate(u[:, :n] == v[:, :n], axis=1).sum(1)
-            behind = np.logical_and.accumulate((u[:, :n] == v[:, 1 : n + 1])[:, ::-1], axis=1).sum(1)
+            ahead = np.logical_and.accumulate(u == v[:, :n], axis=1).sum(1)
+            behind = np.logical_and.accumulate((u == v[:, 1:])[:, ::-1], axis=1).sum(1)
             ok[part] = ahead + behind >= n
     return x[ok], y[ok]
 
@@ -158,13 +169,23 @@ def near_words(vocabulary: DataFrame, space: Workspace) -> DataFrame:
     )
     own = F.col("cell") == F.col("meets")
     met = left.join(right, "meets").where(~own | (F.col("part") <= F.col("other")))
-    met = met.select("words", "ns", "words2", "ns2", (own & (F.col("part") == F.col("other"))).alias("same"))
+    met = met.select(
+        "words", "ns", "words2", "ns2", (own & (F.col("part") == F.col("other"))).alias("same"),
+        F.concat_ws(" ", F.concat_ws(",", F.col("meets").cast("array<string>")), "other").alias("id"),
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Block] = {}
         for batch in batches:
             for r in range(batch.num_rows):
                 words, ns, words2, ns2 = (batch.column(c)[r].values for c in range(4))
-                x, y = near_pairs(words.to_pylist(), words2.to_pylist(), batch.column(4)[r].as_py())
+                key = batch.column(5)[r].as_py()
+                if key not in known:
+                    if len(known) == REMEMBERED:
+                        known.clear()
+                    known[key] = Block(words2.to_pylist())
+                same = batch.column(4)[r].as_py()
+                x, y = near_pairs(known[key] if same else Block(words.to_pylist()), known[key], same)
                 if len(x):
                     x, y = pa.array(x), pa.array(y)
                     yield pa.RecordBatch.from_arrays([words.take(x), ns.take(x), words2.take(y), ns2.take(y)], ["a", "na", "b", "nb"])

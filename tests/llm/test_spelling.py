@@ -95,7 +95,8 @@ def test_long_texts_and_long_words(spark, docs, monkeypatch):
 def test_a_hot_cell_is_dealt_into_blocks():
     draw = random.Random(5)
     words = sorted({"".join(draw.choices("ae", k=10)) for _ in range(400)})
-    x, y = spelling.near_pairs(words, words, True)
+    block = spelling.Block(words)
+    x, y = spelling.near_pairs(block, block, True)
     assert {(words[i], words[j]) for i, j in zip(x, y)} == {(a, b) for a in words for b in words if a < b and one_edit(a, b)}
 
 
