@@ -35,6 +35,7 @@ from cdcspark.sources import splits as sp
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.tables import FileSource
 from cdcspark.streaming.run import run_stream
+from cdcspark.streaming.transactions import run_transactions
 from oracles import oracle_sql as base_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -683,6 +684,28 @@ def stream_same_position(spark, sf_dir):
     return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def stream_out_of_order(spark, sf_dir):
+    """Transactions whose changes come in pieces, out of order: held until they are whole, none set aside."""
+    store = Store(spark, fresh_dir(spark, "ordered"), buckets=8)
+    store.full_load("accounts", fx.accounts(spark, sf_dir), None, keys=["k"])
+    feed = written(fx.ended_feed(spark, sf_dir), "ended")
+    landed, checkpoint = fresh_dir(spark, "landed"), fresh_dir(spark, "query")
+    job = jb.TableJob(
+        "accounts", store, lambda s: fx.accounts(s, sf_dir), _events_since(sf_dir), keys=["k"], order_by=[LSN, SEQ], on_error="quarantine"
+    )
+    moved = []
+    for part in range(5):
+        feed.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(landed)
+        stream = ch.stream_changes(spark, landed, feed.drop("part").schema, max_files=1)
+        run_transactions(stream, job, checkpoint=checkpoint, trigger={"availableNow": True}).awaitTermination()
+        moved.append(store.current("accounts").position)
+    if len(set(moved)) < 4:
+        raise AssertionError(f"the position was to move with the parts: {moved}")
+    aside = store.quarantined("accounts")
+    n = 0 if aside is None else aside.count()
+    return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"), F.lit(n).cast("long").alias("set_aside"))
+
+
 def stream_quarantine(spark, sf_dir):
     """Rejected changes of every micro-batch are set aside with its commit."""
     feed, half = fx.keyless_feed(spark, sf_dir), _half(spark, sf_dir)
@@ -844,6 +867,7 @@ def _own_queries() -> dict[str, Query]:
         "stream_apply": stream_apply,
         "stream_by_position": stream_by_position,
         "stream_same_position": stream_same_position,
+        "stream_out_of_order": stream_out_of_order,
         "stream_quarantine": stream_quarantine,
         "idle_table": idle_table,
         "bad_positions": bad_positions,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcspark.functions.lsn import DELETE, INSERT, LSN, OP, SEQ, UPDATE, lsn_from_number
+from cdcspark.functions.lsn import DELETE, END, INSERT, LSN, OP, SEQ, TX_CHANGES, TX_PREVIOUS, UPDATE, lsn_from_number
 from cdcspark.operators.apply import apply_changes
 from cdcspark.plans.mapping import SOURCE_COLUMN_FIELD, SOURCE_TABLE_FIELD, TABLE_LIST_FIELD
 
@@ -197,6 +197,26 @@ class GrowingSource:
         return self.feed.where(F.col(LSN) <= F.lit(self._reached()))
 
 
+def ended_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in transactions with a row that ends each, and the part (0 to 4) each row arrives in.
+
+    Half of a transaction's rows, its end among them or not, come one part later than the other half, so in every part but the first there are
+    changes below positions that came before.
+    """
+    feed = transaction_feed(spark, sf_dir)
+    top = feed.agg(F.max(F.col(SEQ))).first()[0] // 10 + 1
+    number = F.floor(F.col("event_id") / 10) + 1
+    sizes = table(spark, sf_dir, "events").groupBy(number.alias("number")).agg(F.count(F.lit(1)).alias(TX_CHANGES))
+    ends = sizes.select(
+        F.lit(END).alias(OP), lsn_from_number(F.col("number")).alias(LSN), F.lit(None).cast("long").alias(SEQ), F.lit(None).cast("long").alias("k"),
+        F.lit(None).cast("double").alias("v"), F.col(TX_CHANGES), lsn_from_number(F.col("number") - 1).alias(TX_PREVIOUS),
+    )
+    both = feed.select("*", F.lit(None).cast("long").alias(TX_CHANGES), F.lit(None).cast("binary").alias(TX_PREVIOUS)).unionByName(ends)
+    at = F.conv(F.hex(F.col(LSN)), 16, 10).cast("long")
+    late = F.pmod(F.xxhash64(F.col(LSN), F.coalesce(F.col(SEQ), F.lit(-1))), F.lit(2))
+    return both.withColumn("part", F.least(F.floor(at * 4 / (top + 1)) + late, F.lit(4)).cast("int"))
+
+
 def configuration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per customer a mapping, a table list and a text of pairs, many of them not in order."""
     n, key = F.col("c_nationkey"), F.col("c_custkey").cast("string")

@@ -19,6 +19,12 @@ SYNC = "__$last_sync"
 DELETE, INSERT, UPDATE = 1, 2, 4
 APPLIED_OPS = (DELETE, INSERT, UPDATE)
 
+# Rows that end a transaction: their operation code, and the columns that say how many changes it has and which position the
+# transaction before it has.
+END = 0
+TX_CHANGES = "__$changes"
+TX_PREVIOUS = "__$previous"
+
 LSN_BYTES = 10
 ZERO_LSN = bytes(LSN_BYTES)
 

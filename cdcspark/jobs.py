@@ -242,6 +242,7 @@ def incremental_sync(
     feed: DataFrame | None = None,
     batch: tuple[str, int] | None = None,
     upto: bytes | None = None,
+    whole: bool = False,
     stop_on_error: bool = True,
 ) -> Metrics:
     """Replay the changes after the target's position and commit both together.
@@ -292,7 +293,8 @@ def incremental_sync(
             fresh = source.where((_c(LSN) > lsn_literal(floor)) | misplaced())
         judged = judge(job, fresh, base.columns, base.keys)
         if mine:
-            late = F.col(REASON).isNull() & (_c(LSN) < lsn_literal(late_below))
+            passed = _c(LSN) <= lsn_literal(late_below) if whole else _c(LSN) < lsn_literal(late_below)
+            late = F.col(REASON).isNull() & passed
             judged = judged.withColumn(REASON, F.when(late, F.lit(LATE)).otherwise(F.col(REASON)))
         with scratch(job.spark, "changes") as path:
             staged, counts = stage(job.spark, judged, path)

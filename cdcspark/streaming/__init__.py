@@ -6,3 +6,4 @@ from cdcspark.streaming.run import (
     run_monitor,
     run_stream,
 )
+from cdcspark.streaming.transactions import TransactionError, run_transactions, transaction_ends, whole_upto

@@ -289,6 +289,8 @@ def oracle_sql() -> dict[str, str]:
         "apply_mixed_types": f"""SELECT 'upsert' AS mode, k, v FROM ({UPSERT}) UNION ALL SELECT 'strict', k, v FROM ({STRICT})
             UNION ALL SELECT 'bag', k, v FROM ({BAG})""",
         "stream_same_position": f"""SELECT k, v, (SELECT {_hex('MAX(event_id) // 10 + 1')} FROM events) AS sync FROM ({UPSERT})""",
+        "stream_out_of_order": f"""SELECT k, v, (SELECT {_hex('MAX(event_id) // 10 + 1')} FROM events) AS sync,
+            CAST(0 AS BIGINT) AS set_aside FROM ({UPSERT})""",
         "stream_quarantine": f"""WITH {KEYLESS_LOG},
             {ACCOUNTS}, good AS (SELECT * FROM log WHERE k IS NOT NULL),
             ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY lsn DESC) AS back FROM good)
