@@ -23,6 +23,7 @@ from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, lsn_from_number, lsn_hex,
 from cdcspark.operators import apply as ap
 from cdcspark.operators import feed as fd
 from cdcspark.operators import quarantine as qr
+from cdcspark.operators import ranges as rg
 from cdcspark.operators import rows as rw
 from cdcspark.operators.skew import hot_keys
 from cdcspark.plans import mapping as mp
@@ -431,6 +432,19 @@ def reconcile_keys(spark, sf_dir):
     return fd.reconcile(source, target, ["o_orderkey"])
 
 
+def reconcile_ranges(spark, sf_dir):
+    """The keys that are not equal, found by ranges: once with differences all over the table, once with few in one place."""
+    orders = fx.table(spark, sf_dir, "orders")
+    levels = []
+    all_over = rg.reconcile_ranges(orders, fx.lagging_orders(spark, sf_dir), ["o_orderkey"], parts=32)
+    place = rg.reconcile_ranges(
+        orders, fx.nearly_orders(spark, sf_dir), ["o_orderkey"], parts=32, fanout=8, leaf_rows=10, on_level=levels.append
+    )
+    if len(levels) < 2 or levels[-1].differing_rows * 8 > levels[0].rows:
+        raise AssertionError(f"few rows were to be read: {levels}")
+    return all_over.select(F.lit("all over").alias("differences"), "*").unionByName(place.select(F.lit("one place").alias("differences"), "*"))
+
+
 def reconcile_repeated_keys(spark, sf_dir):
     source, target = fx.table(spark, sf_dir, "lineitem"), fx.lagging_lineitem(spark, sf_dir)
     return fd.reconcile(source, target, ["l_orderkey", "l_linenumber"])
@@ -849,6 +863,7 @@ def _own_queries() -> dict[str, Query]:
         "capture_then_apply": capture_then_apply,
         "reconcile_status": reconcile_status,
         "reconcile_keys": reconcile_keys,
+        "reconcile_ranges": reconcile_ranges,
         "reconcile_repeated_keys": reconcile_repeated_keys,
         "reconcile_whole_rows": reconcile_whole_rows,
         "reconcile_mixed_types": reconcile_mixed_types,

@@ -73,6 +73,19 @@ def lagging_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return behind.unionByName(stale)
 
 
+def nearly_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders, but for some in one small stretch of keys that are missing, outdated or not deleted."""
+    now = table(spark, sf_dir, "orders")
+    top = now.agg(F.max("o_orderkey")).first()[0]
+    here = F.col("o_orderkey").between(top // 3, top // 3 + top // 100)
+    stale = now.where(here & (F.col("o_orderpriority") == "5-LOW"))
+    behind = now.where(~here | (F.col("o_orderpriority") != "1-URGENT")).withColumn(
+        "o_orderstatus", F.when(here & (F.col("o_orderpriority") == "2-HIGH"), "?").otherwise(F.col("o_orderstatus"))
+    )
+    # A second row of the same key.
+    return behind.unionByName(stale)
+
+
 def lagging_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     now = table(spark, sf_dir, "lineitem")
     return now.where(F.col("l_tax") != 0.08).withColumn(

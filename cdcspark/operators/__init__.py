@@ -19,5 +19,6 @@ from cdcspark.operators.feed import (
     stamped,
 )
 from cdcspark.operators.quarantine import cast_to, quarantine_split, with_reason
+from cdcspark.operators.ranges import DatabaseEnd, FrameEnd, portable_hash, reconcile_ends, reconcile_ranges
 from cdcspark.operators.rows import delete_by_key, sample_one, thin_rows, update_by_key
 from cdcspark.operators.skew import hot_keys, lookup_join

@@ -8,6 +8,7 @@ key, under any order the database gives its texts, so no row falls between two r
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -86,11 +87,15 @@ class Splits:
 
     def condition(self, number: int) -> Column:
         """What a row of range ``number`` fulfils; comparisons with literals, so they reach the scan."""
+        return self.between(number, number)
+
+    def between(self, first: int, last: int) -> Column:
+        """What a row of one of the ranges from ``first`` to ``last`` fulfils."""
         parts = []
-        if number > 0:
-            parts.append(self._reached(self.bounds[number - 1]))
-        if number < len(self.bounds):
-            parts.append(self._before(self.bounds[number]))
+        if first > 0:
+            parts.append(self._reached(self.bounds[first - 1]))
+        if last < len(self.bounds):
+            parts.append(self._before(self.bounds[last]))
         found = F.lit(True)
         for part in parts:
             found = found & part
@@ -99,10 +104,17 @@ class Splits:
     def number_of(self) -> Column:
         """The range of a row, for rows of all ranges at once; a key that does not fit its type counts as null."""
         key = F.struct(*[F.col(f"`{k}`").try_cast(t).alias(k) for k, t in zip(self.keys, self.types)])
-        bounds = F.array(*[F.struct(*[self._value(i, v).alias(k) for i, (k, v) in enumerate(zip(self.keys, b))]) for b in self.bounds])
         if not self.bounds:
             return F.lit(0)
-        return F.size(F.filter(bounds, lambda b: b <= key))
+
+        def reached(some: Sequence[Bound]) -> Column:
+            return F.array(*[F.struct(*[self._value(i, v).alias(k) for i, (k, v) in enumerate(zip(self.keys, b))]) for b in some])
+
+        # First among every so many bounds, then among those in between, so that a row is compared with few of them.
+        step = max(1, math.isqrt(len(self.bounds)))
+        behind = lambda b: b <= key
+        passed = F.size(F.filter(reached(self.bounds[step - 1 :: step]), behind)) * step
+        return passed + F.size(F.filter(F.slice(reached(self.bounds), passed + 1, F.lit(step)), behind))
 
     # -- in a database --------------------------------------------------------
 
@@ -166,6 +178,11 @@ def _as_text(column: str, kind: str) -> Column:
     return F.hex(value) if kind == "binary" else value.cast("string")
 
 
+def key_texts(keys: Sequence[str], kinds: Sequence[str]) -> list[Column]:
+    """The key columns' values in the form that bounds have."""
+    return [_as_text(k, t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, kinds))]
+
+
 def sketched(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
     """Keys of at most ``rows`` rows, drawn evenly: those whose hash is least.
 
@@ -190,7 +207,7 @@ def plan_splits(df: DataFrame, keys: Sequence[str], parts: int, *, sketch_rows:
     drawn = sketched(df, keys, wanted)
     # Sorted by Spark, whose order of keys is the one the conditions have.
     ordered = drawn.orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])
-    rows = [tuple(r) for r in ordered.select(*[_as_text(k, t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, kinds))]).collect()]
+    rows = [tuple(r) for r in ordered.select(*key_texts(keys, kinds)).collect()]
     return _bounds(rows, parts, keys, kinds)
 
 
@@ -218,6 +235,6 @@ def splits_of_bounds(bounds: DataFrame, keys: Sequence[str]) -> Splits:
     types = dict(bounds.dtypes)
     kinds = tuple(types[k] for k in keys)
     ordered = bounds.select(*[F.col(f"`{k}`") for k in keys]).distinct().orderBy(*[F.col(f"`{k}`").asc_nulls_first() for k in keys])
-    rows = ordered.select(*[_as_text(k, t).alias(f"k{i}") for i, (k, t) in enumerate(zip(keys, kinds))]).collect()
+    rows = ordered.select(*key_texts(keys, kinds)).collect()
     # A key of nulls only has nothing before it.
     return Splits(tuple(keys), kinds, tuple(tuple(r) for r in rows if any(v is not None for v in r)))

@@ -134,6 +134,14 @@ SELECT COALESCE(s.o_orderkey, t.o_orderkey) AS o_orderkey,
             ELSE 'different' END AS status
 FROM orders s FULL JOIN lag_orders t ON s.o_orderkey = t.o_orderkey"""
 
+RECONCILE_RANGES = f"""SELECT 'all over' AS differences, * FROM ({RECONCILE_KEYS}) WHERE status <> 'equal'
+UNION ALL
+SELECT 'one place', o_orderkey, 1, CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '5-LOW' THEN 2 ELSE 1 END,
+       CASE o_orderpriority WHEN '1-URGENT' THEN 'missing' ELSE 'different' END
+FROM orders, (SELECT MAX(o_orderkey) AS top FROM orders)
+WHERE o_orderkey BETWEEN top // 3 AND top // 3 + top // 100 AND (o_orderpriority IN ('1-URGENT', '5-LOW')
+  OR o_orderpriority = '2-HIGH')"""
+
 LINE_REST = """{'a': l_partkey, 'b': l_suppkey, 'c': l_quantity, 'd': l_extendedprice, 'e': l_discount, 'f': l_tax,
  'g': l_returnflag, 'h': l_linestatus, 'i': l_shipdate}"""
 
@@ -315,6 +323,7 @@ def oracle_sql() -> dict[str, str]:
         "reconcile_status": f"""SELECT status, COUNT(*) AS n_keys, CAST(SUM(source_rows) AS BIGINT) AS source_rows,
             CAST(SUM(target_rows) AS BIGINT) AS target_rows FROM ({RECONCILE_KEYS}) GROUP BY status""",
         "reconcile_keys": RECONCILE_KEYS,
+        "reconcile_ranges": RECONCILE_RANGES,
         "reconcile_repeated_keys": RECONCILE_GROUPS,
         "reconcile_whole_rows": RECONCILE_ROWS,
         "pair_status": """SELECT 0 AS pair, 'source' AS side, 'orders' AS table_name, TRUE AS present,
