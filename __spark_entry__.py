@@ -26,6 +26,7 @@ from cdcspark.operators import quarantine as qr
 from cdcspark.operators import ranges as rg
 from cdcspark.operators import rows as rw
 from cdcspark.operators.skew import hot_keys
+from cdcspark.plans import drift as dr
 from cdcspark.plans import mapping as mp
 from cdcspark.plans import schema as sc
 from cdcspark.session import fresh_dir, use_shared_dir, written
@@ -586,6 +587,39 @@ def _replayed(spark, sf_dir, prepared):
     return store.read("t").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def evolved_table(spark, sf_dir):
+    """A column widened, one added and one dropped between two replays; a narrowed one is refused. No row is loaded again."""
+    store = Store(spark, fresh_dir(spark, "evolved"), buckets=8)
+    customers = fx.table(spark, sf_dir, "customer")
+    rows = customers.select(
+        F.col("c_custkey").alias("k"), F.col("c_nationkey").cast("int").alias("v"), F.col("c_name").alias("note"), F.col("c_mktsegment").alias("seg")
+    )
+    store.full_load("accounts", rows, None, keys=["k"])
+    half, feed = _half(spark, sf_dir), fx.events_feed(spark, sf_dir)
+    events = fx.table(spark, sf_dir, "events").select(lsn_from_number(F.col("event_id") + 1).alias(LSN), F.col("event_type").alias("note"))
+    late = feed.join(events, LSN).withColumn("w", F.col("v") + 1)
+    early = late.withColumn("v", F.floor("v").cast("int")).withColumn("seg", F.lit("new")).drop("w")
+    info = {"at": rows}
+    job = jb.TableJob(
+        "accounts", store, lambda s: rows, lambda s, p: early if info["at"] is rows else late, keys=["k"], on_drift="evolve",
+        position=lambda _: half if info["at"] is rows else ch.max_lsn(feed), information_schema=lambda s: sc.describe(info["at"]),
+    )
+    _without_errors([jb.incremental_sync(job)])
+    info["at"] = late.select("k", "v", "note", "w")
+    _without_errors([jb.incremental_sync(job)])
+    info["at"] = late.select("k", F.col("v").cast("int"), "note", "w")
+    refused = jb.incremental_sync(job, stop_on_error=False)
+    if not (refused.error or "").startswith("SchemaRefused"):
+        raise AssertionError(f"a narrowed column was to be refused: {refused}")
+    return store.read("accounts").select("k", "v", "note", "w", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
+
+
+def schema_drift(spark, sf_dir):
+    """Two states of a table's structure compared, a column per part: what each column became."""
+    before = fx.information_schema(spark, sf_dir)
+    return dr.drift(before, fx.later_information_schema(spark, sf_dir))
+
+
 def idle_table(spark, sf_dir):
     """A table without changes, of whose log the beginning is gone: loaded once, then only its position moves."""
     store = Store(spark, fresh_dir(spark, "idle"), buckets=8)
@@ -884,6 +918,8 @@ def _own_queries() -> dict[str, Query]:
         "stream_same_position": stream_same_position,
         "stream_out_of_order": stream_out_of_order,
         "stream_quarantine": stream_quarantine,
+        "evolved_table": evolved_table,
+        "schema_drift": schema_drift,
         "idle_table": idle_table,
         "bad_positions": bad_positions,
     }

@@ -141,6 +141,26 @@ def information_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def later_information_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The column descriptions after some time: some gone, some new, some of other types, some that refuse nulls now."""
+    info, kind = information_schema(spark, sf_dir), F.lower(F.col("DATA_TYPE"))
+    number = F.regexp_extract("COLUMN_NAME", r"(\d+)", 1).cast("long")
+    now = (
+        F.when(kind == "decimal", "numeric").when(kind == "bigint", F.when(number % 2 == 0, "decimal").otherwise("int"))
+        .when(kind == "date", F.when(number % 2 == 0, "datetime2").otherwise("int")).when(kind == "float", F.when(number % 2 == 0, "real").otherwise("varchar"))
+        .when(kind == "image", "varchar").otherwise(F.col("DATA_TYPE"))
+    )
+    changed = info.where(number % 7 != 0).select(
+        "COLUMN_NAME", now.alias("DATA_TYPE"), "CHARACTER_MAXIMUM_LENGTH",
+        F.when(number % 5 == 0, "NO").when(number % 5 == 1, "YES").otherwise(F.col("IS_NULLABLE")).alias("IS_NULLABLE"),
+        F.when(kind == "bigint", F.when(number % 4 == 0, 22).otherwise(20)).otherwise(F.col("NUMERIC_PRECISION") + F.when(number % 2 == 0, 1).otherwise(0))
+        .cast("int").alias("NUMERIC_PRECISION"),
+        F.when(kind == "bigint", 3).otherwise(F.col("NUMERIC_SCALE") + 1).cast("int").alias("NUMERIC_SCALE"),
+    )
+    new = info.where(number % 7 == 0).withColumn("COLUMN_NAME", F.concat(F.lit("x"), "COLUMN_NAME"))
+    return changed.unionByName(new)
+
+
 def keyless_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events' feed, some changes without a key."""
     events = table(spark, sf_dir, "events")

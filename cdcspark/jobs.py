@@ -59,6 +59,9 @@ class TableJob:
     hold such. Versions that were replaced more than ``retain_hours`` ago are
     removed, and a read that takes longer fails; None keeps all.
 
+    ``on_drift="evolve"`` asks for the source's structure before each replay and lets the
+    target follow it (see ``Store.evolve``); without it the target keeps its own.
+
     ``chunks`` makes the first load go range by range of the key (see
     ``cdcspark.chunks``): a number of ranges, or a function that plans them.
     """
@@ -78,6 +81,7 @@ class TableJob:
     check_positions: bool = True
     retain_hours: float | None = 24
     chunks: int | Callable[[SparkSession], Splits] | None = None
+    on_drift: str = "ignore"
 
     @property
     def spark(self) -> SparkSession:
@@ -261,7 +265,7 @@ def incremental_sync(
     metrics = Metrics(job.table, "incremental")
 
     def work() -> None:
-        base = job.store.current(job.table)
+        base = follow_drift(job) if job.on_drift == "evolve" else job.store.current(job.table)
         metrics.watermark = base.position
         upper, mine = None, None
         if feed is None:
@@ -331,9 +335,30 @@ def incremental_sync(
     return _timed(metrics, work, stop_on_error)
 
 
+def follow_drift(job: TableJob) -> State:
+    """Bring the target to the structure the source has now, and return it."""
+    store = job.store
+    if not hasattr(store, "evolve"):
+        raise TypeError(f"{type(store).__name__} cannot change a table's structure")
+    info = job.information_schema(job.spark) if job.information_schema else None
+    if info is None:
+        raise LookupError(f"{job.table}: the source does not tell its structure")
+    known = {f.name: f for f in translate_schema(info)}
+    # Of mapped columns those that the source still has.
+    columns = [(t, s) for t, s in job.columns if s in known] if job.columns else [(n, n) for n in known]
+    fields = [StructField(t, known[s].dataType, known[s].nullable, known[s].metadata) for t, s in columns]
+    return store.evolve(job.table, StructType(fields))
+
+
 def judge(job: TableJob, fresh: DataFrame, schema: StructType, keys: Sequence[str]) -> DataFrame:
     """Changes under the target's column names, each with the reason against it."""
     columns = job.columns or [(c, c) for c in schema.names]
+    if job.on_drift == "evolve":
+        # Changes from before a column came, or after it went, do not have it.
+        columns = [(t, s) for t, s in columns if t in schema.names]
+        for target, source in columns:
+            if source not in fresh.columns:
+                fresh = fresh.withColumn(source, F.lit(None).cast(schema[target].dataType))
     order = [c for c in job.order_by or () if c in fresh.columns]
     extra = [c for c in (SEQ, *order) if c in fresh.columns and c not in (OP, LSN, *schema.names)]
     fresh = project_mapped(fresh, columns, keep=[OP, LSN, *dict.fromkeys(extra)])

@@ -43,6 +43,7 @@ from cdcspark import files
 from cdcspark.functions.lsn import SYNC, ZERO_LSN, lsn_literal, pad_lsn
 from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied, to_types
 from cdcspark.operators.rows import delete_by_key, update_by_key
+from cdcspark.plans.drift import WIDENED, column_changes, followed
 from cdcspark.sinks.target import Batch, CommitConflict
 
 COMMIT, BUCKET, CUTS = "__commit", "__bucket", "__cuts"
@@ -56,7 +57,8 @@ class Version:
     """Content of a version file.
 
     ``batches`` has, per stream, its last micro-batch and the position the
-    table had before its first one. ``written`` is the number of rows this
+    table had before its first one. ``schemas`` are earlier structures, and ``layouts`` says which
+    folders have one of them. ``written`` is the number of rows this
     commit wrote; it is not stored.
     """
 
@@ -70,6 +72,8 @@ class Version:
     quarantine: list[str] = field(default_factory=list)
     batches: dict[str, list] = field(default_factory=dict)
     load: str = ""
+    schemas: list[str] = field(default_factory=list)
+    layouts: dict[str, int] = field(default_factory=dict)
     written: int = 0
 
     @classmethod
@@ -99,6 +103,7 @@ class Version:
                 if commit not in self.partial:
                     self.partial.append(commit)
         self.partial = [c for c in self.partial if c in self.folders]
+        self.layouts = {c: n for c, n in self.layouts.items() if c in self.folders}
 
     def note(self, batch: Batch | None) -> None:
         """Remember that a stream's micro-batch is in this version."""
@@ -216,17 +221,27 @@ class Store:
         A commit of which every bucket is wanted is named by its folder, so a
         table of many buckets does not need a path for each.
         """
-        root, wanted, folders = self._data(table), None if buckets is None else set(buckets), []
+        root, wanted = self._data(table), None if buckets is None else set(buckets)
+        by_layout: dict[int | None, list[str]] = {}
         for commit, numbers in version.folders.items():
+            folders = by_layout.setdefault(version.layouts.get(commit), [])
             if wanted is None and commit not in version.partial:
                 folders.append(f"{root}/{COMMIT}={commit}")
             else:
                 numbers = [b for b in numbers if wanted is None or b in wanted]
                 folders += [f"{root}/{COMMIT}={commit}/{BUCKET}={b}" for b in numbers]
-        if not folders:
+        parts = []
+        for layout, folders in by_layout.items():
+            if folders:
+                schema = version.columns if layout is None else StructType.fromJson(json.loads(version.schemas[layout]))
+                part = self.spark.read.schema(schema).option("basePath", root).parquet(*folders).drop(COMMIT, BUCKET)
+                parts.append(part if layout is None else in_layout(part, version.columns))
+        if not parts:
             return self.spark.createDataFrame([], version.columns)
-        reader = self.spark.read.schema(version.columns).option("basePath", root)
-        return reader.parquet(*folders).drop(COMMIT, BUCKET)
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part)
+        return rows
 
     def read(
         self,
@@ -353,6 +368,37 @@ class Store:
             self._write(table, df, version)
         return self._publish(table, version)
 
+    def evolve(self, table: str, schema: StructType) -> Version:
+        """Give the table another structure; rows keep their files and are read in the new one.
+
+        Added columns are null in rows written before, dropped ones are not read any more, widened ones are cast. A change
+        that would lose values raises ``SchemaRefused``. A widened key moves rows between buckets, so then, and only then, the
+        table is written anew. The position stays.
+        """
+        base = self.current(table)
+        before = {f.name: f for f in base.columns}
+        changes = followed(column_changes(self.spark.range(0), base.columns, schema), base.keys)
+        # What may be null in rows already there may be so in the table.
+        schema = StructType([
+            StructField(f.name, f.dataType, f.nullable or f.name not in before or before[f.name].nullable, f.metadata) for f in schema
+        ])
+        if schema == base.columns:
+            return base
+        version = base.next()
+        version.schema = schema.json()
+        if any(c.verdict == WIDENED and c.name in base.keys for c in changes):
+            rows = in_layout(self._rows(table, base, None), schema)
+            version.folders, version.partial, version.schemas, version.layouts = {}, [], [], {}
+            self._write(table, rows, version)
+            return self._publish(table, version)
+        version.layouts = {commit: version.layouts.get(commit, len(version.schemas)) for commit in version.folders}
+        # A dropped column is gone for good, also if one of its name comes later.
+        kept = {f.name for f in schema}
+        version.schemas = [
+            StructType([f for f in StructType.fromJson(json.loads(s)) if f.name in kept]).json() for s in [*version.schemas, base.schema]
+        ]
+        return self._publish(table, version)
+
     # -- loading in parts ---------------------------------------------------
 
     def _loads(self, table: str) -> str:
@@ -555,6 +601,16 @@ class Store:
         return removed
 
 
+def in_layout(rows: DataFrame, schema: StructType) -> DataFrame:
+    """Rows of an earlier structure in a later one."""
+    have = dict(rows.dtypes)
+    return rows.select(*[
+        (_c(f.name) if have[f.name] == f.dataType.simpleString() else _c(f.name).cast(f.dataType)).alias(f.name)
+        if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+        for f in schema
+    ])
+
+
 def _commit_id(version: Version) -> str:
     return f"{version.number:010d}-{uuid.uuid4().hex}"
 

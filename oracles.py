@@ -209,6 +209,37 @@ SELECT column_name,
   p_type <> 'ECONOMY' AS nullable
 FROM info"""
 
+# What each column of the parts' information schema became; the number in its name decides.
+DRIFT = f"""WITH was AS (SELECT SUBSTR(column_name, 2)::BIGINT AS n, * FROM ({TYPES})),
+now AS (
+  SELECT w.*,
+    CASE WHEN spark_type = 'bigint' THEN
+           CASE WHEN n % 2 = 1 THEN 'int' WHEN n % 4 = 0 THEN 'decimal(22,3)' ELSE 'decimal(20,3)' END
+         WHEN spark_type = 'decimal(18,4)' THEN CASE WHEN n % 2 = 0 THEN 'decimal(19,5)' ELSE 'decimal(18,5)' END
+         WHEN spark_type = 'date' THEN CASE WHEN n % 2 = 0 THEN 'timestamp_ntz' ELSE 'int' END
+         WHEN spark_type = 'double' THEN CASE WHEN n % 2 = 0 THEN 'float' ELSE 'string' END
+         WHEN spark_type = 'binary' THEN 'string' ELSE spark_type END AS new_type,
+    CASE WHEN n % 5 = 0 THEN FALSE WHEN n % 5 = 1 THEN TRUE ELSE nullable END AS new_null
+  FROM was w)
+SELECT column_name,
+  CASE WHEN n % 7 = 0 THEN 'dropped'
+       WHEN new_type <> spark_type AND NOT (new_type IN ('decimal(22,3)', 'decimal(19,5)', 'timestamp_ntz')
+         OR (spark_type = 'double' AND new_type = 'string')) THEN 'narrowed'
+       WHEN nullable AND NOT new_null THEN 'refuses nulls' WHEN new_type <> spark_type THEN 'widened'
+       WHEN NOT nullable AND new_null THEN 'allows nulls' ELSE 'same' END AS verdict,
+  spark_type AS old_type, CASE WHEN n % 7 <> 0 THEN new_type END AS new_type
+FROM now
+UNION ALL SELECT 'x' || column_name, 'added', NULL, spark_type FROM now WHERE n % 7 = 0"""
+
+EVOLVED = f"""WITH log AS (
+  SELECT CASE event_type WHEN 'signup' THEN 2 WHEN 'error' THEN 1 ELSE 4 END AS op, event_id + 1 AS lsn, user_id * 20 AS k, value AS v,
+         event_type AS note, event_id <= (SELECT MAX(event_id) // 2 FROM events) AS early FROM events),
+ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY lsn DESC) AS back FROM log)
+SELECT c_custkey AS k, c_nationkey::DOUBLE AS v, c_name AS note, NULL::DOUBLE AS w, {TOP} AS sync FROM customer
+  WHERE c_custkey NOT IN (SELECT k FROM log)
+UNION ALL SELECT k, CASE WHEN early THEN floor(v) ELSE v END, note, CASE WHEN NOT early THEN v + 1 END, {TOP}
+  FROM ranked WHERE back = 1 AND op <> 1"""
+
 COUNTS = """COUNT(*) FILTER (event_type = 'signup') AS inserts,
   COUNT(*) FILTER (event_type NOT IN ('signup', 'error')) AS updates,
   COUNT(*) FILTER (event_type = 'error') AS deletes"""
@@ -305,6 +336,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'row' AS part, NULL AS lsn, k, v FROM tgt WHERE k NOT IN (SELECT k FROM good)
             UNION ALL SELECT 'row', NULL, k, v FROM ranked WHERE back = 1 AND op <> 1
             UNION ALL SELECT 'aside', {_hex('lsn')}, k, v FROM log WHERE k IS NULL""",
+        "evolved_table": EVOLVED,
+        "schema_drift": DRIFT,
         "idle_table": f"""WITH half AS (SELECT {_hex('MAX(event_id) // 2 + 1')} AS h, {_hex('MAX(event_id) + 1')} AS t FROM events)
             SELECT 'initial' AS phase, (SELECT COUNT(*) FROM customer) AS loaded, h AS watermark FROM half
             UNION ALL SELECT 'incremental', 0, h FROM half
