@@ -22,6 +22,7 @@ from cdcspark import jobs as jb
 from cdcspark.functions.lsn import LSN, OP, SEQ, SYNC, lsn_from_number, lsn_hex, to_lsn
 from cdcspark.operators import apply as ap
 from cdcspark.operators import feed as fd
+from cdcspark.operators import moves as mv
 from cdcspark.operators import quarantine as qr
 from cdcspark.operators import ranges as rg
 from cdcspark.operators import rows as rw
@@ -423,6 +424,15 @@ def capture_then_apply(spark, sf_dir):
     return ap.apply_changes(before, found, keys=["c_custkey"], mode="strict")
 
 
+def capture_moves(spark, sf_dir):
+    """Customers under new keys: of many with one content, paired by key; some only left or only came."""
+    columns = ["c_custkey", "c_nationkey", "c_mktsegment"]
+    before = fx.table(spark, sf_dir, "customer").select(*columns)
+    found = fd.capture_changes(before, fx.moved_customers(spark, sf_dir).select(*columns), ["c_custkey"], batch=5)
+    moves = mv.capture_moves(written(found, "captured"), ["c_custkey"])
+    return moves.select(F.col(OP).alias("op"), lsn_hex(F.col(LSN)).alias("lsn"), *columns, F.col(f"{mv.BEFORE}c_custkey").alias("before"))
+
+
 def reconcile_status(spark, sf_dir):
     source, target = fx.table(spark, sf_dir, "orders"), fx.lagging_orders(spark, sf_dir)
     return fd.reconcile_counts(fd.reconcile(source, target, ["o_orderkey"]))
@@ -895,6 +905,7 @@ def _own_queries() -> dict[str, Query]:
         "net_changes_without_key": net_changes_without_key,
         "capture_changes": capture_changes,
         "capture_then_apply": capture_then_apply,
+        "capture_moves": capture_moves,
         "reconcile_status": reconcile_status,
         "reconcile_keys": reconcile_keys,
         "reconcile_ranges": reconcile_ranges,

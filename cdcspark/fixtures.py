@@ -63,6 +63,17 @@ def later_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.unionByName(joined)
 
 
+def moved_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers after some time: one segment has other keys, another left in part, some came with the content of some that left."""
+    now = table(spark, sf_dir, "customer")
+    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
+    stay = now.where(~segment.isin("MACHINERY", "BUILDING") | ((segment == "BUILDING") & (key % 3 == 0)))
+    stay = stay.withColumn("c_nationkey", F.when((segment == "AUTOMOBILE") & (key % 5 == 0), F.col("c_nationkey") + 1).otherwise(F.col("c_nationkey")))
+    moved = now.where(segment == "MACHINERY").withColumn("c_custkey", -key - 1)
+    new = now.where((segment == "BUILDING") & (key % 2 == 0)).withColumn("c_custkey", key + 10_000_000)
+    return stay.unionByName(moved).unionByName(new)
+
+
 def lagging_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A target that misses urgent orders, has some never deleted and some outdated."""
     now = table(spark, sf_dir, "orders")

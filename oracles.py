@@ -21,6 +21,21 @@ LATER = """later AS (
   SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, c_mktsegment
   FROM customer WHERE c_mktsegment = 'MACHINERY')"""
 
+MOVES = """WITH now AS (
+  SELECT c_custkey AS k, CASE WHEN c_mktsegment = 'AUTOMOBILE' AND c_custkey % 5 = 0 THEN c_nationkey + 1 ELSE c_nationkey END AS n, c_mktsegment AS s
+  FROM customer WHERE c_mktsegment NOT IN ('MACHINERY', 'BUILDING') OR (c_mktsegment = 'BUILDING' AND c_custkey % 3 = 0)
+  UNION ALL SELECT -c_custkey - 1, c_nationkey, c_mktsegment FROM customer WHERE c_mktsegment = 'MACHINERY'
+  UNION ALL SELECT c_custkey + 10000000, c_nationkey, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 2 = 0),
+was AS (SELECT c_custkey AS k, c_nationkey AS n, c_mktsegment AS s FROM customer),
+gone AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n, s ORDER BY k) AS place FROM was WHERE k NOT IN (SELECT k FROM now)),
+come AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY n, s ORDER BY k) AS place FROM now WHERE k NOT IN (SELECT k FROM was))
+SELECT CASE WHEN g.k IS NULL THEN 2 WHEN c.k IS NULL THEN 1 ELSE 4 END AS op, '0x' || format('{:020X}', 5) AS lsn,
+       COALESCE(c.k, g.k) AS c_custkey, COALESCE(c.n, g.n) AS c_nationkey, COALESCE(c.s, g.s) AS c_mktsegment,
+       CASE WHEN c.k IS NOT NULL THEN g.k END AS before
+FROM gone g FULL JOIN come c ON g.n = c.n AND g.s = c.s AND g.place = c.place
+UNION ALL
+SELECT 4, '0x' || format('{:020X}', 5), now.k, now.n, now.s, NULL FROM now JOIN was ON now.k = was.k AND now.n <> was.n"""
+
 LAGGING_ORDERS = """lag_orders AS (
   SELECT o_orderkey, o_custkey, CASE WHEN o_totalprice > 400000 THEN 'O' ELSE o_orderstatus END AS o_orderstatus,
          o_totalprice, o_orderdate, o_orderpriority
@@ -352,6 +367,7 @@ def oracle_sql() -> dict[str, str]:
               WHERE event_type IN ('click', 'view')""",
         "net_changes": NET,
         "capture_changes": CAPTURE,
+        "capture_moves": MOVES,
         "capture_then_apply": f"WITH {LATER} SELECT {LATER_ROWS} FROM later",
         "reconcile_status": f"""SELECT status, COUNT(*) AS n_keys, CAST(SUM(source_rows) AS BIGINT) AS source_rows,
             CAST(SUM(target_rows) AS BIGINT) AS target_rows FROM ({RECONCILE_KEYS}) GROUP BY status""",
