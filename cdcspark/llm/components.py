@@ -36,3 +36,24 @@ def components(links: DataFrame) -> DataFrame:
         path, labels = new_path, new.select("id", "label")
         if not changed:
             return labels.withColumnRenamed("label", "component")
+
+
+def between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """The links (a, b) as links between the parts that ``labels`` (id, component) has, each pair of parts once, inner ones left out.
+
+    An id without a label is a part of its own.
+    """
+    for end in ("a", "b"):
+        own = labels.select(F.col("id").alias("__id"), F.col("component").alias("__part"))
+        links = links.join(own, F.col(end) == F.col("__id"), "left").withColumn(end, F.coalesce("__part", end)).drop("__id", "__part")
+    return links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def merged(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """Labels after the parts were joined; ``joined`` has rows (id, component) for the parts that were."""
+    found = joined.select(F.col("id").alias("__id"), F.col("component").alias("__part"))
+    old = labels.join(found, F.col("component") == F.col("__id"), "left")
+    old = old.select("id", F.coalesce("__part", "component").alias("component"))
+    # Parts of one id had no row before.
+    alone = joined.join(labels.select("id"), "id", "left_anti").select("id", "component")
+    return old.unionByName(alone)

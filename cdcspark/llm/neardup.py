@@ -6,9 +6,11 @@ Documents with one shingle set are one class, found by a 128-bit sum over the se
 postings can have no partner. The others keep a prefix, their rarest postings less ``MATCHES`` - 1: two classes that
 agree often enough meet in a prefix, and the longest lists are skipped.
 
-Lists are merged without pairing all that is in them. First every list's most central class is compared with the others;
-what that links is one component. Then only pairs that it left apart are compared, those whose shared shingles could
-still suffice, each pair in the first list the two share. The number of shingles that a class shares with any
+Lists are merged without pairing all that is in them. First every list's most central class is compared with the others.
+Of the links found, one per class makes the first parts, and one per pair of parts joins these further. Then, in rounds, a part that a list
+leaves open meets a few classes of the list's largest part, then more of them, then all of every other part; after each round one
+link per pair of parts joins them, so what is joined meets no more. Only pairs are compared whose shared shingles could
+still suffice, each in the first list the two share. The number of shingles that a class shares with any
 other bounds its overlap, so classes full of shingles of their own fall away early. Every link is confirmed on the full sets.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcspark.llm.common import Workspace, bitmap, bounded_batches, buffers, in_bitmap, mixed, text_bytes
-from cdcspark.llm.components import components
+from cdcspark.llm.components import between, components, merged
 from cdcspark.llm.shingles import shingle_sets
 from cdcspark.session import written
 
@@ -35,6 +37,9 @@ COORDINATES, MATCHES = 32, 13
 #: Places that shared shingles are folded into where two classes' overlap is bounded.
 FOLDS = 4_096
 
+#: Rounds in which open parts of a list meet: about how many classes of the list's largest part, then all of every part.
+MEETINGS = (4, 64, None)
+
 #: Bits of the filters that keep rows without a partner out of a shuffle; they are broadcast, 1 MB each.
 FILTER_BITS = 1 << 23
 
@@ -182,17 +187,20 @@ def _folded(sets: DataFrame, common: DataFrame) -> DataFrame:
     return counts.groupBy("cid").agg(F.flatten(lists).alias("folded"))
 
 
-def links_between_classes(documents: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Confirmed links (a, b) that join every component of classes (cid, n, k1, signature)."""
+def _enough(c, na, nb, percent: int):
+    """n shingles on each side and c in common make a link: 100 c >= percent * (na + nb - c)."""
+    return (100 + percent) * c >= percent * (na + nb)
+
+
+def parts_of_classes(documents: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Rows (id, component) of all classes (cid, n, k1, signature) that confirmed links join with others."""
     space = Workspace(documents.sparkSession, "neardup")
-    found = written(_links(documents, classes, percent, space), "class-links")
+    found = written(_parts(documents, classes, percent, space), "class-parts")
     space.remove()
     return found
 
 
-def _links(documents: DataFrame, classes: DataFrame, percent: int, space: Workspace) -> DataFrame:
-    # n shingles on each side and c in common: 100 c >= p (na + nb - c).
-    enough = lambda c, na, nb: (100 + percent) * c >= percent * (na + nb)
+def _parts(documents: DataFrame, classes: DataFrame, percent: int, space: Workspace) -> DataFrame:
     lists = _in_company(space.written(_prefixes(classes, space), "prefixes"))
     likely = lists.select("cid").distinct().join(classes.select("cid", "k1", "signature"), "cid")
     likely = space.written(likely, "likely")
@@ -208,32 +216,60 @@ def _links(documents: DataFrame, classes: DataFrame, percent: int, space: Worksp
     lists = space.written(_in_company(lists), "lists")
     centre = lists.groupBy("key").agg(F.max(F.struct("centrality", "cid", "n", "u")).alias("p"))
     near = lists.join(centre, "key").where("cid <> p.cid").where(
-        enough(F.least("u", "p.u"), F.col("n"), F.col("p.n"))
+        _enough(F.least("u", "p.u"), F.col("n"), F.col("p.n"), percent)
     )
     ends = [F.least("cid", "p.cid").alias("a"), F.greatest("cid", "p.cid").alias("b")]
-    tried = _colliding(near.select(*ends).distinct(), likely)
+    near = space.written(near.select("cid", *ends, F.struct("p.centrality", "p.cid").alias("p")).distinct(), "near")
+    tried = _colliding(near.select("a", "b").distinct(), likely)
     tried = space.written(_compared(space.written(tried, "colliding"), sets, percent), "tried")
     first = tried.where("linked").select("a", "b")
-    found = components(first)
-    labelled = lists.join(found, F.col("cid") == F.col("id"), "left").withColumn("label", F.coalesce("component", "cid"))
+    # A class's link to the most central of its partners, then one link per pair of the parts that these make.
+    stars = near.join(first, ["a", "b"]).groupBy("cid").agg(F.max("p").alias("p"))
+    labels = components(stars.select(F.col("cid").alias("a"), F.col("p.cid").alias("b")))
+    labels = space.written(merged(labels, components(between(first, labels))), "parts")
     # What a class has in common with its list's centre, where the two were compared.
-    labelled = labelled.drop("id", "component").join(centre.select("key", "p"), "key").select("*", *ends)
-    labelled = labelled.join(tried.select("a", "b", "common"), ["a", "b"], "left")
+    members = lists.join(centre.select("key", "p"), "key").select("*", *ends)
+    members = members.join(tried.select("a", "b", "common"), ["a", "b"], "left")
     inner = F.when(F.col("cid") == F.col("p.cid"), F.col("u")).otherwise(F.col("common"))
-    labelled = space.written(labelled.select("key", "keys", "cid", "n", "u", "label", inner.cast("long").alias("i")), "labelled")
-    sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("labels"))
-    largest = space.written(largest.where("labels > 1").select("key", F.col("top.label").alias("top")), "largest")
-    open_rows = labelled.join(largest, "key")
-    open_classes = space.written(open_rows.select("cid").distinct(), "open")
-    folded = _folded(sets.join(open_classes, "cid", "left_semi"), common)
-    open_rows = open_rows.join(folded, "cid")
-    # Members of the largest part of a list need not meet each other.
+    members = space.written(members.select("key", "keys", "cid", "n", "u", inner.cast("long").alias("i")), "members")
+    folded, known = None, tried.select("a", "b")
+    for turn, few in enumerate(MEETINGS):
+        open_rows = space.written(_open_rows(members, labels), f"open-{turn}")
+        if open_rows.isEmpty():
+            break
+        if folded is None:
+            # No class is open later that is not so now.
+            some = open_rows.select("cid").distinct()
+            folded = space.written(_folded(sets.join(some, "cid", "left_semi"), common), "folded")
+        rest = _meeting(open_rows.join(folded, "cid"), few, percent).join(known, ["a", "b"], "left_anti")
+        rest = space.written(_colliding(rest, likely), f"rest-{turn}")
+        found = space.written(_compared(rest, sets, percent), f"found-{turn}")
+        known = known.unionByName(found.select("a", "b"))
+        labels = space.written(merged(labels, components(between(found.where("linked").select("a", "b"), labels))), f"parts-{turn}")
+    return labels
+
+
+def _open_rows(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of the lists that hold several parts, with their part, its size in the list and the list's largest part."""
+    own = labels.select(F.col("id").alias("cid"), "component")
+    rows = members.join(own, "cid", "left").withColumn("label", F.coalesce("component", "cid")).drop("component")
+    sizes = rows.groupBy("key", "label").agg(F.count(F.lit(1)).alias("size"))
+    top = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count(F.lit(1)).alias("parts"))
+    several = top.where("parts > 1").select("key", F.col("top.label").alias("top"), F.col("top.size").alias("top_size"))
+    return rows.join(several, "key")
+
+
+def _meeting(open_rows: DataFrame, few: int | None, percent: int) -> DataFrame:
+    """Pairs (a, b) of different parts to compare: with about ``few`` classes of the largest part of a list, or with all of every part."""
     left = open_rows.where("label <> top").select(
         "key", "keys", F.col("cid").alias("x"), F.col("n").alias("xn"), F.col("u").alias("xu"), F.col("i").alias("xi"),
         F.col("label").alias("xl"), F.col("folded").alias("xf"),
     )
-    right = open_rows.select(
+    right = open_rows
+    if few is not None:
+        # Which ones of a large part is for a hash to say, another one in every round.
+        right = right.where("label = top").where(F.pmod(F.xxhash64("cid", F.lit(few)), F.col("top_size")) < few)
+    right = right.select(
         F.col("key").alias("ykey"), F.col("keys").alias("ykeys"), F.col("cid").alias("y"), F.col("n").alias("yn"), F.col("u").alias("yu"),
         F.col("i").alias("yi"), F.col("label").alias("yl"), F.col("folded").alias("yf"), "top",
     )
@@ -241,14 +277,13 @@ def _links(documents: DataFrame, classes: DataFrame, percent: int, space: Worksp
     known = F.col("xi").isNotNull() & F.col("yi").isNotNull()
     outside = F.least(F.col("xu") - F.col("xi"), F.col("yu") - F.col("yi"))
     most = F.when(known, F.least("xi", "yi") + outside).otherwise(F.least("xu", "yu"))
+    # Members of the largest part of a list need not meet each other, and two classes meet in the first list they share.
     met = left.join(right, (F.col("key") == F.col("ykey")) & (F.col("xl") != F.col("yl"))
                     & ((F.col("yl") == F.col("top")) | (F.col("x") < F.col("y")))
-                    & enough(most, F.col("xn"), F.col("yn"))
+                    & _enough(most, F.col("xn"), F.col("yn"), percent)
                     & (F.array_min(F.array_intersect("keys", "ykeys")) == F.col("key"))
-                    & enough(F.size(F.array_intersect("xf", "yf")), F.col("xn"), F.col("yn")))
-    rest = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    more = _compared(space.written(_colliding(rest, likely), "rest"), sets, percent).where("linked").select("a", "b")
-    return first.unionByName(more)
+                    & _enough(F.size(F.array_intersect("xf", "yf")), F.col("xn"), F.col("yn"), percent))
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT, text_hash: bool = False) -> DataFrame:
@@ -267,7 +302,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, text_hash: boo
         some.groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("cid"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")),
         "classes",
     )
-    found = components(links_between_classes(documents, classes, percent))
+    found = parts_of_classes(documents, classes, percent)
     # Classes of one row need no lookup.
     several = classes.where("copies > 1").select("n", "k1", "k2", "cid")
     nameless = rows.where("doc_id IS NULL AND n > 0").select("n", "k1", "k2").distinct()
@@ -281,3 +316,31 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT, text_hash: boo
         "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
         *(["text_hash"] if text_hash else []),
     )
+
+
+def without_rows(documents: DataFrame, gone: DataFrame) -> DataFrame:
+    """``documents`` (doc_id, text and others) without the rows that ``gone`` (doc_id, text_hash) names; rows without doc_id stay.
+
+    Texts are not shuffled but for rows that a filter of fixed size cannot clear: those that go, and a share of the others that
+    grows as the filter fills up (a fifth at 1.8 million rows of ``gone``). A join decides on them.
+    """
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    place = lambda own: F.pmod(F.xxhash64("doc_id", own), F.lit(FILTER_BITS)).alias("__place")
+    words = documents.sparkSession.sparkContext.broadcast(
+        bitmap(gone.select(place(F.col("text_hash")).alias("place")), FILTER_BITS)
+    )
+
+    def part(doubtful: bool):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                *own, places = batch.columns
+                hit = in_bitmap(words.value, places.to_numpy(zero_copy_only=False).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(own, batch.schema.names[:-1]).filter(pa.array(hit == doubtful))
+
+        return documents.select("*", place(text_hash)).mapInArrow(work, documents.schema)
+
+    bounded_batches(documents.sparkSession)
+    names = gone.select(F.col("doc_id").alias("__gone"), F.col("text_hash").alias("__hash"))
+    open_rows = part(True)
+    decided = open_rows.join(names, (F.col("doc_id") == F.col("__gone")) & (text_hash == F.col("__hash")), "left_anti")
+    return part(False).unionByName(decided)

@@ -58,6 +58,58 @@ def test_equals_brute_force(docs):
         assert found(docs(rows)) == brute(rows)
 
 
+def near_copies(size, words=120, seed=5):
+    """One group: a text with one to three words changed."""
+    r = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for i in range(size):
+        own = list(base)
+        for _ in range(r.randint(1, 3)):
+            own[r.randrange(words)] = f"c{r.randrange(100_000)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_links_do_not_grow_with_the_square_of_a_group(docs, monkeypatch):
+    rows, fed, compared = near_copies(3_200), [], []
+    real, real_compared = neardup.components, neardup._compared
+
+    def counted(links):
+        fed.append(links.count())
+        return real(links)
+
+    def counted_pairs(pairs, sets, percent):
+        compared.append(pairs.count())
+        return real_compared(pairs, sets, percent)
+
+    monkeypatch.setattr(neardup, "components", counted)
+    monkeypatch.setattr(neardup, "_compared", counted_pairs)
+    got = found(docs(rows))
+    assert all(v[1] == 0 for v in got.values()) and len(fed) >= 2
+    assert sum(fed) <= 3 * len(rows) and sum(compared) <= 12 * len(rows)
+
+
+def test_open_parts_meet_in_rounds(docs, monkeypatch):
+    # Few are compared at first, so the later rounds have work to do.
+    monkeypatch.setattr(neardup, "MEETINGS", (1, 2, None))
+    rows = corpus(8, 200) + [(1000 + i, t) for i, t in near_copies(60, words=40)]
+    assert found(docs(rows)) == brute(rows)
+
+
+def test_rows_that_go(docs, spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = [(1, "a"), (1, "b"), (2, None), (3, ""), (None, "a"), (4, "x"), (4, "x")]
+    gone = spark.createDataFrame([(1, "b"), (2, ""), (4, "x"), (9, "a")], "doc_id long, text string")
+    gone = gone.select("doc_id", F.xxhash64("text").alias("text_hash"))
+    for bits in (64, neardup.FILTER_BITS):
+        monkeypatch.setattr(neardup, "FILTER_BITS", bits)
+        left = neardup.without_rows(docs(rows), gone)
+        assert left.columns == docs(rows).columns
+        assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([(1, "a"), (3, ""), (None, "a")], key=repr)
+
+
 def test_a_chain_of_copies_is_one_component(docs):
     words = [f"x{i}" for i in range(100)]
     rows = [(i, " ".join(words[:60] + [f"y{j}" for j in range(i * 2)])) for i in range(12)]
