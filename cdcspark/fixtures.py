@@ -181,6 +181,15 @@ def keyless_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unreadable_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' feed with values as text, those of views in words."""
+    value = F.col("value").cast("string")
+    return table(spark, sf_dir, "events").select(
+        operation().alias(OP), lsn_from_number(F.col("event_id") + 1).alias(LSN), (F.col("user_id") * 20).alias("k"),
+        F.when(F.col("event_type") == "view", F.concat(F.lit("about "), value)).otherwise(value).alias("v"),
+    )
+
+
 def displaced_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events' feed; clicks have no position, views one of two bytes."""
     number = F.col("event_id") + 1

@@ -5,6 +5,7 @@ Layout of one table::
     <root>/<table>/data/__commit=<id>/__bucket=<n>/*.parquet
     <root>/<table>/commits/<version>.json
     <root>/<table>/quarantine/commit=<id>/*.parquet
+    <root>/<table>/touched/commit=<id>/*.parquet
     <root>/<table>/loads/<step>.json
     <root>/__cuts/<group>/<number>.json
 
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from cdcspark import files
-from cdcspark.functions.lsn import SYNC, ZERO_LSN, lsn_literal, pad_lsn
+from cdcspark.functions.lsn import LSN, SEQ, SYNC, ZERO_LSN, lsn_literal, pad_lsn
 from cdcspark.operators.apply import _c, apply_changes, data_columns, is_applied, to_types
 from cdcspark.operators.rows import delete_by_key, update_by_key
 from cdcspark.plans.drift import WIDENED, column_changes, followed
@@ -58,7 +59,8 @@ class Version:
 
     ``batches`` has, per stream, its last micro-batch and the position the
     table had before its first one. ``schemas`` are earlier structures, and ``layouts`` says which
-    folders have one of them. ``written`` is the number of rows this
+    folders have one of them. ``loaded`` is the position of the last full load. While
+    changes are set aside, ``touched`` are folders with the last position of every key changed after ``tracked``. ``written`` is the number of rows this
     commit wrote; it is not stored.
     """
 
@@ -74,6 +76,9 @@ class Version:
     load: str = ""
     schemas: list[str] = field(default_factory=list)
     layouts: dict[str, int] = field(default_factory=dict)
+    loaded: str = ZERO_LSN.hex()
+    touched: list[str] = field(default_factory=list)
+    tracked: str = ""
     written: int = 0
 
     @classmethod
@@ -334,6 +339,7 @@ class Store:
                 schema = old.columns
         keys = list(keys or (old and old.keys) or df.columns[:1])
         version = Version(old.number + 1 if old else 1, pad_lsn(lsn).hex(), schema.json(), keys, self.buckets)
+        version.loaded = version.lsn
         if old:
             version.quarantine = list(old.quarantine)
         self._write(table, df, version)
@@ -349,17 +355,25 @@ class Store:
         base: Version,
         rejected: DataFrame | None = None,
         batch: Batch | None = None,
+        touched: DataFrame | None = None,
     ) -> Version:
         """Replace the given buckets by ``df``; the others and their files stay.
 
         ``base`` is the version ``df`` was computed from. A bucket that ``df``
         has no rows for becomes empty. ``rejected`` changes are set aside and
-        ``batch`` is remembered by the same commit.
+        ``batch`` is remembered by the same commit. ``touched`` has the last position
+        of each key it changes; it is kept while changes are set aside.
         """
         gone = set(buckets)
         version = base.next(lsn)
         version.drop_buckets(gone)
         version.note(batch)
+        if not base.quarantine:
+            version.touched, version.tracked = [], base.lsn if rejected is not None else ""
+        if touched is not None and (base.quarantine or rejected is not None):
+            folder = f"commit={_commit_id(version)}"
+            touched.write.parquet(f"{self._touched(table)}/{folder}")
+            version.touched.append(folder)
         if rejected is not None:
             folder = f"commit={uuid.uuid4().hex}"
             rejected.write.parquet(f"{self._aside(table)}/{folder}")
@@ -463,7 +477,7 @@ class Store:
         old = self.current(table) if self.exists(table) else None
         base = Version(
             old.number if old else 0, min([pad_lsn(lsn).hex(), *load.positions]), load.schema, load.keys, load.buckets,
-            dict(load.folders), [], list(old.quarantine) if old else [], {}, load.id,
+            dict(load.folders), [], list(old.quarantine) if old else [], {}, load.id, loaded=pad_lsn(lsn).hex(),
         )
         if changes is None:
             version = self.commit(table, None, lsn, buckets=(), base=base, rejected=rejected)
@@ -511,7 +525,38 @@ class Store:
         if touched:
             target = self.read(table, with_sync=False, buckets=touched, version=base)
             result = apply_changes(target, changes, keys=base.keys, order_by=order_by, mode=mode)
-        return self.commit(table, result, lsn, buckets=touched, base=base, rejected=rejected, batch=batch)
+        last = last_positions(changes, base.keys) if touched else None
+        return self.commit(table, result, lsn, buckets=touched, base=base, rejected=rejected, batch=batch, touched=last)
+
+    def touched(self, table: str) -> DataFrame | None:
+        """Keys changed since the first of the changes now set aside, with the last position of each; None if there are none."""
+        version = self.current(table)
+        if not version.touched:
+            return None
+        folders = [f"{self._touched(table)}/{f}" for f in version.touched]
+        found = self.spark.read.option("mergeSchema", "true").option("basePath", self._touched(table)).parquet(*folders)
+        return last_positions(found.drop("commit"), version.keys, applied=False)
+
+    def settle(
+        self,
+        table: str,
+        repaired: DataFrame | None,
+        remaining: DataFrame | None,
+        *,
+        mode: str = "upsert",
+        order_by: Sequence[str] | None = None,
+    ) -> Version:
+        """Apply repaired changes and leave ``remaining`` aside, in one commit; the position stays."""
+        base = self.current(table).next()
+        base.number -= 1
+        base.quarantine = []
+        if remaining is not None:
+            folder = f"commit={uuid.uuid4().hex}"
+            remaining.write.parquet(f"{self._aside(table)}/{folder}")
+            base.quarantine.append(folder)
+        if repaired is None:
+            return self.commit(table, None, base.position, buckets=(), base=base)
+        return self.replay(table, repaired, base.position, mode=mode, order_by=order_by, base=base)
 
     def advance(
         self, table: str, lsn: bytes, *, rejected: DataFrame | None = None, batch: Batch | None = None
@@ -557,6 +602,9 @@ class Store:
     def _aside(self, table: str) -> str:
         return f"{self.path}/{table}/quarantine"
 
+    def _touched(self, table: str) -> str:
+        return f"{self.path}/{table}/touched"
+
     def quarantined(self, table: str) -> DataFrame | None:
         """Rejected changes of all commits, None if there are none."""
         folders = [f"{self._aside(table)}/{f}" for f in self.current(table).quarantine]
@@ -596,11 +644,23 @@ class Store:
             if name.startswith(f"{COMMIT}=") and commit not in in_use and int(commit[:10]) <= oldest.number:
                 files.remove(self.spark, f"{root}/{name}")
                 removed += 1
+        in_use = set(oldest.touched) | set(self.current(table).touched)
+        for name in files.names_in(self.spark, self._touched(table)):
+            if name not in in_use and int(name.partition("=")[2][:10]) <= oldest.number:
+                files.remove(self.spark, f"{self._touched(table)}/{name}")
         for n in old:
             files.remove(self.spark, f"{self._commits(table)}/{n:010d}.json")
         return removed
 
 
+def last_positions(changes: DataFrame, keys: Sequence[str], *, applied: bool = True) -> DataFrame:
+    """Per key the position, and sequence number if there is one, of its last change; summed up before the shuffle."""
+    sequence = _c(SEQ) if SEQ in changes.columns else F.lit(None).cast("long").alias(SEQ)
+    rows = changes.where(is_applied()) if applied else changes
+    last = rows.groupBy(*[_c(k) for k in keys]).agg(F.max(F.struct(_c(LSN).alias(LSN), sequence)).alias("__last"))
+    return last.select(*[_c(k) for k in keys], F.col(f"__last.`{LSN}`").alias(LSN), F.col(f"__last.`{SEQ}`").alias(SEQ))
+
+
 def in_layout(rows: DataFrame, schema: StructType) -> DataFrame:
     """Rows of an earlier structure in a later one."""
     have = dict(rows.dtypes)

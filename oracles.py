@@ -365,6 +365,7 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'row', k, v, lsn, NULL FROM ranked WHERE back = 1 AND op <> 1
             UNION ALL SELECT 'aside', user_id * 20, value, event_id + 1, 'bad log position' FROM events
               WHERE event_type IN ('click', 'view')""",
+        "replay_quarantine": f"SELECT k, v, {TOP} AS sync FROM ({UPSERT})",
         "net_changes": NET,
         "capture_changes": CAPTURE,
         "capture_moves": MOVES,
