@@ -7,6 +7,7 @@ import importlib.util
 import os
 import sys
 import tempfile
+import time
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from cdcspark import cuts
+from cdcspark import cuts, files
 from cdcspark import fixtures as fx
 from cdcspark import jobs as jb
 from cdcspark import repair as rp
@@ -38,6 +39,7 @@ from cdcspark.sources import logstream as ls
 from cdcspark.sources import splits as sp
 from cdcspark.sources.snapshot import read_snapshot
 from cdcspark.sources.tables import FileSource
+from cdcspark.streaming.metrics import StreamMetrics, run_reported
 from cdcspark.streaming.run import run_stream
 from cdcspark.streaming.transactions import run_transactions
 from oracles import oracle_sql as base_sql
@@ -827,6 +829,41 @@ def stream_by_position(spark, sf_dir):
     return store.read("accounts").select("k", "v", F.hex(F.col(f"`{SYNC}`")).alias("sync"))
 
 
+def stream_metrics(spark, sf_dir):
+    """What a listener reported of a stream's micro-batches: one per file here, three files."""
+    store = Store(spark, fresh_dir(spark, "reported"), buckets=8)
+    store.full_load("accounts", fx.accounts(spark, sf_dir), None, keys=["k"])
+    feed, half = fx.raw_feed(spark, sf_dir).where("k IS NOT NULL"), _half(spark, sf_dir)
+    feed = feed.where(F.octet_length(F.col(LSN)) == 10).withColumn("v", F.coalesce(F.col("v").try_cast("double"), F.lit(0.0)))
+    landed, checkpoint, table = (fresh_dir(spark, name) for name in ("landed", "query", "stream-metrics"))
+    job = jb.TableJob("accounts", store, lambda s: fx.accounts(s, sf_dir), _events_since(sf_dir), keys=["k"])
+    listener = StreamMetrics(spark, table)
+    spark.streams.addListener(listener)
+    try:
+        for part in (F.col(LSN) <= F.lit(half), F.col(LSN) > F.lit(half)):
+            feed.where(part).coalesce(1).write.mode("append").parquet(landed)
+            stream = ch.stream_changes(spark, landed, feed.schema, max_files=1)
+            run_reported(stream, job, listener, checkpoint=checkpoint, trigger={"availableNow": True}).awaitTermination()
+            _reported(listener, table, store.watermark("accounts"))
+    finally:
+        spark.streams.removeListener(listener)
+    rows = spark.read.schema(jb.METRICS).parquet(table)
+    return rows.select("table_name", "phase", "inserts", "updates", "deletes", "ignored", F.hex("watermark").alias("watermark"))
+
+
+def _reported(listener, path, position, seconds=60):
+    """Wait till the listener, which hears of a micro-batch a little later, has written a row of the position."""
+    end = time.monotonic() + seconds
+    while time.monotonic() < end:
+        listener.flush()
+        if files.names_in(listener.spark, path):
+            found = listener.spark.read.schema(jb.METRICS).parquet(path).where(F.col("watermark") == F.lit(position))
+            if not found.isEmpty():
+                return
+        time.sleep(0.2)
+    raise AssertionError("the listener did not report")
+
+
 def _streamed(spark, sf_dir, feed, parts, **options) -> Store:
     """Accounts after a stream over files that land one part after the other."""
     store = Store(spark, fresh_dir(spark, "stream"), buckets=8)
@@ -947,6 +984,7 @@ def _own_queries() -> dict[str, Query]:
         "stream_by_position": stream_by_position,
         "stream_same_position": stream_same_position,
         "stream_out_of_order": stream_out_of_order,
+        "stream_metrics": stream_metrics,
         "stream_quarantine": stream_quarantine,
         "evolved_table": evolved_table,
         "schema_drift": schema_drift,

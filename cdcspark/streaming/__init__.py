@@ -1,3 +1,4 @@
+from cdcspark.streaming.metrics import StreamMetrics, observed, run_reported
 from cdcspark.streaming.run import (
     DEFAULT_INTERVAL,
     MONITOR_INTERVAL,

@@ -345,6 +345,13 @@ def oracle_sql() -> dict[str, str]:
         "stream_same_position": f"""SELECT k, v, (SELECT {_hex('MAX(event_id) // 10 + 1')} FROM events) AS sync FROM ({UPSERT})""",
         "stream_out_of_order": f"""SELECT k, v, (SELECT {_hex('MAX(event_id) // 10 + 1')} FROM events) AS sync,
             CAST(0 AS BIGINT) AS set_aside FROM ({UPSERT})""",
+        "stream_metrics": f"""WITH raw AS (
+              SELECT event_type, event_id + 1 AS lsn, event_id <= (SELECT MAX(event_id) // 2 FROM events) AS early FROM events
+              WHERE event_type <> 'click' AND props <> '{{"k": 1}}')
+            SELECT 'accounts' AS table_name, 'stream' AS phase, COUNT(*) FILTER (event_type = 'signup') AS inserts,
+              COUNT(*) FILTER (event_type NOT IN ('signup', 'error', 'purchase')) AS updates,
+              COUNT(*) FILTER (event_type = 'error') AS deletes, COUNT(*) FILTER (event_type = 'purchase') AS ignored,
+              {_hex('MAX(lsn)')} AS watermark FROM raw GROUP BY early""",
         "stream_quarantine": f"""WITH {KEYLESS_LOG},
             {ACCOUNTS}, good AS (SELECT * FROM log WHERE k IS NOT NULL),
             ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY k ORDER BY lsn DESC) AS back FROM good)
