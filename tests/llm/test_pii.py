@@ -1,3 +1,6 @@
+import pytest
+import time
+import random
 import hashlib
 import re
 
@@ -116,3 +119,44 @@ def test_words_beside_a_site_stay():
     for text in ["available at example.com", "We are hosting at example.com.", "stay at home.He left", "look at example[.]com", "a @ b dot product",
                  "1 dot 2 dot 3", "300 dot 1 dot 1 dot 1", "two at three dot matrix", "(.) a [dot] b", "john at noon dot dot dot"]:
         assert shown(text) == [], text
+
+
+#: The rules as they are stated, on which long runs take time that grows with their square.
+RULES = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def test_linear_patterns_match_as_the_rules_do():
+    draw = random.Random(3)
+    pieces = ["a", "b.c", "@", "@", ".", "..", "_", "%", "-", "1", "23", "255", "256", " ", "+", "+1", "(", ")", "é", "x@y.zz", "1.2.3.4", "\n"]
+    for _ in range(4_000):
+        text = "".join(draw.choices(pieces, k=draw.randint(0, 25)))
+        want = [(k, m.start(), m.end()) for k, rule in RULES.items() for m in re.finditer(rule, text) if pii._valid(k, m[0])]
+        assert pii.plain_spans(text) == want
+
+
+def test_signs_with_white_space():
+    old = re.compile(r"\s*[\[({<]\s*(?:at|@)\s*[\])}>]\s*|\s+@\s+(?=[A-Za-z0-9-]+\s*(?:\.|[\[({<]|dot\b))", re.I)
+    draw = random.Random(5)
+    for _ in range(4_000):
+        text = "".join(draw.choices([" ", "  ", "\n", "(at)", "[ AT ]", "(", "@", "at", "dot", ".", "ab", "<@>"], k=draw.randint(0, 14)))
+        assert pii._ats(text) == [m.span() for m in old.finditer(text)]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        " " * 1_000_000 + "(x at", "a" * 1_000_000 + " x@y.zz", "1" * 1_000_000 + " .", "@" * 300_000, "a@" * 300_000, "x@" + "a" * 1_000_000,
+        "1." * 500_000, "+1" + " " * 1_000_000, "one " * 250_000, "x (at) " + " " * 1_000_000 + "y dot com", "( " * 500_000 + "at", "at " * 300_000,
+        "<" * 1_000_000 + "@", "a (dot) " * 100_000, "\u200b" * 1_000_000 + "@",
+    ],
+    ids=range(15),
+)
+def test_long_runs_take_no_time(text):
+    begin = time.monotonic()
+    pii.all_spans(text)
+    assert time.monotonic() - begin < 6
