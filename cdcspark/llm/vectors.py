@@ -103,9 +103,14 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near one: exact, and squares neither overflow nor vanish."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    return np.ldexp(x, -exponent)
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
-    # The largest component first, so that very long and very short vectors do not overflow.
-    x = x / np.abs(x).max(axis=1, keepdims=True)
+    x = _scaled(x)
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -161,6 +166,7 @@ def _search(key: tuple, members: pa.Table, queries: pa.Table, index: Index, dim:
     home = queries["home"].to_numpy()
     probed = members["lists"].combine_chunks().flatten().to_numpy().reshape(len(y), -1)
     residual = _unit(x) - index.coarse[own_list]
+    x, y = _scaled(x), _scaled(y)
     weight, other = queries["copies"].to_numpy(), members["copies"].to_numpy()
     pairs = []
     for i in range(0, len(x), 512):

@@ -1,3 +1,4 @@
+import math
 import numpy as np
 import pytest
 
@@ -72,3 +73,12 @@ def test_stored_errors_bound_table_distances():
     query = r.normal(size=(50, 12))
     true = np.linalg.norm(query[:, None] - residual[None], axis=2)
     assert (np.sqrt(index.table_distances(query, codes)) - error <= true + 1e-9).all()
+
+
+def test_lengths_do_not_matter(spark):
+    angle = math.acos(0.95)
+    near, far = [math.cos(angle * 0.999), math.sin(angle * 0.999)], [math.cos(angle * 1.001 + math.pi / 2), math.sin(angle * 1.001 + math.pi / 2)]
+    rows = [(1, [1e200, 0.0]), (2, [1.0, 0.0]), (3, [1e-200, 0.0]), (4, [1e300 * x for x in near]), (5, [1e-300 * x for x in far]), (6, [5e-324, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_vectors(df).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 1), 4: (4, 1), 5: (0, 5), 6: (4, 1)}
