@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +69,17 @@ def in_bitmap(words: np.ndarray, places: np.ndarray) -> np.ndarray:
     return (words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) > 0
 
 
+def arrow_folder(address: str) -> tuple[pafs.FileSystem, str]:
+    """File system and path of a folder for tasks that read it through Arrow.
+
+    The address is one that ``files.qualified`` gave on the driver: Spark and Arrow then mean the same place.
+    """
+    scheme, colon, rest = address.partition(":/")
+    if not colon:
+        raise ValueError(f"{address} is no full address")
+    return pafs.FileSystem.from_uri(address if rest.startswith("/") else f"{scheme}:///{rest}")
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text's UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cdcspark import files
-from cdcspark.llm.common import BATCH_BYTES, bounded_batches, buffers, mixed, row_blocks, text_bytes
+from cdcspark.llm.common import BATCH_BYTES, arrow_folder, bounded_batches, buffers, mixed, row_blocks, text_bytes
 from cdcspark.session import fresh_dir, written
 
 #: Bytes of the strings, and of the parts of them whose least hash is the first digit.
@@ -171,10 +171,12 @@ def _unpacked(packed: bytes, *kinds: str) -> list[np.ndarray]:
 
 
 class _Answers:
-    """What was written about a file's rows, fetched once per file."""
+    """What was written about a file's rows, fetched once per file. A file of which nothing was found has no folder of its own."""
 
     def __init__(self, folder: str):
-        self.fs, self.folder = pafs.FileSystem.from_uri(folder if "://" in folder or folder.startswith("file:") else f"file://{folder}")
+        self.fs, self.folder = arrow_folder(folder)
+        if self.fs.get_file_info(self.folder).type == pafs.FileType.NotFound:
+            raise FileNotFoundError(f"{folder} is not there, though a pass was to leave its findings in it")
         self.file, self.table = None, None
 
     def of(self, file: str) -> pa.Table | None:
@@ -469,7 +471,7 @@ def remove_repeats(documents: DataFrame, bucket_bytes: int = BUCKET_BYTES, with_
     spark = documents.sparkSession
     # What a batch sends to a bucket is one row, so batches are larger here.
     bounded_batches(spark, 2 * BATCH_BYTES)
-    base = fresh_dir(spark, "repeats")
+    base = files.qualified(spark, fresh_dir(spark, "repeats"))
     documents.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("raw")).write.parquet(f"{base}/texts")
     rows = spark.read.parquet(f"{base}/texts").select(
         F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), "doc_id", "raw"

@@ -19,11 +19,11 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcspark.llm.common import bounded_batches, text_bytes
+from cdcspark import files
+from cdcspark.llm.common import arrow_folder, bounded_batches, text_bytes
 from cdcspark.session import fresh_dir, written
 
 #: Payloads shorter than this are stored each time.
@@ -95,10 +95,6 @@ def write_archives(pages: DataFrame, path: str) -> None:
     records.write.option("compression", "gzip").option("lineSep", _GAP).text(path)
 
 
-def _open_folder(address: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(address if "://" in address or address.startswith("file:") else f"file://{address}")
-
-
 class _Records:
     """Whole records out of lines that come in the order of an archive."""
 
@@ -148,11 +144,13 @@ INDEX = "file string, offset long, length long, record_type string, record_id st
 def normalise(spark: SparkSession, source: str, target: str) -> DataFrame:
     """Rewrites every archive under ``source`` with a member per record under ``target``; returns the index.
 
-    Each archive is inflated once, as a stream. The index is written to ``target``/index and read back.
+    Each archive is inflated once, as a stream. The index is written to ``target``/index and read back. A path without
+    scheme is one of Spark's default file system, for Spark and for the tasks that write members.
     """
+    target = files.qualified(spark, target)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, folder = _open_folder(f"{target}/archives")
+        fs, folder = arrow_folder(f"{target}/archives")
         fs.create_dir(folder, recursive=True)
         file, out, draft, offset, records = None, None, "", 0, _Records()
 
@@ -208,9 +206,10 @@ def read_records(index: DataFrame, target: str, with_payload: bool = False) -> D
 
     Of a revisit, which holds no payload, the payload's size and digest are those its headers state.
     """
+    target = files.qualified(index.sparkSession, target)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, folder = _open_folder(f"{target}/archives")
+        fs, folder = arrow_folder(f"{target}/archives")
         file, stream = None, None
         for batch in batches:
             rows: list[tuple] = []

@@ -87,3 +87,14 @@ def test_the_kept_bytes_can_be_asked_for(docs):
     text = "".join(chr(97 + i % 26) + str(i) for i in range(60))
     got = {r.doc_id: bytes(r.kept) for r in repeats.remove_repeats(docs([(1, text), (2, "new " + text + " end")]), with_text=True).collect()}
     assert got == {1: text.encode(), 2: b"new  end"}
+
+
+def test_findings_that_are_not_there_are_an_error(tmp_path):
+    import pytest
+
+    (tmp_path / "found").mkdir()
+    assert repeats._Answers(f"file:{tmp_path}/found").of("part-0") is None
+    with pytest.raises(FileNotFoundError, match="is not there"):
+        repeats._Answers(f"file:{tmp_path}/lost")
+    with pytest.raises(ValueError, match="full address"):
+        repeats._Answers(str(tmp_path / "found"))

@@ -74,3 +74,20 @@ def test_a_damaged_payload_is_found(spark):
 
 def test_no_pages(spark):
     assert warc.archived_pages(spark, pages(spark, [])).collect() == []
+
+
+def test_a_path_without_scheme_is_one_of_sparks_file_system(spark, tmp_path, monkeypatch):
+    from cdcspark import files
+    from cdcspark.llm.common import arrow_folder
+
+    asked = []
+    real = files.qualified
+    monkeypatch.setattr(files, "qualified", lambda session, name: asked.append(name) or real(session, name))
+    pages = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    warc.write_archives(pages, source)
+    assert warc.read_records(warc.normalise(spark, source, target), target).count() == 1 and asked == [target, target]
+    for address in (f"file:{target}", f"file://{target}"):
+        assert arrow_folder(address)[1] == target
+    with pytest.raises(ValueError, match="full address"):
+        arrow_folder(target)
