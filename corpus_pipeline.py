@@ -35,9 +35,7 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """
     docs = docs.select(*COLUMNS)
     gone = neardup.near_duplicates(docs, text_hash=True).where("NOT kept AND doc_id IS NOT NULL")
-    gone = written(gone.select(F.col("doc_id").alias("gone"), "text_hash").distinct(), "near-copies")
-    own = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
-    return docs.join(gone, (docs["doc_id"] == gone["gone"]) & (own == gone["text_hash"]), "left_anti")
+    return neardup.without_rows(docs, written(gone.select("doc_id", "text_hash").distinct(), "near-copies"))
 
 
 def clear_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
