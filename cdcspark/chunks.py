@@ -8,6 +8,9 @@ the log to say:
 * ``strict`` and ``bag`` count on each change being applied once. The keys that moved are read again between the second position and a
   third, and so on until none moves; parts that stood still earlier are brought to the range's position from the log.
 
+The positions have to be those of the tables: where a capture process fills the change table a little later, ``job.position`` has to
+wait till it has caught up with the log, or a change may be seen by a scan and replayed after the range's position.
+
 A range is one commit to the load's own files. A job that dies goes on with the next range. When all are there, one
 replay brings each range from its own position to the same last one and puts the whole table in force.
 """
@@ -22,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from cdcspark.functions.lsn import LSN, ZERO_LSN
-from cdcspark.jobs import Metrics, TableJob, judge, rejected_of, stage
+from cdcspark.jobs import Metrics, TableJob, judge, not_aside, rejected_of, stage
 from cdcspark.operators.apply import _c, apply_changes
 from cdcspark.operators.quarantine import REASON, cast_to
 from cdcspark.plans.mapping import project_mapped, table_columns
@@ -192,6 +195,8 @@ def finish(job: TableJob, load: Load, splits: Splits, metrics: Metrics) -> None:
         metrics.inserts, metrics.updates, metrics.deletes = counts["ins"], counts["upd"], counts["del"]
         metrics.ignored, metrics.rejected = counts["other"], counts["bad"]
         rejected = rejected_of(job, staged, counts["bad"]) if counts["bad"] else None
+        if rejected is not None and store.exists(job.table):
+            rejected = not_aside(store, job.table, rejected)
         good = None
         if counts["n"] > counts["bad"]:
             good = cast_to(staged.where(F.col(REASON).isNull()).drop(REASON), schema)

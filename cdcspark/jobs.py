@@ -316,7 +316,7 @@ def incremental_sync(
             # Without an upper end later ones are read again with the next cycle.
             rejected = bad if whole else bad.where((F.col(REASON) == BAD_POSITION) | (_c(LSN) <= lsn_literal(position)))
             if mine is None:
-                rejected = _not_aside(job.store, job.table, rejected)
+                rejected = not_aside(job.store, job.table, rejected)
             if rejected.isEmpty():
                 rejected = None
         if counts["n"] > counts["bad"]:
@@ -377,7 +377,7 @@ def rejected_of(job: TableJob, staged: DataFrame, n: int) -> DataFrame:
     return bad
 
 
-def _not_aside(store: Target, table: str, rejected: DataFrame) -> DataFrame:
+def not_aside(store: Target, table: str, rejected: DataFrame) -> DataFrame:
     """Without changes of a bad position that are aside already: polling meets them in every cycle."""
     held = store.quarantined(table)
     if held is None:
