@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcspark import files
 from cdcspark.llm import decontaminate, langid, neardup, packing, pii
 from cdcspark.llm.common import read_table, vocabulary
 from cdcspark.session import fresh_dir, written
@@ -68,10 +69,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written to the shared folder and read by the next one."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``; each is written to the shared folder and read by the next one, after which it is removed."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = fresh_dir(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            files.remove(spark, before)
+        before = path
     return docs
