@@ -62,6 +62,11 @@ def _opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri)
 
 
+def _landed(path: str) -> bool:
+    """Not hidden, and not in a folder of files that are still being written; the rule is the one Spark reads by."""
+    return not any(part.startswith(".") or (part.startswith("_") and "=" not in part) for part in path.split("/"))
+
+
 @dataclass
 class FileLog:
     """Parquet files of a folder, which land in log order and are not changed afterwards.
@@ -82,7 +87,7 @@ class FileLog:
         """File, row group, its least and highest position and its rows, in log order."""
         system, root = _opened(self.uri)
         found = system.get_file_info(fs.FileSelector(root, recursive=True, allow_not_found=True))
-        names = [f.path for f in found if f.is_file and f.path.endswith(".parquet") and not f.base_name.startswith(("_", "."))]
+        names = [f.path for f in found if f.is_file and f.path.endswith(".parquet") and _landed(f.path.removeprefix(root))]
         for name in names:
             if name not in self._known:
                 self._known[name] = list(_footer(system, name))

@@ -73,6 +73,19 @@ def test_a_transaction_that_may_be_incomplete_waits(spark, tmp_path):
     assert FileLog(file_log(spark, only).uri, split_transactions=True).highest() is None
 
 
+def test_files_still_being_written_are_not_there(spark, tmp_path):
+    import shutil
+    from pathlib import Path
+
+    path = landed(spark, tmp_path, changes([1, 2]))
+    (file,) = Path(path).glob("part-*.parquet")
+    for folder in ("_temporary/0/task", ".hidden", "day=1"):
+        (Path(path) / folder).mkdir(parents=True)
+        shutil.copy(file, Path(path) / folder / "part-9.parquet")
+    shutil.copy(file, Path(path) / "_draft.parquet")
+    assert numbers_of(file_log(spark, path), 0, 9) == ([1, 1, 2, 2], 1)
+
+
 def test_no_files_and_no_position_column(spark, tmp_path):
     assert file_log(spark, str(tmp_path / "none")).highest() is None
     spark.range(3).write.parquet(str(tmp_path / "other"))
